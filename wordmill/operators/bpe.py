@@ -76,8 +76,9 @@ def init_symbols(freqs: DataFrame) -> DataFrame:
 def symbols_of(sym) -> F.Column:
     """Array view of a wrapped segmentation."""
     s = F.col(sym) if isinstance(sym, str) else sym
-    inner = F.substring(s, 2, F.length(s) - 2)
-    return F.split(inner, SEP + SEP, -1)
+    # single-character separator: Java's split takes its no-regex fast path;
+    # symbols are never empty, so dropping empty pieces is exact
+    return F.filter(F.split(s, SEP, -1), lambda x: x != F.lit(""))
 
 
 def word_chars(word) -> F.Column:
@@ -171,7 +172,7 @@ def _merge_expr(sym: F.Column, merges) -> F.Column:
 
 
 def train_bpe(df: DataFrame, col: str | None = None, vocab_size: int = 5000, specials=None,
-              eow_in_vocab: bool = True, tokens=None, checkpoint_every: int = 25,
+              eow_in_vocab: bool = True, tokens=None, checkpoint_every: int = 10,
               num_partitions: int | None = None, freqs: DataFrame | None = None,
               on_merge=None) -> BpeModel:
     """Learn merges until the vocabulary reaches ``vocab_size`` or no pair is left.
@@ -205,50 +206,46 @@ def train_bpe(df: DataFrame, col: str | None = None, vocab_size: int = 5000, spe
     words = init_symbols(freqs).select("sym", "freq")
     if num_partitions:
         words = words.repartition(num_partitions)
-    if budget:
-        words = cut_lineage(words)
-    words = words.persist()
-    counts = pair_counts(words).persist()
-    old: list[DataFrame] = []
+    if budget == 0:
+        freqs.unpersist()
+        return BpeModel(vocab, merges, vocab_size, specials, eow_in_vocab, n_base)
+    # Checkpointed state: segmented words and their pair counts.  A round
+    # derives the live counts from it plus the merges learned since (folded as
+    # one literal expression), so the plan has the same size every round and
+    # only the words those merges changed are re-counted.
+    words = cut_lineage(words).persist()
+    counts = cut_lineage(pair_counts(words)).persist()
+    pending: list[tuple[str, str, int]] = []
+
+    def live_counts(pend):
+        if not pend:
+            return counts
+        cur = words.select("freq", F.col("sym").alias("prev"), _merge_expr(F.col("sym"), pend).alias("sym"))
+        changed = cur.where(F.col("sym") != F.col("prev"))
+        before = pair_rows(changed, sym="prev").withColumn("w", -F.col("w"))
+        after = pair_rows(changed)
+        return (counts.withColumnRenamed("n", "w").unionByName(before).unionByName(after)
+                .groupBy("lhs", "rhs").agg(F.sum("w").cast("long").alias("n"))
+                .where(F.col("n") > 0))
+
     for r in range(budget):
-        # one job: folds the previous round's delta into the counts (and caches
-        # the previous round's word table while scanning it), then the arg-max
-        top = best_pair(counts).collect()
-        for d in old:
-            d.unpersist()
-        old = []
+        top = best_pair(live_counts(pending)).collect()
         if not top:
             break
         a, b, n = top[0]["lhs"], top[0]["rhs"], int(top[0]["n"])
         merges.append((a, b, n))
+        pending.append((a, b, n))
         if on_merge:
             on_merge(len(merges), a, b, n)
         if a + b not in vocab:
             vocab[a + b] = len(vocab)
-        if r == budget - 1:
-            break
-        pat, rep = merge_pattern(a, b)
-        hit = F.instr(F.col("sym"), pat) > 0
-        new_words = words.select(
-            F.when(hit, F.replace(F.col("sym"), F.lit(pat), F.lit(rep))).otherwise(F.col("sym")).alias("sym"),
-            "freq", F.when(hit, F.col("sym")).alias("prev"))
-        checkpoint = (r + 1) % checkpoint_every == 0
-        if checkpoint:
-            new_words = cut_lineage(new_words)
-        new_words = new_words.persist()
-        changed = new_words.where(F.col("prev").isNotNull())
-        before = pair_rows(changed, sym="prev").withColumn("w", -F.col("w"))
-        after = pair_rows(changed)
-        new_counts = (counts.withColumnRenamed("n", "w").unionByName(before).unionByName(after)
-                      .groupBy("lhs", "rhs").agg(F.sum("w").cast("long").alias("n"))
-                      .where(F.col("n") > 0))
-        if checkpoint:
-            new_counts = cut_lineage(new_counts)
-        new_counts = new_counts.persist()
-        old = [words, counts]
-        words, counts = new_words.select("sym", "freq"), new_counts
-        old.append(new_words)
-    for d in old + [words, counts, freqs]:
+        if len(pending) >= checkpoint_every and r < budget - 1:
+            new_counts = cut_lineage(live_counts(pending)).persist()
+            new_words = cut_lineage(words.select(_merge_expr(F.col("sym"), pending).alias("sym"), "freq")).persist()
+            words.unpersist()
+            counts.unpersist()
+            words, counts, pending = new_words, new_counts, []
+    for d in (words, counts, freqs):
         d.unpersist()
     return BpeModel(vocab, merges, vocab_size, specials, eow_in_vocab, n_base)
 
