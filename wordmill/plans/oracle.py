@@ -19,3 +19,115 @@ r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, token) AS
 SELECT r.lang, CAST(rk AS BIGINT) AS rank, token, n, unique_tokens, total_tokens
 FROM r JOIN s ON r.lang = s.lang WHERE rk <= 20
 """
+
+
+# ------------------------------------------------------------------ BPE (D)
+# Segmented words are wrapped like the engine's: chr(1) around every symbol.
+
+def _words_cte(source: str = "SELECT text FROM documents", col: str = "text") -> str:
+    return f"""words AS (
+  SELECT w AS word, CAST(count(*) AS BIGINT) AS freq
+  FROM (SELECT unnest({WORDS.format(c=col)}) AS w FROM ({source}))
+  GROUP BY w)"""
+
+
+INIT_SYM = "chr(1) || array_to_string(string_split({w}, ''), chr(1) || chr(1)) || chr(1) || chr(1) || '</w>' || chr(1)"
+SYMS = "list_filter(string_split({s}, chr(1)), lambda x: x <> '')"
+
+
+def vocab_ctes(vocab_size: int, specials=("<UNK>", "<PAD>", "<BOS>", "<EOS>", "<CODE>", "<DOC>")) -> str:
+    """CTEs chars/basev/xchars/nvocab/train/mvocab/vocab; needs a ``words`` CTE."""
+    spec = ", ".join(f"('{t}', {97 + i})" for i, t in enumerate(list(specials) + ["</w>"]))
+    nb = 97 + len(specials) + 1
+    return f"""chars AS (SELECT DISTINCT unnest(string_split(word, '')) AS c FROM words),
+basev AS (
+  SELECT t AS token, CAST(row_number() OVER (ORDER BY cp) - 1 AS INTEGER) AS id
+  FROM (SELECT chr(9) AS t, 9 AS cp UNION ALL SELECT chr(10), 10
+        UNION ALL SELECT chr(CAST(i AS INTEGER)), i FROM range(32, 127) r(i))
+  UNION ALL SELECT * FROM (VALUES {spec}) v(token, id)),
+xchars AS (
+  SELECT c AS token, CAST({nb} - 1 + row_number() OVER (ORDER BY c) AS INTEGER) AS id
+  FROM chars WHERE c NOT IN (SELECT token FROM basev)),
+nvocab AS (SELECT {nb} + (SELECT count(*) FROM xchars) AS n),
+init AS (SELECT list({{'f': freq, 's': {INIT_SYM.format(w='word')}}}) AS ws FROM words),
+r(step, ws, lhs, rhs, cnt) AS (
+  SELECT 0, ws, NULL::VARCHAR, NULL::VARCHAR, NULL::BIGINT FROM init
+  UNION ALL
+  SELECT step + 1,
+    list_transform(ws, lambda x: {{'f': x.f, 's': replace(x.s, chr(1) || b.lhs || chr(1) || chr(1) || b.rhs || chr(1), chr(1) || b.lhs || b.rhs || chr(1))}}),
+    b.lhs, b.rhs, b.cnt
+  FROM r, LATERAL (
+    SELECT lhs, rhs, CAST(sum(f) AS BIGINT) AS cnt FROM (
+      SELECT f, sy[i] AS lhs, sy[i + 1] AS rhs FROM (
+        SELECT f, sy, unnest(range(1, len(sy))) AS i FROM (
+          SELECT u.f AS f, {SYMS.format(s='u.s')} AS sy FROM (SELECT unnest(r.ws) AS u)))
+    ) GROUP BY lhs, rhs ORDER BY cnt DESC, lhs, rhs LIMIT 1) b
+  WHERE r.step < (SELECT {vocab_size} - n FROM nvocab)),
+train AS (SELECT CAST(step AS BIGINT) AS rank, lhs, rhs, cnt AS pair_count FROM r WHERE step > 0),
+mvocab AS (
+  SELECT token, CAST((SELECT n FROM nvocab) - 1 + row_number() OVER (ORDER BY rk) AS INTEGER) AS id
+  FROM (SELECT lhs || rhs AS token, min(rank) AS rk FROM train GROUP BY lhs || rhs)
+  WHERE token NOT IN (SELECT token FROM basev UNION ALL SELECT token FROM xchars)),
+vocab AS (SELECT * FROM basev UNION ALL SELECT * FROM xchars UNION ALL SELECT * FROM mvocab)"""
+
+
+def seg_ctes(word_source: str = "SELECT word FROM words") -> str:
+    """CTE ``seg(word, toks)``: every merge of ``train`` applied in rank order."""
+    return f"""wl AS (SELECT list({{'w': word, 's': {INIT_SYM.format(w='word')}}}) AS ws FROM ({word_source})),
+e(step, ws) AS (
+  SELECT 0, ws FROM wl
+  UNION ALL
+  SELECT e.step + 1, list_transform(e.ws, lambda x: {{'w': x.w, 's': replace(x.s, chr(1) || m.lhs || chr(1) || chr(1) || m.rhs || chr(1), chr(1) || m.lhs || m.rhs || chr(1))}})
+  FROM e JOIN train m ON m.rank = e.step + 1),
+segu AS (SELECT unnest(ws) AS u FROM e WHERE step = (SELECT coalesce(max(rank), 0) FROM train)),
+seg AS (SELECT u.w AS word, {SYMS.format(s='u.s')} AS toks FROM segu),
+segid AS (
+  SELECT word, list(coalesce(v.id, 97) ORDER BY k) AS ids, list(t ORDER BY k) AS toks
+  FROM (SELECT word, unnest(toks) AS t, generate_subscripts(toks, 1) AS k FROM seg) x
+  LEFT JOIN vocab v ON v.token = x.t GROUP BY word)"""
+
+
+def docs_ids_cte(source: str = "SELECT doc_id, text FROM documents", key: str = "doc_id", col: str = "text") -> str:
+    """CTE ``dids(key, ids)``: per-row concatenation of word ids in word order (needs ``segid``)."""
+    return f"""occ AS (SELECT {key} AS k, unnest({WORDS.format(c=col)}) AS word,
+                 generate_subscripts({WORDS.format(c=col)}, 1) AS pos FROM ({source})),
+dids0 AS (SELECT o.k, flatten(list(s.ids ORDER BY o.pos)) AS ids FROM occ o JOIN segid s ON s.word = o.word GROUP BY o.k),
+dids AS (SELECT d.{key} AS k, coalesce(x.ids, []::INTEGER[]) AS ids, d.{col} AS text FROM ({source}) d LEFT JOIN dids0 x ON x.k = d.{key})"""
+
+
+BPE_VOCAB = 150
+
+
+def _bpe(body: str, vocab_size: int = BPE_VOCAB, with_seg=False, with_docs=False, src=None) -> str:
+    parts = [_words_cte(), vocab_ctes(vocab_size)]
+    if with_seg:
+        parts.append(seg_ctes())
+    if with_docs:
+        parts.append(docs_ids_cte(*(src or ())))
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + body
+
+
+ORACLE["d2_word_freqs"] = "WITH " + _words_cte() + " SELECT word, freq FROM words"
+ORACLE["d3_init_symbols"] = ("WITH " + _words_cte() + f""" SELECT word, freq,
+  array_to_string({SYMS.format(s=INIT_SYM.format(w='word'))}, ' ') AS symbols FROM words""")
+ORACLE["d4_char_vocab"] = _bpe("SELECT token, id FROM xchars")
+ORACLE["d5_pair_counts"] = ("WITH " + _words_cte() + f""",
+s AS (SELECT freq, {SYMS.format(s=INIT_SYM.format(w='word'))} AS sy FROM words),
+p AS (SELECT freq, sy[i] AS lhs, sy[i + 1] AS rhs FROM (SELECT freq, sy, unnest(range(1, len(sy))) AS i FROM s))
+SELECT lhs, rhs, CAST(sum(freq) AS BIGINT) AS n FROM p GROUP BY lhs, rhs""")
+ORACLE["d6_best_pairs"] = ORACLE["d5_pair_counts"].replace(
+    "SELECT lhs, rhs, CAST(sum(freq) AS BIGINT) AS n FROM p GROUP BY lhs, rhs",
+    "SELECT CAST(row_number() OVER (ORDER BY n DESC, lhs, rhs) AS BIGINT) AS rank, lhs, rhs, n FROM "
+    "(SELECT lhs, rhs, CAST(sum(freq) AS BIGINT) AS n FROM p GROUP BY lhs, rhs) ORDER BY n DESC, lhs, rhs LIMIT 10")
+ORACLE["d7_merge_best_pair"] = ("WITH " + _words_cte() + f""",
+s AS (SELECT freq, {SYMS.format(s=INIT_SYM.format(w='word'))} AS sy FROM words),
+p AS (SELECT freq, sy[i] AS lhs, sy[i + 1] AS rhs FROM (SELECT freq, sy, unnest(range(1, len(sy))) AS i FROM s)),
+b AS (SELECT lhs, rhs FROM p GROUP BY lhs, rhs ORDER BY sum(freq) DESC, lhs, rhs LIMIT 1)
+SELECT word, freq, array_to_string({SYMS.format(s="replace(" + INIT_SYM.format(w='word') + ", chr(1) || b.lhs || chr(1) || chr(1) || b.rhs || chr(1), chr(1) || b.lhs || b.rhs || chr(1))")}, ' ') AS symbols
+FROM words, b""")
+ORACLE["d8_train_bpe"] = _bpe("SELECT rank, lhs, rhs, pair_count FROM train")
+ORACLE["d8_vocab"] = _bpe("SELECT token, id FROM vocab")
+ORACLE["d11_encode_words"] = _bpe("SELECT word, array_to_string(toks, ' ') AS tokens, "
+                                  "array_to_string(ids, ' ') AS ids FROM segid", with_seg=True)
+ORACLE["d12_encode_documents"] = _bpe("SELECT k AS doc_id, CAST(len(ids) AS BIGINT) AS n_tokens, "
+                                      "array_to_string(ids, ' ') AS ids FROM dids", with_seg=True, with_docs=True)

@@ -8,10 +8,10 @@ they compare exactly with the DuckDB oracle in ``oracle.py``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import profile
+from ..operators import bpe, profile
 from ..session import read_table
 
 QUERIES: dict = {}
@@ -37,3 +37,87 @@ def _docs(spark: SparkSession, sf: str) -> DataFrame:
 @register("b5_token_distribution_by_lang")
 def q_b5(spark, sf):
     return profile.token_distribution(_docs(spark, sf), "text", by=["lang"], k=20)
+
+
+# ---------------------------------------------------------------- D: BPE
+
+BPE_VOCAB = 150          # budget = 150 - (104 base + corpus characters)
+_MODELS: dict = {}
+
+
+def bpe_model(spark, sf, vocab_size: int = BPE_VOCAB, specials=None):
+    """Train once per (tables, size) and reuse within the process (the model is vocab-sized)."""
+    key = (sf, vocab_size, tuple(specials or ()))
+    if key not in _MODELS:
+        _MODELS[key] = bpe.train_bpe(_docs(spark, sf), "text", vocab_size=vocab_size, specials=specials)
+    return _MODELS[key]
+
+
+def _symbols_str(sym_col="sym"):
+    return F.array_join(bpe.symbols_of(sym_col), " ")
+
+
+@register("d2_word_freqs")
+def q_d2(spark, sf):
+    return bpe.word_freqs(_docs(spark, sf), "text")
+
+
+@register("d3_init_symbols")
+def q_d3(spark, sf):
+    return bpe.init_symbols(bpe.word_freqs(_docs(spark, sf), "text")).select(
+        "word", "freq", _symbols_str().alias("symbols"))
+
+
+@register("d4_char_vocab")
+def q_d4(spark, sf):
+    freqs = bpe.word_freqs(_docs(spark, sf), "text")
+    base = bpe.base_vocab(spark)
+    n_base = len(bpe.base_vocab_tokens())
+    new = bpe.extend_char_vocab(freqs, base)
+    # the alphabet is bounded, so one ordered window over it is fine
+    return new.select("token", (F.row_number().over(Window.orderBy("token")) + n_base - 1).cast("int").alias("id"))
+
+
+@register("d5_pair_counts")
+def q_d5(spark, sf):
+    return bpe.pair_counts(bpe.init_symbols(bpe.word_freqs(_docs(spark, sf), "text")))
+
+
+@register("d6_best_pairs")
+def q_d6(spark, sf):
+    top = bpe.best_pair(bpe.pair_counts(bpe.init_symbols(bpe.word_freqs(_docs(spark, sf), "text"))), k=10)
+    return top.select(F.row_number().over(Window.orderBy(F.desc("n"), "lhs", "rhs")).cast("long").alias("rank"),
+                      "lhs", "rhs", "n")
+
+
+@register("d7_merge_best_pair")
+def q_d7(spark, sf):
+    syms = bpe.init_symbols(bpe.word_freqs(_docs(spark, sf), "text"))
+    best = bpe.best_pair(bpe.pair_counts(syms)).first()
+    return bpe.merge_pair(syms, best["lhs"], best["rhs"]).select("word", "freq", _symbols_str().alias("symbols"))
+
+
+@register("d8_train_bpe")
+def q_d8(spark, sf):
+    return bpe_model(spark, sf).merges_df(spark).select(F.col("rank").cast("long").alias("rank"),
+                                                        "lhs", "rhs", "pair_count")
+
+
+@register("d8_vocab")
+def q_d8v(spark, sf):
+    return bpe_model(spark, sf).vocab_df(spark)
+
+
+@register("d11_encode_words")
+def q_d11(spark, sf):
+    model = bpe_model(spark, sf)
+    words = bpe.word_freqs(_docs(spark, sf), "text").select("word")
+    return bpe.encode_words(words, model).select(
+        "word", F.array_join("tokens", " ").alias("tokens"), F.array_join("ids", " ").alias("ids"))
+
+
+@register("d12_encode_documents")
+def q_d12(spark, sf):
+    model = bpe_model(spark, sf)
+    enc = bpe.encode(_docs(spark, sf), "text", model)
+    return enc.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.array_join("ids", " ").alias("ids"))
