@@ -18,6 +18,8 @@ WS_CLASS = (
     "\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
 )
 WS_RUN = WS_CLASS + "+"
+WS_CHARS = "".join(chr(c) for c in [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680,
+                                    *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
 
 # Placeholder tokens of the code-literal normaliser.
 NUM_TOKEN = "<NUM>"
@@ -37,7 +39,9 @@ def null_as(col, value: str | None = "") -> Column:
 def whitespace_tokens(col) -> Column:
     """Split on runs of whitespace, no empty pieces; null -> []."""
     c = _c(col)
-    parts = F.split(c, WS_RUN)
+    # every whitespace character becomes a space (a per-character table
+    # lookup), then a single-character split, which skips the regex engine
+    parts = F.split(F.translate(c, WS_CHARS, " " * len(WS_CHARS)), " ", -1)
     return F.coalesce(F.filter(parts, lambda x: x != F.lit("")), F.array().cast("array<string>"))
 
 

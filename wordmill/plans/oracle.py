@@ -71,19 +71,19 @@ mvocab AS (
 vocab AS (SELECT * FROM basev UNION ALL SELECT * FROM xchars UNION ALL SELECT * FROM mvocab)"""
 
 
-def seg_ctes(word_source: str = "SELECT word FROM words") -> str:
-    """CTE ``seg(word, toks)``: every merge of ``train`` applied in rank order."""
-    return f"""wl AS (SELECT list({{'w': word, 's': {INIT_SYM.format(w='word')}}}) AS ws FROM ({word_source})),
-e(step, ws) AS (
-  SELECT 0, ws FROM wl
+def seg_ctes(word_source: str = "SELECT word FROM words", sfx: str = "") -> str:
+    """CTE ``segid{sfx}(word, ids, toks)``: every merge of ``train`` applied in rank order."""
+    return f"""wl{sfx} AS (SELECT list({{'w': word, 's': {INIT_SYM.format(w='word')}}}) AS ws FROM ({word_source})),
+e{sfx}(step, ws) AS (
+  SELECT 0, ws FROM wl{sfx}
   UNION ALL
-  SELECT e.step + 1, list_transform(e.ws, lambda x: {{'w': x.w, 's': replace(x.s, chr(1) || m.lhs || chr(1) || chr(1) || m.rhs || chr(1), chr(1) || m.lhs || m.rhs || chr(1))}})
-  FROM e JOIN train m ON m.rank = e.step + 1),
-segu AS (SELECT unnest(ws) AS u FROM e WHERE step = (SELECT coalesce(max(rank), 0) FROM train)),
-seg AS (SELECT u.w AS word, {SYMS.format(s='u.s')} AS toks FROM segu),
-segid AS (
+  SELECT e{sfx}.step + 1, list_transform(e{sfx}.ws, lambda x: {{'w': x.w, 's': replace(x.s, chr(1) || m.lhs || chr(1) || chr(1) || m.rhs || chr(1), chr(1) || m.lhs || m.rhs || chr(1))}})
+  FROM e{sfx} JOIN train m ON m.rank = e{sfx}.step + 1),
+segu{sfx} AS (SELECT unnest(ws) AS u FROM e{sfx} WHERE step = (SELECT coalesce(max(rank), 0) FROM train)),
+seg{sfx} AS (SELECT u.w AS word, {SYMS.format(s='u.s')} AS toks FROM segu{sfx}),
+segid{sfx} AS (
   SELECT word, list(coalesce(v.id, 97) ORDER BY k) AS ids, list(t ORDER BY k) AS toks
-  FROM (SELECT word, unnest(toks) AS t, generate_subscripts(toks, 1) AS k FROM seg) x
+  FROM (SELECT word, unnest(toks) AS t, generate_subscripts(toks, 1) AS k FROM seg{sfx}) x
   LEFT JOIN vocab v ON v.token = x.t GROUP BY word)"""
 
 
@@ -104,7 +104,7 @@ def _bpe(body: str, vocab_size: int = BPE_VOCAB, with_seg=False, with_docs=False
         parts.append(seg_ctes())
     if with_docs:
         parts.append(docs_ids_cte(*(src or ())))
-    return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join(parts) + ("" if body.lstrip().startswith(",") else "\n") + body
 
 
 ORACLE["d2_word_freqs"] = "WITH " + _words_cte() + " SELECT word, freq FROM words"
@@ -131,3 +131,95 @@ ORACLE["d11_encode_words"] = _bpe("SELECT word, array_to_string(toks, ' ') AS to
                                   "array_to_string(ids, ' ') AS ids FROM segid", with_seg=True)
 ORACLE["d12_encode_documents"] = _bpe("SELECT k AS doc_id, CAST(len(ids) AS BIGINT) AS n_tokens, "
                                       "array_to_string(ids, ' ') AS ids FROM dids", with_seg=True, with_docs=True)
+
+
+# ------------------------------------------------------------------ tokenizer evaluation (E)
+
+def _e(body: str, seg=True, docs=True) -> str:
+    return _bpe(body, with_seg=seg, with_docs=docs)
+
+
+DECODED = """dex AS (SELECT k, unnest(ids) AS id, generate_subscripts(ids, 1) AS i FROM dids),
+dec0 AS (SELECT k, string_agg(coalesce(v.token, '<UNK>'), '' ORDER BY i) AS raw FROM dex LEFT JOIN vocab v ON v.id = dex.id GROUP BY k),
+dec AS (SELECT d.k, d.text, trim(regexp_replace(replace(coalesce(x.raw, ''), '</w>', ' '), '\\s+', ' ', 'g')) AS decoded
+        FROM dids d LEFT JOIN dec0 x ON x.k = d.k)"""
+
+E_SQL = {
+    "vocabulary_overlap": f"""gw AS (SELECT DISTINCT unnest({WORDS.format(c='text')}) AS token FROM documents),
+fo AS (SELECT g.token AS a, v.token AS b FROM gw g FULL OUTER JOIN (SELECT DISTINCT token FROM vocab) v ON g.token = v.token),
+res AS (SELECT CASE WHEN count(*) > 0 THEN (count(*) FILTER (WHERE a IS NOT NULL AND b IS NOT NULL)) / count(*) ELSE 0.0 END AS jaccard_similarity,
+  count(b) AS bpe_vocab_size, count(a) AS ground_truth_vocab_size,
+  count(*) FILTER (WHERE a IS NOT NULL AND b IS NOT NULL) AS intersection_size, count(*) AS union_size FROM fo)""",
+    "compression_ratio": """tot AS (SELECT CAST(sum(length(text)) AS BIGINT) AS c, CAST(sum(len(ids)) AS BIGINT) AS t FROM dids),
+res AS (SELECT CASE WHEN t > 0 THEN c / t ELSE 1.0 END AS compression_ratio, c AS total_characters, t AS total_tokens,
+  CASE WHEN t > 0 THEN c / t ELSE 1.0 END AS avg_chars_per_token FROM tot)""",
+    "boundary_accuracy": DECODED + f""",
+ws AS (SELECT list_distinct({WORDS.format(c='text')}) AS a, list_distinct({WORDS.format(c='decoded')}) AS b FROM dec),
+tot AS (SELECT CAST(sum(len(list_intersect(a, b))) AS BIGINT) AS i, CAST(sum(len(list_distinct(list_concat(a, b)))) AS BIGINT) AS u FROM ws),
+res AS (SELECT CASE WHEN u > 0 THEN i / u ELSE 0.0 END AS boundary_accuracy, i AS correct_boundaries, u AS total_boundaries FROM tot)""",
+    "consistency": """res AS (SELECT 1.0 AS consistency_score, CAST(count(*) AS DOUBLE) AS consistent_texts, count(*) AS total_texts FROM documents)""",
+    "oov_rate": """tot AS (SELECT CAST(sum(len(list_filter(ids, lambda x: x = 97))) AS BIGINT) AS o, CAST(sum(len(ids)) AS BIGINT) AS t FROM dids),
+res AS (SELECT CASE WHEN t > 0 THEN o / t ELSE 0.0 END AS oov_rate, o AS oov_tokens, t AS total_tokens,
+  CASE WHEN t > 0 THEN o / t ELSE 0.0 END * 100 AS oov_percentage FROM tot)""",
+    "perplexity": """tot AS (SELECT CAST(sum(len(ids)) AS BIGINT) AS t, (SELECT count(*) FROM vocab) AS v FROM dids),
+res AS (SELECT CASE WHEN t > 0 THEN exp(-(t * ln(1.0 / v)) / t) ELSE 'inf'::DOUBLE END AS perplexity, t AS total_tokens,
+  CASE WHEN t > 0 THEN (t * ln(1.0 / v)) / t ELSE 0.0 END AS avg_log_prob FROM tot)""",
+    "token_distribution": """ic AS (SELECT id, count(*) AS n FROM (SELECT unnest(ids) AS id FROM dids) GROUP BY id),
+tot AS (SELECT sum(n) AS t FROM ic),
+res AS (SELECT (SELECT count(*) FROM ic) AS unique_tokens, (SELECT CAST(t AS BIGINT) FROM tot) AS total_tokens,
+  (SELECT avg(len(ids)) FROM dids) AS avg_text_length, (SELECT stddev_pop(len(ids)) FROM dids) AS std_text_length,
+  (SELECT coalesce(-sum((n / t) * log2(n / t)), 0.0) FROM ic, tot) AS entropy)""",
+    "semantic_coherence": f"""pc AS (SELECT doc_id AS k, unnest(string_split(text, '.')) AS sentence, generate_subscripts(string_split(text, '.'), 1) AS sidx FROM documents),
+pw AS (SELECT k, sidx, unnest({WORDS.format(c='sentence')}) AS word, generate_subscripts({WORDS.format(c='sentence')}, 1) AS pos FROM pc),
+{seg_ctes("SELECT DISTINCT word FROM pw", "_p")},
+pid AS (SELECT p.k, p.sidx, list_distinct(flatten(list(s.ids ORDER BY p.pos))) AS ids FROM pw p JOIN segid_p s ON s.word = p.word GROUP BY p.k, p.sidx),
+pall AS (SELECT c.k, c.sidx, coalesce(p.ids, []::INTEGER[]) AS ids FROM pc c LEFT JOIN pid p ON p.k = c.k AND p.sidx = c.sidx),
+pr AS (SELECT k, ids AS a, lead(ids) OVER (PARTITION BY k ORDER BY sidx) AS b FROM pall),
+pt AS (SELECT k, avg(len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b)))) AS c FROM pr
+       WHERE b IS NOT NULL AND len(a) > 0 AND len(b) > 0 GROUP BY k),
+res AS (SELECT coalesce(avg(c), 0.0) AS semantic_coherence, coalesce(stddev_pop(c), 0.0) AS coherence_std, count(*) AS num_evaluated_texts FROM pt)""",
+}
+
+
+def _shared_ctes() -> list[str]:
+    return [_words_cte(), vocab_ctes(BPE_VOCAB), seg_ctes(), docs_ids_cte()]
+
+
+def _e_scalar(group: str, cols: list[str], round_cols: list[str]) -> str:
+    sel = ", ".join(f"round({c}, 6) AS {c}" if c in round_cols else c for c in cols)
+    return "WITH RECURSIVE " + ",\n".join(_shared_ctes() + [E_SQL[group]]) + f"\nSELECT {sel} FROM res"
+
+
+ORACLE["e1_vocab_overlap"] = _e_scalar("vocabulary_overlap", ["jaccard_similarity", "bpe_vocab_size", "ground_truth_vocab_size", "intersection_size", "union_size"], ["jaccard_similarity"])
+ORACLE["e2_compression_ratio"] = _e_scalar("compression_ratio", ["compression_ratio", "total_characters", "total_tokens", "avg_chars_per_token"], ["compression_ratio", "avg_chars_per_token"])
+ORACLE["e3_boundary_accuracy"] = _e_scalar("boundary_accuracy", ["boundary_accuracy", "correct_boundaries", "total_boundaries"], ["boundary_accuracy"])
+ORACLE["e4_encoding_consistency"] = _e_scalar("consistency", ["consistency_score", "consistent_texts", "total_texts"], ["consistency_score", "consistent_texts"])
+ORACLE["e5_oov_rate"] = _e_scalar("oov_rate", ["oov_rate", "oov_tokens", "total_tokens", "oov_percentage"], ["oov_rate", "oov_percentage"])
+ORACLE["e6_uniform_perplexity"] = _e_scalar("perplexity", ["perplexity", "total_tokens", "avg_log_prob"], ["perplexity", "avg_log_prob"])
+ORACLE["e7_token_id_distribution"] = _e_scalar("token_distribution", ["unique_tokens", "total_tokens", "avg_text_length", "std_text_length", "entropy"], ["avg_text_length", "std_text_length", "entropy"])
+ORACLE["e8_token_entropy"] = _e_scalar("token_distribution", ["entropy"], ["entropy"])
+ORACLE["e9_semantic_coherence"] = _e_scalar("semantic_coherence", ["semantic_coherence", "coherence_std", "num_evaluated_texts"], ["semantic_coherence", "coherence_std"])
+
+ORACLE["e10_token_length_histogram"] = _e(""", lens AS (SELECT CAST(len(ids) AS DOUBLE) AS n FROM dids),
+mm AS (SELECT CASE WHEN min(n) = max(n) THEN min(n) - 0.5 ELSE min(n) END AS lo,
+              CASE WHEN min(n) = max(n) THEN max(n) + 0.5 ELSE max(n) END AS hi FROM lens),
+bc AS (SELECT CAST(least(floor((n - lo) / ((hi - lo) / 50)), 49) AS BIGINT) AS bin, count(*) AS n FROM lens, mm GROUP BY 1)
+SELECT CAST(r.i AS BIGINT) AS bin, round(lo + r.i * ((hi - lo) / 50), 6) AS lower, round(lo + (r.i + 1) * ((hi - lo) / 50), 6) AS upper,
+       CAST(coalesce(bc.n, 0) AS BIGINT) AS n
+FROM range(50) r(i) CROSS JOIN mm LEFT JOIN bc ON bc.bin = r.i""")
+
+ORACLE["e11_top_tokens"] = _e(""", ic AS (SELECT id, count(*) AS n FROM (SELECT unnest(ids) AS id FROM dids) GROUP BY id),
+top AS (SELECT id, n, row_number() OVER (ORDER BY n DESC, id) AS rk FROM ic)
+SELECT CAST(rk AS BIGINT) AS rank, top.id, v.token, top.n FROM top LEFT JOIN vocab v ON v.id = top.id WHERE rk <= 20""")
+
+
+def _e_long(groups) -> str:
+    """Long ``(metric_group, metric, value)`` rows; each group's helper CTEs live in a nested scope."""
+    parts = [f"""SELECT * FROM (WITH RECURSIVE {E_SQL[g]}
+  SELECT '{g}' AS metric_group, metric, round(value, 6) AS value
+  FROM (UNPIVOT (SELECT COLUMNS(*)::DOUBLE FROM res) ON COLUMNS(*) INTO NAME metric VALUE value))""" for g in groups]
+    return "WITH RECURSIVE " + ",\n".join(_shared_ctes()) + "\n" + "\nUNION ALL\n".join(parts)
+
+
+ORACLE["e12_evaluate_tokenizer"] = _e_long(["vocabulary_overlap", "compression_ratio", "boundary_accuracy", "consistency",
+                                            "oov_rate", "perplexity", "token_distribution", "semantic_coherence"])

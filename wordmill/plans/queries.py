@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import bpe, profile
+from ..operators import bpe, profile, tokeval
 from ..session import read_table
 
 QUERIES: dict = {}
@@ -121,3 +121,85 @@ def q_d12(spark, sf):
     model = bpe_model(spark, sf)
     enc = bpe.encode(_docs(spark, sf), "text", model)
     return enc.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.array_join("ids", " ").alias("ids"))
+
+
+# ---------------------------------------------------------------- E: tokenizer evaluation
+
+def _encoded(spark, sf):
+    return tokeval.encoded_table(_docs(spark, sf), "text", bpe_model(spark, sf))
+
+
+def _round_all(df: DataFrame) -> DataFrame:
+    return df.select(*[r6(F.col(c)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+@register("e1_vocab_overlap")
+def q_e1(spark, sf):
+    return _round_all(tokeval.vocab_overlap(bpe_model(spark, sf), _docs(spark, sf)))
+
+
+@register("e2_compression_ratio")
+def q_e2(spark, sf):
+    return _round_all(tokeval.compression_ratio(_encoded(spark, sf)))
+
+
+@register("e3_boundary_accuracy")
+def q_e3(spark, sf):
+    return _round_all(tokeval.boundary_accuracy(_encoded(spark, sf), bpe_model(spark, sf)))
+
+
+@register("e4_encoding_consistency")
+def q_e4(spark, sf):
+    return _round_all(tokeval.encoding_consistency(_docs(spark, sf), "text", bpe_model(spark, sf)))
+
+
+@register("e5_oov_rate")
+def q_e5(spark, sf):
+    return _round_all(tokeval.oov_rate(_encoded(spark, sf), bpe_model(spark, sf).unk_id))
+
+
+@register("e6_uniform_perplexity")
+def q_e6(spark, sf):
+    m = bpe_model(spark, sf)
+    return _round_all(tokeval.uniform_perplexity(_encoded(spark, sf), len(m.vocab)))
+
+
+@register("e7_token_id_distribution")
+def q_e7(spark, sf):
+    return _round_all(tokeval.token_id_distribution(_encoded(spark, sf)))
+
+
+@register("e8_token_entropy")
+def q_e8(spark, sf):
+    return _round_all(tokeval.token_entropy(tokeval.id_counts(_encoded(spark, sf))))
+
+
+@register("e9_semantic_coherence")
+def q_e9(spark, sf):
+    return _round_all(tokeval.semantic_coherence(_docs(spark, sf), "text", bpe_model(spark, sf)))
+
+
+@register("e10_token_length_histogram")
+def q_e10(spark, sf):
+    return _round_all(tokeval.token_length_histogram(_encoded(spark, sf)))
+
+
+@register("e11_top_tokens")
+def q_e11(spark, sf):
+    return tokeval.top_tokens(_encoded(spark, sf), bpe_model(spark, sf))
+
+
+@register("e12_evaluate_tokenizer")
+def q_e12(spark, sf):
+    enc = _encoded(spark, sf).persist()
+    out = tokeval.evaluate_tokenizer(bpe_model(spark, sf), _docs(spark, sf), encoded=enc,
+                                     metrics=tokeval.ADVANCED_METRICS)
+    return out.select("metric_group", "metric", r6(F.col("value")).alias("value"))
+
+
+@register("e13_compare_tokenizers")
+def q_e13(spark, sf):
+    full = bpe_model(spark, sf)
+    models = {"merges_all": full, "merges_half": full.truncated(len(full.merges) // 2)}
+    out = tokeval.compare_tokenizers(models, _docs(spark, sf))
+    return out.select("model", "metric_group", "metric", r6(F.col("value")).alias("value"))

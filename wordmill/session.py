@@ -41,8 +41,20 @@ def build_session(master: str | None = None, app: str = "wordmill", shuffle_part
     return spark
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """Read one driver table.
+
+    Text work is CPU-bound per row.  An input stored as fewer files than the
+    cluster has cores (a small table, e.g. one file with one row group) would
+    be tokenised by a handful of tasks, so it is spread round-robin; a large
+    input already arrives as many splits and is left alone (no shuffle).
+    """
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if len(df.inputFiles()) < cores:
+            df = df.repartition(cores)
+    return df
 
 
 def _is_local(spark: SparkSession) -> bool:
