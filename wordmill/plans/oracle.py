@@ -223,3 +223,47 @@ def _e_long(groups) -> str:
 
 ORACLE["e12_evaluate_tokenizer"] = _e_long(["vocabulary_overlap", "compression_ratio", "boundary_accuracy", "consistency",
                                             "oov_rate", "perplexity", "token_distribution", "semantic_coherence"])
+
+
+# ------------------------------------------------------------------ sources, profiling, text scalars
+
+ORACLE["a1_read_corpus"] = "SELECT * FROM documents"
+ORACLE["a2_sample_rows"] = "SELECT doc_id, lang, source, n_chars FROM documents ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 100"
+ORACLE["a3_first_rows"] = "SELECT doc_id, lang, source, n_chars FROM documents ORDER BY doc_id LIMIT 100"
+
+ORACLE["b1_profile_shape"] = """SELECT CAST(row_number() OVER () AS BIGINT) AS ordinal, column_name,
+  CASE lower(column_type) WHEN 'varchar' THEN 'string' ELSE lower(column_type) END AS dtype,
+  (SELECT count(*) FROM documents) AS n_rows, CAST(count(*) OVER () AS BIGINT) AS n_columns
+FROM (DESCRIBE documents)"""
+ORACLE["b2_profile_missing"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) - count({c}) AS n_missing FROM documents"
+    for c in ("doc_id", "text", "lang", "source", "n_chars"))
+ORACLE["b3_value_counts"] = "SELECT lang, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY lang"
+ORACLE["b4_text_stats"] = " UNION ALL ".join(f"""SELECT '{c}' AS column_name,
+  round(avg(length(t)), 6) AS mean_length, round(stddev_samp(length(t)), 6) AS std_length,
+  CAST(min(length(t)) AS BIGINT) AS min_length, CAST(max(length(t)) AS BIGINT) AS max_length,
+  round(avg(len({WORDS.format(c='t')})), 6) AS mean_words, round(stddev_samp(len({WORDS.format(c='t')})), 6) AS std_words,
+  CAST(min(len({WORDS.format(c='t')})) AS BIGINT) AS min_words, CAST(max(len({WORDS.format(c='t')})) AS BIGINT) AS max_words
+FROM (SELECT coalesce(CAST({c} AS VARCHAR), 'nan') AS t FROM documents)""" for c in ("text", "source"))
+
+PAIRS = """(SELECT conv_id, turn, code, docstring FROM (
+  SELECT conv_id, turn, role, text AS code, lead(role) OVER w AS next_role, lead(text) OVER w AS docstring
+  FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+  WHERE role = 'user' AND next_role = 'assistant')"""
+
+ORACLE["c1_whitespace_tokens"] = f"""SELECT doc_id, CAST(len({WORDS.format(c='text')}) AS BIGINT) AS n_tokens,
+  array_to_string({WORDS.format(c='text')}, ' ') AS tokens FROM documents"""
+NORMALIZE = """regexp_replace(regexp_replace(regexp_replace(regexp_replace({c},
+  '\\b\\d+\\.\\d+\\b', '<NUM>', 'g'), '\\b\\d+\\b', '<NUM>', 'g'), '"[^"]*"', '<STR>', 'g'), '''[^'']*''', '<STR>', 'g')"""
+ORACLE["c2_normalize_code_literals"] = f"SELECT doc_id, {NORMALIZE.format(c='text')} AS normalized FROM documents"
+ORACLE["c3_batch_tokenize"] = f"""SELECT doc_id, CAST(len({WORDS.format(c=NORMALIZE.format(c='text'))}) AS BIGINT) AS n_tokens,
+  array_to_string({WORDS.format(c=NORMALIZE.format(c='text'))}, ' ') AS tokens FROM documents"""
+ORACLE["c4_sentences"] = """SELECT doc_id, CAST(generate_subscripts(string_split(text, '.'), 1) - 1 AS BIGINT) AS idx,
+  unnest(string_split(text, '.')) AS sentence FROM documents"""
+ORACLE["c5_combine_text"] = f"SELECT conv_id, turn, code || ' ' || docstring AS combined FROM {PAIRS}"
+ORACLE["c6_distinct_char_pairs"] = f"""WITH {_words_cte()} SELECT word,
+  array_to_string(list_sort(list_distinct(list_transform(range(1, length(word)), lambda i: substring(word, i, 2)))), ' ') AS pairs FROM words"""
+ORACLE["c7_build_prompt"] = f"""SELECT doc_id,
+  'Summarize function ' || coalesce(source, '') || ': ' || array_to_string({WORDS.format(c='text')}[1:100], ' ') AS summary_prompt,
+  'Detailed docstring for ' || coalesce(nullif(source, ''), 'function') || ': ' || coalesce(lang, '') AS doc_prompt
+FROM documents"""

@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import text
 from ..operators import bpe, profile, tokeval
+from ..sources import corpus
 from ..session import read_table
 
 QUERIES: dict = {}
@@ -203,3 +205,91 @@ def q_e13(spark, sf):
     models = {"merges_all": full, "merges_half": full.truncated(len(full.merges) // 2)}
     out = tokeval.compare_tokenizers(models, _docs(spark, sf))
     return out.select("model", "metric_group", "metric", r6(F.col("value")).alias("value"))
+
+
+# ---------------------------------------------------------------- A: sources
+
+@register("a1_read_corpus")
+def q_a1(spark, sf):
+    return corpus.read_corpus(spark, f"{sf}/documents.parquet", required=("text",))
+
+
+@register("a2_sample_rows")
+def q_a2(spark, sf):
+    return corpus.sample_rows(_docs(spark, sf), 100, "doc_id", seed=42).select("doc_id", "lang", "source", "n_chars")
+
+
+@register("a3_first_rows")
+def q_a3(spark, sf):
+    return corpus.first_rows(_docs(spark, sf), 100, "doc_id").select("doc_id", "lang", "source", "n_chars")
+
+
+# ---------------------------------------------------------------- B: profiling
+
+@register("b1_profile_shape")
+def q_b1(spark, sf):
+    return profile.profile_shape(_docs(spark, sf))
+
+
+@register("b2_profile_missing")
+def q_b2(spark, sf):
+    return profile.profile_missing(_docs(spark, sf))
+
+
+@register("b3_value_counts")
+def q_b3(spark, sf):
+    return profile.value_counts(_docs(spark, sf), "lang")
+
+
+@register("b4_text_stats")
+def q_b4(spark, sf):
+    return _round_all(profile.text_stats(_docs(spark, sf), ["text", "source"]))
+
+
+# ---------------------------------------------------------------- C: text scalars
+
+def _pairs(spark, sf):
+    return corpus.pair_view(read_table(spark, sf, "conversations"))
+
+
+@register("c1_whitespace_tokens")
+def q_c1(spark, sf):
+    t = text.whitespace_tokens("text")
+    return _docs(spark, sf).select("doc_id", F.size(t).cast("long").alias("n_tokens"),
+                                   F.array_join(t, " ").alias("tokens"))
+
+
+@register("c2_normalize_code_literals")
+def q_c2(spark, sf):
+    return _docs(spark, sf).select("doc_id", text.normalize_code_literals("text").alias("normalized"))
+
+
+@register("c3_batch_tokenize")
+def q_c3(spark, sf):
+    t = text.code_tokens("text")
+    return _docs(spark, sf).select("doc_id", F.size(t).cast("long").alias("n_tokens"),
+                                   F.array_join(t, " ").alias("tokens"))
+
+
+@register("c4_sentences")
+def q_c4(spark, sf):
+    return _docs(spark, sf).select("doc_id", F.posexplode(text.sentences("text")).alias("idx", "sentence")) \
+        .select("doc_id", F.col("idx").cast("long").alias("idx"), "sentence")
+
+
+@register("c5_combine_text")
+def q_c5(spark, sf):
+    return _pairs(spark, sf).select("conv_id", "turn", text.combine_text("code", "docstring").alias("combined"))
+
+
+@register("c6_distinct_char_pairs")
+def q_c6(spark, sf):
+    words = bpe.word_freqs(_docs(spark, sf), "text").select("word")
+    return words.select("word", F.array_join(F.array_sort(text.distinct_char_pairs("word")), " ").alias("pairs"))
+
+
+@register("c7_build_prompt")
+def q_c7(spark, sf):
+    d = _docs(spark, sf)
+    return d.select("doc_id", text.summary_prompt("source", text.whitespace_tokens("text")).alias("summary_prompt"),
+                    text.docstring_prompt("source", "lang").alias("doc_prompt"))
