@@ -267,3 +267,46 @@ ORACLE["c7_build_prompt"] = f"""SELECT doc_id,
   'Summarize function ' || coalesce(source, '') || ': ' || array_to_string({WORDS.format(c='text')}[1:100], ' ') AS summary_prompt,
   'Detailed docstring for ' || coalesce(nullif(source, ''), 'function') || ': ' || coalesce(lang, '') AS doc_prompt
 FROM documents"""
+
+
+# ------------------------------------------------------------------ embeddings (F)
+
+SENT = f"""(SELECT conv_id, turn, kind, toks FROM (
+  SELECT conv_id, turn, 'code' AS kind, {WORDS.format(c="coalesce(code, 'nan')")} AS toks FROM {PAIRS}
+  UNION ALL SELECT conv_id, turn, 'doc', {WORDS.format(c="coalesce(docstring, 'nan')")} FROM {PAIRS}
+  UNION ALL SELECT conv_id, turn, 'combined', {WORDS.format(c="coalesce(code, 'nan') || ' ' || coalesce(docstring, 'nan')")} FROM {PAIRS})
+  WHERE len(toks) > 0)"""
+COMB = f"(SELECT conv_id, turn, toks FROM {SENT} WHERE kind = 'combined')"
+FVOCAB = f"""(SELECT word, n, CAST(row_number() OVER (ORDER BY n DESC, word) - 1 AS BIGINT) AS id FROM (
+  SELECT word, count(*) AS n FROM (SELECT unnest(toks) AS word FROM {COMB}) GROUP BY word HAVING count(*) >= 5))"""
+SKIP = f"""(SELECT conv_id, turn, CAST(pos AS BIGINT) AS pos, CAST(ctx_pos AS BIGINT) AS ctx_pos, toks[pos + 1] AS center, toks[ctx_pos + 1] AS context
+  FROM (SELECT conv_id, turn, toks, pos, unnest(range(greatest(pos - 5, 0), least(pos + 5, len(toks) - 1) + 1)) AS ctx_pos
+        FROM (SELECT conv_id, turn, toks, unnest(range(0, len(toks))) AS pos FROM {COMB}))
+  WHERE ctx_pos <> pos AND toks[pos + 1] IN (SELECT word FROM {FVOCAB}) AND toks[ctx_pos + 1] IN (SELECT word FROM {FVOCAB}))"""
+
+ORACLE["f1_training_sentences"] = f"SELECT conv_id, turn, kind, CAST(len(toks) AS BIGINT) AS n_tokens, array_to_string(toks, ' ') AS tokens FROM {SENT}"
+ORACLE["f2_frequency_vocab"] = f"SELECT word, n, id FROM {FVOCAB}"
+ORACLE["f3_skipgram_pairs"] = f"SELECT * FROM {SKIP}"
+ORACLE["f4_cooccurrence"] = f"SELECT center, context, count(*) AS n FROM {SKIP} GROUP BY center, context"
+
+GV = "(SELECT vec_id AS word, CAST(embedding AS DOUBLE[]) AS vector, label FROM embeddings)"
+COS = "coalesce(list_cosine_similarity({a}, {b}), 0.0)"
+ORACLE["f7_embedding_info"] = f"SELECT count(*) AS vocab_size, CAST(max(len(vector)) AS BIGINT) AS vector_size, 'given' AS model_type FROM {GV}"
+ORACLE["f8_get_vectors"] = f"""SELECT l.doc_id AS word, g.vector IS NOT NULL AS found, CAST(coalesce(len(g.vector), 0) AS BIGINT) AS dim,
+  round(list_sum(g.vector), 6) AS vsum FROM labels l LEFT JOIN {GV} g ON g.word = l.doc_id"""
+ORACLE["f9_similarity"] = f"""SELECT p.a, p.b, round(CASE WHEN x.vector IS NULL OR y.vector IS NULL THEN 0.0 ELSE {COS.format(a='x.vector', b='y.vector')} END, 6) AS similarity
+FROM (SELECT vec_id AS a, coalesce(lead(vec_id) OVER (PARTITION BY label ORDER BY vec_id), -1) AS b FROM embeddings) p
+LEFT JOIN {GV} x ON x.word = p.a LEFT JOIN {GV} y ON y.word = p.b"""
+NN = f"""(SELECT q.word AS query, c.word, {COS.format(a='q.vector', b='c.vector')} AS similarity,
+   row_number() OVER (PARTITION BY q.word ORDER BY {COS.format(a='q.vector', b='c.vector')} DESC, c.word) AS rank
+   FROM {GV} q JOIN {GV} c ON c.word <> q.word)"""
+ORACLE["f10_most_similar"] = f"SELECT query, CAST(rank AS BIGINT) AS rank, word, round(similarity, 6) AS similarity FROM {NN} WHERE rank <= 10"
+ORACLE["f12_semantic_similarity_report"] = f"SELECT count(*) AS total_similarities, round(avg(similarity), 6) AS avg_similarity FROM {NN} WHERE rank <= 5"
+ORACLE["f13_analogy_query"] = f"""WITH u AS (SELECT word, label, list_transform(vector, lambda x: x / sqrt(list_sum(list_transform(vector, lambda y: y * y)))) AS u FROM {GV}),
+d AS (SELECT label, unnest(generate_series(1, 64)) AS i FROM (SELECT DISTINCT label FROM u)),
+m AS (SELECT d.label AS query, list(avg(u.u[d.i]) ORDER BY d.i) AS mv FROM d JOIN u ON u.label = d.label GROUP BY d.label, d.i),
+mv AS (SELECT query, list(v ORDER BY i) AS vector FROM (SELECT d.label AS query, d.i, avg(u.u[d.i]) AS v FROM d JOIN u ON u.label = d.label GROUP BY d.label, d.i) GROUP BY query),
+r AS (SELECT mv.query, g.word, {COS.format(a='mv.vector', b='g.vector')} AS similarity,
+      row_number() OVER (PARTITION BY mv.query ORDER BY {COS.format(a='mv.vector', b='g.vector')} DESC, g.word) AS rank
+      FROM mv JOIN {GV} g ON g.label <> mv.query)
+SELECT query, CAST(rank AS BIGINT) AS rank, word, round(similarity, 6) AS similarity FROM r WHERE rank <= 1"""

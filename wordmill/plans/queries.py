@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import bpe, profile, tokeval
+from ..operators import bpe, embed, profile, tokeval, vectors
 from ..sources import corpus
-from ..session import read_table
+from ..session import cut_lineage, read_table
 
 QUERIES: dict = {}
 
@@ -293,3 +293,148 @@ def q_c7(spark, sf):
     d = _docs(spark, sf)
     return d.select("doc_id", text.summary_prompt("source", text.whitespace_tokens("text")).alias("summary_prompt"),
                     text.docstring_prompt("source", "lang").alias("doc_prompt"))
+
+
+# ---------------------------------------------------------------- F: embeddings
+
+def _given_vectors(spark, sf):
+    """The driver's ``embeddings`` as word vectors: the word is ``vec_id``, values as double."""
+    e = read_table(spark, sf, "embeddings")
+    return e.select(F.col("vec_id").alias("word"), F.col("embedding").cast("array<double>").alias("vector"), "label")
+
+
+def _sentences(spark, sf, kind="combined"):
+    return embed.training_sentences(_pairs(spark, sf), kind)
+
+
+_W2V: dict = {}
+
+
+def w2v_vectors(spark, sf, dim: int = 100, epochs: int = 15):
+    key = (sf, dim, epochs)
+    if key not in _W2V:
+        s = _sentences(spark, sf)
+        _W2V[key] = cut_lineage(embed.train_word2vec(s, dim=dim, window=5, min_count=5, epochs=epochs,
+                                                     num_partitions=spark.sparkContext.defaultParallelism))
+    return _W2V[key]
+
+
+@register("f1_training_sentences")
+def q_f1(spark, sf):
+    out = None
+    for kind in embed.KINDS:
+        part = _sentences(spark, sf, kind)
+        out = part if out is None else out.unionByName(part)
+    return out.select("conv_id", "turn", "kind", F.size("tokens").cast("long").alias("n_tokens"),
+                      F.array_join("tokens", " ").alias("tokens"))
+
+
+@register("f2_frequency_vocab")
+def q_f2(spark, sf):
+    return embed.frequency_vocab(_sentences(spark, sf), min_count=5)
+
+
+@register("f3_skipgram_pairs")
+def q_f3(spark, sf):
+    s = _sentences(spark, sf)
+    p = embed.skipgram_pairs(s, embed.frequency_vocab(s, 5), window=5)
+    return p.select("conv_id", "turn", F.col("pos").cast("long").alias("pos"),
+                    F.col("ctx_pos").cast("long").alias("ctx_pos"), "center", "context")
+
+
+@register("f4_cooccurrence")
+def q_f4(spark, sf):
+    s = _sentences(spark, sf)
+    return embed.cooccurrence(s, embed.frequency_vocab(s, 5), window=5)
+
+
+@register("f5_linear_skipgram")
+def q_f5(spark, sf):
+    s = _sentences(spark, sf)
+    vocab = embed.frequency_vocab(s, 5)
+    cooc = embed.cooccurrence(s, vocab, window=5)
+    v = embed.linear_skipgram(cooc, vocab, dim=16, lr=0.001, epochs=2)
+    return v.select("word", F.size("vector").cast("long").alias("dim"), r6(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x)).alias("vsum"))
+
+
+@register("f6_train_word2vec")
+def q_f6(spark, sf):
+    v = w2v_vectors(spark, sf)
+    return v.select("word", F.size("vector").cast("long").alias("dim"))
+
+
+@register("f7_embedding_info")
+def q_f7(spark, sf):
+    return embed.embedding_info(_given_vectors(spark, sf), "given")
+
+
+@register("f8_get_vectors")
+def q_f8(spark, sf):
+    words = read_table(spark, sf, "labels").select(F.col("doc_id").alias("word"))
+    g = vectors.get_vectors(words, _given_vectors(spark, sf).select("word", "vector"))
+    return g.select("word", F.col("vector").isNotNull().alias("found"),
+                    F.when(F.col("vector").isNull(), 0).otherwise(F.size("vector")).cast("long").alias("dim"),
+                    r6(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x)).alias("vsum"))
+
+
+def _label_pairs(spark, sf):
+    e = read_table(spark, sf, "embeddings")
+    w = Window.partitionBy("label").orderBy("vec_id")
+    # the last vector of a label pairs with the absent word -1 (similarity 0.0)
+    return e.select(F.col("vec_id").alias("a"), F.coalesce(F.lead("vec_id").over(w), F.lit(-1)).alias("b"))
+
+
+@register("f9_similarity")
+def q_f9(spark, sf):
+    s = vectors.similarity(_label_pairs(spark, sf), _given_vectors(spark, sf))
+    return s.select("a", "b", r6(F.col("similarity")).alias("similarity"))
+
+
+@register("f10_most_similar")
+def q_f10(spark, sf):
+    v = _given_vectors(spark, sf)
+    nn = vectors.most_similar(v.select("word"), v.select("word", "vector"), topn=10)
+    return nn.select("query", "rank", "word", r6(F.col("similarity")).alias("similarity"))
+
+
+@register("f12_semantic_similarity_report")
+def q_f12(spark, sf):
+    v = _given_vectors(spark, sf).select("word", "vector")
+    return _round_all(vectors.semantic_similarity_report(v, topn=5))
+
+
+@register("f13_analogy_query")
+def q_f13(spark, sf):
+    g = _given_vectors(spark, sf)
+    ctx = g.select(F.col("label").alias("query"), "word")
+    nn = vectors.analogy_query(ctx, g.select("word", "vector"), topn=1)
+    return nn.select("query", "rank", "word", r6(F.col("similarity")).alias("similarity"))
+
+
+def _pair_tokens(spark, sf):
+    p = _pairs(spark, sf)
+    return p.select(F.concat_ws(":", "conv_id", "turn").alias("id"),
+                    text.whitespace_tokens(F.coalesce("code", F.lit("nan"))).alias("code_tokens"),
+                    text.whitespace_tokens(F.coalesce("docstring", F.lit("nan"))).alias("doc_tokens"))
+
+
+@register("f14_completion_accuracy")
+def q_f14(spark, sf):
+    s = _sentences(spark, sf).select(F.concat_ws(":", "conv_id", "turn").alias("id"), "tokens")
+    return vectors.completion_accuracy(s, w2v_vectors(spark, sf))
+
+
+@register("f15_doc_relevance")
+def q_f15(spark, sf):
+    return _round_all(vectors.doc_relevance(_pair_tokens(spark, sf), w2v_vectors(spark, sf)))
+
+
+@register("f16_project_2d")
+def q_f16(spark, sf):
+    return vectors.project_2d(w2v_vectors(spark, sf))
+
+
+@register("f17_context_hint")
+def q_f17(spark, sf):
+    p = _pair_tokens(spark, sf).select("id", F.col("code_tokens").alias("tokens"))
+    return vectors.context_hint(p, w2v_vectors(spark, sf))
