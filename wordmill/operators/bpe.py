@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.literals import map_lit, pair_array_lit
 from ..functions.text import whitespace_tokens
-from ..session import cut_lineage
+from ..session import bounded_broadcast, cut_lineage
 
 SEP = "\u0001"
 EOW = "</w>"
@@ -166,8 +167,7 @@ def _merge_expr(sym: F.Column, merges) -> F.Column:
     """Fold merges, in rank order, over a wrapped segmentation."""
     if not merges:
         return sym
-    arr = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(r).alias("r"))
-                    for p, r in (merge_pattern(a, b) for a, b, *_ in merges)])
+    arr = pair_array_lit(merge_pattern(a, b) for a, b, *_ in merges)
     return F.aggregate(arr, sym, lambda acc, m: F.replace(acc, m["p"], m["r"]))
 
 
@@ -254,12 +254,12 @@ def train_bpe(df: DataFrame, col: str | None = None, vocab_size: int = 5000, spe
 
 def _vocab_map(model: BpeModel) -> F.Column:
     items = sorted(model.vocab.items(), key=lambda kv: kv[1])
-    return F.map_from_arrays(F.lit([t for t, _ in items]), F.lit([int(i) for _, i in items]).cast("array<int>"))
+    return map_lit([t for t, _ in items], [i for _, i in items], "string", "int")
 
 
 def _reverse_map(model: BpeModel) -> F.Column:
     items = sorted(model.vocab.items(), key=lambda kv: kv[1])
-    return F.map_from_arrays(F.lit([int(i) for _, i in items]).cast("array<int>"), F.lit([t for t, _ in items]))
+    return map_lit([i for _, i in items], [t for t, _ in items], "int", "string")
 
 
 def segment_expr(word, model: BpeModel) -> F.Column:
@@ -277,11 +277,22 @@ def ids_expr(tokens, model: BpeModel) -> F.Column:
 
 
 def encode_words(words: DataFrame, model: BpeModel, word_col: str = "word") -> DataFrame:
-    """``(word, tokens, ids)`` for a table of (ideally distinct) words."""
+    """``(word, tokens, ids)`` for a table of (ideally distinct) words.
+
+    Tokens come from folding the merges; ids from an equi-join with the
+    vocabulary (broadcast: it is bounded by vocab_size), unknown -> <UNK>.
+    """
+    spark = words.sparkSession
     w = F.col(word_col)
     toks = F.when(w.contains(SEP), F.array(F.lit(UNK))).otherwise(segment_expr(w, model))
-    return (words.withColumn("tokens", toks)
-            .withColumn("ids", ids_expr("tokens", model)))
+    seg = words.withColumn("tokens", toks)
+    occ = seg.select(word_col, F.posexplode("tokens").alias("k", "token"))
+    vocab = bounded_broadcast(model.vocab_df(spark), len(model.vocab))
+    ids = (occ.join(vocab, "token", "left")
+           .groupBy(word_col).agg(F.array_sort(F.collect_list(F.struct("k", F.coalesce("id", F.lit(model.unk_id)).alias("id"))))
+                                  .alias("p"))
+           .select(word_col, F.transform("p", lambda x: x["id"]).alias("ids")))
+    return seg.join(ids, word_col, "left")
 
 
 def encode(df: DataFrame, col: str, model: BpeModel, key: str | list[str] = "doc_id",
@@ -321,16 +332,32 @@ def _strip_ws(c: F.Column) -> F.Column:
 
 
 def decode_expr(ids, model: BpeModel) -> F.Column:
-    """Ids -> tokens (unknown id -> <UNK>), concatenated, ``</w>`` -> space, whitespace collapsed."""
+    """D14 per row with a map literal (streams, small models): see ``decode`` for the join form."""
     i = F.col(ids) if isinstance(ids, str) else ids
     rm = _reverse_map(model)
     toks = F.transform(i, lambda x: F.coalesce(F.element_at(rm, x), F.lit(UNK)))
-    text = F.replace(F.array_join(toks, ""), F.lit(EOW), F.lit(" "))
-    return F.coalesce(_strip_ws(text), F.lit(""))
+    return _finish_decode(F.array_join(toks, ""))
+
+
+def _finish_decode(text: F.Column) -> F.Column:
+    return F.coalesce(_strip_ws(F.replace(text, F.lit(EOW), F.lit(" "))), F.lit(""))
 
 
-def decode(df: DataFrame, ids_col: str, model: BpeModel, out: str = "decoded") -> DataFrame:
-    return df.withColumn(out, decode_expr(ids_col, model))
+def decode(df: DataFrame, ids_col: str, model: BpeModel, out: str = "decoded", key: str | list[str] = "doc_id") -> DataFrame:
+    """Ids -> tokens (unknown id -> <UNK>) joined, ``</w>`` -> space, whitespace collapsed, trimmed.
+
+    Ids are exploded and joined with the vocabulary (broadcast, vocab-sized),
+    then re-assembled in position order per row.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    spark = df.sparkSession
+    occ = df.select(*keys, F.posexplode_outer(ids_col).alias("k", "id"))
+    vocab = bounded_broadcast(model.vocab_df(spark), len(model.vocab))
+    j = occ.join(vocab, "id", "left")
+    parts = j.groupBy(*keys).agg(F.array_sort(F.collect_list(
+        F.when(F.col("k").isNotNull(), F.struct("k", F.coalesce("token", F.lit(UNK)).alias("t"))))).alias("p"))
+    text = _finish_decode(F.array_join(F.transform("p", lambda x: x["t"]), ""))
+    return df.join(parts.select(*keys, text.alias(out)), keys, "left")
 
 
 def tokenize_with(col, model: BpeModel | None = None) -> F.Column:

@@ -310,3 +310,105 @@ r AS (SELECT mv.query, g.word, {COS.format(a='mv.vector', b='g.vector')} AS simi
       row_number() OVER (PARTITION BY mv.query ORDER BY {COS.format(a='mv.vector', b='g.vector')} DESC, g.word) AS rank
       FROM mv JOIN {GV} g ON g.label <> mv.query)
 SELECT query, CAST(rank AS BIGINT) AS rank, word, round(similarity, 6) AS similarity FROM r WHERE rank <= 1"""
+
+
+# ------------------------------------------------------------------ language model (G)
+
+SPLIT = "CASE WHEN b < 80 THEN 'train' WHEN b < 90 THEN 'val' ELSE 'test' END"
+LM_CTES = f"""lmdocs AS (SELECT doc_id, text, {SPLIT} AS split FROM (
+  SELECT doc_id, text, (('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT % 100) AS b FROM documents)),
+lmc AS (SELECT w AS token, count(*) AS n FROM (SELECT unnest({WORDS.format(c='text')}) AS w FROM lmdocs WHERE split = 'train') GROUP BY w HAVING count(*) >= 2),
+lmtop AS (SELECT token, n FROM lmc ORDER BY n DESC, token LIMIT 49996),
+lmv AS (SELECT token, CAST(3 + row_number() OVER (ORDER BY n DESC, token) AS INTEGER) AS id FROM lmtop
+        WHERE token NOT IN ('<PAD>', '<UNK>', '<BOS>', '<EOS>')
+        UNION ALL SELECT * FROM (VALUES ('<PAD>', 0), ('<UNK>', 1), ('<BOS>', 2), ('<EOS>', 3)) v(token, id)),
+lmw AS (SELECT doc_id, unnest({WORDS.format(c='text')}) AS t, generate_subscripts({WORDS.format(c='text')}, 1) AS k FROM lmdocs),
+lmid0 AS (SELECT doc_id, list(coalesce(v.id, 1) ORDER BY k) AS ids FROM lmw LEFT JOIN lmv v ON v.token = lmw.t GROUP BY doc_id),
+lme AS (SELECT d.doc_id, d.split, list_concat([2], coalesce(x.ids, []::INTEGER[]), [3]) AS ids FROM lmdocs d LEFT JOIN lmid0 x ON x.doc_id = d.doc_id),
+pos AS (SELECT doc_id, split, p AS pos, CASE WHEN p >= 2 THEN ids[p - 1] ELSE 2 END AS c2, ids[p] AS c1, ids[p + 1] AS w
+        FROM (SELECT doc_id, split, ids, unnest(range(1, len(ids))) AS p FROM lme)),
+tri AS (SELECT c2, c1, w, count(*) AS n3 FROM pos WHERE split = 'train' GROUP BY c2, c1, w),
+bi AS (SELECT c1, w, sum(n3) AS n2 FROM tri GROUP BY c1, w),
+uni AS (SELECT w, sum(n2) AS n1 FROM bi GROUP BY w),
+ctx1 AS (SELECT c1, sum(n2) AS m1 FROM bi GROUP BY c1),
+ctx2 AS (SELECT c2, c1, sum(n3) AS m2 FROM tri GROUP BY c2, c1),
+tot AS (SELECT CAST(sum(n1) AS DOUBLE) AS t, (SELECT count(*) FROM lmv) AS v FROM uni),
+topu AS (SELECT w, n1 FROM uni ORDER BY n1 DESC, w LIMIT 1),
+sc AS (
+  SELECT p.doc_id, p.split, p.pos, p.c2, p.c1, p.w,
+    ln(0.5::DOUBLE * CASE WHEN x2.m2 > 0 THEN coalesce(t3.n3, 0) / x2.m2 ELSE 0.0 END
+       + 0.3::DOUBLE * CASE WHEN x1.m1 > 0 THEN coalesce(t2.n2, 0) / x1.m1 ELSE 0.0 END
+       + 0.15::DOUBLE * (coalesce(u.n1, 0) / tot.t) + 0.05::DOUBLE / tot.v) AS logp
+  FROM pos p CROSS JOIN tot
+  LEFT JOIN tri t3 ON t3.c2 = p.c2 AND t3.c1 = p.c1 AND t3.w = p.w
+  LEFT JOIN ctx2 x2 ON x2.c2 = p.c2 AND x2.c1 = p.c1
+  LEFT JOIN bi t2 ON t2.c1 = p.c1 AND t2.w = p.w
+  LEFT JOIN ctx1 x1 ON x1.c1 = p.c1
+  LEFT JOIN uni u ON u.w = p.w),
+ctxs AS (SELECT DISTINCT c2, c1 FROM pos),
+cand AS (
+  SELECT c.c2, c.c1, b.w, b.n2 FROM ctxs c JOIN bi b ON b.c1 = c.c1
+  UNION ALL SELECT c.c2, c.c1, t.w, 0 FROM ctxs c CROSS JOIN topu t),
+cs AS (
+  SELECT cand.c2, cand.c1, cand.w,
+    CASE WHEN cand.n2 > 0 THEN
+      CASE WHEN t3.n3 IS NOT NULL THEN 0.5::DOUBLE * t3.n3 / x2.m2 + 0.3::DOUBLE * cand.n2 / x1.m1 + 0.15::DOUBLE * u.n1 / tot.t
+           ELSE 0.3::DOUBLE * cand.n2 / x1.m1 + 0.15::DOUBLE * u.n1 / tot.t END
+    ELSE 0.15::DOUBLE * u.n1 / tot.t END AS s
+  FROM cand CROSS JOIN tot
+  LEFT JOIN tri t3 ON t3.c2 = cand.c2 AND t3.c1 = cand.c1 AND t3.w = cand.w
+  LEFT JOIN ctx2 x2 ON x2.c2 = cand.c2 AND x2.c1 = cand.c1
+  LEFT JOIN ctx1 x1 ON x1.c1 = cand.c1
+  LEFT JOIN uni u ON u.w = cand.w),
+am AS (SELECT c2, c1, w AS pred FROM (SELECT *, row_number() OVER (PARTITION BY c2, c1 ORDER BY s DESC, w) AS r FROM cs) WHERE r = 1),
+scored AS (SELECT sc.*, am.pred FROM sc JOIN am ON am.c2 = sc.c2 AND am.c1 = sc.c1)"""
+
+ORACLE["g1_lm_vocab"] = f"WITH {LM_CTES} SELECT token, id FROM lmv"
+ORACLE["g2_lm_encode"] = f"WITH {LM_CTES} SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_ids, array_to_string(ids, ' ') AS ids FROM lme"
+ORACLE["g3_lm_decode"] = f"""WITH {LM_CTES}, lr AS (SELECT token, id FROM lmv),
+dx AS (SELECT doc_id, unnest(ids) AS i, generate_subscripts(ids, 1) AS k FROM lme)
+SELECT d.doc_id, coalesce(string_agg(coalesce(lr.token, '<UNK>'), ' ' ORDER BY dx.k) FILTER (WHERE dx.i NOT IN (0, 2, 3)), '') AS decoded
+FROM lme d LEFT JOIN dx ON dx.doc_id = d.doc_id LEFT JOIN lr ON lr.id = dx.i GROUP BY d.doc_id"""
+TRUNC = "CASE WHEN len(ids) > 256 THEN list_concat(ids[1:255], [3]) ELSE ids END"
+ORACLE["g4_truncate_ids"] = f"""WITH {LM_CTES} SELECT doc_id, CAST(len({TRUNC}) AS BIGINT) AS n_ids, array_to_string({TRUNC}, ' ') AS ids FROM lme"""
+ORACLE["g5_next_token_examples"] = f"""WITH {LM_CTES},
+tr AS (SELECT doc_id, {TRUNC} AS ids, (('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT
+        % CAST(ceil((SELECT count(*) FROM lme) / 64) AS BIGINT)) AS batch FROM lme),
+wd AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch) - 1 AS width FROM tr)
+SELECT doc_id, CAST(batch AS BIGINT) AS batch, CAST(len(ids) - 1 AS BIGINT) AS length,
+  array_to_string(list_concat(ids[1:len(ids) - 1], list_transform(range(width - (len(ids) - 1)), lambda x: 0)), ' ') AS inputs,
+  array_to_string(list_concat(ids[2:len(ids)], list_transform(range(width - (len(ids) - 1)), lambda x: 0)), ' ') AS targets
+FROM wd"""
+ORACLE["g6_split"] = f"WITH {LM_CTES} SELECT doc_id, split FROM lmdocs"
+ORACLE["g7_ngram_counts"] = f"WITH {LM_CTES} SELECT CAST(c2 AS INTEGER) AS c2, CAST(c1 AS INTEGER) AS c1, CAST(w AS INTEGER) AS w, n3 FROM tri"
+ORACLE["g8_score_lm"] = f"""WITH {LM_CTES} SELECT doc_id, CAST(pos AS BIGINT) AS pos, CAST(w AS INTEGER) AS target,
+  round(logp, 6) AS logp, CAST(pred AS INTEGER) AS pred FROM scored WHERE split = 'val'"""
+ORACLE["g9_lm_metrics"] = f"""WITH {LM_CTES},
+ag AS (SELECT split, sum(-logp) AS tl, count(*) AS nt, sum(CASE WHEN pred = w THEN 1 ELSE 0 END) AS nc FROM scored WHERE split IN ('val', 'test') AND w <> 0 GROUP BY split)
+SELECT split, round(tl / greatest(nt, 1), 6) AS loss, round(CASE WHEN tl / greatest(nt, 1) < 20 THEN exp(tl / greatest(nt, 1)) ELSE 'inf'::DOUBLE END, 6) AS perplexity,
+  round(nc / greatest(nt, 1), 6) AS accuracy, CAST(nt AS BIGINT) AS n_tokens FROM ag"""
+
+
+def bleu_sql(rows: str, key: str) -> str:
+    """Sentence BLEU-4, smoothing method 4, over ``rows`` with columns (key, r, h) as token lists."""
+    g = lambda side, col: f"""SELECT {key}, n, g, count(*) AS c FROM (SELECT {key}, n, unnest(list_transform(range(1, len({col}) - n + 2),
+        lambda i: array_to_string({col}[i:i + n - 1], ' '))) AS g FROM bt, (VALUES (1), (2), (3), (4)) v(n) WHERE len({col}) >= n) GROUP BY {key}, n, g"""
+    return f"""bt AS ({rows}),
+hg AS ({g('h', 'h')}), rg AS ({g('r', 'r')}),
+cl AS (SELECT hg.{key}, hg.n, sum(least(hg.c, coalesce(rg.c, 0))) AS m FROM hg LEFT JOIN rg ON rg.{key} = hg.{key} AND rg.n = hg.n AND rg.g = hg.g GROUP BY hg.{key}, hg.n),
+wm AS (SELECT bt.{key}, len(bt.h) AS lh, len(bt.r) AS lr,
+  coalesce(max(m) FILTER (WHERE n = 1), 0) AS m1, coalesce(max(m) FILTER (WHERE n = 2), 0) AS m2,
+  coalesce(max(m) FILTER (WHERE n = 3), 0) AS m3, coalesce(max(m) FILTER (WHERE n = 4), 0) AS m4
+  FROM bt LEFT JOIN cl ON cl.{key} = bt.{key} GROUP BY bt.{key}, len(bt.h), len(bt.r)),
+wz AS (SELECT *, (m1 = 0)::INT AS j1, (m1 = 0)::INT + (m2 = 0)::INT AS j2, (m1 = 0)::INT + (m2 = 0)::INT + (m3 = 0)::INT AS j3,
+  (m1 = 0)::INT + (m2 = 0)::INT + (m3 = 0)::INT + (m4 = 0)::INT AS j4 FROM wm),
+wp AS (SELECT {key}, lh, lr, m1,
+  {', '.join(f"CASE WHEN m{n} > 0 THEN m{n} / greatest(lh - {n} + 1, 1) WHEN lh > 1 THEN ln(lh) / (5.0 * pow(2.0, j{n})) / greatest(lh - {n} + 1, 1) ELSE NULL END AS p{n}" for n in (1, 2, 3, 4))}
+  FROM wz),
+bl AS (SELECT {key}, CASE WHEN lh = 0 OR lr = 0 THEN 0.0 WHEN m1 = 0 THEN 0.0
+  ELSE (CASE WHEN lh > lr THEN 1.0 ELSE exp(1 - lr / lh) END) *
+       exp({' + '.join(f"CASE WHEN p{n} > 0 THEN ln(p{n}) * 0.25 ELSE 0.0 END" for n in (1, 2, 3, 4))}) END AS bleu FROM wp)"""
+
+
+ORACLE["g10_bleu"] = f"""WITH {bleu_sql(f"SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS id, {WORDS.format(c='docstring')} AS r, {WORDS.format(c='code')} AS h FROM {PAIRS}", 'id')}
+SELECT id, round(bleu, 6) AS bleu FROM bl"""

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import bpe, embed, profile, tokeval, vectors
+from ..operators import bpe, embed, lm, profile, tokeval, vectors
 from ..sources import corpus
 from ..session import cut_lineage, read_table
 
@@ -438,3 +438,119 @@ def q_f16(spark, sf):
 def q_f17(spark, sf):
     p = _pair_tokens(spark, sf).select("id", F.col("code_tokens").alias("tokens"))
     return vectors.context_hint(p, w2v_vectors(spark, sf))
+
+
+# ---------------------------------------------------------------- G: language model
+
+_LM: dict = {}
+
+
+def lm_state(spark, sf):
+    """Split documents, build the vocabulary on the train split, encode every document."""
+    if sf not in _LM:
+        docs = lm.split_train_val_test(_docs(spark, sf), "doc_id")
+        vocab = lm.lm_vocab(docs.where(F.col("split") == "train"), "text", min_freq=2, max_size=50000)
+        enc = lm.lm_encode(docs, "text", vocab, "doc_id", keep=("split",))
+        _LM[sf] = (docs, vocab, enc)
+    return _LM[sf]
+
+
+_NG: dict = {}
+
+
+def ngram(spark, sf):
+    if sf not in _NG:
+        docs, vocab, enc = lm_state(spark, sf)
+        _NG[sf] = lm.train_ngram_lm(enc.where(F.col("split") == "train"), ["doc_id"], len(vocab))
+    return _NG[sf]
+
+
+def _ids_str(c):
+    return F.array_join(F.col(c), " ")
+
+
+@register("g1_lm_vocab")
+def q_g1(spark, sf):
+    return lm_state(spark, sf)[1].df(spark)
+
+
+@register("g2_lm_encode")
+def q_g2(spark, sf):
+    enc = lm_state(spark, sf)[2]
+    return enc.select("doc_id", F.size("ids").cast("long").alias("n_ids"), _ids_str("ids").alias("ids"))
+
+
+@register("g3_lm_decode")
+def q_g3(spark, sf):
+    _, vocab, enc = lm_state(spark, sf)
+    return lm.lm_decode(enc, "ids", vocab).select("doc_id", "decoded")
+
+
+@register("g4_truncate_ids")
+def q_g4(spark, sf):
+    enc = lm_state(spark, sf)[2]
+    t = lm.truncate_ids("ids", 256)
+    return enc.select("doc_id", F.size(t).cast("long").alias("n_ids"), F.array_join(t, " ").alias("ids"))
+
+
+@register("g5_next_token_examples")
+def q_g5(spark, sf):
+    enc = lm_state(spark, sf)[2].select("doc_id", lm.truncate_ids("ids", 256).alias("ids"))
+    ex = lm.next_token_examples(enc, "doc_id", batch_size=64)
+    return ex.select("doc_id", F.col("batch").cast("long").alias("batch"), F.col("length").cast("long").alias("length"),
+                     _ids_str("inputs").alias("inputs"), _ids_str("targets").alias("targets"))
+
+
+@register("g6_split")
+def q_g6(spark, sf):
+    return lm_state(spark, sf)[0].select("doc_id", "split")
+
+
+@register("g7_ngram_counts")
+def q_g7(spark, sf):
+    return ngram(spark, sf).tri.select(F.col("c2").cast("int").alias("c2"), F.col("c1").cast("int").alias("c1"),
+                                       F.col("w").cast("int").alias("w"), "n3")
+
+
+def _scored(spark, sf, split):
+    docs, vocab, enc = lm_state(spark, sf)
+    pos = lm.target_positions(enc.where(F.col("split") == split), ["doc_id"])
+    return lm.score_lm(pos, ngram(spark, sf), ["doc_id"])
+
+
+@register("g8_score_lm")
+def q_g8(spark, sf):
+    s = _scored(spark, sf, "val")
+    return s.select("doc_id", F.col("pos").cast("long").alias("pos"), F.col("target").cast("int").alias("target"),
+                    r6(F.col("logp")).alias("logp"), F.col("pred").cast("int").alias("pred"))
+
+
+@register("g9_lm_metrics")
+def q_g9(spark, sf):
+    out = None
+    for split in ("val", "test"):
+        m = lm.lm_metrics(_scored(spark, sf, split)).select(F.lit(split).alias("split"), "*")
+        out = m if out is None else out.unionByName(m)
+    return _round_all(out)
+
+
+@register("g10_bleu")
+def q_g10(spark, sf):
+    p = _pairs(spark, sf).select(F.concat_ws(":", "conv_id", "turn").alias("id"), "code", "docstring")
+    return _round_all(lm.bleu(p, "docstring", "code", "id"))
+
+
+@register("g11_lm_report")
+def q_g11(spark, sf):
+    docs, vocab, enc = lm_state(spark, sf)
+    parts = {}
+    for split in ("train", "val", "test"):
+        s = _scored(spark, sf, split)
+        per_doc = s.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "pred", "target"))).alias("x"))
+        per_doc = per_doc.select("doc_id", F.transform("x", lambda e: e["pred"]).alias("p"),
+                                 F.transform("x", lambda e: e["target"]).alias("t"))
+        hyp = lm.lm_decode(per_doc, "p", vocab, out="hyp")
+        texts = lm.lm_decode(hyp, "t", vocab, out="ref").select("doc_id", "hyp", "ref")
+        parts[split] = (lm.lm_metrics(s), lm.bleu(texts, "ref", "hyp", "doc_id"))
+    out = lm.lm_report(parts)
+    return out.select("split", "metric", r6(F.col("value")).alias("value"))

@@ -124,3 +124,14 @@ def attach_scalars(df: DataFrame, agg_df: DataFrame) -> DataFrame:
     for k, v in row.items():
         df = df.withColumn(k, F.lit(v).cast(types[k]))
     return df
+
+
+# Largest model table (vocabulary, merge list) shipped whole to every task.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def bounded_broadcast(df: DataFrame, n_rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast hint only for a table whose row count is known and under the bound."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if n_rows <= max_rows else df
