@@ -412,3 +412,25 @@ bl AS (SELECT {key}, CASE WHEN lh = 0 OR lr = 0 THEN 0.0 WHEN m1 = 0 THEN 0.0
 
 ORACLE["g10_bleu"] = f"""WITH {bleu_sql(f"SELECT CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS id, {WORDS.format(c='docstring')} AS r, {WORDS.format(c='code')} AS h FROM {PAIRS}", 'id')}
 SELECT id, round(bleu, 6) AS bleu FROM bl"""
+
+
+# ------------------------------------------------------------------ D (continued), U
+
+def _bpe_corpus(src: str, size: int) -> str:
+    return ("WITH RECURSIVE " + ",\n".join([_words_cte(src), vocab_ctes(size)]) +
+            "\nSELECT rank, lhs, rhs, pair_count FROM train")
+
+
+ORACLE["d9_train_bpe_per_corpus"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS corpus, * FROM ({_bpe_corpus(src, size)})" for name, src, size in (
+        ("code", f"SELECT code AS text FROM {PAIRS}", 140),
+        ("doc", f"SELECT docstring AS text FROM {PAIRS}", 140),
+        ("combined", f"SELECT code AS text FROM {PAIRS} UNION ALL SELECT docstring AS text FROM {PAIRS}", 160)))
+ORACLE["d13_encode_rows"] = ORACLE["d12_encode_documents"]
+ORACLE["d14_decode"] = _e(", " + DECODED + "\nSELECT k AS doc_id, decoded FROM dec")
+ORACLE["d15_tokenize_with"] = _bpe(""", occt AS (SELECT doc_id AS k, unnest(""" + WORDS.format(c='text') + """) AS word,
+     generate_subscripts(""" + WORDS.format(c='text') + """, 1) AS pos FROM documents),
+tk AS (SELECT o.k, flatten(list(s.toks ORDER BY o.pos)) AS toks FROM occt o JOIN segid s ON s.word = o.word GROUP BY o.k)
+SELECT d.doc_id, CAST(coalesce(len(tk.toks), 0) AS BIGINT) AS n_tokens, coalesce(array_to_string(tk.toks, ' '), '') AS tokens
+FROM documents d LEFT JOIN tk ON tk.k = d.doc_id""", with_seg=True)
+ORACLE["u1_tokenize_udf"] = ORACLE["c1_whitespace_tokens"]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import bpe, embed, lm, profile, tokeval, vectors
+from ..operators import bpe, docgen, embed, lm, profile, tokeval, vectors
 from ..sources import corpus
 from ..session import cut_lineage, read_table
 
@@ -554,3 +554,83 @@ def q_g11(spark, sf):
         parts[split] = (lm.lm_metrics(s), lm.bleu(texts, "ref", "hyp", "doc_id"))
     out = lm.lm_report(parts)
     return out.select("split", "metric", r6(F.col("value")).alias("value"))
+
+
+# ---------------------------------------------------------------- D (continued)
+
+@register("d9_train_bpe_per_corpus")
+def q_d9(spark, sf):
+    p = _pairs(spark, sf)
+    sizes = {"code": 140, "doc": 140, "combined": 160}
+    cols = {"code": [F.col("code")], "doc": [F.col("docstring")], "combined": [F.col("code"), F.col("docstring")]}
+    out = None
+    for corpus_name, size in sizes.items():
+        texts = None
+        for c in cols[corpus_name]:
+            t = p.select(c.alias("text"))
+            texts = t if texts is None else texts.unionByName(t)
+        m = bpe.train_bpe(texts, "text", vocab_size=size)
+        part = m.merges_df(spark).select(F.lit(corpus_name).alias("corpus"), F.col("rank").cast("long").alias("rank"),
+                                         "lhs", "rhs", "pair_count")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("d10_bpe_size_sweep")
+def q_d10(spark, sf):
+    full = bpe_model(spark, sf)
+    docs = _docs(spark, sf)
+    out = None
+    for n_merges in (len(full.merges) // 4, len(full.merges) // 2, len(full.merges)):
+        m = full.truncated(n_merges)
+        enc = tokeval.encoded_table(docs, "text", m)
+        row = tokeval.compression_ratio(enc).select("compression_ratio", "total_tokens")
+        part = row.select(F.lit(len(m.vocab)).cast("long").alias("vocab_size"), F.lit(n_merges).cast("long").alias("n_merges"),
+                          r6(F.col("compression_ratio")).alias("compression_ratio"), "total_tokens")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("d13_encode_rows")
+def q_d13(spark, sf):
+    model = bpe_model(spark, sf)
+    enc = bpe.encode_rows(_docs(spark, sf), "text", model)
+    return enc.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.array_join("ids", " ").alias("ids"))
+
+
+@register("d14_decode")
+def q_d14(spark, sf):
+    model = bpe_model(spark, sf)
+    return bpe.decode(bpe.encode(_docs(spark, sf), "text", model), "ids", model).select("doc_id", "decoded")
+
+
+@register("d15_tokenize_with")
+def q_d15(spark, sf):
+    model = bpe_model(spark, sf)
+    t = bpe.tokenize_with("text", model)
+    return _docs(spark, sf).select("doc_id", F.size(t).cast("long").alias("n_tokens"), F.array_join(t, " ").alias("tokens"))
+
+
+# ---------------------------------------------------------------- H, U: generation and UDF hook
+
+@register("h1_greedy_generate")
+def q_h1(spark, sf):
+    docs, vocab, enc = lm_state(spark, sf)
+    prompts = docs.select("doc_id", text.summary_prompt("source", text.whitespace_tokens("text")).alias("prompt"))
+    g = docgen.greedy_generate(lm.lm_encode(prompts, "prompt", vocab), ngram(spark, sf), "doc_id", max_new_tokens=20)
+    return g.select("doc_id", F.col("n_new").cast("long").alias("n_new"), F.array_join("ids", " ").alias("ids"))
+
+
+@register("h2_generate_docs")
+def q_h2(spark, sf):
+    docs, vocab, enc = lm_state(spark, sf)
+    p = _pairs(spark, sf).select(F.concat_ws(":", "conv_id", "turn").alias("pair_key"), "code",
+                                 F.concat(F.lit("conv"), F.col("conv_id").cast("string")).alias("name"))
+    v = w2v_vectors(spark, sf)
+    return docgen.generate_docs(p, "pair_key", "code", "name", vocab, ngram(spark, sf), vectors=v, max_tokens=20)
+
+
+@register("u1_tokenize_udf")
+def q_u1(spark, sf):
+    t = docgen.tokenize_udf(_docs(spark, sf), "text", str.split)
+    return t.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
