@@ -296,18 +296,20 @@ def encode_words(words: DataFrame, model: BpeModel, word_col: str = "word") -> D
 
 
 def encode(df: DataFrame, col: str, model: BpeModel, key: str | list[str] = "doc_id",
-           out: str = "ids", tokens=None) -> DataFrame:
+           out: str = "ids", tokens=None, coded: DataFrame | None = None) -> DataFrame:
     """Text -> id array per row (empty text -> []).
 
     Each distinct word is segmented once; occurrences are joined back by word
     (a shuffle on word, whose hot keys AQE splits) and re-assembled per row in
     position order with ``array_sort(collect_list(struct(pos, ids)))``.
+    ``coded`` may pass a prepared ``(word, ids)`` table shared by several encodes.
     """
     keys = [key] if isinstance(key, str) else list(key)
     tok = tokens if tokens is not None else whitespace_tokens(col)
     occ = df.select(*keys, F.posexplode_outer(tok).alias("pos", "word"))
-    distinct_words = occ.where(F.col("word").isNotNull()).select("word").distinct()
-    coded = encode_words(distinct_words, model).select("word", "ids")
+    if coded is None:
+        distinct_words = occ.where(F.col("word").isNotNull()).select("word").distinct()
+        coded = encode_words(distinct_words, model).select("word", "ids")
     joined = occ.join(coded, "word", "left")
     per_row = joined.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("parts"))

@@ -194,6 +194,7 @@ def q_e11(spark, sf):
 @register("e12_evaluate_tokenizer")
 def q_e12(spark, sf):
     enc = _encoded(spark, sf).persist()
+    enc.count()  # fill the cache once; the metric union reads it from concurrent stages
     out = tokeval.evaluate_tokenizer(bpe_model(spark, sf), _docs(spark, sf), encoded=enc,
                                      metrics=tokeval.ADVANCED_METRICS)
     return out.select("metric_group", "metric", r6(F.col("value")).alias("value"))
