@@ -345,7 +345,7 @@ sc AS (
   LEFT JOIN bi t2 ON t2.c1 = p.c1 AND t2.w = p.w
   LEFT JOIN ctx1 x1 ON x1.c1 = p.c1
   LEFT JOIN uni u ON u.w = p.w),
-ctxs AS (SELECT DISTINCT c2, c1 FROM pos),
+ctxs AS (SELECT DISTINCT c2, c1 FROM pos WHERE split <> 'train'),
 cand AS (
   SELECT c.c2, c.c1, b.w, b.n2 FROM ctxs c JOIN bi b ON b.c1 = c.c1
   UNION ALL SELECT c.c2, c.c1, t.w, 0 FROM ctxs c CROSS JOIN topu t),
@@ -361,7 +361,7 @@ cs AS (
   LEFT JOIN ctx1 x1 ON x1.c1 = cand.c1
   LEFT JOIN uni u ON u.w = cand.w),
 am AS (SELECT c2, c1, w AS pred FROM (SELECT *, row_number() OVER (PARTITION BY c2, c1 ORDER BY s DESC, w) AS r FROM cs) WHERE r = 1),
-scored AS (SELECT sc.*, am.pred FROM sc JOIN am ON am.c2 = sc.c2 AND am.c1 = sc.c1)"""
+scored AS (SELECT sc.*, am.pred FROM sc JOIN am ON am.c2 = sc.c2 AND am.c1 = sc.c1 WHERE sc.split <> 'train')"""
 
 ORACLE["g1_lm_vocab"] = f"WITH {LM_CTES} SELECT token, id FROM lmv"
 ORACLE["g2_lm_encode"] = f"WITH {LM_CTES} SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_ids, array_to_string(ids, ' ') AS ids FROM lme"
