@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wordmill.llm.common import table
+from wordmill.llm.decontaminate import contaminated, contamination
+from wordmill.llm.secrets import scan_secrets, span_list
 from wordmill.llm.simhash import simhash_groups
 
 LLM_QUERIES = {}
@@ -20,6 +22,24 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_secret_scan")
+def op1(spark, sf_dir):
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    of_kind = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{k}")
+    return found.select("doc_id", of_kind("assign"), of_kind("access"), of_kind("hex"),
+                        F.sha2(span_list("base"), 256).alias("base_sha256"), span_list("spans").alias("spans"),
+                        F.size(F.filter("spans", lambda s: s["kind"] == "random")).cast("bigint").alias("n_random"))
+
+
+@query("op3_benchmark_decontamination")
+def op3(spark, sf_dir):
+    hits = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
+    items = F.array_compact(F.array_distinct(F.transform("phrases", lambda p: p["item_id"])))
+    return hits.select("doc_id", "n_words", "n_hit", F.size(items).cast("bigint").alias("n_items"),
+                       F.sha2(F.concat_ws(",", F.array_sort(F.transform(items, lambda i: i.cast("string")))), 256).alias("items_sha256"),
+                       contaminated(hits).alias("contaminated"), F.size("near_items").cast("bigint").alias("n_near"))
+
+
 @query("op6_simhash_near_dedup")
 def op6(spark, sf_dir):
     groups = simhash_groups(table(spark, sf_dir, "documents"), k=3, radius=2, seed=42)
