@@ -113,6 +113,21 @@ class Block:
         self.terms = list(term_of)
         self.item_at = np.repeat(np.arange(len(texts)), length + 1)
         self.ids, self.length, self.window = ids, length, window
+        self.near = self.near_windows()
+
+    def near_windows(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Every half window: its start and the offsets of its three rarest words (seldom in the block, then long)."""
+        used = self.words[self.words >= 0]
+        rare = np.bincount(used, minlength=len(self.terms)) * 1000 - np.minimum([len(t) for t in self.terms], 999)
+        weight = np.r_[rare, 0][self.words]
+        out = []
+        for size in np.unique(np.minimum(self.length, self.window)).tolist():
+            mine = np.flatnonzero(np.minimum(self.length, self.window) == size)
+            step = max(1, size // 2)
+            starts = np.concatenate([np.arange(f, f + n - size + 1, step) for f, n in zip(self.first[mine].tolist(), self.length[mine].tolist())])
+            view = np.lib.stride_tricks.sliding_window_view(weight, size)[starts]
+            out.append((starts, np.argsort(view, axis=1, kind="stable")[:, :3]))
+        return out
 
 
 def anchors(block: Block, freq: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray | None]]:
@@ -146,7 +161,7 @@ def search_segment(block: Block, terms, counts, positions, first, n_slots: int,
     term_at = np.full(n_slots + 2 * pad, -1, np.int64)
     term_at[positions + pad] = np.repeat(np.arange(len(terms)), counts)
     want = np.r_[np.full(pad, -2), want, np.full(pad, -2)]
-    found, near = [], []
+    found = []
     for starts, size, rare in anchors(block, freq):
         anchor = np.unique(starts + rare)
         for part in by_weight(anchor, freq[anchor], STEP):
@@ -164,7 +179,7 @@ def search_segment(block: Block, terms, counts, positions, first, n_slots: int,
                     reach[side, alive] = k
             whole = reach.sum(axis=0) + 1 >= size
             found.append((p[whole] - reach[0, whole], a[whole] - reach[0, whole], reach[:, whole].sum(axis=0) + 1))
-        near.append(proximity(block, starts, size, freq, want, pad, listed, positions, term_at, first, slop))
+    near = [proximity(block, starts, order, freq, want, pad, listed, positions, term_at, first, slop) for starts, order in block.near]
     join = lambda parts, i: np.concatenate([x[i] for x in parts]) if parts else np.empty(0, np.int64)
     return maximal(block, *(join(found, i) for i in range(3))), [join(near, i) for i in range(2)]
 
@@ -184,18 +199,18 @@ def maximal(block: Block, slot: np.ndarray, place: np.ndarray, length: np.ndarra
     return slot[first], reached[last] - line[last] * span - slot[first], block.item_at[place[first]]
 
 
-def proximity(block, starts, size, freq, want, pad, listed, positions, term_at, first, slop):
-    """Windows whose three rarest terms all lie within ``slop`` of their places relative to the rarest one."""
+def proximity(block, starts, order, freq, want, pad, listed, positions, term_at, first, slop):
+    """Windows whose three rarest words all lie within ``slop`` of their places relative to the rarest one."""
     text_of = lambda x: np.searchsorted(first, x, side="right")
-    starts = starts[::max(1, size // 2)]  # windows overlap; every word stays in one that is tried
-    order = np.argsort(np.lib.stride_tricks.sliding_window_view(freq, size)[starts], axis=1, kind="stable")[:, :3]
     lead = starts + order[:, 0]
     slots, items = [], []
     for at in by_weight(np.arange(len(starts)), freq[lead], STEP):
         n = freq[lead[at]]
+        if not n.any():
+            continue
         w = np.repeat(at, n)
         nth = np.arange(len(w)) - np.repeat(np.cumsum(n) - n, n)
-        p = positions[np.repeat(listed[want[lead[at] + pad]], n) + nth].astype(np.int64)
+        p = positions[np.repeat(listed[np.maximum(want[lead[at] + pad], 0)], n) + nth].astype(np.int64)
         for other in range(1, order.shape[1]):
             shift = order[w, other] - order[w, 0]
             term = want[starts[w] + order[w, other] + pad]
@@ -206,7 +221,8 @@ def proximity(block, starts, size, freq, want, pad, listed, positions, term_at,
             w, p = w[ok], p[ok]
         slots.append(p)
         items.append(block.item_at[starts[w]])
-    return np.concatenate(slots), np.concatenate(items)
+    empty = [np.empty(0, np.int64)]
+    return np.concatenate(slots or empty), np.concatenate(items or empty)
 
 
 def by_weight(values: np.ndarray, weight: np.ndarray, most: int) -> Iterator[np.ndarray]:
