@@ -6,8 +6,13 @@ from pyspark.sql import functions as F
 
 from wordmill.llm.common import table
 from wordmill.llm.decontaminate import contaminated, contamination
+from wordmill.llm.embed_dedup import embedding_groups
+from wordmill.llm.mixing import mix_sources
 from wordmill.llm.secrets import scan_secrets, span_list
 from wordmill.llm.simhash import simhash_groups
+from wordmill.llm.substring import dedup_substrings
+from wordmill.llm.urls import filter_urls
+from wordmill.llm.warc import warc_round_trip
 
 LLM_QUERIES = {}
 LLM_ORACLE = {}
@@ -31,16 +36,66 @@ def op1(spark, sf_dir):
                         F.size(F.filter("spans", lambda s: s["kind"] == "random")).cast("bigint").alias("n_random"))
 
 
+# The rules that the query judges by.
+URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
+
+
+@query("op2_url_filter")
+def op2(spark, sf_dir):
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @query("op3_benchmark_decontamination")
 def op3(spark, sf_dir):
     hits = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
     items = F.array_compact(F.array_distinct(F.transform("phrases", lambda p: p["item_id"])))
     return hits.select("doc_id", "n_words", "n_hit", F.size(items).cast("bigint").alias("n_items"),
                        F.sha2(F.concat_ws(",", F.array_sort(F.transform(items, lambda i: i.cast("string")))), 256).alias("items_sha256"),
-                       contaminated(hits).alias("contaminated"), F.size("near_items").cast("bigint").alias("n_near"))
+                       contaminated(hits).alias("contaminated"))
+
+
+@query("op4_mix_sources")
+def op4(spark, sf_dir):
+    mix = mix_sources(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, most=2.0)
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op5_substring_dedup")
+def op5(spark, sf_dir):
+    cut = dedup_substrings(table(spark, sf_dir, "documents"), window=13)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 @query("op6_simhash_near_dedup")
 def op6(spark, sf_dir):
     groups = simhash_groups(table(spark, sf_dir, "documents"), k=3, radius=2, seed=42)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op9_warc_round_trip", """
+SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id
+      FROM (SELECT page_id, strlen(coalesce(html, '')) AS bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages))
+""")
+def op9(spark, sf_dir):
+    read = warc_round_trip(table(spark, sf_dir, "pages"), least_bytes=100)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op10_embedding_near_dedup", """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY a) l ON l.a = e.vec_id
+JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = e.vec_id
+""")
+def op10(spark, sf_dir):
+    return embedding_groups(table(spark, sf_dir, "embeddings"), cosine=0.9)

@@ -97,14 +97,14 @@ def anchored_spans(hashes: np.ndarray, doc: np.ndarray, window: int, k: int):
 
 def pack(**parts) -> bytes:
     """Arrays and bytes, compressed; arrays are stored by byte plane, which suits small numbers."""
-    flat = {k: v if isinstance(v, bytes) else (v.dtype.str, np.ascontiguousarray(v).view(np.uint8).reshape(len(v), -1).T.tobytes())
+    flat = {k: v if isinstance(v, bytes) else (v.dtype.str, np.ascontiguousarray(v).view(np.uint8).reshape(len(v), v.dtype.itemsize).T.tobytes())
             for k, v in parts.items()}
     return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(flat))
 
 
 def unpack(blob: bytes) -> dict:
     return {k: v if isinstance(v, bytes) else
-            np.ascontiguousarray(np.frombuffer(v[1], np.uint8).reshape(np.dtype(v[0]).itemsize, -1).T).view(v[0]).reshape(-1)
+            np.ascontiguousarray(np.frombuffer(v[1], np.uint8).reshape(np.dtype(v[0]).itemsize, -1).T).view(v[0]).reshape(-1) if v[1] else np.empty(0, v[0])
             for k, v in pickle.loads(zstandard.ZstdDecompressor().decompress(blob)).items()}
 
 
