@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from wordmill.llm.common import table
 from wordmill.llm.decontaminate import contaminated, contamination
 from wordmill.llm.embed_dedup import embedding_groups
+from wordmill.llm.licenses import scan_licences
 from wordmill.llm.mixing import mix_sources
+from wordmill.llm.quality import score_quality
 from wordmill.llm.secrets import scan_secrets, span_list
 from wordmill.llm.simhash import simhash_groups
 from wordmill.llm.substring import dedup_substrings
@@ -72,6 +75,20 @@ def op6(spark, sf_dir):
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query("op7_licence_scan")
+def op7(spark, sf_dir):
+    found = scan_licences(table(spark, sf_dir, "documents"))
+    families = F.transform("findings", lambda f: f["family"])
+    return found.select("doc_id", "n_paragraphs", F.size("findings").cast("bigint").alias("n_licence"),
+                        F.concat_ws(",", F.array_sort(F.array_distinct(families))).alias("families"),
+                        F.concat_ws(",", F.transform("findings", lambda f: F.concat_ws(":", f["family"], f["paragraph"]))).alias("findings"))
+
+
+@query("op8_quality_classifier")
+def op8(spark, sf_dir):
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op9_warc_round_trip", """
 SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes, payload_digest,
        CASE WHEN bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
@@ -99,3 +116,8 @@ JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON r.a = e.vec_i
 """)
 def op10(spark, sf_dir):
     return embedding_groups(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
+LLM_QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
