@@ -98,3 +98,10 @@ def test_pack_round_trip():
     parts = {"a": np.arange(5, dtype=np.uint32), "b": b"x\ny", "c": np.empty(0, np.int64)}
     back = unpack(pack(**parts))
     assert back["b"] == b"x\ny" and all(np.array_equal(back[k], parts[k]) and back[k].dtype == parts[k].dtype for k in "ac")
+
+
+def test_words_are_coded_by_first_appearance():
+    values = np.array([9, 4, 9, 9, 7, 4])
+    names, codes = substring.first_seen(values)
+    assert names.tolist() == [9, 4, 7] and codes.tolist() == [0, 0, 1, 1, 0, 2]
+    assert names[substring.numbers_seen(codes)].tolist() == values.tolist()

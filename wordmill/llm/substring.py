@@ -29,9 +29,11 @@ from pyspark.sql import functions as F
 # Words of the anchor; longer anchors occur less often but share fewer suffixes.
 ANCHOR = 4
 # Words that a map task gathers before it ships its spans.
-BATCH_WORDS = 2_000_000
+BATCH_WORDS = 1_500_000
 # Bytes of text that a partition of spans, and a bucket of documents in the last step, stand for.
-PARTITION_BYTES = 16_000_000
+PARTITION_BYTES = 12_000_000
+# Bytes of text that a map task packs into blocks by bucket.
+PACK_BYTES = 12_000_000
 # Suffixes of one subtree.
 SUBTREE = 200_000
 # Suffix occurrences that are resolved at a time.
@@ -108,6 +110,21 @@ def unpack(blob: bytes) -> dict:
             for k, v in pickle.loads(zstandard.ZstdDecompressor().decompress(blob)).items()}
 
 
+def first_seen(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values by first appearance, and codes for all: 0 for a new one, else its number plus 1."""
+    names, first, inverse = np.unique(values, return_index=True, return_inverse=True)
+    order = np.argsort(first)
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(len(order))
+    return names[order], np.where(first[inverse] == np.arange(len(values)), 0, number[inverse] + 1)
+
+
+def numbers_seen(codes: np.ndarray) -> np.ndarray:
+    """The numbers that ``first_seen`` coded."""
+    new = codes == 0
+    return np.where(new, np.cumsum(new) - 1, codes.astype(np.int64) - 1)
+
+
 def ship_batch(ids, keys, tokens, vocabulary, window, k, partitions) -> Iterator[tuple[int, bytes]]:
     """The spans of one batch of documents, equal ones once, as one block per partition."""
     length = np.array([len(t) for t in tokens], np.int64)
@@ -136,7 +153,7 @@ def ship_batch(ids, keys, tokens, vocabulary, window, k, partitions) -> Iterator
         span = same[rows]
         lead = np.flatnonzero(np.r_[True, span[1:] != span[:-1]])
         at = span[lead]
-        used, words = np.unique(word[expand(start[at], size[at])], return_inverse=True)
+        used, words = first_seen(word[expand(start[at], size[at])])
         docs, owner = np.unique(doc[start[rows]], return_inverse=True)
         yield int(part[rows[0]]), pack(
             dictionary=b"\n".join([vocabulary[i] for i in used.tolist()]), words=words.astype(np.uint32),
@@ -207,7 +224,7 @@ def resolve(blocks: list[bytes], window: int, subtree: int = SUBTREE):
     for blob in blocks:
         b = unpack(blob)
         local = np.fromiter(map(word_id.__getitem__, b["dictionary"].split(b"\n")), np.int32)
-        words.append(local[b["words"]])
+        words.append(local[numbers_seen(b["words"])])
         sizes.append(b["size"].astype(np.int64))
         copies.append(b["copies"].astype(np.int64))
         owners.append(b["owner"].astype(np.int64) + docs)
@@ -300,11 +317,33 @@ def repeated_windows(blocks: DataFrame, window: int, buckets: int, subtree: int)
     return blocks.groupBy("part").applyInPandas(run, "bucket bigint, runs binary")
 
 
+def pack_texts(docs: DataFrame, buckets: int) -> DataFrame:
+    """``(bucket, texts)``: the documents dealt by id, compressed in blocks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = defaultdict(list), 0
+
+        def flush():
+            squeeze = zstandard.ZstdCompressor(level=3).compress
+            rows = [(b, squeeze(pickle.dumps(x))) for b, x in held.items()]
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "texts"])
+
+        for b in batches:
+            ids = b.column(0).to_pylist()
+            bucket = bucket_of(np.array([NO_ID if i is None else i for i in ids], np.int64), buckets).tolist()
+            for at, i, key, raw in zip(bucket, ids, b.column(1).to_pylist(), b.column(2).to_pylist()):
+                held[at].append((i, key, raw or b""))
+                size += len(raw or b"")
+                if size >= PACK_BYTES:
+                    yield flush()
+                    held, size = defaultdict(list), 0
+        if held:
+            yield flush()
+
+    return docs.mapInArrow(run, "bucket bigint, texts binary")
+
+
 def cut_repeats(docs: DataFrame, runs: DataFrame, window: int, buckets: int) -> DataFrame:
     """Remove the covered words of every document."""
-    bucket = F.pandas_udf(lambda ids: pd.Series(bucket_of(ids.to_numpy(), buckets)), "bigint")
-    dealt = docs.withColumn("id", F.coalesce("doc_id", F.lit(int(NO_ID)))).withColumn("bucket", bucket("id"))
-
     def run(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         marks = [unpack(b) for b in found["runs"]]
         join = lambda f: np.concatenate([f(m) for m in marks]) if marks else np.empty(0, np.int64)
@@ -313,23 +352,25 @@ def cut_repeats(docs: DataFrame, runs: DataFrame, window: int, buckets: int) ->
         order = np.lexsort((at, keys, ids))
         ids, keys, at, n = ids[order], keys[order], at[order], n[order]
         out = []
-        for i, key, raw, null in zip(texts["id"], texts["text_key"], texts["raw"], texts["doc_id"].isna()):
-            words = raw.split() if raw is not None else []
-            lo, hi = np.searchsorted(ids, i, "left"), np.searchsorted(ids, i, "right")
-            lo, hi = lo + np.searchsorted(keys[lo:hi], key, "left"), lo + np.searchsorted(keys[lo:hi], key, "right")
-            turn = np.zeros(len(words) + 1, np.int64)
-            np.add.at(turn, at[lo:hi], 1)
-            np.add.at(turn, at[lo:hi] + n[lo:hi] + window - 1, -1)
-            gone = np.cumsum(turn)[:-1] > 0
-            edge = np.flatnonzero(np.diff(np.r_[0, gone.astype(np.int8), 0]))
-            kept = b" ".join([w for w, g in zip(words, gone.tolist()) if not g] if len(edge) else words)
-            out.append((None if null else i, key, len(words), int(gone.sum()), kept.decode("utf-8", "replace"),
-                        [{"start": int(s), "end": int(e)} for s, e in zip(edge[::2], edge[1::2])]))
+        for blob in texts["texts"]:
+            for i, key, raw in pickle.loads(zstandard.ZstdDecompressor().decompress(blob)):
+                words = raw.split()
+                name = NO_ID if i is None else i
+                lo, hi = np.searchsorted(ids, name, "left"), np.searchsorted(ids, name, "right")
+                lo, hi = lo + np.searchsorted(keys[lo:hi], key, "left"), lo + np.searchsorted(keys[lo:hi], key, "right")
+                turn = np.zeros(len(words) + 1, np.int64)
+                np.add.at(turn, at[lo:hi], 1)
+                np.add.at(turn, at[lo:hi] + n[lo:hi] + window - 1, -1)
+                gone = np.cumsum(turn)[:-1] > 0
+                edge = np.flatnonzero(np.diff(np.r_[0, gone.astype(np.int8), 0]))
+                kept = b" ".join([w for w, g in zip(words, gone.tolist()) if not g] if len(edge) else words)
+                out.append((i, key, len(words), int(gone.sum()), kept.decode("utf-8", "replace"),
+                            [{"start": int(s), "end": int(e)} for s, e in zip(edge[::2], edge[1::2])]))
         df = pd.DataFrame(out, columns=["doc_id", "text_key", "n_words", "n_removed", "kept", "removed"])
         df["doc_id"] = df["doc_id"].astype("Int64")
         return df
 
-    return dealt.groupBy("bucket").cogroup(runs.groupBy("bucket")).applyInPandas(
+    return pack_texts(docs, buckets).groupBy("bucket").cogroup(runs.groupBy("bucket")).applyInPandas(
         run, "doc_id bigint, text_key bigint, n_words bigint, n_removed bigint, kept string, removed array<struct<start: int, end: int>>")
 
 
