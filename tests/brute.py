@@ -1,38 +1,38 @@
-"""Small list-based reference implementations used only by the tests."""
+"""Small reference implementations used only by the tests, from the published algorithm (Sennrich et al., 2016)."""
 
+import re
 from collections import Counter
 
+MARK = ""  # stands between symbols; the test corpora do not hold it
+
+
+def segmented(word):
+    return MARK + MARK.join([*word, "</w>"]) + MARK
 
-def bpe_train(word_freqs: dict, n_merges: int):
-    words = {tuple(list(w) + ["</w>"]): f for w, f in word_freqs.items()}
-    merges = []
-    for _ in range(n_merges):
-        pairs = Counter()
-        for syms, f in words.items():
-            for i in range(len(syms) - 1):
-                pairs[(syms[i], syms[i + 1])] += f
-        if not pairs:
-            break
-        (a, b), n = min(pairs.items(), key=lambda kv: (-kv[1], kv[0][0].encode(), kv[0][1].encode()))
-        merges.append((a, b, n))
-        words = {tuple(merge_syms(list(s), a, b)): f for s, f in words.items()}
-    return merges
 
+def apply_merge(seg, lhs, rhs):
+    """All occurrences of two neighbouring symbols joined, left to right."""
+    return re.sub(f"(?<={MARK}){re.escape(lhs)}{MARK}{re.escape(rhs)}(?={MARK})", lambda _: lhs + rhs, seg)
 
-def merge_syms(syms, a, b):
-    out, i = [], 0
-    while i < len(syms):
-        if i < len(syms) - 1 and syms[i] == a and syms[i + 1] == b:
-            out.append(a + b)
-            i += 2
-        else:
-            out.append(syms[i])
-            i += 1
-    return out
+
+def bpe_train(word_freqs, n_merges):
+    vocabulary = {segmented(w): f for w, f in word_freqs.items()}
+    learned = []
+    while len(learned) < n_merges:
+        weight = Counter()
+        for seg, f in vocabulary.items():
+            symbols = seg.strip(MARK).split(MARK)
+            weight.update({pair: f * times for pair, times in Counter(zip(symbols, symbols[1:])).items()})
+        if not weight:
+            break
+        (lhs, rhs), n = sorted(weight.items(), key=lambda kv: (-kv[1], kv[0]))[0]
+        learned.append((lhs, rhs, n))
+        vocabulary = {apply_merge(seg, lhs, rhs): f for seg, f in vocabulary.items()}
+    return learned
 
 
 def bpe_segment(word, merges):
-    syms = list(word) + ["</w>"]
-    for a, b, *_ in merges:
-        syms = merge_syms(syms, a, b)
-    return syms
+    seg = segmented(word)
+    for lhs, rhs, *_ in merges:
+        seg = apply_merge(seg, lhs, rhs)
+    return seg.strip(MARK).split(MARK)

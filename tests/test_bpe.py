@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import pytest
@@ -26,7 +27,7 @@ def test_base_vocab_sizes(spark):
 
 def test_train_fixture(spark):
     base = len(bpe.base_vocab_tokens())
-    model = bpe.train_bpe(fixture_df(spark), "text", vocab_size=base + 10, checkpoint_every=3)
+    model = bpe.train_bpe(fixture_df(spark), "text", vocab_size=base + 10)
     assert model.merges == EXPECTED
     assert bpe_train(FIXTURE, 10) == EXPECTED
 
@@ -56,7 +57,7 @@ def test_fully_merged_word_has_no_pairs(spark):
 def test_train_matches_brute_force_on_documents(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     freqs = {r["word"]: r["freq"] for r in bpe.word_freqs(docs, "text").collect()}
-    model = bpe.train_bpe(docs, "text", vocab_size=len(bpe.base_vocab_tokens()) + 21 + 30, checkpoint_every=7)
+    model = bpe.train_bpe(docs, "text", vocab_size=len(bpe.base_vocab_tokens()) + 21 + 30)
     assert len(model.merges) == 30
     assert model.merges == bpe_train(freqs, 30)
     # encode on distinct words equals list-based segmentation
@@ -75,3 +76,40 @@ def test_encode_decode_roundtrip(spark):
     assert dec[1] == "low lower newest"
     rows = bpe.encode_rows(df, "text", model).collect()
     assert {r["doc_id"]: r["ids"] for r in rows}[1] == got[1]
+
+
+@pytest.mark.parametrize("seed,top", [(1, 4000), (2, 5), (4, 4000)])
+def test_many_merges_a_round_equal_one_at_a_time(spark, seed, top):
+    rng = random.Random(seed)
+    letters = "ab" if seed % 2 else "abcdefé\u0001\u0002"
+    freqs = Counter("".join(rng.choice(letters) for _ in range(rng.randint(1, 9))) for _ in range(120))
+    freqs = {w: f * rng.choice([1, 1, 2, 3]) for w, f in freqs.items()}
+    df = spark.createDataFrame([("x", w, f) for w, f in freqs.items()] + [("y", w, f) for w, f in list(freqs.items())[:4]],
+                               "corpus string, word string, freq long")
+    base = len(bpe.base_vocab_tokens()) + len({c for w in freqs for c in w} - set(bpe.base_characters()))
+    models = bpe.train_bpe_keyed(df, {"x": base + 50, "y": 100000}, top_pairs=top)
+    assert models["x"].merges == bpe_train(freqs, 50)
+    assert models["y"].merges == bpe_train(dict(list(freqs.items())[:4]), 100000)
+    words = spark.createDataFrame([(w,) for w in freqs], "word string")
+    want = {w: bpe_segment(w, models["x"].merges) for w in freqs}
+    assert {r["word"]: r["tokens"] for r in bpe.encode_words(words, models["x"]).collect()} == want
+    ids = {w: [models["x"].vocab.get(t, models["x"].unk_id) for t in want[w]] for w in want}
+    assert {r["word"]: r["ids"] for r in bpe.encode_words_native(words, models["x"]).collect()} == ids
+
+
+def test_words_with_the_separator_are_kept(spark):
+    df = spark.createDataFrame([(1, "a\u0001b a\u0001b \u0002a \u0001")], "doc_id long, text string")
+    freqs = bpe.word_freqs(df, "text")
+    assert {r["word"]: bpe_segment(r["word"], []) for r in freqs.collect()} == {
+        r["word"]: r["s"] for r in bpe.init_symbols(freqs).select("word", bpe.symbols_of("sym").alias("s")).collect()}
+    model = bpe.train_bpe(df, "text", vocab_size=1000)
+    assert ("\u0001", "b", 2) in model.merges
+    enc = bpe.encode(df, "text", model)
+    assert bpe.decode(enc, "ids", model).first()["decoded"] == "a\u0001b a\u0001b \u0002a \u0001"
+
+
+def test_truncated_model_is_the_smaller_training(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").limit(20)
+    large = bpe.train_bpe(docs, "text", vocab_size=260)
+    small = bpe.train_bpe(docs, "text", vocab_size=200)
+    assert large.truncated(len(small.merges)).vocab == small.vocab and large.merges[:len(small.merges)] == small.merges

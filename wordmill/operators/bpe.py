@@ -8,22 +8,30 @@ both sides: ``low`` -> ``\\1l\\1\\1o\\1\\1w\\1\\1</w>\\1``.  Merging the pair
 left to right, non-overlapping, aligned to symbol boundaries.  Everything
 stays inside Spark's native string functions.
 
+A text may hold U+0001 itself; inside segmentations it and U+0002 are escaped
+(``\\2a`` and ``\\2b``), which keeps concatenation and binary order, so no word
+is lost.
+
 Training works on the *distinct* words with their frequencies (the corpus is
-pre-aggregated once, partial aggregation absorbs hot words), keeps the pair
-counts as a DataFrame and updates them incrementally: a round only re-counts
-the words that contain the chosen pair.  The merge list and vocabulary are
-bounded by ``vocab_size``, so they are the only things kept on the driver.
+pre-aggregated once, partial aggregation absorbs hot words) and keeps the pair
+counts as a DataFrame.  A round accepts as many merges as are certain to come
+next in the exact order, and only re-counts words that those merges changed.
+The merge list and vocabulary are bounded by ``vocab_size``, so they are the
+only things kept on the driver.
 """
 
 from __future__ import annotations
 
+import heapq
+from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.literals import map_lit, pair_array_lit
+from ..functions.literals import pair_array_lit
 from ..functions.text import whitespace_tokens
 from ..session import bounded_broadcast, cut_lineage
 
@@ -62,24 +70,41 @@ def word_freqs(df: DataFrame, col: str | None = None, tokens=None) -> DataFrame:
             .groupBy("word").agg(F.count(F.lit(1)).alias("freq")))
 
 
+def escape(text: str) -> str:
+    return text.replace("\u0002", "\u0002b").replace(SEP, "\u0002a")
+
+
+def unescape(text: str) -> str:
+    return text.replace("\u0002a", SEP).replace("\u0002b", "\u0002")
+
+
+def unescaped(c: F.Column) -> F.Column:
+    return F.replace(F.replace(c, F.lit("\u0002a"), F.lit(SEP)), F.lit("\u0002b"), F.lit("\u0002"))
+
+
 def wrap_chars(word) -> F.Column:
-    """Characters of ``word`` each wrapped in U+0001, followed by the wrapped ``</w>``."""
+    """Characters of ``word`` (escaped) each wrapped in U+0001, followed by the wrapped ``</w>``."""
     w = F.col(word) if isinstance(word, str) else word
-    return F.concat(F.regexp_replace(w, "(?s)(.)", SEP + "$1" + SEP), F.lit(SEP + EOW + SEP))
+    w = F.replace(F.replace(w, F.lit("\u0002"), F.lit("\u0002b")), F.lit(SEP), F.lit("\u0002a"))
+    return F.concat(F.regexp_replace(w, "(?s)(\u0002.|.)", SEP + "$1" + SEP), F.lit(SEP + EOW + SEP))
 
 
 def init_symbols(freqs: DataFrame) -> DataFrame:
-    """D3: ``(word, freq, sym)``; words holding U+0001 cannot be segmented and are left out."""
-    return (freqs.where(~F.col("word").contains(SEP))
-            .withColumn("sym", wrap_chars("word")))
+    """D3: ``(word, freq, sym)``."""
+    return freqs.withColumn("sym", wrap_chars("word"))
+
+
+def raw_symbols(sym) -> F.Column:
+    """Array view of a wrapped segmentation, symbols still escaped."""
+    s = F.col(sym) if isinstance(sym, str) else sym
+    # neighbouring symbols are parted by two separators; no lambda, so it stays in generated code
+    return F.split(F.substr(s, F.lit(2), F.length(s) - 2), SEP + SEP, -1)
 
 
 def symbols_of(sym) -> F.Column:
     """Array view of a wrapped segmentation."""
     s = F.col(sym) if isinstance(sym, str) else sym
-    # single-character separator: Java's split takes its no-regex fast path;
-    # symbols are never empty, so dropping empty pieces is exact
-    return F.filter(F.split(s, SEP, -1), lambda x: x != F.lit(""))
+    return F.when(s.contains("\u0002"), F.transform(raw_symbols(s), unescaped)).otherwise(raw_symbols(s))
 
 
 def word_chars(word) -> F.Column:
@@ -88,27 +113,27 @@ def word_chars(word) -> F.Column:
 
 
 def extend_char_vocab(freqs: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Unseen characters of the words, appended in code-point order after the last id."""
-    chars = freqs.select(F.explode(word_chars("word")).alias("token")).distinct()
+    """Characters of the words that ``vocab`` lacks (per ``corpus`` if there is such a column)."""
+    by = [c for c in freqs.columns if c == "corpus"]
+    chars = freqs.select(*by, F.explode(word_chars("word")).alias("token")).distinct()
     new = chars.join(vocab.select("token"), "token", "left_anti")
     return new
 
 
 def pair_rows(df: DataFrame, sym: str = "sym", weight: str = "freq", keys=()) -> DataFrame:
     """Adjacent symbol pairs of each segmentation, one row per occurrence, with its weight."""
-    arr = symbols_of(sym)
-    n = F.size(arr)
-    pairs = F.zip_with(F.slice(arr, 1, n - 1), F.slice(arr, 2, n - 1),
-                       lambda x, y: F.struct(x.alias("lhs"), y.alias("rhs")))
-    return (df.where(F.size(symbols_of(sym)) > 1)
-            .select(*keys, F.col(weight).alias("w"), F.explode(pairs).alias("p"))
+    rows = df.select(*keys, F.col(weight).alias("w"), raw_symbols(sym).alias("s")).where(F.size("s") > 1)
+    n = F.size("s")
+    pairs = F.arrays_zip(F.slice("s", F.lit(1), n - 1).alias("lhs"), F.slice("s", F.lit(2), n - 1).alias("rhs"))
+    return (rows.select(*keys, "w", F.explode(pairs).alias("p"))
             .select(*keys, F.col("p.lhs").alias("lhs"), F.col("p.rhs").alias("rhs"), "w"))
 
 
 def pair_counts(symbols: DataFrame, sym: str = "sym", weight: str = "freq", keys=()) -> DataFrame:
     """Frequency-weighted counts of adjacent pairs ``(lhs, rhs, n)``."""
-    return (pair_rows(symbols, sym, weight, keys)
-            .groupBy(*keys, "lhs", "rhs").agg(F.sum("w").cast("long").alias("n")))
+    counts = (pair_rows(symbols, sym, weight, keys)
+              .groupBy(*keys, "lhs", "rhs").agg(F.sum("w").cast("long").alias("n")))
+    return counts.select(*keys, unescaped(F.col("lhs")).alias("lhs"), unescaped(F.col("rhs")).alias("rhs"), "n")
 
 
 def best_pair(counts: DataFrame, k: int = 1) -> DataFrame:
@@ -117,6 +142,7 @@ def best_pair(counts: DataFrame, k: int = 1) -> DataFrame:
 
 
 def merge_pattern(lhs: str, rhs: str) -> tuple[str, str]:
+    lhs, rhs = escape(lhs), escape(rhs)
     return SEP + lhs + SEP + SEP + rhs + SEP, SEP + lhs + rhs + SEP
 
 
@@ -171,158 +197,195 @@ def _merge_expr(sym: F.Column, merges) -> F.Column:
     return F.aggregate(arr, sym, lambda acc, m: F.replace(acc, m["p"], m["r"]))
 
 
+# Pairs that a round looks at per corpus.
+TOP_PAIRS = 1000
+
+
+def certain_merges(ranked: list[tuple[str, str, int]], complete: bool, most: int) -> list[tuple[str, str, int]]:
+    """The longest start of ``ranked`` (best first) that one-at-a-time training would choose in this order.
+
+    A merge of (a, b) changes the counts of pairs that end in a or begin with
+    b, and only lowers them; the pairs it creates, (x, ab) and (ab, y), occur
+    no more often than (x, a) and (b, y) did.  So the next pair of the ranking
+    is certain unless a merge before it touches it, or a pair that such a
+    merge may create could rank before it.  If the ranking is cut off
+    (``complete`` is false), pairs as rare as its last one are left for later.
+    """
+    if not ranked:
+        return []
+    ends, begins = defaultdict(list), defaultdict(list)
+    for lhs, rhs, n in ranked:
+        ends[rhs].append((lhs, n))
+        begins[lhs].append((rhs, n))
+    floor = 0 if complete else ranked[-1][2]
+    taken, touched_ends, touched_begins, created = [], set(), set(), []
+    for lhs, rhs, n in ranked[:most]:
+        if taken and (n <= floor or rhs in touched_ends or lhs in touched_begins or (created and created[0] < (-n, lhs, rhs))):
+            break
+        taken.append((lhs, rhs, n))
+        touched_ends.add(lhs)
+        touched_begins.add(rhs)
+        for x, m in ends[lhs]:
+            heapq.heappush(created, (-m, x, lhs + rhs))
+        for y, m in begins[rhs]:
+            heapq.heappush(created, (-m, lhs + rhs, y))
+    return taken
+
+
 def train_bpe(df: DataFrame, col: str | None = None, vocab_size: int = 5000, specials=None,
-              eow_in_vocab: bool = True, tokens=None, checkpoint_every: int = 10,
-              num_partitions: int | None = None, freqs: DataFrame | None = None,
-              on_merge=None) -> BpeModel:
+              eow_in_vocab: bool = True, tokens=None,
+              freqs: DataFrame | None = None, on_merge=None) -> BpeModel:
     """Learn merges until the vocabulary reaches ``vocab_size`` or no pair is left.
 
     Budget = ``vocab_size`` minus the base vocabulary extended by the corpus
     characters; a negative budget trains no merge.  A merge whose spelling is
     already a token consumes budget but adds no id (ids stay dense, first id wins).
-
-    Exact and incremental: the pair-count table is updated with
-    ``pairs(after) - pairs(before)`` of only the words containing the chosen
-    pair.  Both tables are cached and written to the reliable checkpoint
-    folder every ``checkpoint_every`` rounds, which bounds the plan and makes
-    a lost executor recompute at most that many rounds.
     """
-    spark = df.sparkSession
+    freqs = freqs if freqs is not None else word_freqs(df, col, tokens)
+    keyed = freqs.select(F.lit("").alias("corpus"), "word", "freq")
+    return train_bpe_keyed(keyed, {"": vocab_size}, specials, eow_in_vocab,
+                           on_merge=(lambda corpus, *m: on_merge(*m)) if on_merge else None)[""]
+
+
+def train_bpe_keyed(freqs: DataFrame, vocab_sizes: dict[str, int], specials=None, eow_in_vocab: bool = True,
+                    top_pairs: int = TOP_PAIRS, on_merge=None) -> dict[str, BpeModel]:
+    """Train one model per corpus of ``freqs(corpus, word, freq)``, all in the same rounds.
+
+    State: segmented distinct words, and their pair counts, both settled in
+    the reliable checkpoint folder every round (superseded ones are removed
+    by Spark's cleaner).  A round folds its merges over the words and
+    re-counts only those that changed (``after`` minus ``before``), so the plan
+    has the same size every round and a lost executor costs one round.  Of each corpus the ``top_pairs`` best pairs reach the driver,
+    and ``certain_merges`` takes as many of them as exact one-at-a-time
+    training would take next.  That the ranking is cut off never changes the
+    merges, only how many a round finds.
+    """
+    spark = freqs.sparkSession
     specials = list(BASIC_SPECIALS if specials is None else specials)
     base = base_vocab_tokens(specials, eow_in_vocab)
-    vocab = {t: i for i, t in enumerate(base)}
-
-    freqs = freqs if freqs is not None else word_freqs(df, col, tokens)
-    freqs = freqs.persist()
+    freqs = cut_lineage(freqs.where(F.col("corpus").isin(list(vocab_sizes))))
     # unseen characters in code-point order (bounded by the alphabet, not the corpus)
-    chars = [r["token"] for r in extend_char_vocab(freqs, base_vocab(spark, specials, eow_in_vocab))
-             .orderBy("token").collect()]
-    for c in chars:
-        vocab[c] = len(vocab)
-    n_base = len(vocab)
-    budget = max(0, vocab_size - n_base)
-    merges: list[tuple[str, str, int]] = []
-
-    words = init_symbols(freqs).select("sym", "freq")
-    if num_partitions:
-        words = words.repartition(num_partitions)
-    if budget == 0:
-        freqs.unpersist()
-        return BpeModel(vocab, merges, vocab_size, specials, eow_in_vocab, n_base)
-    # Checkpointed state: segmented words and their pair counts.  A round
-    # derives the live counts from it plus the merges learned since (folded as
-    # one literal expression), so the plan has the same size every round and
-    # only the words those merges changed are re-counted.
-    words = cut_lineage(words).persist()
-    counts = cut_lineage(pair_counts(words)).persist()
-    pending: list[tuple[str, str, int]] = []
-
-    def live_counts(pend):
-        if not pend:
-            return counts
-        cur = words.select("freq", F.col("sym").alias("prev"), _merge_expr(F.col("sym"), pend).alias("sym"))
-        changed = cur.where(F.col("sym") != F.col("prev"))
-        before = pair_rows(changed, sym="prev").withColumn("w", -F.col("w"))
-        after = pair_rows(changed)
-        return (counts.withColumnRenamed("n", "w").unionByName(before).unionByName(after)
-                .groupBy("lhs", "rhs").agg(F.sum("w").cast("long").alias("n"))
-                .where(F.col("n") > 0))
-
-    for r in range(budget):
-        top = best_pair(live_counts(pending)).collect()
-        if not top:
+    chars = extend_char_vocab(freqs, base_vocab(spark, specials, eow_in_vocab)).collect()
+    models = {}
+    for corpus, size in vocab_sizes.items():
+        tokens = base + sorted(r["token"] for r in chars if r["corpus"] == corpus)
+        models[corpus] = BpeModel({t: i for i, t in enumerate(tokens)}, [], size, specials, eow_in_vocab, len(tokens))
+    budget = {c: max(0, m.vocab_size - m.n_base) for c, m in models.items()}
+
+    words = cut_lineage(init_symbols(freqs).select("corpus", "sym", "freq"))
+    counts = cut_lineage(pair_rows(words, keys=["corpus"]).groupBy("corpus", "lhs", "rhs").agg(F.sum("w").cast("long").alias("n")))
+    open_ = {c for c in models if budget[c]}
+    while open_:
+        live = counts.where(F.col("corpus").isin(sorted(open_)))
+        found = {}
+        for corpus in sorted(open_):
+            rows = live.where(F.col("corpus") == corpus).orderBy(F.desc("n"), "lhs", "rhs").limit(top_pairs).collect()
+            ranked = [(r["lhs"], r["rhs"], int(r["n"])) for r in rows]
+            model = models[corpus]
+            found[corpus] = [(unescape(lhs), unescape(rhs), n) for lhs, rhs, n in
+                             certain_merges(ranked, len(rows) < top_pairs, budget[corpus] - len(model.merges))]
+            for merge in found[corpus]:
+                model.merges.append(merge)
+                model.vocab.setdefault(merge[0] + merge[1], len(model.vocab))
+                if on_merge:
+                    on_merge(corpus, len(model.merges), *merge)
+            if not found[corpus] or len(model.merges) >= budget[corpus]:
+                open_.discard(corpus)
+        if not open_:
             break
-        a, b, n = top[0]["lhs"], top[0]["rhs"], int(top[0]["n"])
-        merges.append((a, b, n))
-        pending.append((a, b, n))
-        if on_merge:
-            on_merge(len(merges), a, b, n)
-        if a + b not in vocab:
-            vocab[a + b] = len(vocab)
-        if len(pending) >= checkpoint_every and r < budget - 1:
-            new_counts = cut_lineage(live_counts(pending)).persist()
-            new_words = cut_lineage(words.select(_merge_expr(F.col("sym"), pending).alias("sym"), "freq")).persist()
-            words.unpersist()
-            counts.unpersist()
-            words, counts, pending = new_words, new_counts, []
-    for d in (words, counts, freqs):
-        d.unpersist()
-    return BpeModel(vocab, merges, vocab_size, specials, eow_in_vocab, n_base)
+        sym = F.col("sym")
+        for corpus in open_:
+            sym = F.when(F.col("corpus") == corpus, _merge_expr(F.col("sym"), found[corpus])).otherwise(sym)
+        words = cut_lineage(words.select("corpus", "freq", F.col("sym").alias("prev"), sym.alias("sym")))
+        changed = words.where(F.col("sym") != F.col("prev"))
+        before = pair_rows(changed, sym="prev", keys=["corpus"]).withColumn("w", -F.col("w"))
+        after = pair_rows(changed, keys=["corpus"])
+        counts = cut_lineage(counts.withColumnRenamed("n", "w").unionByName(before).unionByName(after)
+                             .groupBy("corpus", "lhs", "rhs").agg(F.sum("w").cast("long").alias("n")).where(F.col("n") > 0))
+    return models
 
 
 # ------------------------------------------------------------------ encode
 
-def _vocab_map(model: BpeModel) -> F.Column:
-    items = sorted(model.vocab.items(), key=lambda kv: kv[1])
-    return map_lit([t for t, _ in items], [i for _, i in items], "string", "int")
-
-
-def _reverse_map(model: BpeModel) -> F.Column:
-    items = sorted(model.vocab.items(), key=lambda kv: kv[1])
-    return map_lit([i for _, i in items], [t for t, _ in items], "int", "string")
-
-
-def segment_expr(word, model: BpeModel) -> F.Column:
-    """D11 per word: symbols after applying every merge in rank order (array<string>)."""
-    w = F.col(word) if isinstance(word, str) else word
-    return symbols_of(_merge_expr(wrap_chars(w), model.merges))
+class Segmenter:
+    """Segments words with a model's merges; remembers the words it has met (a bounded memory per task)."""
+
+    def __init__(self, merges, vocab: dict[str, int], unk_id: int, most: int = 200_000):
+        self.ranks: dict[tuple[str, str], list[int]] = defaultdict(list)
+        for i, (lhs, rhs, *_) in enumerate(merges):  # a pair may be learned again, when a later merge spells its symbols anew
+            self.ranks[lhs, rhs].append(i)
+        self.vocab, self.unk_id, self.most = vocab, unk_id, most
+        self.known: dict[str, tuple[list[str], list[int]]] = {}
+
+    def __call__(self, word: str) -> tuple[list[str], list[int]]:
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) >= self.most:
+                self.known.clear()
+            symbols = self.symbols(word)
+            found = self.known[word] = (symbols, [self.vocab.get(s, self.unk_id) for s in symbols])
+        return found
+
+    def symbols(self, word: str) -> list[str]:
+        """Merges in rank order; a merge never applies to what a later one made, so ranks only go up."""
+        parts, last = [*word, EOW], -1
+        while True:
+            due = [next((r for r in self.ranks.get(p, ()) if r > last), None) for p in zip(parts, parts[1:])]
+            last = min((r for r in due if r is not None), default=None)
+            if last is None:
+                return parts
+            joined, at = [], 0
+            for at_pair in [i for i, r in enumerate(due) if r == last]:
+                if at_pair >= at:  # else its left symbol has just been merged
+                    joined += parts[at:at_pair] + [parts[at_pair] + parts[at_pair + 1]]
+                    at = at_pair + 2
+            parts = joined + parts[at:]
+
+
+def segment_udf(model: BpeModel, spark: SparkSession, ids: bool = True):
+    """Arrow UDF: array of words -> ids (or tokens) of all of them in order.
+
+    The merge list (bounded by ``vocab_size``) is broadcast, each task segments
+    a distinct word once, and no token leaves its row: encoding a corpus needs
+    no shuffle.
+    """
+    shared = spark.sparkContext.broadcast((model.merges, model.vocab, model.unk_id))
 
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        segment = Segmenter(*shared.value)
+        for rows in batches:
+            yield rows.map(lambda words: [x for w in (words if words is not None else ()) for x in segment(w)[ids]])
 
-def ids_expr(tokens, model: BpeModel) -> F.Column:
-    """Token array -> id array; unknown tokens -> <UNK>."""
-    t = F.col(tokens) if isinstance(tokens, str) else tokens
-    vm = _vocab_map(model)
-    unk = F.lit(model.unk_id)
-    return F.transform(t, lambda x: F.coalesce(F.element_at(vm, x), unk))
+    return F.pandas_udf(run, "array<int>" if ids else "array<string>")
 
 
 def encode_words(words: DataFrame, model: BpeModel, word_col: str = "word") -> DataFrame:
-    """``(word, tokens, ids)`` for a table of (ideally distinct) words.
+    """``(word, tokens, ids)`` for a table of words; unknown tokens -> <UNK>."""
+    spark, one = words.sparkSession, F.array(F.col(word_col))
+    return words.withColumn("tokens", segment_udf(model, spark, ids=False)(one)).withColumn("ids", segment_udf(model, spark)(one))
 
-    Tokens come from folding the merges; ids from an equi-join with the
-    vocabulary (broadcast: it is bounded by vocab_size), unknown -> <UNK>.
-    """
-    spark = words.sparkSession
-    w = F.col(word_col)
-    toks = F.when(w.contains(SEP), F.array(F.lit(UNK))).otherwise(segment_expr(w, model))
-    seg = words.withColumn("tokens", toks)
-    occ = seg.select(word_col, F.posexplode("tokens").alias("k", "token"))
-    vocab = bounded_broadcast(model.vocab_df(spark), len(model.vocab))
-    ids = (occ.join(vocab, "token", "left")
-           .groupBy(word_col).agg(F.array_sort(F.collect_list(F.struct("k", F.coalesce("id", F.lit(model.unk_id)).alias("id"))))
-                                  .alias("p"))
-           .select(word_col, F.transform("p", lambda x: x["id"]).alias("ids")))
-    return seg.join(ids, word_col, "left")
 
+def encode_words_native(words: DataFrame, model: BpeModel, word_col: str = "word") -> DataFrame:
+    """D11 by SQL string functions: every merge folded over the wrapped word, ids from a join.  Slow for large models;
+    an encoder of its own for E4 to compare with."""
+    seg = words.select(word_col, F.posexplode(symbols_of(_merge_expr(wrap_chars(word_col), model.merges))).alias("k", "token"))
+    ids = seg.join(bounded_broadcast(model.vocab_df(words.sparkSession), len(model.vocab)), "token", "left")
+    return ids.groupBy(word_col).agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("k", F.coalesce("id", F.lit(model.unk_id)).alias("id")))), lambda x: x["id"]).alias("ids"))
 
-def encode(df: DataFrame, col: str, model: BpeModel, key: str | list[str] = "doc_id",
-           out: str = "ids", tokens=None, coded: DataFrame | None = None) -> DataFrame:
-    """Text -> id array per row (empty text -> []).
 
-    Each distinct word is segmented once; occurrences are joined back by word
-    (a shuffle on word, whose hot keys AQE splits) and re-assembled per row in
-    position order with ``array_sort(collect_list(struct(pos, ids)))``.
-    ``coded`` may pass a prepared ``(word, ids)`` table shared by several encodes.
-    """
+def encode(df: DataFrame, col: str, model: BpeModel, key: str | list[str] = "doc_id",
+           out: str = "ids", tokens=None) -> DataFrame:
+    """``(*key, ids)`` of every row (empty text -> []); see ``segment_udf``."""
     keys = [key] if isinstance(key, str) else list(key)
-    tok = tokens if tokens is not None else whitespace_tokens(col)
-    occ = df.select(*keys, F.posexplode_outer(tok).alias("pos", "word"))
-    if coded is None:
-        distinct_words = occ.where(F.col("word").isNotNull()).select("word").distinct()
-        coded = encode_words(distinct_words, model).select("word", "ids")
-    joined = occ.join(coded, "word", "left")
-    per_row = joined.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("parts"))
-    return per_row.select(*keys, F.flatten(F.transform(
-        F.filter("parts", lambda p: p["ids"].isNotNull()), lambda p: p["ids"])).alias(out))
+    return encode_rows(df.select(*keys, (tokens if tokens is not None else whitespace_tokens(col)).alias("_words")), col, model, out,
+                       F.col("_words")).drop("_words")
 
 
 def encode_rows(df: DataFrame, col: str, model: BpeModel, out: str = "ids", tokens=None) -> DataFrame:
-    """Per-row encode without any shuffle (for streams and small models): merges fold per occurrence."""
+    """``df`` with its text encoded; works on streams too."""
     tok = tokens if tokens is not None else whitespace_tokens(col)
-    seg = F.transform(tok, lambda w: F.when(w.contains(SEP), F.array(F.lit(UNK)))
-                      .otherwise(symbols_of(_merge_expr(wrap_chars(w), model.merges))))
-    return df.withColumn(out, ids_expr(F.flatten(seg), model))
+    return df.withColumn(out, F.coalesce(segment_udf(model, df.sparkSession)(tok), F.array().cast("array<int>")))
 
 
 # ------------------------------------------------------------------ decode
@@ -333,42 +396,33 @@ def _strip_ws(c: F.Column) -> F.Column:
     return F.regexp_replace(c, f"^{WS_CLASS}+|{WS_CLASS}+$", "")
 
 
-def decode_expr(ids, model: BpeModel) -> F.Column:
-    """D14 per row with a map literal (streams, small models): see ``decode`` for the join form."""
-    i = F.col(ids) if isinstance(ids, str) else ids
-    rm = _reverse_map(model)
-    toks = F.transform(i, lambda x: F.coalesce(F.element_at(rm, x), F.lit(UNK)))
-    return _finish_decode(F.array_join(toks, ""))
-
-
 def _finish_decode(text: F.Column) -> F.Column:
     return F.coalesce(_strip_ws(F.replace(text, F.lit(EOW), F.lit(" "))), F.lit(""))
 
 
-def decode(df: DataFrame, ids_col: str, model: BpeModel, out: str = "decoded", key: str | list[str] = "doc_id") -> DataFrame:
+def decode(df: DataFrame, ids_col: str, model: BpeModel, out: str = "decoded") -> DataFrame:
     """Ids -> tokens (unknown id -> <UNK>) joined, ``</w>`` -> space, whitespace collapsed, trimmed.
 
-    Ids are exploded and joined with the vocabulary (broadcast, vocab-sized),
-    then re-assembled in position order per row.
+    The vocabulary (bounded by ``vocab_size``) is broadcast to an Arrow UDF
+    that joins the tokens of a row; the clean-up stays in SQL functions.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    spark = df.sparkSession
-    occ = df.select(*keys, F.posexplode_outer(ids_col).alias("k", "id"))
-    vocab = bounded_broadcast(model.vocab_df(spark), len(model.vocab))
-    j = occ.join(vocab, "id", "left")
-    parts = j.groupBy(*keys).agg(F.array_sort(F.collect_list(
-        F.when(F.col("k").isNotNull(), F.struct("k", F.coalesce("token", F.lit(UNK)).alias("t"))))).alias("p"))
-    text = _finish_decode(F.array_join(F.transform("p", lambda x: x["t"]), ""))
-    return df.join(parts.select(*keys, text.alias(out)), keys, "left")
-
-
-def tokenize_with(col, model: BpeModel | None = None) -> F.Column:
-    """BPE tokens (strings) with a model, else whitespace tokens."""
-    t = whitespace_tokens(col)
+    shared = df.sparkSession.sparkContext.broadcast({i: t for t, i in model.vocab.items()})
+
+    @F.pandas_udf("string")
+    def spell(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        token = shared.value
+        for rows in batches:
+            yield rows.map(lambda ids: "".join([token.get(i, UNK) for i in (ids if ids is not None else ())]))
+
+    return df.withColumn(out, _finish_decode(spell(F.col(ids_col))))
+
+
+def tokenize_with(df: DataFrame, text, model: BpeModel | None = None, out: str = "tokens") -> DataFrame:
+    """``df`` with the BPE tokens (strings) of ``text`` with a model, else its whitespace tokens."""
+    t = whitespace_tokens(text)
     if model is None:
-        return t
-    return F.flatten(F.transform(t, lambda w: F.when(w.contains(SEP), F.array(F.lit(UNK)))
-                                 .otherwise(segment_expr(w, model))))
+        return df.withColumn(out, t)
+    return df.withColumn(out, F.coalesce(segment_udf(model, df.sparkSession, ids=False)(t), F.array().cast("array<string>")))
 
 
 def model_from_merges(spark_or_none, merges, specials=None, eow_in_vocab=True, extra_chars=(),

@@ -9,15 +9,13 @@ job whose cost grows linearly with the corpus.
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.literals import map_lit
 from ..functions.text import whitespace_tokens
-from ..session import bounded_broadcast, scalar_row
+from ..session import bounded_broadcast, cut_lineage, scalar_row, with_rank
 from ..sources.corpus import sample_key
 
 # Special tokens of the language model, ids 0-3.
@@ -31,8 +29,19 @@ def split_bucket(key, seed: int = 42) -> F.Column:
     return F.pmod(F.conv(F.substring(sample_key(key, seed), 1, 8), 16, 10).cast("long"), F.lit(100))
 
 
-def split_train_val_test(df: DataFrame, key: str, train: float = 0.8, val: float = 0.1, seed: int = 42) -> DataFrame:
-    """Adds ``split`` in {train, val, test}; seeded and computed per row (no shuffle)."""
+def split_train_val_test(df: DataFrame, key: str, train: float = 0.8, val: float = 0.1, seed: int = 42,
+                         exact: bool = False) -> DataFrame:
+    """Adds ``split`` in {train, val, test}.
+
+    By default each row falls by its seeded hash (no shuffle, shares are met on
+    average).  ``exact`` ranks the rows by that hash, so that the splits hold
+    exactly floor(train * n) and floor(val * n) rows, and the rest.
+    """
+    if exact:
+        ranked = with_rank(df.withColumn("_h", sample_key(key, seed)), "_h", F.col(key), name="_rank")
+        n = ranked.count()
+        t, v, b = int(train * n), int(train * n) + int(val * n), F.col("_rank")
+        return ranked.withColumn("split", F.when(b < t, "train").when(b < v, "val").otherwise("test")).drop("_h", "_rank")
     b = split_bucket(key, seed)
     t, v = int(round(train * 100)), int(round((train + val) * 100))
     return df.withColumn("split", F.when(b < t, "train").when(b < v, "val").otherwise("test"))
@@ -40,55 +49,44 @@ def split_train_val_test(df: DataFrame, key: str, train: float = 0.8, val: float
 
 @dataclass
 class LmVocab:
-    """Word -> id; ids 0-3 are the specials.  Bounded by ``max_size``."""
-
-    token_to_id: dict[str, int] = field(default_factory=lambda: {t: i for i, t in enumerate(SPECIALS)})
+    """Word -> id as a table ``(token, id)``; ids 0-3 are the specials."""
 
-    @property
-    def id_to_token(self) -> dict[int, str]:
-        return {i: t for t, i in self.token_to_id.items()}
+    table: DataFrame
+    size: int
 
     def __len__(self):
-        return len(self.token_to_id)
+        return self.size
 
-    def df(self, spark):
-        return spark.createDataFrame(sorted(((t, i) for t, i in self.token_to_id.items()), key=lambda r: r[1]),
-                                     "token string, id int")
+    def df(self, spark=None) -> DataFrame:
+        return self.table
 
 
-def lm_vocab(df: DataFrame, col: str, min_freq: int = 2, max_size: int = 50000) -> LmVocab:
-    """G1: specials, then words with freq >= min_freq by descending frequency (ties: word), capped.
+def lm_vocab(df: DataFrame, col: str, min_freq: int = 2, max_size: int | None = None) -> LmVocab:
+    """G1: specials, then all words with freq >= min_freq by descending frequency (ties: word).
 
-    The cap is a distributed top-k (``TakeOrderedAndProject``); only the
-    ``max_size - 4`` kept words reach the driver.  A word spelled like a
-    special is skipped but still uses its place under the cap.
+    Ids come from a range sort, so the vocabulary never passes through the
+    driver or one task.  ``max_size`` is the caller's option to keep the most
+    frequent words only; a word spelled like a special is skipped but still
+    uses its place under it.
     """
-    counts = (df.select(F.explode(whitespace_tokens(col)).alias("word")).groupBy("word")
+    counts = (df.select(F.explode(whitespace_tokens(col)).alias("token")).groupBy("token")
               .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_freq))
-    keep = counts.orderBy(F.desc("n"), F.asc("word")).limit(max(0, max_size - len(SPECIALS))).collect()
-    v = LmVocab()
-    for r in sorted(keep, key=lambda r: (-r["n"], r["word"].encode())):
-        if r["word"] not in v.token_to_id:
-            v.token_to_id[r["word"]] = len(v.token_to_id)
-    return v
-
-
-def _map(vocab: LmVocab):
-    items = sorted(vocab.token_to_id.items(), key=lambda kv: kv[1])
-    return map_lit([t for t, _ in items], [i for _, i in items], "string", "int")
-
-
-def _rmap(vocab: LmVocab):
-    items = sorted(vocab.token_to_id.items(), key=lambda kv: kv[1])
-    return map_lit([i for _, i in items], [t for t, _ in items], "int", "string")
+    if max_size is not None:
+        counts = counts.orderBy(F.desc("n"), F.asc("token")).limit(max(0, max_size - len(SPECIALS)))
+    ranked = with_rank(counts.where(~F.col("token").isin(SPECIALS)), F.desc("n"), F.asc("token"), name="id")
+    words = ranked.select("token", (F.col("id") + len(SPECIALS)).cast("int").alias("id"))
+    specials = df.sparkSession.createDataFrame([(t, i) for i, t in enumerate(SPECIALS)], "token string, id int")
+    table = cut_lineage(specials.unionByName(words))
+    return LmVocab(table, table.count())
 
 
 def lm_encode(df: DataFrame, col: str, vocab: LmVocab, key: str | list[str] = "doc_id",
               out: str = "ids", keep=()) -> DataFrame:
     """[BOS] + tokens + [EOS] as ids; unknown words -> UNK; empty or null text -> [BOS, EOS].
 
-    Tokens are exploded and joined with the vocabulary (broadcast: bounded by
-    ``max_size``), then re-assembled per row in position order.
+    Tokens are exploded and joined with the vocabulary (broadcast under the
+    byte bound, else a shuffle join whose hot words AQE splits), then
+    re-assembled per row in position order.
     """
     keys = [key] if isinstance(key, str) else list(key)
     spark = df.sparkSession
@@ -115,21 +113,6 @@ def lm_decode(df: DataFrame, ids_col: str, vocab: LmVocab, key: str | list[str]
         .withColumn(out, F.coalesce(F.col(out), F.lit("")))
 
 
-def encode_expr(text_col, vocab: LmVocab) -> F.Column:
-    """G2 per row with a map literal (streams, small vocabularies): [BOS] + tokens + [EOS] as ids; unknown words -> UNK; non-string -> [BOS, EOS]."""
-    m = _map(vocab)
-    ids = F.transform(whitespace_tokens(text_col), lambda t: F.coalesce(F.element_at(m, t), F.lit(UNK_ID)))
-    return F.concat(F.array(F.lit(BOS_ID)), ids, F.array(F.lit(EOS_ID)))
-
-
-def decode_expr(ids_col, vocab: LmVocab) -> F.Column:
-    """G3 per row with a map literal (small vocabularies); see ``lm_decode``."""
-    rm = _rmap(vocab)
-    ids = F.col(ids_col) if isinstance(ids_col, str) else ids_col
-    kept = F.filter(ids, lambda i: ~i.isin(BOS_ID, EOS_ID, PAD_ID))
-    return F.array_join(F.transform(kept, lambda i: F.coalesce(F.element_at(rm, i), F.lit(UNK))), " ")
-
-
 def truncate_ids(ids_col, max_len: int | None = 256) -> F.Column:
     """Cut to ``max_len`` and make the last id EOS (None keeps whole sequences)."""
     ids = F.col(ids_col) if isinstance(ids_col, str) else ids_col
@@ -142,13 +125,12 @@ def next_token_examples(encoded: DataFrame, key: str, ids: str = "ids", batch_si
                         seed: int = 42) -> DataFrame:
     """inputs = all but last, targets = all but first, padded to the longest in their batch.
 
-    Batches are md5 buckets of the key (about ``batch_size`` rows each), so
-    no global ranking is needed; padding is a window per batch.
+    Rows are ranked by a seeded hash of the key (salted apart from the split's)
+    and cut into batches of exactly ``batch_size``; padding is a window per batch.
     """
-    n = scalar_row(encoded.agg(F.count(F.lit(1)).alias("n")))["n"]
-    n_batches = max(1, math.ceil(n / batch_size))
-    b = F.pmod(F.conv(F.substring(sample_key(key, seed), 1, 8), 16, 10).cast("long"), F.lit(n_batches))
-    e = encoded.select(key, F.col(ids).alias("ids"), b.alias("batch"))
+    e = with_rank(encoded.select(key, F.col(ids).alias("ids"), F.md5(F.concat_ws(":", F.lit("batch"), F.lit(str(seed)), F.col(key).cast("string"))).alias("_h")),
+                  "_h", F.col(key), name="_rank")
+    e = e.select(key, "ids", F.floor(F.col("_rank") / batch_size).alias("batch"))
     L = F.size("ids")
     e = e.withColumn("width", F.max(L).over(Window.partitionBy("batch")) - 1)
     pad = F.array_repeat(F.lit(PAD_ID), F.col("width") - (L - 1))
@@ -161,7 +143,7 @@ def next_token_examples(encoded: DataFrame, key: str, ids: str = "ids", batch_si
 
 @dataclass
 class NgramLm:
-    """Interpolated trigram model: count tables plus weights (l3, l2, l1, l0)."""
+    """Interpolated trigram model: settled count and arg-max tables plus weights (l3, l2, l1, l0)."""
 
     uni: DataFrame          # (w, n1)
     bi: DataFrame           # (c1, w, n2)
@@ -171,6 +153,9 @@ class NgramLm:
     total: int
     vocab_size: int
     lambdas: tuple = (0.5, 0.3, 0.15, 0.05)
+    best3: DataFrame | None = None   # (c2, c1, pred) arg-max next token per context
+    best2: DataFrame | None = None   # (c1, pred2) per last token
+    top_w: int = UNK_ID              # overall
 
 
 def target_positions(encoded: DataFrame, keys, ids: str = "ids") -> DataFrame:
@@ -191,15 +176,18 @@ def target_positions(encoded: DataFrame, keys, ids: str = "ids") -> DataFrame:
 
 def train_ngram_lm(encoded: DataFrame, keys, vocab_size: int, ids: str = "ids",
                    lambdas=(0.5, 0.3, 0.15, 0.05)) -> NgramLm:
-    """N-gram and context counts of the training sequences (persist the result tables)."""
+    """N-gram and context counts of the training sequences, and the arg-max tables, settled once."""
     t = target_positions(encoded, keys, ids)
-    tri = t.groupBy("c2", "c1", "w").agg(F.count(F.lit(1)).alias("n3")).persist()
-    bi = tri.groupBy("c1", "w").agg(F.sum("n3").alias("n2")).persist()
-    uni = bi.groupBy("w").agg(F.sum("n2").alias("n1")).persist()
-    ctx1 = bi.groupBy("c1").agg(F.sum("n2").alias("m1"))
-    ctx2 = tri.groupBy("c2", "c1").agg(F.sum("n3").alias("m2"))
+    tri = cut_lineage(t.groupBy("c2", "c1", "w").agg(F.count(F.lit(1)).alias("n3")))
+    bi = cut_lineage(tri.groupBy("c1", "w").agg(F.sum("n3").alias("n2")))
+    uni = cut_lineage(bi.groupBy("w").agg(F.sum("n2").alias("n1")))
+    ctx1 = cut_lineage(bi.groupBy("c1").agg(F.sum("n2").alias("m1")))
+    ctx2 = cut_lineage(tri.groupBy("c2", "c1").agg(F.sum("n3").alias("m2")))
     total = scalar_row(uni.agg(F.sum("n1").alias("t")))["t"] or 0
-    return NgramLm(uni, bi, tri, ctx1, ctx2, int(total), vocab_size, tuple(lambdas))
+    lm = NgramLm(uni, bi, tri, ctx1, ctx2, int(total), vocab_size, tuple(lambdas))
+    best3, best2, lm.top_w = argmax_tables(lm)
+    lm.best3, lm.best2 = cut_lineage(best3), cut_lineage(best2.withColumnRenamed("pred", "pred2"))
+    return lm
 
 
 def _prob(lm: NgramLm) -> F.Column:
@@ -242,25 +230,41 @@ def argmax_tables(lm: NgramLm) -> tuple[DataFrame, DataFrame, int]:
     return best3, best2.select("c1", F.col("w2").alias("pred")), top_w
 
 
-def score_lm(positions: DataFrame, lm: NgramLm, keys) -> DataFrame:
-    """Log-probability of each target and the arg-max prediction at each position."""
-    keys = list(keys)
-    j = (positions.join(lm.tri, ["c2", "c1", "w"], "left").join(lm.ctx2, ["c2", "c1"], "left")
-         .join(lm.bi, ["c1", "w"], "left").join(lm.ctx1, "c1", "left").join(lm.uni, "w", "left"))
-    best3, best2, top_w = argmax_tables(lm)
-    j = j.join(best3, ["c2", "c1"], "left").join(best2.withColumnRenamed("pred", "pred2"), "c1", "left")
-    pred = F.coalesce("pred", "pred2", F.lit(top_w))
-    return j.select(*keys, "pos", F.col("w").alias("target"), F.ln(_prob(lm)).alias("logp"), pred.alias("pred"))
+def score_triples(triples: DataFrame, lm: NgramLm) -> DataFrame:
+    """``(c2, c1, w, logp, pred)`` for distinct triples: score and prediction depend on nothing else.
+
+    Tables of one key are joined before they meet the triples, and tables of
+    one row per word are broadcast under the byte bound.
+    """
+    pair = lm.ctx2.join(lm.best3, ["c2", "c1"], "left")
+    last = bounded_broadcast(lm.ctx1.join(lm.best2, "c1", "left"), lm.vocab_size, 24)
+    word = bounded_broadcast(lm.uni, lm.vocab_size, 16)
+    j = (triples.join(lm.tri, ["c2", "c1", "w"], "left").join(lm.bi, ["c1", "w"], "left").join(pair, ["c2", "c1"], "left")
+         .join(last, "c1", "left").join(word, "w", "left"))
+    return j.select("c2", "c1", "w", F.ln(_prob(lm)).alias("logp"), F.coalesce("pred", "pred2", F.lit(lm.top_w)).alias("pred"))
 
 
-def lm_metrics(scored: DataFrame, pad_id: int = PAD_ID) -> DataFrame:
-    """Token-weighted loss over non-pad targets, perplexity (inf when loss >= 20), accuracy."""
+def score_lm(positions: DataFrame, lm: NgramLm, keys, scored: DataFrame | None = None) -> DataFrame:
+    """Log-probability of each target and the arg-max prediction at each position.
+
+    Every distinct triple is scored once (``scored`` passes a prepared table)
+    and joined back to its positions.
+    """
+    scored = score_triples(positions.select("c2", "c1", "w").distinct(), lm) if scored is None else scored
+    return positions.join(scored, ["c2", "c1", "w"]).select(*keys, "pos", F.col("w").alias("target"), "logp", "pred")
+
+
+def lm_metrics(scored: DataFrame, pad_id: int = PAD_ID, by=(), weight: str | None = None) -> DataFrame:
+    """Token-weighted loss over non-pad targets, perplexity (inf when loss >= 20), accuracy, per ``by``.
+
+    ``weight`` names a count column when rows stand for several positions.
+    """
     s = scored.where(F.col("target") != pad_id)
-    agg = s.agg(F.sum(-F.col("logp")).alias("tl"), F.count(F.lit(1)).alias("nt"),
-                F.sum(F.when(F.col("pred") == F.col("target"), 1).otherwise(0)).alias("nc"))
-    loss = F.col("tl") / F.greatest(F.col("nt"), F.lit(1))
-    loss = F.coalesce(loss, F.lit(0.0))
-    return agg.select(loss.alias("loss"),
+    n = F.col(weight) if weight else F.lit(1)
+    agg = s.groupBy(*by).agg(F.sum(-F.col("logp") * n).alias("tl"), F.coalesce(F.sum(n), F.lit(0)).alias("nt"),
+                             F.sum(F.when(F.col("pred") == F.col("target"), n).otherwise(0)).alias("nc"))
+    loss = F.coalesce(F.col("tl") / F.greatest(F.col("nt"), F.lit(1)), F.lit(0.0))
+    return agg.select(*by, loss.alias("loss"),
                       F.when(loss < 20, F.exp(loss)).otherwise(float("inf")).alias("perplexity"),
                       (F.coalesce(F.col("nc"), F.lit(0)) / F.greatest(F.col("nt"), F.lit(1))).alias("accuracy"),
                       F.col("nt").cast("long").alias("n_tokens"))
@@ -280,7 +284,7 @@ def _grams(df: DataFrame, key: str, toks: str, side: str) -> DataFrame:
     return out.groupBy(key, "n", "g").agg(F.count(F.lit(1)).alias(side))
 
 
-def bleu(df: DataFrame, ref: str, hyp: str, key: str) -> DataFrame:
+def bleu(df: DataFrame, ref: str, hyp: str, key: str, tokens: bool = False) -> DataFrame:
     """Sentence BLEU-4 per row, uniform weights, smoothing method 4 (k = 5).
 
     p_n = clipped / max(1, len_h - n + 1); no unigram match -> 0; a zero p_n
@@ -288,8 +292,11 @@ def bleu(df: DataFrame, ref: str, hyp: str, key: str) -> DataFrame:
     zero orders; zero orders left out of the log sum; brevity penalty 1 when
     len_h > len_r else exp(1 - len_r / len_h).  Empty sides score 0.
     N-gram counts are group-bys and the clip is a join on (row, n, gram).
+    ``tokens``: the columns are token arrays already.  The tokens are settled
+    once, since every order reads them.
     """
-    t = df.select(key, whitespace_tokens(ref).alias("r"), whitespace_tokens(hyp).alias("h"))
+    words = F.col if tokens else whitespace_tokens
+    t = cut_lineage(df.select(key, words(ref).alias("r"), words(hyp).alias("h")))
     hg, rg = _grams(t, key, "h", "ch"), _grams(t, key, "r", "cr")
     clip = hg.join(rg, [key, "n", "g"], "left").groupBy(key, "n") \
         .agg(F.sum(F.least("ch", F.coalesce("cr", F.lit(0)))).alias("m"))
@@ -312,16 +319,26 @@ def bleu(df: DataFrame, ref: str, hyp: str, key: str) -> DataFrame:
     return j.select(key, score.alias("bleu"))
 
 
-def lm_report(per_split: dict[str, tuple[DataFrame, DataFrame | None]]) -> DataFrame:
-    """``(split, metric, value)`` from G9 metrics and (optional) BLEU per split."""
-    out = None
-    for split, (metrics, bleu_df) in per_split.items():
-        m = metrics.selectExpr(f"'{split}' AS split",
-                               "stack(4, 'loss', loss, 'perplexity', perplexity, 'accuracy', accuracy, "
-                               "'n_tokens', CAST(n_tokens AS DOUBLE)) AS (metric, value)")
-        if bleu_df is not None:
-            b = bleu_df.agg(F.coalesce(F.avg("bleu"), F.lit(0.0)).alias("value")) \
-                .select(F.lit(split).alias("split"), F.lit("bleu").alias("metric"), "value")
-            m = m.unionByName(b)
-        out = m if out is None else out.unionByName(m)
-    return out
+def lm_report(positions: DataFrame, scored: DataFrame, vocab: LmVocab, key: str, split: str = "split") -> DataFrame:
+    """``(split, metric, value)``: loss, perplexity, accuracy, tokens and mean BLEU of the predictions, per split.
+
+    Metrics come from distinct triples with counts.  For BLEU, predictions and
+    targets are decoded together, from one join of the positions with the
+    scored triples and one pass over the vocabulary; all splits go through at once.
+    """
+    triples = positions.groupBy(split, "c2", "c1", "w").agg(F.count(F.lit(1)).alias("n")).join(scored, ["c2", "c1", "w"])
+    metrics = lm_metrics(triples.withColumnRenamed("w", "target"), by=[split], weight="n")
+    out = metrics.selectExpr(split, "stack(4, 'loss', loss, 'perplexity', perplexity, 'accuracy', accuracy, "
+                             "'n_tokens', CAST(n_tokens AS DOUBLE)) AS (metric, value)")
+    v = bounded_broadcast(vocab.df(), len(vocab))
+    both = score_lm(positions, None, [split, key], scored)
+    both = both.join(v.select(F.col("id").alias("pred"), F.col("token").alias("h")), "pred", "left") \
+        .join(v.select(F.col("id").alias("target"), F.col("token").alias("r")), "target", "left")
+    silent = lambda c: F.col(c).isin(BOS_ID, EOS_ID, PAD_ID)
+    side = lambda name, i: F.transform(F.array_sort(F.collect_list(F.when(
+        ~silent(i), F.struct("pos", F.coalesce(name, F.lit(UNK)).alias("t"))))), lambda x: x["t"])
+    texts = both.groupBy(split, key).agg(side("h", "pred").alias("hyp"), side("r", "target").alias("ref"))
+    texts = texts.select(F.concat_ws(":", split, key).alias("id"), split, "hyp", "ref")
+    texts = cut_lineage(texts)
+    score = bleu(texts, "ref", "hyp", "id", tokens=True).join(texts.select("id", split), "id")
+    return out.unionByName(score.groupBy(split).agg(F.avg("bleu").alias("value")).select(split, F.lit("bleu").alias("metric"), "value"))

@@ -35,7 +35,7 @@ INIT_SYM = "chr(1) || array_to_string(string_split({w}, ''), chr(1) || chr(1)) |
 SYMS = "list_filter(string_split({s}, chr(1)), lambda x: x <> '')"
 
 
-def vocab_ctes(vocab_size: int, specials=("<UNK>", "<PAD>", "<BOS>", "<EOS>", "<CODE>", "<DOC>")) -> str:
+def vocab_ctes(vocab_size: int | str, specials=("<UNK>", "<PAD>", "<BOS>", "<EOS>", "<CODE>", "<DOC>")) -> str:
     """CTEs chars/basev/xchars/nvocab/train/mvocab/vocab; needs a ``words`` CTE."""
     spec = ", ".join(f"('{t}', {97 + i})" for i, t in enumerate(list(specials) + ["</w>"]))
     nb = 97 + len(specials) + 1
@@ -196,7 +196,10 @@ ORACLE["e3_boundary_accuracy"] = _e_scalar("boundary_accuracy", ["boundary_accur
 ORACLE["e4_encoding_consistency"] = _e_scalar("consistency", ["consistency_score", "consistent_texts", "total_texts"], ["consistency_score", "consistent_texts"])
 ORACLE["e5_oov_rate"] = _e_scalar("oov_rate", ["oov_rate", "oov_tokens", "total_tokens", "oov_percentage"], ["oov_rate", "oov_percentage"])
 ORACLE["e6_uniform_perplexity"] = _e_scalar("perplexity", ["perplexity", "total_tokens", "avg_log_prob"], ["perplexity", "avg_log_prob"])
-ORACLE["e7_token_id_distribution"] = _e_scalar("token_distribution", ["unique_tokens", "total_tokens", "avg_text_length", "std_text_length", "entropy"], ["avg_text_length", "std_text_length", "entropy"])
+ORACLE["e7_token_id_distribution"] = ("WITH RECURSIVE " + ",\n".join(_shared_ctes() + [E_SQL["token_distribution"]]) + """,
+top AS (SELECT string_agg(CAST(id AS VARCHAR) || ':' || CAST(n AS VARCHAR), ',' ORDER BY n DESC, id) AS top_ids FROM (SELECT id, n FROM ic ORDER BY n DESC, id LIMIT 20))
+SELECT unique_tokens, total_tokens, round(avg_text_length, 6) AS avg_text_length, round(std_text_length, 6) AS std_text_length,
+  round(entropy, 6) AS entropy, top_ids FROM res, top""")
 ORACLE["e8_token_entropy"] = _e_scalar("token_distribution", ["entropy"], ["entropy"])
 ORACLE["e9_semantic_coherence"] = _e_scalar("semantic_coherence", ["semantic_coherence", "coherence_std", "num_evaluated_texts"], ["semantic_coherence", "coherence_std"])
 
@@ -225,6 +228,19 @@ ORACLE["e12_evaluate_tokenizer"] = _e_long(["vocabulary_overlap", "compression_r
                                             "oov_rate", "perplexity", "token_distribution", "semantic_coherence"])
 
 
+BASIC = ["vocabulary_overlap", "compression_ratio", "boundary_accuracy", "consistency", "oov_rate"]
+
+
+def _e_model(name: str, budget: str) -> str:
+    """The basic metrics of the model whose budget of merges is ``budget`` (an expression over ``nvocab.n``)."""
+    sql = _e_long(BASIC).replace(f"(SELECT {BPE_VOCAB} - n FROM nvocab)", f"(SELECT {budget} FROM nvocab)")
+    return f"SELECT '{name}' AS model, * FROM ({sql})"
+
+
+ORACLE["e13_compare_tokenizers"] = (_e_model("merges_all", f"{BPE_VOCAB} - n") + "\nUNION ALL\n"
+                                    + _e_model("merges_half", f"({BPE_VOCAB} - n) // 2"))
+
+
 # ------------------------------------------------------------------ sources, profiling, text scalars
 
 ORACLE["a1_read_corpus"] = "SELECT * FROM documents"
@@ -295,13 +311,28 @@ ORACLE["f7_embedding_info"] = f"SELECT count(*) AS vocab_size, CAST(max(len(vect
 ORACLE["f8_get_vectors"] = f"""SELECT l.doc_id AS word, g.vector IS NOT NULL AS found, CAST(coalesce(len(g.vector), 0) AS BIGINT) AS dim,
   round(list_sum(g.vector), 6) AS vsum FROM labels l LEFT JOIN {GV} g ON g.word = l.doc_id"""
 ORACLE["f9_similarity"] = f"""SELECT p.a, p.b, round(CASE WHEN x.vector IS NULL OR y.vector IS NULL THEN 0.0 ELSE {COS.format(a='x.vector', b='y.vector')} END, 6) AS similarity
-FROM (SELECT vec_id AS a, coalesce(lead(vec_id) OVER (PARTITION BY label ORDER BY vec_id), -1) AS b FROM embeddings) p
-LEFT JOIN {GV} x ON x.word = p.a LEFT JOIN {GV} y ON y.word = p.b"""
+FROM (SELECT vec_id AS a, vec_id + 1 AS b FROM embeddings) p LEFT JOIN {GV} x ON x.word = p.a LEFT JOIN {GV} y ON y.word = p.b"""
 NN = f"""(SELECT q.word AS query, c.word, {COS.format(a='q.vector', b='c.vector')} AS similarity,
    row_number() OVER (PARTITION BY q.word ORDER BY {COS.format(a='q.vector', b='c.vector')} DESC, c.word) AS rank
    FROM {GV} q JOIN {GV} c ON c.word <> q.word)"""
 ORACLE["f10_most_similar"] = f"SELECT query, CAST(rank AS BIGINT) AS rank, word, round(similarity, 6) AS similarity FROM {NN} WHERE rank <= 10"
-ORACLE["f12_semantic_similarity_report"] = f"SELECT count(*) AS total_similarities, round(avg(similarity), 6) AS avg_similarity FROM {NN} WHERE rank <= 5"
+ORACLE["f12_semantic_similarity_report"] = f"""WITH nn AS (SELECT * FROM {NN} WHERE rank <= 5),
+first AS (SELECT string_agg(query || ':' || word, ',' ORDER BY s DESC, query, word) AS examples
+          FROM (SELECT query, word, round(similarity, 6) AS s FROM nn ORDER BY s DESC, query, word LIMIT 10))
+SELECT count(*) AS total_similarities, round(avg(similarity), 6) AS avg_similarity, any_value(examples) AS examples FROM nn, first"""
+UNITS = f"(SELECT word, label, list_transform(vector, lambda x: x / sqrt(list_sum(list_transform(vector, lambda y: y * y)))) AS u FROM {GV})"
+ORACLE["f14_completion_given"] = f"""WITH u AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY word DESC) = 1 AS last, count(*) OVER (PARTITION BY label) AS n FROM {UNITS}),
+m AS (SELECT label, list(a ORDER BY i) AS vector FROM (SELECT label, i, avg(u[i]) AS a FROM (SELECT label, u, unnest(range(1, len(u) + 1)) AS i FROM u WHERE NOT last AND n > 1) GROUP BY label, i) GROUP BY label),
+r AS (SELECT m.label, g.word, row_number() OVER (PARTITION BY m.label ORDER BY {COS.format(a='m.vector', b='g.vector')} DESC, g.word) AS k
+      FROM m JOIN {GV} g ON g.label <> m.label OR g.word IN (SELECT word FROM u WHERE last))
+SELECT round(coalesce(avg(CASE WHEN r.word = u.word THEN 1.0 ELSE 0.0 END), 0.0), 6) AS accuracy, count(*) AS total_tests
+FROM u LEFT JOIN r ON r.label = u.label AND r.k = 1 WHERE u.last AND u.n > 1"""
+ORACLE["f15_doc_relevance_given"] = f"""WITH g AS {GV},
+p AS (SELECT a.label, avg({COS.format(a='a.vector', b='b.vector')}) AS v FROM g a JOIN g b ON a.label = b.label WHERE a.word % 2 = 0 AND b.word % 2 = 1 GROUP BY a.label)
+SELECT round(coalesce(avg(v), 0.0), 6) AS avg_relevance, count(*) AS total_tests FROM p"""
+ORACLE["f17_context_hint_given"] = f"""WITH t AS (SELECT label, word, row_number() OVER (PARTITION BY label ORDER BY word) AS pos FROM {GV}),
+h AS (SELECT t.label, t.pos, n.rank, n.word, row_number() OVER (PARTITION BY t.label ORDER BY t.pos, n.rank) AS k FROM t JOIN {NN} n ON n.query = t.word WHERE t.pos <= 10 AND n.rank <= 2)
+SELECT label AS id, ' Context: ' || string_agg(CAST(word AS VARCHAR), ' ' ORDER BY pos, rank) AS hint FROM h WHERE k <= 5 GROUP BY label"""
 ORACLE["f13_analogy_query"] = f"""WITH u AS (SELECT word, label, list_transform(vector, lambda x: x / sqrt(list_sum(list_transform(vector, lambda y: y * y)))) AS u FROM {GV}),
 d AS (SELECT label, unnest(generate_series(1, 64)) AS i FROM (SELECT DISTINCT label FROM u)),
 m AS (SELECT d.label AS query, list(avg(u.u[d.i]) ORDER BY d.i) AS mv FROM d JOIN u ON u.label = d.label GROUP BY d.label, d.i),
@@ -318,7 +349,7 @@ SPLIT = "CASE WHEN b < 80 THEN 'train' WHEN b < 90 THEN 'val' ELSE 'test' END"
 LM_CTES = f"""lmdocs AS (SELECT doc_id, text, {SPLIT} AS split FROM (
   SELECT doc_id, text, (('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT % 100) AS b FROM documents)),
 lmc AS (SELECT w AS token, count(*) AS n FROM (SELECT unnest({WORDS.format(c='text')}) AS w FROM lmdocs WHERE split = 'train') GROUP BY w HAVING count(*) >= 2),
-lmtop AS (SELECT token, n FROM lmc ORDER BY n DESC, token LIMIT 49996),
+lmtop AS (SELECT token, n FROM lmc),
 lmv AS (SELECT token, CAST(3 + row_number() OVER (ORDER BY n DESC, token) AS INTEGER) AS id FROM lmtop
         WHERE token NOT IN ('<PAD>', '<UNK>', '<BOS>', '<EOS>')
         UNION ALL SELECT * FROM (VALUES ('<PAD>', 0), ('<UNK>', 1), ('<BOS>', 2), ('<EOS>', 3)) v(token, id)),
@@ -372,13 +403,15 @@ FROM lme d LEFT JOIN dx ON dx.doc_id = d.doc_id LEFT JOIN lr ON lr.id = dx.i GRO
 TRUNC = "CASE WHEN len(ids) > 256 THEN list_concat(ids[1:255], [3]) ELSE ids END"
 ORACLE["g4_truncate_ids"] = f"""WITH {LM_CTES} SELECT doc_id, CAST(len({TRUNC}) AS BIGINT) AS n_ids, array_to_string({TRUNC}, ' ') AS ids FROM lme"""
 ORACLE["g5_next_token_examples"] = f"""WITH {LM_CTES},
-tr AS (SELECT doc_id, {TRUNC} AS ids, (('0x' || substr(md5('42:' || CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT
-        % CAST(ceil((SELECT count(*) FROM lme) / 64) AS BIGINT)) AS batch FROM lme),
+tr AS (SELECT doc_id, ids, (row_number() OVER (ORDER BY md5('batch:42:' || CAST(doc_id AS VARCHAR)), doc_id) - 1) // 64 AS batch FROM lme),
 wd AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch) - 1 AS width FROM tr)
 SELECT doc_id, CAST(batch AS BIGINT) AS batch, CAST(len(ids) - 1 AS BIGINT) AS length,
   array_to_string(list_concat(ids[1:len(ids) - 1], list_transform(range(width - (len(ids) - 1)), lambda x: 0)), ' ') AS inputs,
   array_to_string(list_concat(ids[2:len(ids)], list_transform(range(width - (len(ids) - 1)), lambda x: 0)), ' ') AS targets
 FROM wd"""
+ORACLE["g6_split_exact"] = """SELECT doc_id, CASE WHEN r < CAST(floor(0.8 * n) AS BIGINT) THEN 'train'
+  WHEN r < CAST(floor(0.8 * n) AS BIGINT) + CAST(floor(0.1 * n) AS BIGINT) THEN 'val' ELSE 'test' END AS split
+FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id) - 1 AS r, count(*) OVER () AS n FROM documents)"""
 ORACLE["g6_split"] = f"WITH {LM_CTES} SELECT doc_id, split FROM lmdocs"
 ORACLE["g7_ngram_counts"] = f"WITH {LM_CTES} SELECT CAST(c2 AS INTEGER) AS c2, CAST(c1 AS INTEGER) AS c1, CAST(w AS INTEGER) AS w, n3 FROM tri"
 ORACLE["g8_score_lm"] = f"""WITH {LM_CTES} SELECT doc_id, CAST(pos AS BIGINT) AS pos, CAST(w AS INTEGER) AS target,
@@ -414,6 +447,43 @@ ORACLE["g10_bleu"] = f"""WITH {bleu_sql(f"SELECT CAST(conv_id AS VARCHAR) || ':'
 SELECT id, round(bleu, 6) AS bleu FROM bl"""
 
 
+ALL_SPLITS = LM_CTES.replace("FROM pos WHERE split <> 'train')", "FROM pos)").replace(" WHERE sc.split <> 'train')", ")")
+ORACLE["g11_lm_report"] = f"""WITH {ALL_SPLITS},
+ag AS (SELECT split, sum(-logp) AS tl, count(*) AS nt, sum(CASE WHEN pred = w THEN 1 ELSE 0 END) AS nc FROM scored WHERE w <> 0 GROUP BY split),
+words AS (SELECT s.split || ':' || CAST(s.doc_id AS VARCHAR) AS id,
+    coalesce(list(coalesce(r.token, '<UNK>') ORDER BY s.pos) FILTER (WHERE s.w NOT IN (0, 2, 3)), []) AS r,
+    coalesce(list(coalesce(h.token, '<UNK>') ORDER BY s.pos) FILTER (WHERE s.pred NOT IN (0, 2, 3)), []) AS h
+  FROM scored s LEFT JOIN lmv r ON r.id = s.w LEFT JOIN lmv h ON h.id = s.pred GROUP BY ALL),
+{bleu_sql("SELECT id, r, h FROM words", 'id')},
+long AS (SELECT split, unnest(['loss', 'perplexity', 'accuracy', 'n_tokens']) AS metric,
+    unnest([tl / greatest(nt, 1), CASE WHEN tl / greatest(nt, 1) < 20 THEN exp(tl / greatest(nt, 1)) ELSE 'inf'::DOUBLE END, nc / greatest(nt, 1), nt::DOUBLE]) AS value FROM ag
+  UNION ALL SELECT split_part(id, ':', 1), 'bleu', avg(bleu) FROM bl GROUP BY 1)
+SELECT split, metric, round(value, 6) AS value FROM long"""
+
+BEST = """b2 AS (SELECT bi.c1, bi.w, 0.3::DOUBLE * n2 / m1 + 0.15::DOUBLE * n1 / tot.t AS s
+       FROM bi JOIN ctx1 ON ctx1.c1 = bi.c1 JOIN uni ON uni.w = bi.w CROSS JOIN tot
+       UNION ALL SELECT ctx1.c1, topu.w, 0.15::DOUBLE * topu.n1 / tot.t FROM ctx1 CROSS JOIN topu CROSS JOIN tot),
+best2 AS (SELECT c1, w, s FROM (SELECT *, row_number() OVER (PARTITION BY c1 ORDER BY s DESC, w) AS r FROM b2) WHERE r = 1),
+t3 AS (SELECT tri.c2, tri.c1, tri.w, 0.5::DOUBLE * n3 / m2 + 0.3::DOUBLE * n2 / m1 + 0.15::DOUBLE * n1 / tot.t AS s
+       FROM tri JOIN ctx2 ON ctx2.c2 = tri.c2 AND ctx2.c1 = tri.c1 JOIN bi ON bi.c1 = tri.c1 AND bi.w = tri.w
+       JOIN ctx1 ON ctx1.c1 = tri.c1 JOIN uni ON uni.w = tri.w CROSS JOIN tot),
+b3 AS (SELECT c2, c1, w, s FROM t3
+       UNION ALL SELECT x.c2, x.c1, b.w, coalesce(t3.s, b.s) FROM ctx2 x JOIN best2 b ON b.c1 = x.c1 LEFT JOIN t3 ON t3.c2 = x.c2 AND t3.c1 = x.c1 AND t3.w = b.w),
+best3 AS (SELECT c2, c1, w FROM (SELECT *, row_number() OVER (PARTITION BY c2, c1 ORDER BY s DESC, w) AS r FROM b3) WHERE r = 1)"""
+ORACLE["h1_greedy_generate"] = f"""WITH RECURSIVE {LM_CTES}, {BEST},
+pr AS (SELECT doc_id, CASE WHEN ids[len(ids)] = 3 THEN ids[1:len(ids) - 1] ELSE ids END AS ids FROM lme),
+st AS (SELECT doc_id, CASE WHEN len(ids) >= 2 THEN ids[len(ids) - 1] ELSE 2 END AS c2, CASE WHEN len(ids) >= 1 THEN ids[len(ids)] ELSE 2 END AS c1 FROM pr),
+gen(s2, s1, step, c2, c1) AS (
+  SELECT DISTINCT c2, c1, 0, c2, c1 FROM st
+  UNION ALL
+  SELECT g.s2, g.s1, g.step + 1, g.c1, coalesce(x3.w, x2.w, (SELECT w FROM topu))
+  FROM gen g LEFT JOIN best3 x3 ON x3.c2 = g.c2 AND x3.c1 = g.c1 LEFT JOIN best2 x2 ON x2.c1 = g.c1
+  WHERE g.step < 80 AND (g.step = 0 OR g.c1 <> 3)),
+nw AS (SELECT s2, s1, list(c1 ORDER BY step) AS new FROM gen WHERE step > 0 GROUP BY s2, s1)
+SELECT pr.doc_id, CAST(len(nw.new) AS BIGINT) AS n_new, array_to_string(list_concat(pr.ids, nw.new), ' ') AS ids
+FROM pr JOIN st ON st.doc_id = pr.doc_id JOIN nw ON nw.s2 = st.c2 AND nw.s1 = st.c1"""
+
+
 # ------------------------------------------------------------------ D (continued), U
 
 def _bpe_corpus(src: str, size: int) -> str:

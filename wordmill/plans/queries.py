@@ -43,13 +43,20 @@ def q_b5(spark, sf):
 
 # ---------------------------------------------------------------- D: BPE
 
-BPE_VOCAB = 150          # budget = 150 - (104 base + corpus characters)
+BPE_VOCAB = 150          # budget = 150 - (104 base + corpus characters); DuckDB follows it merge by merge
+BPE_LARGE = 1000         # a training beyond what the SQL can follow
+SWEEP = (300, 600, 1000)
 _MODELS: dict = {}
 
 
+def _held(spark, *key):
+    """Key of a model that is kept for the session: models of a stopped session are never met again."""
+    return (spark.sparkContext.applicationId, *key)
+
+
 def bpe_model(spark, sf, vocab_size: int = BPE_VOCAB, specials=None):
-    """Train once per (tables, size) and reuse within the process (the model is vocab-sized)."""
-    key = (sf, vocab_size, tuple(specials or ()))
+    """Train once per (session, tables, size) and reuse (the model is vocab-sized)."""
+    key = _held(spark, sf, vocab_size, tuple(specials or ()))
     if key not in _MODELS:
         _MODELS[key] = bpe.train_bpe(_docs(spark, sf), "text", vocab_size=vocab_size, specials=specials)
     return _MODELS[key]
@@ -105,6 +112,11 @@ def q_d8(spark, sf):
                                                         "lhs", "rhs", "pair_count")
 
 
+@register("d8_train_bpe_1000")
+def q_d8l(spark, sf):
+    return bpe_model(spark, sf, BPE_LARGE).merges_df(spark).select(F.col("rank").cast("long").alias("rank"), "lhs", "rhs", "pair_count")
+
+
 @register("d8_vocab")
 def q_d8v(spark, sf):
     return bpe_model(spark, sf).vocab_df(spark)
@@ -193,10 +205,7 @@ def q_e11(spark, sf):
 
 @register("e12_evaluate_tokenizer")
 def q_e12(spark, sf):
-    enc = _encoded(spark, sf).persist()
-    enc.count()  # fill the cache once; the metric union reads it from concurrent stages
-    out = tokeval.evaluate_tokenizer(bpe_model(spark, sf), _docs(spark, sf), encoded=enc,
-                                     metrics=tokeval.ADVANCED_METRICS)
+    out = tokeval.evaluate_tokenizer(bpe_model(spark, sf), _docs(spark, sf), metrics=tokeval.ADVANCED_METRICS)
     return out.select("metric_group", "metric", r6(F.col("value")).alias("value"))
 
 
@@ -311,12 +320,10 @@ def _sentences(spark, sf, kind="combined"):
 _W2V: dict = {}
 
 
-def w2v_vectors(spark, sf, dim: int = 100, epochs: int = 15):
-    key = (sf, dim, epochs)
+def w2v_vectors(spark, sf, kind: str = "combined", dim: int = 100, epochs: int = 15):
+    key = _held(spark, sf, kind, dim, epochs)
     if key not in _W2V:
-        s = _sentences(spark, sf)
-        _W2V[key] = cut_lineage(embed.train_word2vec(s, dim=dim, window=5, min_count=5, epochs=epochs,
-                                                     num_partitions=spark.sparkContext.defaultParallelism))
+        _W2V[key] = cut_lineage(embed.train_word2vec(_sentences(spark, sf, kind), dim=dim, window=5, min_count=5, epochs=epochs))
     return _W2V[key]
 
 
@@ -354,14 +361,17 @@ def q_f5(spark, sf):
     s = _sentences(spark, sf)
     vocab = embed.frequency_vocab(s, 5)
     cooc = embed.cooccurrence(s, vocab, window=5)
-    v = embed.linear_skipgram(cooc, vocab, dim=16, lr=0.001, epochs=2)
+    v = embed.linear_skipgram(cooc, vocab, dim=100, lr=0.001, epochs=5)
     return v.select("word", F.size("vector").cast("long").alias("dim"), r6(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x)).alias("vsum"))
 
 
 @register("f6_train_word2vec")
 def q_f6(spark, sf):
-    v = w2v_vectors(spark, sf)
-    return v.select("word", F.size("vector").cast("long").alias("dim"))
+    out = None
+    for kind in embed.KINDS:
+        part = w2v_vectors(spark, sf, kind).select(F.lit(kind).alias("kind"), "word", F.size("vector").cast("long").alias("dim"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @register("f7_embedding_info")
@@ -378,16 +388,14 @@ def q_f8(spark, sf):
                     r6(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x)).alias("vsum"))
 
 
-def _label_pairs(spark, sf):
-    e = read_table(spark, sf, "embeddings")
-    w = Window.partitionBy("label").orderBy("vec_id")
-    # the last vector of a label pairs with the absent word -1 (similarity 0.0)
-    return e.select(F.col("vec_id").alias("a"), F.coalesce(F.lead("vec_id").over(w), F.lit(-1)).alias("b"))
+def _next_pairs(spark, sf):
+    """Each vector with the next id; the last one pairs with an absent word (similarity 0.0)."""
+    return read_table(spark, sf, "embeddings").select(F.col("vec_id").alias("a"), (F.col("vec_id") + 1).alias("b"))
 
 
 @register("f9_similarity")
 def q_f9(spark, sf):
-    s = vectors.similarity(_label_pairs(spark, sf), _given_vectors(spark, sf))
+    s = vectors.similarity(_next_pairs(spark, sf), _given_vectors(spark, sf))
     return s.select("a", "b", r6(F.col("similarity")).alias("similarity"))
 
 
@@ -398,6 +406,13 @@ def q_f10(spark, sf):
     return nn.select("query", "rank", "word", r6(F.col("similarity")).alias("similarity"))
 
 
+@register("f11_most_similar_approx")
+def q_f11(spark, sf):
+    v = _given_vectors(spark, sf)
+    nn = vectors.most_similar_approx(v.select("word"), v.select("word", "vector"), topn=10)
+    return nn.select("query", "rank", "word", r6(F.col("similarity")).alias("similarity"))
+
+
 @register("f12_semantic_similarity_report")
 def q_f12(spark, sf):
     v = _given_vectors(spark, sf).select("word", "vector")
@@ -419,6 +434,28 @@ def _pair_tokens(spark, sf):
                     text.whitespace_tokens(F.coalesce("docstring", F.lit("nan"))).alias("doc_tokens"))
 
 
+def _given_sentences(spark, sf):
+    """The ids of each label of ``embeddings`` as one sentence, for checks of F14, F15 and F17 on given vectors."""
+    g = _given_vectors(spark, sf)
+    ids = lambda odd=None: F.array_sort(F.collect_list(F.when(F.lit(True) if odd is None else F.col("word") % 2 == odd, F.col("word"))))
+    return g.groupBy(F.col("label").alias("id")).agg(ids().alias("tokens"), ids(0).alias("code_tokens"), ids(1).alias("doc_tokens"))
+
+
+@register("f14_completion_given")
+def q_f14g(spark, sf):
+    return _round_all(vectors.completion_accuracy(_given_sentences(spark, sf).select("id", "tokens"), _given_vectors(spark, sf).select("word", "vector")))
+
+
+@register("f15_doc_relevance_given")
+def q_f15g(spark, sf):
+    return _round_all(vectors.doc_relevance(_given_sentences(spark, sf), _given_vectors(spark, sf).select("word", "vector")))
+
+
+@register("f17_context_hint_given")
+def q_f17g(spark, sf):
+    return vectors.context_hint(_given_sentences(spark, sf).select("id", "tokens"), _given_vectors(spark, sf).select("word", "vector"))
+
+
 @register("f14_completion_accuracy")
 def q_f14(spark, sf):
     s = _sentences(spark, sf).select(F.concat_ws(":", "conv_id", "turn").alias("id"), "tokens")
@@ -448,22 +485,36 @@ _LM: dict = {}
 
 def lm_state(spark, sf):
     """Split documents, build the vocabulary on the train split, encode every document."""
-    if sf not in _LM:
+    key = _held(spark, sf)
+    if key not in _LM:
         docs = lm.split_train_val_test(_docs(spark, sf), "doc_id")
-        vocab = lm.lm_vocab(docs.where(F.col("split") == "train"), "text", min_freq=2, max_size=50000)
-        enc = lm.lm_encode(docs, "text", vocab, "doc_id", keep=("split",))
-        _LM[sf] = (docs, vocab, enc)
-    return _LM[sf]
+        vocab = lm.lm_vocab(docs.where(F.col("split") == "train"), "text", min_freq=2)
+        enc = cut_lineage(lm.lm_encode(docs, "text", vocab, "doc_id", keep=("split",)))
+        _LM[key] = (docs, vocab, enc)
+    return _LM[key]
 
 
 _NG: dict = {}
 
 
 def ngram(spark, sf):
-    if sf not in _NG:
+    key = _held(spark, sf)
+    if key not in _NG:
         docs, vocab, enc = lm_state(spark, sf)
-        _NG[sf] = lm.train_ngram_lm(enc.where(F.col("split") == "train"), ["doc_id"], len(vocab))
-    return _NG[sf]
+        _NG[key] = lm.train_ngram_lm(enc.where(F.col("split") == "train"), ["doc_id"], len(vocab))
+    return _NG[key]
+
+
+_SC: dict = {}
+
+
+def scored_triples(spark, sf):
+    """Every distinct triple of all splits, scored once."""
+    key = _held(spark, sf)
+    if key not in _SC:
+        pos = lm.target_positions(lm_state(spark, sf)[2], ["split", "doc_id"])
+        _SC[key] = cut_lineage(lm.score_triples(pos.select("c2", "c1", "w").distinct(), ngram(spark, sf)))
+    return _SC[key]
 
 
 def _ids_str(c):
@@ -496,12 +547,16 @@ def q_g4(spark, sf):
 
 @register("g5_next_token_examples")
 def q_g5(spark, sf):
-    enc = lm_state(spark, sf)[2].select("doc_id", lm.truncate_ids("ids", 256).alias("ids"))
-    ex = lm.next_token_examples(enc, "doc_id", batch_size=64)
+    ex = lm.next_token_examples(lm_state(spark, sf)[2], "doc_id", batch_size=64)
     return ex.select("doc_id", F.col("batch").cast("long").alias("batch"), F.col("length").cast("long").alias("length"),
                      _ids_str("inputs").alias("inputs"), _ids_str("targets").alias("targets"))
 
 
+@register("g6_split_exact")
+def q_g6x(spark, sf):
+    return lm.split_train_val_test(_docs(spark, sf).select("doc_id"), "doc_id", exact=True).select("doc_id", "split")
+
+
 @register("g6_split")
 def q_g6(spark, sf):
     return lm_state(spark, sf)[0].select("doc_id", "split")
@@ -513,26 +568,19 @@ def q_g7(spark, sf):
                                        F.col("w").cast("int").alias("w"), "n3")
 
 
-def _scored(spark, sf, split):
-    docs, vocab, enc = lm_state(spark, sf)
-    pos = lm.target_positions(enc.where(F.col("split") == split), ["doc_id"])
-    return lm.score_lm(pos, ngram(spark, sf), ["doc_id"])
-
-
 @register("g8_score_lm")
 def q_g8(spark, sf):
-    s = _scored(spark, sf, "val")
+    pos = lm.target_positions(lm_state(spark, sf)[2].where(F.col("split") == "val"), ["doc_id"])
+    s = lm.score_lm(pos, ngram(spark, sf), ["doc_id"], scored_triples(spark, sf))
     return s.select("doc_id", F.col("pos").cast("long").alias("pos"), F.col("target").cast("int").alias("target"),
                     r6(F.col("logp")).alias("logp"), F.col("pred").cast("int").alias("pred"))
 
 
 @register("g9_lm_metrics")
 def q_g9(spark, sf):
-    out = None
-    for split in ("val", "test"):
-        m = lm.lm_metrics(_scored(spark, sf, split)).select(F.lit(split).alias("split"), "*")
-        out = m if out is None else out.unionByName(m)
-    return _round_all(out)
+    pos = lm.target_positions(lm_state(spark, sf)[2].where(F.col("split") != "train"), ["split"])
+    triples = pos.groupBy("split", "c2", "c1", "w").agg(F.count(F.lit(1)).alias("n")).join(scored_triples(spark, sf), ["c2", "c1", "w"])
+    return _round_all(lm.lm_metrics(triples.withColumnRenamed("w", "target"), by=["split"], weight="n"))
 
 
 @register("g10_bleu")
@@ -543,53 +591,36 @@ def q_g10(spark, sf):
 
 @register("g11_lm_report")
 def q_g11(spark, sf):
-    docs, vocab, enc = lm_state(spark, sf)
-    parts = {}
-    for split in ("train", "val", "test"):
-        s = _scored(spark, sf, split)
-        per_doc = s.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "pred", "target"))).alias("x"))
-        per_doc = per_doc.select("doc_id", F.transform("x", lambda e: e["pred"]).alias("p"),
-                                 F.transform("x", lambda e: e["target"]).alias("t"))
-        hyp = lm.lm_decode(per_doc, "p", vocab, out="hyp")
-        texts = lm.lm_decode(hyp, "t", vocab, out="ref").select("doc_id", "hyp", "ref")
-        parts[split] = (lm.lm_metrics(s), lm.bleu(texts, "ref", "hyp", "doc_id"))
-    out = lm.lm_report(parts)
+    _, vocab, enc = lm_state(spark, sf)
+    out = lm.lm_report(lm.target_positions(enc, ["split", "doc_id"]), scored_triples(spark, sf), vocab, "doc_id")
     return out.select("split", "metric", r6(F.col("value")).alias("value"))
 
 
 # ---------------------------------------------------------------- D (continued)
 
+D9_SIZES = {"code": 140, "doc": 140, "combined": 160}
+
+
 @register("d9_train_bpe_per_corpus")
 def q_d9(spark, sf):
     p = _pairs(spark, sf)
-    sizes = {"code": 140, "doc": 140, "combined": 160}
-    cols = {"code": [F.col("code")], "doc": [F.col("docstring")], "combined": [F.col("code"), F.col("docstring")]}
+    of = F.explode(F.array(*[F.struct(F.lit(c).alias("corpus"), F.col(t).alias("text")) for c, t in
+                             (("code", "code"), ("doc", "docstring"), ("combined", "code"), ("combined", "docstring"))])).alias("x")
+    words = p.select(of).select("x.corpus", F.explode(text.whitespace_tokens(F.col("x.text"))).alias("word"))
+    models = bpe.train_bpe_keyed(words.groupBy("corpus", "word").agg(F.count(F.lit(1)).alias("freq")), D9_SIZES)
     out = None
-    for corpus_name, size in sizes.items():
-        texts = None
-        for c in cols[corpus_name]:
-            t = p.select(c.alias("text"))
-            texts = t if texts is None else texts.unionByName(t)
-        m = bpe.train_bpe(texts, "text", vocab_size=size)
-        part = m.merges_df(spark).select(F.lit(corpus_name).alias("corpus"), F.col("rank").cast("long").alias("rank"),
-                                         "lhs", "rhs", "pair_count")
+    for corpus_name, m in models.items():
+        part = m.merges_df(spark).select(F.lit(corpus_name).alias("corpus"), F.col("rank").cast("long").alias("rank"), "lhs", "rhs", "pair_count")
         out = part if out is None else out.unionByName(part)
     return out
 
 
 @register("d10_bpe_size_sweep")
 def q_d10(spark, sf):
-    full = bpe_model(spark, sf)
-    docs = _docs(spark, sf)
-    out = None
-    for n_merges in (len(full.merges) // 4, len(full.merges) // 2, len(full.merges)):
-        m = full.truncated(n_merges)
-        enc = tokeval.encoded_table(docs, "text", m)
-        row = tokeval.compression_ratio(enc).select("compression_ratio", "total_tokens")
-        part = row.select(F.lit(len(m.vocab)).cast("long").alias("vocab_size"), F.lit(n_merges).cast("long").alias("n_merges"),
-                          r6(F.col("compression_ratio")).alias("compression_ratio"), "total_tokens")
-        out = part if out is None else out.unionByName(part)
-    return out
+    full = bpe_model(spark, sf, max(SWEEP))  # merges are prefix-stable: the smaller models are its beginnings
+    models = {str(n): full.truncated(n - full.n_base) for n in SWEEP}
+    out = tokeval.compare_tokenizers(models, _docs(spark, sf), metrics=tokeval.ADVANCED_METRICS)
+    return out.select(F.col("model").cast("long").alias("vocab_size"), "metric_group", "metric", r6(F.col("value")).alias("value"))
 
 
 @register("d13_encode_rows")
@@ -608,17 +639,16 @@ def q_d14(spark, sf):
 @register("d15_tokenize_with")
 def q_d15(spark, sf):
     model = bpe_model(spark, sf)
-    t = bpe.tokenize_with("text", model)
-    return _docs(spark, sf).select("doc_id", F.size(t).cast("long").alias("n_tokens"), F.array_join(t, " ").alias("tokens"))
+    t = bpe.tokenize_with(_docs(spark, sf).select("doc_id", "text"), "text", model)
+    return t.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
 
 
 # ---------------------------------------------------------------- H, U: generation and UDF hook
 
 @register("h1_greedy_generate")
 def q_h1(spark, sf):
-    docs, vocab, enc = lm_state(spark, sf)
-    prompts = docs.select("doc_id", text.summary_prompt("source", text.whitespace_tokens("text")).alias("prompt"))
-    g = docgen.greedy_generate(lm.lm_encode(prompts, "prompt", vocab), ngram(spark, sf), "doc_id", max_new_tokens=20)
+    """Continue every whole document by up to 80 tokens."""
+    g = docgen.greedy_generate(lm_state(spark, sf)[2], ngram(spark, sf), "doc_id", max_new_tokens=80)
     return g.select("doc_id", F.col("n_new").cast("long").alias("n_new"), F.array_join("ids", " ").alias("ids"))
 
 
@@ -627,8 +657,8 @@ def q_h2(spark, sf):
     docs, vocab, enc = lm_state(spark, sf)
     p = _pairs(spark, sf).select(F.concat_ws(":", "conv_id", "turn").alias("pair_key"), "code",
                                  F.concat(F.lit("conv"), F.col("conv_id").cast("string")).alias("name"))
-    v = w2v_vectors(spark, sf)
-    return docgen.generate_docs(p, "pair_key", "code", "name", vocab, ngram(spark, sf), vectors=v, max_tokens=20)
+    return docgen.generate_docs(p, "pair_key", "code", "name", vocab, ngram(spark, sf), vectors=w2v_vectors(spark, sf),
+                                bpe_model=bpe_model(spark, sf), max_tokens=120)
 
 
 @register("u1_tokenize_udf")

@@ -31,6 +31,8 @@ def build_session(master: str | None = None, app: str = "wordmill", shuffle_part
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         # superseded checkpoints of iterative operators are removed with their DataFrames
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.driver.memory", os.environ.get("WORDMILL_DRIVER_MEMORY", "16g"))
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8)))
     for k, v in (extra or {}).items():
@@ -41,19 +43,21 @@ def build_session(master: str | None = None, app: str = "wordmill", shuffle_part
     return spark
 
 
+# A table planned at no more than this many bytes may be dealt to all cores before text work.
+SPREAD_BYTES = 64 << 20
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """Read one driver table.
 
-    Text work is CPU-bound per row.  An input stored as fewer files than the
-    cluster has cores (a small table, e.g. one file with one row group) would
-    be tokenised by a handful of tasks, so it is spread round-robin; a large
-    input already arrives as many splits and is left alone (no shuffle).
+    Parallelism comes from the scan's splits.  A small table (one file with
+    one row group is a single split) is dealt round-robin to all cores, since
+    text work is CPU-bound; the size is taken from the plan's statistics, so
+    no more than ``SPREAD_BYTES`` is ever shuffled for it.
     """
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if len(df.inputFiles()) < cores:
-            df = df.repartition(cores)
+    if spread and int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= SPREAD_BYTES:
+        df = df.repartition(spark.sparkContext.defaultParallelism)
     return df
 
 
@@ -126,12 +130,27 @@ def attach_scalars(df: DataFrame, agg_df: DataFrame) -> DataFrame:
     return df
 
 
-# Largest model table (vocabulary, merge list) shipped whole to every task.
-BROADCAST_MAX_ROWS = 2_000_000
+# Largest model table (vocabulary, merge list, counts) shipped whole to every task.
+BROADCAST_MAX_BYTES = 64 << 20
+
+
+def bounded_broadcast(df: DataFrame, n_rows: int, row_bytes: int = 64, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint only for a table whose size is known and under the bound; else a shuffle join follows."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if n_rows * row_bytes <= max_bytes else df
 
 
-def bounded_broadcast(df: DataFrame, n_rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only for a table whose row count is known and under the bound."""
+def with_rank(df: DataFrame, *order, name: str = "rank") -> DataFrame:
+    """``df`` with 0, 1, 2, ... by ``order``: a range sort, then offsets from the partitions' counts (no one-task window)."""
     from pyspark.sql import functions as F
 
-    return F.broadcast(df) if n_rows <= max_rows else df
+    placed = cut_lineage(df.orderBy(*order)).withColumn(name, F.monotonically_increasing_id())
+    part = F.shiftright(name, 33)
+    before, total = {}, 0
+    for p, n in sorted(placed.groupBy(part.alias("p")).count().collect()):
+        before[p], total = total, total + n
+    if not before:
+        return placed
+    offset = F.element_at(F.create_map(*[F.lit(x).cast("long") for kv in before.items() for x in kv]), part)
+    return placed.withColumn(name, offset + F.col(name).bitwiseAND(F.lit((1 << 33) - 1)))

@@ -2,8 +2,7 @@
 
 The reference has no streams.  What carries over unchanged are the per-row
 operators: whitespace / code tokenising (C1-C3) and the per-row BPE encode,
-which needs no shuffle (merges fold per occurrence, vocabulary lookup is a
-model-sized literal).  Aggregating operators are batch jobs over the sink.
+which needs no shuffle (an Arrow UDF with the broadcast merge list).  Aggregating operators are batch jobs over the sink.
 """
 
 from __future__ import annotations
