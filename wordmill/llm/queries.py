@@ -48,7 +48,24 @@ def op2(spark, sf_dir):
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
-@query("op3_benchmark_decontamination")
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SQL_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@query("op3_benchmark_decontamination", f"""
+WITH item AS (SELECT item_id, {SQL_WORDS} AS w FROM benchmark),
+sized AS (SELECT item_id, w, least(13, len(w)) AS size FROM item WHERE len(w) > 0),
+wanted AS (SELECT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM sized)),
+doc AS (SELECT doc_id, {SQL_WORDS} AS w FROM documents),
+place AS (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM doc, (SELECT DISTINCT size FROM sized) WHERE len(w) >= size),
+met AS (SELECT DISTINCT p.doc_id, p.i, p.size, wanted.item_id FROM (SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS g FROM place) p
+        JOIN wanted ON wanted.size = p.size AND wanted.g = p.g),
+hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS k FROM met) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM met) GROUP BY doc_id)
+SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+""")
 def op3(spark, sf_dir):
     hits = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
     items = F.array_compact(F.array_distinct(F.transform("phrases", lambda p: p["item_id"])))
@@ -63,7 +80,17 @@ def op4(spark, sf_dir):
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
-@query("op5_substring_dedup")
+@query("op5_substring_dedup", """
+WITH doc AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM doc WHERE len(w) >= 13)),
+seen AS (SELECT g, min(doc_id) AS first_id FROM win GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS k FROM win JOIN seen USING (g) WHERE doc_id > first_id),
+word AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS k FROM doc)
+SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM doc LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) g ON g.doc_id = doc.doc_id
+LEFT JOIN (SELECT word.doc_id, string_agg(x, ' ' ORDER BY word.k) AS kept FROM word LEFT JOIN gone ON gone.doc_id = word.doc_id AND gone.k = word.k
+           WHERE gone.k IS NULL GROUP BY word.doc_id) t ON t.doc_id = doc.doc_id
+""")
 def op5(spark, sf_dir):
     cut = dedup_substrings(table(spark, sf_dir, "documents"), window=13)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -105,7 +132,7 @@ def op9(spark, sf_dir):
 WITH RECURSIVE usable AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 link AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
   WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
