@@ -95,7 +95,7 @@ def test_bleu(spark, ref, hyp, want):
 def test_lm_encode_decode_truncate(spark):
     docs = spark.createDataFrame([(1, "a b a c"), (2, "a a"), (3, "")], "doc_id long, text string")
     vocab = lm.lm_vocab(docs, "text", min_freq=2)
-    assert vocab.token_to_id == {"<PAD>": 0, "<UNK>": 1, "<BOS>": 2, "<EOS>": 3, "a": 4}
+    assert {r["token"]: r["id"] for r in vocab.df().collect()} == {"<PAD>": 0, "<UNK>": 1, "<BOS>": 2, "<EOS>": 3, "a": 4}
     enc = lm.lm_encode(docs, "text", vocab)
     got = {r["doc_id"]: r["ids"] for r in enc.collect()}
     assert got == {1: [2, 4, 1, 4, 1, 3], 2: [2, 4, 4, 3], 3: [2, 3]}
@@ -110,7 +110,7 @@ def test_ngram_argmax_matches_brute_force(spark):
     vocab = lm.lm_vocab(docs, "text", min_freq=2)
     enc = lm.lm_encode(docs, "text", vocab)
     model = lm.train_ngram_lm(enc, ["doc_id"], len(vocab))
-    best3, best2, top_w = lm.argmax_tables(model)
+    best3, top_w = model.best3, model.top_w
     l3, l2, l1, _ = model.lambdas
     tri = {(r["c2"], r["c1"], r["w"]): r["n3"] for r in model.tri.collect()}
     bi, ctx1, ctx2 = {}, {}, {}

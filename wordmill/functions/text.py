@@ -52,6 +52,7 @@ def normalize_code_literals(col) -> Column:
     Quoted literals may span lines (the negated class matches newlines).
     """
     c = _c(col)
+    # The patterns and their order must equal the reference's.
     c = F.regexp_replace(c, r"(?U)\b\d+\.\d+\b", NUM_TOKEN)
     c = F.regexp_replace(c, r"(?U)\b\d+\b", NUM_TOKEN)
     c = F.regexp_replace(c, r'"[^"]*"', STR_TOKEN)
@@ -87,6 +88,7 @@ def distinct_char_pairs(col) -> Column:
     return F.when(n >= 2, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
 
 
+# The wording of both prompts must equal the reference's.
 def summary_prompt(name, tokens, n_tokens: int = 100, hint=None) -> Column:
     """C7 (first prompt): ``Summarize function {name or ''}: `` + first n tokens + hint."""
     nm = F.coalesce(_c(name).cast("string"), F.lit(""))

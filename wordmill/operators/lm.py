@@ -90,10 +90,10 @@ def lm_encode(df: DataFrame, col: str, vocab: LmVocab, key: str | list[str] = "d
     """
     keys = [key] if isinstance(key, str) else list(key)
     spark = df.sparkSession
-    occ = df.select(*keys, F.posexplode(whitespace_tokens(col)).alias("k", "token"))
+    occ = df.select(*keys, F.posexplode(whitespace_tokens(col)).alias("_k", "token"))
     v = bounded_broadcast(vocab.df(spark), len(vocab))
     ids = (occ.join(v, "token", "left").groupBy(*keys)
-           .agg(F.array_sort(F.collect_list(F.struct("k", F.coalesce("id", F.lit(UNK_ID)).alias("id")))).alias("p")))
+           .agg(F.array_sort(F.collect_list(F.struct("_k", F.coalesce("id", F.lit(UNK_ID)).alias("id")))).alias("p")))
     body = F.coalesce(F.transform("p", lambda x: x["id"]), F.array().cast("array<int>"))
     full = F.concat(F.array(F.lit(BOS_ID)), body, F.array(F.lit(EOS_ID)))
     return df.select(*keys, *keep).join(ids, keys, "left").select(*keys, *keep, full.alias(out))
@@ -104,10 +104,10 @@ def lm_decode(df: DataFrame, ids_col: str, vocab: LmVocab, key: str | list[str]
     """Ids -> words joined by spaces; BOS/EOS/PAD dropped, unknown ids -> <UNK> (join form)."""
     keys = [key] if isinstance(key, str) else list(key)
     spark = df.sparkSession
-    occ = df.select(*keys, F.posexplode(ids_col).alias("k", "id")).where(~F.col("id").isin(BOS_ID, EOS_ID, PAD_ID))
+    occ = df.select(*keys, F.posexplode(ids_col).alias("_k", "id")).where(~F.col("id").isin(BOS_ID, EOS_ID, PAD_ID))
     v = bounded_broadcast(vocab.df(spark), len(vocab))
     words = (occ.join(v, "id", "left").groupBy(*keys)
-             .agg(F.array_sort(F.collect_list(F.struct("k", F.coalesce("token", F.lit(UNK)).alias("t")))).alias("p")))
+             .agg(F.array_sort(F.collect_list(F.struct("_k", F.coalesce("token", F.lit(UNK)).alias("t")))).alias("p")))
     text = F.coalesce(F.array_join(F.transform("p", lambda x: x["t"]), " "), F.lit(""))
     return df.join(words.select(*keys, text.alias(out)), keys, "left") \
         .withColumn(out, F.coalesce(F.col(out), F.lit("")))

@@ -44,8 +44,8 @@ def q_b5(spark, sf):
 # ---------------------------------------------------------------- D: BPE
 
 BPE_VOCAB = 150          # budget = 150 - (104 base + corpus characters); DuckDB follows it merge by merge
-BPE_LARGE = 1000         # a training beyond what the SQL can follow
-SWEEP = (300, 600, 1000)
+BPE_LARGE = 5000         # a training beyond what the SQL can follow
+SWEEP = (1000, 3000, 5000)
 _MODELS: dict = {}
 
 
@@ -112,7 +112,7 @@ def q_d8(spark, sf):
                                                         "lhs", "rhs", "pair_count")
 
 
-@register("d8_train_bpe_1000")
+@register("d8_train_bpe_5000")
 def q_d8l(spark, sf):
     return bpe_model(spark, sf, BPE_LARGE).merges_df(spark).select(F.col("rank").cast("long").alias("rank"), "lhs", "rhs", "pair_count")
 

@@ -12,7 +12,11 @@ CORPUS_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True)
 
 def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None,
                 required=()) -> DataFrame:
-    """A1: load the corpus; CSV is read with a header and quoted multi-line fields."""
+    """A1: load the corpus; CSV is read with a header and quoted multi-line fields.
+
+    Quoted newlines make a CSV file unsplittable, so each file is one task:
+    keep large corpora in many files, or convert them to parquet once.
+    """
     if fmt == "csv":
         r = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
         df = r.schema(schema).csv(path) if schema is not None else r.csv(path)
