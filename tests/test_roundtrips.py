@@ -102,6 +102,14 @@ def test_nearest_blocks_give_the_same_answer(spark):
     assert sorted((r["query"], r["rank"], r["word"]) for r in whole.collect()) == sorted((r["query"], r["rank"], r["word"]) for r in blocks.collect())
 
 
+def test_completion_with_unknown_words_only(spark):
+    v = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0]), ("c", [1.0, 0.1])], "word string, vector array<double>")
+    lost = spark.createDataFrame([("s", ["zz", "yy"])], "id string, tokens array<string>")
+    assert tuple(vectors.completion_accuracy(lost, v).first()) == (0.0, 1)
+    known = spark.createDataFrame([("s", ["a", "c"]), ("t", ["a", "b"]), ("u", ["a"])], "id string, tokens array<string>")
+    assert tuple(vectors.completion_accuracy(known, v).first()) == (0.5, 2)
+
+
 def test_consistency_sees_a_faulty_encoder(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "low lower newest"), (2, "low"), (3, ""), (4, None)], "doc_id long, text string")
     model = bpe.model_from_merges(None, [("l", "o", 3), ("lo", "w", 3)])
