@@ -8,6 +8,7 @@ trained on, combined there, and applied to all documents.
 
 from __future__ import annotations
 
+import pickle
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.llm.common import ALNUM, fresh_name
+from wordmill.llm.common import ALNUM, fresh_name, settle
 from wordmill.llm.logit import fit_line, fit_softmax, scores_of
 
 # Labelled and unlabelled documents that a model is fitted on at most (chosen by hash; their whole texts are used).
@@ -27,6 +28,7 @@ ROUNDS, PSEUDO_LABELS, CONFIDENCE = 3, 300, 0.98
 # A feature needs this many documents, and this z of its rate among good and bad ones.
 MIN_DOCS, MIN_Z = 4, 2.5
 FOLDS = 5  # one of them calibrates
+WORDS_FROM = 10_000  # word features are hashes from here on; below are the bins of the style measures
 STYLE_BINS = 16
 L2 = 0.3
 KEEP_AT = 0.5
@@ -103,26 +105,25 @@ def calibrated(scores: np.ndarray, line: np.ndarray) -> np.ndarray:
     return np.clip(scores * line[0] + line[1], -30, 30)
 
 
-def select_features(sets: list[np.ndarray], labels: np.ndarray) -> dict[int, int]:
-    """Features whose rate differs between good and bad documents, numbered."""
-    flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    names, inverse = np.unique(flat, return_inverse=True)
-    good = np.bincount(inverse, labels[owner], len(names))
-    every = np.bincount(inverse, minlength=len(names))
-    n1, n0 = max(1, labels.sum()), max(1, len(labels) - labels.sum())
-    rate = every / (n1 + n0)
-    z = np.abs(good / n1 - (every - good) / n0) / np.sqrt(np.maximum(rate * (1 - rate) * (1 / n1 + 1 / n0), 1e-12))
-    kept = names[(every >= MIN_DOCS) & (z >= MIN_Z)]
-    return {int(f): i for i, f in enumerate(kept)}
+def select_features(sample: DataFrame) -> dict[int, int]:
+    """Word features whose rate differs between good and bad training documents, numbered; counted by Spark."""
+    train = sample.where("good is not null and fold <> 0")
+    total = train.agg(F.sum("good").alias("n1"), F.count(F.lit(1)).alias("n")).first()
+    n1, n0 = float(total.n1 or 1), float(max(1, total.n - (total.n1 or 0)))
+    counts = train.select("good", F.explode("words").alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("every"), F.sum("good").alias("pro"))
+    rate = F.col("every") / (n1 + n0)
+    gap = F.abs(F.col("pro") / n1 - (F.col("every") - F.col("pro")) / n0)
+    z = gap / F.sqrt(F.greatest(rate * (1 - rate) * (1 / n1 + 1 / n0), F.lit(1e-12)))
+    kept = counts.where((F.col("every") >= MIN_DOCS) & (z >= MIN_Z)).select("f").collect()
+    return {f: i for i, f in enumerate(sorted(r[0] for r in kept))}
 
 
 def numbered(sets: list[np.ndarray], index: dict[int, int]) -> list[np.ndarray]:
     return [np.array(sorted({index[f] for f in s.tolist() if f in index}), np.int64) for s in sets]
 
 
-def sample_features(docs: DataFrame, labels: DataFrame, max_labelled: int, max_pool: int) -> pd.DataFrame:
-    """Features of the bounded sample: ``good`` is 1, 0 or null (unlabelled pool).
+def sample_features(docs: DataFrame, labels: DataFrame, max_labelled: int, max_pool: int) -> DataFrame:
+    """Features of the bounded sample, settled: ``good`` is 1, 0 or null (unlabelled pool), fold 0 calibrates.
 
     A document is good if its quality is 1 and it is not toxic; of several
     labels the worst counts; null labels are none.
@@ -141,15 +142,14 @@ def sample_features(docs: DataFrame, labels: DataFrame, max_labelled: int, max_p
             rows = []
             for i, lang, source, n_chars, raw, g in zip(*(c.to_pylist() for c in b.columns)):
                 words, styles = text_view(raw or b"")
-                features = sorted({f for w in words for f in word_features(w)})
-                rows.append((i, g, np.array(features, np.uint32).tobytes(), styles, [zlib.crc32(m) for m in meta_view(lang, source, n_chars, raw or b"")]))
-            cols = list(zip(*rows)) if rows else [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.int64())))],
-                                             ["doc_id", "good", "words", "styles", "meta"])
+                features = sorted({f + WORDS_FROM for w in words for f in word_features(w)})
+                rows.append((i, g, zlib.crc32(f"{SEED}:{i}".encode()) % FOLDS, features, styles, [zlib.crc32(m) for m in meta_view(lang, source, n_chars, raw or b"")]))
+            cols = list(zip(*rows)) if rows else [()] * 6
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["doc_id", "good", "fold", "words", "styles", "meta"])
 
     columns = mine.select("doc_id", "lang", "source", "n_chars", "raw", "good")
-    found = columns.mapInArrow(run, "doc_id bigint, good int, words binary, styles array<double>, meta array<bigint>").toPandas()
-    return found.sort_values("doc_id", kind="stable", ignore_index=True)
+    return settle(columns.mapInArrow(run, "doc_id bigint, good int, fold int, words array<bigint>, styles array<double>, meta array<bigint>"))
 
 
 def view_columns(docs: DataFrame) -> DataFrame:
@@ -159,22 +159,44 @@ def view_columns(docs: DataFrame) -> DataFrame:
 
 def co_train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL, rounds: int = ROUNDS,
              pseudo_labels: int = PSEUDO_LABELS, confidence: float = CONFIDENCE) -> CoTrained | None:
-    """Fit both views; None if the labels do not hold both good and bad documents."""
-    sample = sample_features(docs, labels, max_labelled, max_pool)
-    good = sample["good"].to_numpy(np.float64)
+    """Fit both views; None if the labels do not hold both good and bad documents.
+
+    The corpus is read once for the features of the bounded sample, features
+    are counted and selected by Spark, and one task fits the model, so only
+    the finished model comes to the driver.
+    """
+    stored = sample_features(docs, labels, max_labelled, max_pool)
+    index = select_features(stored)
+    names = set(index)
+    known_words = F.pandas_udf(lambda rows: rows.map(lambda w: [f for f in w.tolist() if f in names]), "array<bigint>")
+    sample = stored.withColumn("words", known_words("words"))
+
+    def fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [f for f in frames if len(f)]
+        if parts:
+            model = fit_views(pd.concat(parts), index, rounds, pseudo_labels, confidence)
+            yield pd.DataFrame({"model": [pickle.dumps(model)]})
+
+    found = sample.repartition(1).mapInPandas(fit, "model binary").first()  # the sample is bounded
+    return pickle.loads(found[0]) if found else None
+
+
+def fit_views(sample: pd.DataFrame, index: dict[int, int], rounds: int, pseudo_labels: int, confidence: float) -> CoTrained | None:
+    """The co-training proper, on the features of the sample."""
+    sample = sample.sort_values("doc_id", kind="stable", ignore_index=True)
+    good, fold = sample["good"].to_numpy(np.float64), sample["fold"].to_numpy(np.int64)
     known = np.flatnonzero(~np.isnan(good))
-    fold = np.array([zlib.crc32(f"{SEED}:{i}".encode()) % FOLDS for i in sample["doc_id"]], np.int64)
     train, held = known[fold[known] != 0], known[fold[known] == 0]
     if len(set(good[train])) < 2 or len(set(good[held])) < 2:
         return None
     styles = np.array(sample["styles"].tolist(), np.float64)
     edges = np.quantile(styles[known], np.linspace(0, 1, STYLE_BINS + 1)[1:-1], axis=0).T
-    words = [np.frombuffer(w, np.uint32).astype(np.int64) + 10_000 for w in sample["words"]]  # below: style bins
     model = CoTrained(edges, {}, np.empty(0), {}, np.empty(0), {}, np.empty(0), [])
-    text = [np.r_[w, model.style_features(s)] for w, s in zip(words, styles)]
+    text = [np.array([*w, *model.style_features(s)], np.int64) for w, s in zip(sample["words"], styles)]
     meta = [np.array(m, np.int64) for m in sample["meta"]]
     as_int = np.nan_to_num(good).astype(np.int64)
-    model.text_index = select_features([text[i] for i in train], as_int[train])
+    bins = [s * 100 + b for s in range(len(STYLES)) for b in range(STYLE_BINS)]
+    model.text_index = {f: i for i, f in enumerate([*bins, *index])}
     model.meta_index = {int(f): i for i, f in enumerate(np.unique(np.concatenate(meta)))}
     views = {"text": numbered(text, model.text_index), "meta": numbered(meta, model.meta_index)}
     size = {"text": len(model.text_index), "meta": len(model.meta_index)}
@@ -230,7 +252,7 @@ def quality_column(docs: DataFrame, model: CoTrained | None) -> Column:
                     if f is None:
                         if len(memo) > 300_000:  # only a memory of look-ups
                             memo.clear()
-                        f = memo[w] = tuple(model.text_index[x + 10_000] for x in word_features(w) if x + 10_000 in model.text_index)
+                        f = memo[w] = tuple(model.text_index[x + WORDS_FROM] for x in word_features(w) if x + WORDS_FROM in model.text_index)
                     if f:
                         hits.update(f)
                 hits.update(model.text_index[f] for f in model.style_features(styles) if f in model.text_index)
