@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 # Words of the anchor; longer anchors occur less often but share fewer suffixes.
 ANCHOR = 4
 # Words that a map task gathers before it ships its spans.
-BATCH_WORDS = 1_500_000
+BATCH_WORDS = 1_000_000
 # Bytes of text that a partition of spans, and a bucket of documents in the last step, stand for.
-PARTITION_BYTES = 12_000_000
+PARTITION_BYTES = 8_000_000
 # Bytes of text that a map task packs into blocks by bucket.
 PACK_BYTES = 12_000_000
 # Suffixes of one subtree.
