@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from wordmill.llm.common import ALNUM, settle
 
 # Words of one index segment (a longer document gets a segment of its own).
-SEGMENT_WORDS = 400_000
+SEGMENT_WORDS = 250_000
 # Bytes of benchmark text that are sent to the segments at a time.
 BLOCK_BYTES = 16_000_000
 # Candidate alignments that a search step holds at a time.

@@ -49,11 +49,11 @@ class Rows:
     def __init__(self, rows: list[np.ndarray], features: int):
         size = np.array([len(r) for r in rows], np.int64)
         self.n, self.features = len(rows), features
-        self.flat = np.concatenate(rows).astype(np.int64) if size.sum() else np.empty(0, np.int64)
+        self.flat = np.concatenate(rows).astype(np.int32) if size.sum() else np.empty(0, np.int32)
         self.filled = np.flatnonzero(size)
         self.start = (np.cumsum(size) - size)[self.filled]
         by_feature = np.argsort(self.flat, kind="stable")
-        self.owner = np.repeat(np.arange(len(rows)), size)[by_feature]
+        self.owner = np.repeat(np.arange(len(rows), dtype=np.int32), size)[by_feature]
         self.used, self.begin = np.unique(self.flat[by_feature], return_index=True)
 
     def times(self, weights: np.ndarray) -> np.ndarray:

@@ -119,7 +119,7 @@ def select_features(sample: DataFrame) -> dict[int, int]:
 
 
 def numbered(sets: list[np.ndarray], index: dict[int, int]) -> list[np.ndarray]:
-    return [np.array(sorted({index[f] for f in s.tolist() if f in index}), np.int64) for s in sets]
+    return [np.array(sorted({index[f] for f in s.tolist() if f in index}), np.int32) for s in sets]
 
 
 def sample_features(docs: DataFrame, labels: DataFrame, max_labelled: int, max_pool: int) -> DataFrame:
@@ -175,6 +175,8 @@ def co_train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLE
         parts = [f for f in frames if len(f)]
         if parts:
             model = fit_views(pd.concat(parts), index, rounds, pseudo_labels, confidence)
+            parts.clear()
+            pa.default_memory_pool().release_unused()
             yield pd.DataFrame({"model": [pickle.dumps(model)]})
 
     found = sample.repartition(1).mapInPandas(fit, "model binary").first()  # the sample is bounded
@@ -208,7 +210,9 @@ def fit_views(sample: pd.DataFrame, index: dict[int, int], rounds: int, pseudo_l
         rows = list(taught[view])
         weights[view] = fit_softmax([views[view][i] for i in rows], np.array([taught[view][i] for i in rows]), size[view], 2, l2=L2,
                                     start=weights.get(view))
-        score[view] = margin(scores_of(views[view], weights[view]))
+        score[view] = np.zeros(len(good))
+        for part in (held, pool):  # only these are ever asked for
+            score[view][part] = margin(scores_of([views[view][i] for i in part.tolist()], weights[view])) if len(part) else 0.0
         model.platt[view] = fit_line(score[view][held], good[held])
 
     for r in range(rounds + 1):
