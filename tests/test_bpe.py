@@ -4,8 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from brute import bpe_segment, bpe_train
-from conftest import SF001
+from brute import SF001, bpe_segment, bpe_train
 from wordmill.operators import bpe
 
 FIXTURE = {"low": 5, "lower": 2, "newest": 6, "widest": 3}

@@ -3,7 +3,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from brute import SF001
 from wordmill.operators import bpe
 from wordmill.streaming import encode_stream
 
