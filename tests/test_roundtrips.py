@@ -93,6 +93,17 @@ def test_approximate_neighbours_recall(spark):
     assert len(exact & near) / len(exact) >= 0.9
 
 
+def test_approximate_neighbours_recall_without_clusters(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=32).tolist()) for i in range(600)] + [(600 + i, [1.0] * 32) for i in range(30)]
+    v = spark.createDataFrame(rows, "word long, vector array<double>")
+    of = lambda df: {(r["query"], r["word"]) for r in df.collect()}
+    exact = of(vectors.most_similar(v.select("word"), v, 10))
+    for options in ({}, {"query_block": 100, "vector_block": 90}):
+        near = of(vectors.most_similar_approx(v.select("word"), v, 10, **options))
+        assert len(near) == len(exact) and len(exact & near) / len(exact) >= 0.9
+
+
 def test_nearest_blocks_give_the_same_answer(spark):
     rng = np.random.default_rng(5)
     v = spark.createDataFrame([(i, rng.normal(size=6).tolist()) for i in range(90)], "word long, vector array<double>")
