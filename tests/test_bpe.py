@@ -112,3 +112,28 @@ def test_truncated_model_is_the_smaller_training(spark):
     large = bpe.train_bpe(docs, "text", vocab_size=260)
     small = bpe.train_bpe(docs, "text", vocab_size=200)
     assert large.truncated(len(small.merges)).vocab == small.vocab and large.merges[:len(small.merges)] == small.merges
+
+
+def test_real_sizes_are_registered_and_the_sweep_has_every_metric(spark, monkeypatch):
+    from wordmill.operators import tokeval
+    from wordmill.plans import queries
+
+    assert queries.SWEEP == (1000, 3000, 5000) and {"d8_train_bpe_5000", "d9_train_bpe_per_corpus_5000"} <= set(queries.QUERIES)
+    assert queries.BPE_LARGE == 5000 and set(queries.D9_LARGE.values()) == {5000}
+    docs = spark.createDataFrame([(1, "low lower newest"), (2, "low")], "doc_id long, text string")
+    monkeypatch.setattr(queries, "_docs", lambda *_: docs)
+    groups = {(r["vocab_size"], r["metric_group"]) for r in queries.q_d10(spark, "sweep of a toy table").collect()}
+    assert groups == {(n, m) for n in queries.SWEEP for m in tokeval.ADVANCED_METRICS}
+
+
+def test_large_models_per_corpus_equal_brute_force(spark):
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(160)]
+    freqs = {c: {w: rng.randint(1, 9) for w in words[i * 30:100 + i * 30]} for i, c in enumerate(("code", "doc"))}
+    df = spark.createDataFrame([(c, w, f) for c in freqs for w, f in freqs[c].items()], "corpus string, word string, freq long")
+    models = bpe.train_bpe_keyed(df, {"code": 5000, "doc": 5000})
+    for c in freqs:
+        assert len(models[c].merges) > 250 and models[c].merges == bpe_train(freqs[c], 5000)
+    asked = spark.createDataFrame([(w,) for w in words + ["a" * 300, "\u0001a</w>", ""]], "word string")
+    want = {r["word"]: r["ids"] for r in bpe.encode_words(asked, models["doc"]).collect()}
+    assert {r["word"]: r["ids"] for r in bpe.encode_words_native(asked, models["doc"]).collect()} == want

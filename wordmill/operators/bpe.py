@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..functions.literals import pair_array_lit
 from ..functions.text import whitespace_tokens
-from ..session import bounded_broadcast, cut_lineage
+from ..session import cut_lineage, drop_superseded
 
 SEP = "\u0001"
 EOW = "</w>"
@@ -199,6 +199,8 @@ def _merge_expr(sym: F.Column, merges) -> F.Column:
 
 # Pairs that a round looks at per corpus.
 TOP_PAIRS = 1000
+# Rounds after which superseded checkpoints are dropped.
+CLEAN_EVERY = 8
 
 
 def certain_merges(ranked: list[tuple[str, str, int]], complete: bool, most: int) -> list[tuple[str, str, int]]:
@@ -275,7 +277,11 @@ def train_bpe_keyed(freqs: DataFrame, vocab_sizes: dict[str, int], specials=None
     words = cut_lineage(init_symbols(freqs).select("corpus", "sym", "freq"))
     counts = cut_lineage(pair_rows(words, keys=["corpus"]).groupBy("corpus", "lhs", "rhs").agg(F.sum("w").cast("long").alias("n")))
     open_ = {c for c in models if budget[c]}
+    rounds = 0
     while open_:
+        rounds += 1
+        if rounds % CLEAN_EVERY == 0:
+            drop_superseded(spark)
         live = counts.where(F.col("corpus").isin(sorted(open_)))
         found = {}
         for corpus in sorted(open_):
@@ -366,12 +372,34 @@ def encode_words(words: DataFrame, model: BpeModel, word_col: str = "word") -> D
 
 
 def encode_words_native(words: DataFrame, model: BpeModel, word_col: str = "word") -> DataFrame:
-    """D11 by SQL string functions: every merge folded over the wrapped word, ids from a join.  Slow for large models;
-    an encoder of its own for E4 to compare with."""
-    seg = words.select(word_col, F.posexplode(symbols_of(_merge_expr(wrap_chars(word_col), model.merges))).alias("k", "token"))
-    ids = seg.join(bounded_broadcast(model.vocab_df(words.sparkSession), len(model.vocab)), "token", "left")
-    return ids.groupBy(word_col).agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("k", F.coalesce("id", F.lit(model.unk_id)).alias("id")))), lambda x: x["id"]).alias("ids"))
+    """D11 by literal string replacement: the merges folded in rank order over the wrapped word, ids looked up after.
+
+    An encoder of its own for E4 to compare with.  A merge can only apply where its spelling stands in the word, so of
+    each word only the merges spelled like one of its substrings are folded.
+    """
+    spelled = defaultdict(list)
+    for i, (lhs, rhs, *_) in enumerate(model.merges):
+        spelled[lhs + rhs].append(i)
+    shared = words.sparkSession.sparkContext.broadcast(
+        (dict(spelled), [merge_pattern(a, b) for a, b, *_ in model.merges], model.vocab, model.unk_id))
+
+    @F.pandas_udf("array<int>")
+    def fold(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        spelled, patterns, vocab, unk = shared.value
+        longest = max(map(len, spelled), default=0)
+
+        def ids(word: str) -> list[int]:
+            whole = word + EOW
+            due = {r for i in range(len(whole)) for j in range(i + 2, min(len(whole), i + longest) + 1) for r in spelled.get(whole[i:j], ())}
+            sym = "".join(SEP + escape(c) + SEP for c in word) + SEP + EOW + SEP
+            for r in sorted(due):
+                sym = sym.replace(*patterns[r])
+            return [vocab.get(unescape(t), unk) for t in sym[1:-1].split(SEP + SEP)]
+
+        for rows in batches:
+            yield rows.map(ids)
+
+    return words.select(word_col, fold(F.col(word_col)).alias("ids"))
 
 
 def encode(df: DataFrame, col: str, model: BpeModel, key: str | list[str] = "doc_id",
