@@ -47,3 +47,21 @@ def test_scan_numbers_paragraphs_and_handles_odd_rows(docs_of):
     got = sorted((str(r.doc_id), r.n_paragraphs, [(f.family, f.paragraph) for f in r.findings]) for r in scan_licences(docs_of(rows)).collect())
     assert got == [("1", 3, [("MIT", 1)]), ("1", 3, [("MIT", 1)]), ("2", 0, []), ("3", 0, []), ("4", 0, []), ("5", 2, [("GPL-3.0", 1)]), ("None", 1, [("Apache-2.0", 0)])]
     assert scan_licences(docs_of([])).count() == 0
+
+
+def test_notices_wrapped_over_lines(docs_of):
+    import textwrap
+
+    long = [(f, t) for f, ts in TEMPLATES.items() for t in ts if len(t.split()) >= 14]
+    assert {"MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL", "BSD", "ISC"} <= {f for f, _ in long}
+    rows, want = [], {}
+    for f, t in long:
+        for start, width in ((" * ", 78), ("# ", 45), ("", 60)):
+            body = "\n".join(start + line for line in textwrap.wrap(t, width))
+            rows.append((len(rows), f"tool header\nword of the day\n{body}\nint main is the start of the program\nplain end"))
+            want[rows[-1][0]] = [(f, 2)]
+    both = "\n".join(textwrap.wrap(TEMPLATES["MIT"][2], 70) + textwrap.wrap(TEMPLATES["Apache-2.0"][1], 70) + ["Licensed under CC BY 4.0."])
+    rows.append((len(rows), both))
+    out = {r.doc_id: [(x.family, x.paragraph) for x in r.findings] for r in scan_licences(docs_of(rows)).collect()}
+    assert [f for f, _ in out.pop(len(rows) - 1)] == ["MIT", "Apache-2.0", "CC-BY"]
+    assert out == want

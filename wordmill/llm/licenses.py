@@ -12,6 +12,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -142,6 +143,30 @@ def containment(words: list[bytes], template: list[bytes]) -> float:
     return len(ends) / max(1, len(want))
 
 
+def located(words: list[bytes], template: list[bytes]) -> tuple[int, int, int]:
+    """``containment`` as a number of pairs, and the places of the first and last word of that chain."""
+    at: dict[tuple, list[int]] = {}
+    for i, p in enumerate(zip(words, words[1:])):
+        at.setdefault(p, []).append(i)
+    ends: list[int] = []
+    tails: list[tuple] = []  # the chain to each end, as (place, chain before)
+    for p in zip(template, template[1:]):
+        for i in reversed(at.get(p, ())):
+            lo = bisect_left(ends, i)
+            link = (i, tails[lo - 1] if lo else None)
+            if lo == len(ends):
+                ends.append(i)
+                tails.append(link)
+            else:
+                ends[lo], tails[lo] = i, link
+    if not ends:
+        return 0, 0, 0
+    link = tails[-1]
+    while link[1]:
+        link = link[1]
+    return len(ends), link[0], ends[-1] + 1
+
+
 def variations(text: str, rng: random.Random, filler: list[str]) -> str:
     """One way in which a notice turns up: parts of other text around it, words lost, names and years added."""
     words = text.split()
@@ -164,6 +189,8 @@ class LicenceModel:
         rng = random.Random(SEED)
         self.families = ["none", "unknown", *TEMPLATES]
         self.templates = {f: [words_of(t.encode()) for t in TEMPLATES[f]] for f in TEMPLATES}
+        self.flat = [t for f in self.templates.values() for t in f]
+        self.occurrences = {w: np.array([t.count(w) for t in self.flat]) for w in {w for t in self.flat for w in t}}
         filler = sorted({w.decode("utf-8", "ignore") for p in ordinary for w in words_of(p)[:40]} | {w for t in ORDINARY for w in t.split()})
         texts, labels = [], []
 
@@ -200,6 +227,37 @@ class LicenceModel:
     def numbered(self, gram_set: set[int]) -> np.ndarray:
         return np.array(sorted(self.index[g] for g in gram_set if g in self.index), np.int64)
 
+    def wrapped(self, lines: list[list[bytes]]) -> list[tuple[int, int]]:
+        """Runs of neighbouring lines ``(first, last)`` over which a notice may be wrapped: they hold a template, no line alone."""
+        seen = set().union(*lines)
+        weight = sum((self.occurrences[w] for w in seen & self.occurrences.keys()), np.zeros(len(self.flat), np.int64))
+        # a chain of n pairs needs more than n of the template's words, wherever they stand
+        likely = [t for t, n in zip(self.flat, weight) if len(t) > 1 and n >= CONFIRM * (len(t) - 1)]
+        if len(lines) < 2 or not likely:
+            return []
+        words = [w for line in lines for w in line]
+        line_of = np.repeat(np.arange(len(lines)), [len(line) for line in lines])
+        pairs = [set(zip(t, t[1:])) for t in likely]
+        every = set().union(*pairs)
+        places = [(i, p) for i, p in enumerate(zip(words, words[1:])) if p in every]
+        runs = []
+        for template, mine in zip(likely, pairs):
+            at = np.array([i for i, p in places if p in mine], np.int64)
+            reach, need, done = len(template) + len(template) // 2 + 8, CONFIRM * (len(template) - 1), -1
+            within = np.searchsorted(at, at + reach) - np.arange(len(at))
+            for i in at[within >= need].tolist():
+                if i >= done:
+                    n, first, last = located(words[i:i + reach + 1], template)
+                    if n >= need:
+                        done = i + last
+                        runs.append((-n, i + first, i + last))
+        chosen: list[tuple[int, int]] = []  # where templates overlap, the one with most pairs
+        for _, first, last in sorted(runs):
+            if all(last < a or b < first for a, b in chosen):
+                chosen.append((first, last))
+        found = [(int(line_of[a]), int(line_of[b])) for a, b in sorted(chosen)]
+        return [(a, b) for a, b in found if a < b]
+
     def judge(self, paragraphs: list[list[bytes]]) -> list[tuple[str, float] | None]:
         """Family and probability of each paragraph; None if it is not about a licence."""
         rows = [self.numbered(grams(w)) for w in paragraphs]
@@ -233,6 +291,10 @@ FINDING = "array<struct<paragraph: int, family: string, probability: double>>"
 def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_paragraphs, findings)`` of every row; a paragraph is a line with words, numbered from 0.
 
+    A notice may also be wrapped over neighbouring lines: these are joined and
+    judged as one, and a confirmed family is one finding at its first line, in
+    place of what its lines gave alone.
+
     Whole texts are scanned.  A null or empty text has no paragraphs.  Repeated
     rows are scanned each.  An empty table gives an empty result.
     """
@@ -243,28 +305,36 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         model = shared.value
         for b in batches:
             owner, number, paragraphs, counts = [], [], [], []
-            found = [[] for _ in range(b.num_rows)]
+            found: list[dict[tuple[int, str], float]] = [{} for _ in range(b.num_rows)]
+            run_of, joined = [], []
 
             def flush():
                 for o, n, verdict in zip(owner, number, model.judge(paragraphs)):
                     if verdict:
-                        found[o].append({"paragraph": n, "family": verdict[0], "probability": verdict[1]})
+                        found[o][n, verdict[0]] = verdict[1]
                 owner.clear(), number.clear(), paragraphs.clear()
 
             for i, raw in enumerate(b.column(1)):
                 lines = re.split(rb"[\r\n]+", raw.as_buffer().to_pybytes()) if raw.is_valid else []
-                n = 0
-                for line in lines:
-                    words = words_of(line)
-                    if words:
-                        owner.append(i)
-                        number.append(n)
-                        paragraphs.append(words)
-                        n += 1
-                        if len(paragraphs) >= 2000:
-                            flush()
-                counts.append(n)
+                lines = [words for words in map(words_of, lines) if words]
+                counts.append(len(lines))
+                for first, last in model.wrapped(lines):
+                    run_of.append((i, first, last))
+                    joined.append([w for line in lines[first:last + 1] for w in line])
+                for n, words in enumerate(lines):
+                    owner.append(i)
+                    number.append(n)
+                    paragraphs.append(words)
+                    if len(paragraphs) >= 2000:
+                        flush()
             flush()
+            for (o, first, last), verdict in zip(run_of, model.judge(joined)):
+                if verdict and verdict[0] != "unknown":
+                    for n in range(first, last + 1):  # a line that is a notice of its own stays
+                        found[o].pop((n, "unknown"), None)
+                        found[o].pop((n, verdict[0]), None)
+                    found[o][first, verdict[0]] = verdict[1]
+            found = [[{"paragraph": n, "family": f, "probability": x[n, f]} for n, f in sorted(x)] for x in found]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64()), pa.array(found, kinds)], ["doc_id", "n_paragraphs", "findings"])
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("raw"))
