@@ -56,5 +56,36 @@ def test_similar_branches_merge_and_different_ones_do_not(spark):
     assert {tree[("k", (a,))] for a in "xyz"} == {"/{alike}"}
 
 
+COUNTS = "host string, shape array<string>, pages bigint, labelled bigint, bad bigint"
+
+
+def verdicts(spark, rows):
+    from wordmill.llm.urls import judge_templates
+
+    out = judge_templates(template_tree(spark.createDataFrame(rows, COUNTS))).collect()
+    assert len(out) == len(rows)
+    return {(r.host, tuple(r["shape"])): r.rejected for r in out}
+
+
+def test_rare_branches_keep_their_own_verdict(spark):
+    rows = [("h", ["big%d" % i, "x"], 100_000, 100, 0) for i in range(15)]
+    rows += [("h", ["spam"], 900, 300, 300), ("h", ["fine"], 900, 300, 0)]
+    rows += [("h", ["few%d" % i], 900, 0, 0) for i in range(20)]
+    # the only labels are bad ones that a rule gave to one branch, or to a few
+    rows += [("one", ["s%d" % i], 500, 0, 0) for i in range(60)] + [("one", ["de"], 300, 300, 300)]
+    rows += [("three", ["s%d" % i], 50, 0, 0) for i in range(200)] + [("three", [d], 50, 50, 50) for d in ("de", "at", "ch")]
+    out = verdicts(spark, rows)
+    assert {k for k, bad in out.items() if bad} == {("h", ("spam",)), ("one", ("de",)), *(("three", (d,)) for d in ("de", "at", "ch"))}
+
+
+def test_deep_branches_are_judged(spark):
+    way = ["d%d" % i for i in range(8)] + ["seg"] * 3000
+    rows = [("h", [*way, "spam"], 100, 100, 100), ("h", [*way, "fine"], 100, 100, 0), ("h", way, 10, 0, 0), ("h", [*way, "new", "y"], 10, 0, 0)]
+    rows += [("k", [*way, "a"], 100, 100, 0), ("k", [*way, "b"], 100, 10, 0), ("k", way[:8], 5, 0, 0)]
+    assert {k for k, bad in verdicts(spark, rows).items() if bad} == {("h", (*way, "spam"))}
+    tree = {tuple(r["shape"]): r.template for r in template_tree(spark.createDataFrame(rows, COUNTS)).where("host = 'h'").collect()}
+    assert tree[(*way, "spam")] == "/" + "/".join([*way, "spam"]) and tree[tuple(way)].startswith("/" + "/".join(way))
+
+
 def test_empty(spark):
     assert filter_urls(spark.createDataFrame([], "page_id bigint, url string"), URL_RULES).count() == 0

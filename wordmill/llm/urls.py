@@ -16,7 +16,7 @@ from wordmill.llm.common import settle
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-# Levels of the tree; deeper segments share the tail "**".
+# Levels that are always grown; deeper ones only where that can change a verdict, else they share the tail "**".
 DEPTH = 8
 # A child keeps its literal segment if it holds this share of its parent's pages, or its parent has few children.
 LITERAL_SHARE, FEW_CHILDREN = 0.02, 12
@@ -58,41 +58,85 @@ def shape_of(path: Column) -> Column:
         return F.coalesce(F.concat(kind, extension), s)
 
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
-    kept = F.transform(F.slice(segments, 1, DEPTH), shape)
-    return F.when(F.size(segments) > DEPTH, F.array_append(kept, F.lit("**"))).otherwise(kept)
+    return F.transform(segments, shape)
+
+
+NODE, SUMS = ["host", "template"], ("pages", "labelled", "bad")
+
+
+def grown(rows: DataFrame) -> DataFrame:
+    """``rows(host, template, segment, pages, labelled, bad)`` with each template one level longer, where there is a segment.
+
+    Labels come first: a child whose rate of bad labels differs from its
+    siblings' keeps its segment however rare it is (for rare children the
+    difference is smoothed by ``PRIOR``, so a stray label tells nothing), and
+    so does the only child with labels.  Of the others, a node's frequent
+    children that are alike become ``{alike}`` and its rare ones ``*``; a rare
+    child much more of which is labelled than of its siblings was not labelled
+    by chance, so it says nothing about them and joins ``{alike}``.
+    """
+    child = rows.where("segment is not null").groupBy(*NODE, "segment").agg(*[F.sum(c).alias(c) for c in SUMS])
+    parent = child.groupBy(*NODE).agg(F.count(F.lit(1)).alias("children"), *[F.sum(c).alias("all_" + c) for c in SUMS])
+    child = child.join(parent, NODE)
+    literal = (F.col("children") <= FEW_CHILDREN) | (F.col("pages") >= LITERAL_SHARE * F.col("all_pages"))
+
+    def apart(part: str, of: str) -> tuple[Column, Column]:
+        """The gap between the child's share and its siblings', and the error by which it is judged."""
+        part_all, of_all = F.col("all_" + part), F.col("all_" + of)
+        n, other = F.col(of), of_all - F.col(of)
+        share = part_all / of_all
+        gap = F.try_divide(F.col(part), n) - F.try_divide(part_all - F.col(part), other)
+        return gap, F.sqrt(share * (1 - share) * (F.try_divide(F.lit(1), n) + F.try_divide(F.lit(1), other)))
+
+    labelled = F.col("labelled") > 0
+    gap, error = apart("bad", "labelled")
+    alike = F.coalesce(labelled & ((gap == 0) | (F.abs(gap) <= SIMILAR_Z * error)), F.lit(False))
+    tells = labelled & F.coalesce(F.abs(gap) * F.col("labelled") / (F.col("labelled") + PRIOR) > SIMILAR_Z * error, F.lit(True))
+    more, chance = apart("labelled", "pages")
+    chosen = labelled & F.coalesce(more * F.col("pages") / (F.col("pages") + PRIOR) > SIMILAR_Z * chance, F.lit(False))
+    name = (F.when(literal, F.when(alike, F.lit("{alike}")).otherwise(F.col("segment")))
+            .when(tells, F.col("segment")).when(chosen, F.lit("{alike}")).otherwise(F.lit("*")))
+    child = child.select(*NODE, "segment", F.concat_ws("/", "template", name).alias("grown"))
+    return (rows.join(child, [*NODE, "segment"], "left")
+            .withColumn("template", F.coalesce("grown", "template")).drop("grown", "segment"))
 
 
 def template_tree(counts: DataFrame) -> DataFrame:
     """``(host, shape, template)`` for counts ``(host, shape, pages, labelled, bad)``.
 
-    Level by level, the children of each node are aggregated from the counts.
-    Rare children of a node with many become one wildcard.  Of the others,
-    those whose rate of bad labels does not differ from the node's are merged
-    into one branch; those that do, and those without labels, keep their
-    segment.  Nodes are keyed by host and template so far, so a hot host
-    spreads over its nodes.  Each level ends in a checkpoint.
+    Level by level, the children of each node are aggregated from the counts
+    and named by ``grown``.  Nodes are keyed by host and template so far, so a
+    hot host spreads over its nodes.  Each level ends in a checkpoint.  Below
+    ``DEPTH`` levels only nodes are grown whose verdict could differ inside:
+    some of their labels are bad, but not all their pages.  Such a node's
+    segments up to its first fork are taken in one step, so the number of
+    steps follows the forks and not the length of the paths.
     """
     rows = settle(counts.withColumn("template", F.lit("")))
     depth = rows.agg(F.max(F.size("shape"))).first()[0] or 0
-    node = ["host", "template"]
-    for level in range(depth):
-        rows = rows.withColumn("segment", F.get("shape", F.lit(level)))
-        sums = [F.sum(c).alias(c) for c in ("pages", "labelled", "bad")]
-        child = rows.where("segment is not null").groupBy(*node, "segment").agg(*sums)
-        parent = child.groupBy(*node).agg(F.count(F.lit(1)).alias("children"), *[F.sum(c).alias("all_" + c) for c in ("pages", "labelled", "bad")])
-        child = child.join(parent, node)
-        literal = (F.col("children") <= FEW_CHILDREN) | (F.col("pages") >= LITERAL_SHARE * F.col("all_pages"))
-        # the rest of the parent: what the child is compared with
-        other, other_bad = F.col("all_labelled") - F.col("labelled"), F.col("all_bad") - F.col("bad")
-        rate = F.col("all_bad") / F.col("all_labelled")
-        error = F.sqrt(rate * (1 - rate) * (1 / F.col("labelled") + 1 / other))
-        gap = F.abs(F.col("bad") / F.col("labelled") - other_bad / other)
-        alike = (F.col("labelled") > 0) & (other > 0) & ((gap == 0) | (gap <= SIMILAR_Z * error))
-        name = F.when(~literal, F.lit("*")).when(F.coalesce(alike, F.lit(False)), F.lit("{alike}")).otherwise(F.col("segment"))
-        child = child.select(*node, "segment", F.concat_ws("/", "template", name).alias("grown"))
-        rows = settle(rows.join(child, [*node, "segment"], "left")
-                      .withColumn("template", F.coalesce("grown", "template")).drop("grown", "segment"))
-    return rows
+    for level in range(min(depth, DEPTH)):
+        rows = settle(grown(rows.withColumn("segment", F.get("shape", F.lit(level)))))
+    if depth <= DEPTH:
+        return rows
+    rest = F.slice("shape", DEPTH + 1, F.greatest(F.size("shape") - DEPTH, F.lit(0)))
+    rows = rows.withColumn("rest", rest)
+    columns = [*counts.columns, "template"]
+    finished = rows.where(F.size("rest") == 0).select(*columns)
+    rows = settle(rows.where(F.size("rest") > 0))
+    while rows.take(1):
+        node = rows.groupBy(*NODE).agg(*[F.sum(c).alias("all_" + c) for c in SUMS], F.min("rest").alias("low"), F.max("rest").alias("high"))
+        mixed = (F.col("all_bad") > 0) & (F.col("all_bad") < F.col("all_pages")) & (F.col("low") != F.col("high"))
+        fork = F.array_position(F.zip_with("low", "high", lambda a, b: F.coalesce(a == b, F.lit(False))), False) - 1
+        rows = settle(rows.join(node.select(*NODE, F.when(mixed, fork.cast("int")).alias("fork")), NODE))
+        finished = finished.unionByName(rows.where("fork is null").withColumn("template", F.concat_ws("/", "template", F.lit("**"))).select(*columns))
+        rows = rows.where("fork is not null").withColumn("segment", F.get("rest", F.col("fork")))
+        shared = F.concat_ws("/", "template", F.array_join(F.slice("rest", F.lit(1), F.col("fork")), "/"))
+        rows = rows.withColumn("template", F.when(F.col("fork") > 0, shared).otherwise(F.col("template"))) \
+            .withColumn("rest", F.slice("rest", F.col("fork") + 2, F.greatest(F.size("rest") - F.col("fork") - 1, F.lit(0)))).drop("fork")
+        rows = settle(grown(rows))
+        finished = finished.unionByName(rows.where(F.size("rest") == 0).select(*columns))
+        rows = rows.where(F.size("rest") > 0)
+    return finished
 
 
 def judge_templates(tree: DataFrame, prior: float = PRIOR, purity: float = PURITY) -> DataFrame:
