@@ -90,3 +90,46 @@ def test_empty_tables(spark, docs_of):
     some = spark.createDataFrame([(1, "a b")], "item_id bigint, text string")
     assert contamination(docs_of([]), some).count() == 0
     assert [r.n_hit for r in contamination(docs_of([(1, None)]), some).collect()] == [0]
+
+
+def slow_near(docs, items, window=13, slop=3):
+    out = []
+    for i, text in docs:
+        words, near = slow_words(text), set()
+        for item, t in items:
+            w = slow_words(t)
+            size = min(window, len(w))
+            for s in range(len(w) - size + 1 if w else 0):
+                for p in range(-size - slop, len(words) + slop):
+                    held = sum(w[s + k] in words[max(0, p + k - slop):max(0, p + k + slop + 1)] for k in range(size))
+                    if 4 * held >= 3 * size:
+                        near.add(item)
+        out.append((str(i), sorted(str(x) for x in near)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("options", [{}, {"segment_words": 100, "block_bytes": 200}])
+def test_near_items_equal_brute_force(spark, docs_of, options):
+    rng = random.Random(5)
+    common = ["w%d" % i for i in range(40)]
+    items = [(i, " ".join(rng.choice([rng.choice(common), f"u{i}x{k}"]) for k in range(rng.choice([3, 9, 16, 30])))) for i in range(12)]
+    docs = []
+    for i in range(40):
+        w = slow_words(items[i % 12][1])
+        w = w[rng.randrange(4):]
+        for k in rng.sample(range(len(w)), min(len(w), rng.randrange(5))):
+            w[k] = rng.choice(["changed", w[k] + " inserted", ""])
+        docs.append((i, " ".join([*rng.choices(common, k=rng.randrange(20)), *w, *rng.choices(common, k=rng.randrange(20))])))
+    hits = contamination(docs_of(docs), spark.createDataFrame(items, "item_id bigint, text string"), **options)
+    assert sorted((str(r.doc_id), sorted(str(x) for x in r.near_items)) for r in hits.collect()) == slow_near(docs, items)
+
+
+def test_near_copy_between_strides_and_without_the_rarest_words(spark, docs_of, tmp_path):
+    words = ["word%d" % i for i in range(18)]
+    spark.createDataFrame([(1, " ".join(words))], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    late = [*words[5:9], "other", *words[10:18]]
+    docs = [(k, " ".join(["x", *(["other"] * (k > 0)), *["y" if j in range(k, k + 3) else w for j, w in enumerate(words[:13])], "z"])) for k in range(11)]
+    docs += [(50, "x x " + " ".join(late) + " y"), (51, " ".join(words[:9]))]
+    docs_of(docs).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.n_near, r.near_items) for r in LLM_QUERIES["op3_proximity_matches"](spark, str(tmp_path)).collect()}
+    assert got.pop(51) == (0, "") and set(got.values()) == {(1, "1")}

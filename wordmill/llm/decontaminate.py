@@ -9,6 +9,7 @@ term, however frequent, gathers in one task.
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
@@ -26,6 +27,10 @@ SEGMENT_WORDS = 250_000
 BLOCK_BYTES = 16_000_000
 # Candidate alignments that a search step holds at a time.
 STEP = 1_000_000
+# Share of a window's words that a near copy must hold, each within the slop of its place (10 of 13).
+NEAR_SHARE = 0.75
+# Windows whose words are ranked at a time.
+RANKED = 200_000
 # Rows of a list of doc_ids that may be broadcast (16 bytes each).
 BROADCAST_ROWS = 500_000
 
@@ -115,19 +120,11 @@ class Block:
         self.ids, self.length, self.window = ids, length, window
         self.near = self.near_windows()
 
-    def near_windows(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Every half window: its start and the offsets of its three rarest words (seldom in the block, then long)."""
-        used = self.words[self.words >= 0]
-        rare = np.bincount(used, minlength=len(self.terms)) * 1000 - np.minimum([len(t) for t in self.terms], 999)
-        weight = np.r_[rare, 0][self.words]
-        out = []
-        for size in np.unique(np.minimum(self.length, self.window)).tolist():
-            mine = np.flatnonzero(np.minimum(self.length, self.window) == size)
-            step = max(1, size // 2)
-            starts = np.concatenate([np.arange(f, f + n - size + 1, step) for f, n in zip(self.first[mine].tolist(), self.length[mine].tolist())])
-            view = np.lib.stride_tricks.sliding_window_view(weight, size)[starts]
-            out.append((starts, np.argsort(view, axis=1, kind="stable")[:, :3]))
-        return out
+    def near_windows(self) -> list[tuple[np.ndarray, int]]:
+        """The starts of all windows, by their length."""
+        size_of = np.minimum(self.length, self.window)
+        return [(np.concatenate([np.arange(f, f + n - size + 1) for f, n in zip(self.first[size_of == size].tolist(), self.length[size_of == size].tolist())]), size)
+                for size in np.unique(size_of).tolist()]
 
 
 def anchors(block: Block, freq: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray | None]]:
@@ -157,7 +154,7 @@ def search_segment(block: Block, terms, counts, positions, first, n_slots: int,
     want = local[block.words]  # -2 between texts, -3 for a term that the segment lacks; gaps of term_at are -1
     listed = np.cumsum(counts) - counts
     freq = np.where(want >= 0, counts[np.maximum(want, 0)], 0)
-    pad = block.window + slop
+    pad = block.window + 2 * slop
     term_at = np.full(n_slots + 2 * pad, -1, np.int64)
     term_at[positions + pad] = np.repeat(np.arange(len(terms)), counts)
     want = np.r_[np.full(pad, -2), want, np.full(pad, -2)]
@@ -179,7 +176,9 @@ def search_segment(block: Block, terms, counts, positions, first, n_slots: int,
                     reach[side, alive] = k
             whole = reach.sum(axis=0) + 1 >= size
             found.append((p[whole] - reach[0, whole], a[whole] - reach[0, whole], reach[:, whole].sum(axis=0) + 1))
-    near = [proximity(block, starts, order, freq, want, pad, listed, positions, term_at, first, slop) for starts, order in block.near]
+    text_at = np.full(n_slots + 2 * pad, -1, np.int64)
+    text_at[pad:pad + n_slots] = np.searchsorted(first, np.arange(n_slots), side="right")
+    near = [proximity(block, starts, size, freq, want, pad, listed, positions, term_at, text_at, slop) for starts, size in block.near]
     join = lambda parts, i: np.concatenate([x[i] for x in parts]) if parts else np.empty(0, np.int64)
     return maximal(block, *(join(found, i) for i in range(3))), [join(near, i) for i in range(2)]
 
@@ -199,30 +198,57 @@ def maximal(block: Block, slot: np.ndarray, place: np.ndarray, length: np.ndarra
     return slot[first], reached[last] - line[last] * span - slot[first], block.item_at[place[first]]
 
 
-def proximity(block, starts, order, freq, want, pad, listed, positions, term_at, first, slop):
-    """Windows whose three rarest words all lie within ``slop`` of their places relative to the rarest one."""
-    text_of = lambda x: np.searchsorted(first, x, side="right")
-    lead = starts + order[:, 0]
-    slots, items = [], []
-    for at in by_weight(np.arange(len(starts)), freq[lead], STEP):
-        n = freq[lead[at]]
-        if not n.any():
-            continue
-        w = np.repeat(at, n)
-        nth = np.arange(len(w)) - np.repeat(np.cumsum(n) - n, n)
-        p = positions[np.repeat(listed[np.maximum(want[lead[at] + pad], 0)], n) + nth].astype(np.int64)
-        for other in range(1, order.shape[1]):
-            shift = order[w, other] - order[w, 0]
-            term = want[starts[w] + order[w, other] + pad]
-            ok = np.zeros(len(w), bool)
-            for d in range(-slop, slop + 1):
-                met = np.flatnonzero(term_at[p + shift + d + pad] == term)
-                ok[met] |= text_of(p[met] + (shift + d)[met]) == text_of(p[met])
-            w, p = w[ok], p[ok]
-        slots.append(p)
-        items.append(block.item_at[starts[w]])
-    empty = [np.empty(0, np.int64)]
-    return np.concatenate(slots or empty), np.concatenate(items or empty)
+def proximity(block, starts, size, freq, want, pad, listed, positions, term_at, text_at, slop):
+    """Near matches ``(slot, item)``: ``NEAR_SHARE`` of a window's words lie within ``slop`` of their places on one alignment, in one text.
+
+    Of the words of a window so many may miss, and one more than these are its
+    leads, the rarest of the segment first: a match holds one of them, so every
+    alignment is met whichever words were changed, and the result does not
+    depend on the segment or the block.  A text and item met once are done.
+    """
+    need = math.ceil(NEAR_SHARE * size)
+    slots, items, seen = [np.empty(0, np.int64)], [np.empty(0, np.int64)], np.empty(0, np.int64)
+    for i in range(0, len(starts), RANKED):
+        begin = starts[i:i + RANKED]
+        count_of = np.lib.stride_tricks.sliding_window_view(freq, size)[begin]
+        enough = (count_of > 0).sum(axis=1) >= need
+        begin, count_of = begin[enough], count_of[enough]
+        order = np.argsort(count_of, axis=1, kind="stable")
+
+        def holds(w, at, text, reach):
+            """Which alignments (window, slot of its start) hold enough words within ``reach``; the rarest are tried first."""
+            misses, alive = np.zeros(len(w), np.int64), np.arange(len(w))
+            for k in range(size):
+                offset = order[w[alive], k]
+                term, place = want[begin[w[alive]] + offset + pad], at[alive] + offset + pad
+                hit = np.zeros(len(alive), bool)
+                for d in range(-reach, reach + 1):
+                    met = np.flatnonzero(term_at[place + d] == term)
+                    hit[met] |= text_at[place[met] + d] == text[alive[met]]
+                misses[alive] += ~hit
+                alive = alive[misses[alive] <= size - need]
+            return alive
+
+        for lead in range(size - need + 1):
+            offset = order[:, lead]
+            n_of = count_of[np.arange(len(begin)), offset]
+            for part in by_weight(np.arange(len(begin)), n_of, STEP):
+                n = n_of[part]
+                w = np.repeat(part, n)
+                nth = np.arange(len(w)) - np.repeat(np.cumsum(n) - n, n)
+                p = positions[np.repeat(listed[np.maximum(want[begin[part] + offset[part] + pad], 0)], n) + nth].astype(np.int64)
+                key = text_at[p + pad] * len(block.ids) + block.item_at[begin[w]]
+                keep = np.flatnonzero(~np.isin(key, seen))
+                # the lead may itself be out of place by the slop, so others by twice that from it
+                keep = keep[holds(w[keep], p[keep] - offset[w[keep]], text_at[p[keep] + pad], 2 * slop)]
+                for d in sorted(range(-slop, slop + 1), key=abs):
+                    keep = keep[~np.isin(key[keep], seen)]
+                    met = keep[holds(w[keep], p[keep] - offset[w[keep]] - d, text_at[p[keep] + pad], slop)]
+                    if len(met):
+                        slots.append(p[met])
+                        items.append(block.item_at[begin[w[met]]])
+                        seen = np.union1d(seen, key[met])
+    return np.concatenate(slots), np.concatenate(items)
 
 
 def by_weight(values: np.ndarray, weight: np.ndarray, most: int) -> Iterator[np.ndarray]:
@@ -282,7 +308,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, slop:
 
     ``phrases`` are the exact occurrences (word offsets) of item windows of
     ``window`` words, or of a whole shorter item; ``n_hit`` counts the words
-    inside any of them.  ``near_items`` are proximity matches.  A benchmark
+    inside any of them.  ``near_items`` are proximity matches of any of an
+    item's windows (see ``proximity``).  A benchmark
     that fits one block needs one pass.  A larger one is searched block by
     block over the stored index, and the blocks' hit bits are merged by row.
     Null texts and items have no words; a null item_id still marks hits.  An

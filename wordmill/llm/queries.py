@@ -74,6 +74,13 @@ def op3(spark, sf_dir):
                        contaminated(hits).alias("contaminated"))
 
 
+@query("op3_proximity_matches")
+def op3_near(spark, sf_dir):
+    hits = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
+    near = F.array_sort(F.array_distinct(F.array_compact("near_items")))
+    return hits.select("doc_id", F.size(near).cast("bigint").alias("n_near"), F.array_join(near.cast("array<string>"), ",").alias("near_items"))
+
+
 @query("op4_mix_sources")
 def op4(spark, sf_dir):
     mix = mix_sources(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, most=2.0)
