@@ -66,6 +66,11 @@ def battery(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     how improbable the statistics are for ordinary text: matches of symbols,
     changes of character class and the correlation of neighbours; it is small
     for random strings.
+
+    Excluded: strings inferred as decimal, and strings of one character class
+    only (digits, lower case or upper case alone).  Their uniformity p-value
+    is set to 0 whatever the tests say, so ``random`` never reports them, at
+    any length; the fixed patterns are not affected.
     """
     n = np.array([len(s) for s in strings], np.int64)
     raw = np.frombuffer("".join(strings).encode(), np.uint8)
