@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -10,6 +11,7 @@ from wordmill.llm.decontaminate import contaminated, contamination
 from wordmill.llm.embed_dedup import embedding_groups
 from wordmill.llm.licenses import scan_licences
 from wordmill.llm.mixing import mix_sources
+from wordmill.llm.packing import pack_documents
 from wordmill.llm.quality import score_quality
 from wordmill.llm.secrets import scan_secrets, span_list
 from wordmill.llm.simhash import simhash_groups
@@ -152,6 +154,11 @@ def op10(spark, sf_dir):
     return embedding_groups(table(spark, sf_dir, "embeddings"), cosine=0.9)
 
 
+@query("op13_best_fit_packing")
+def op13(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+
+
 LLM_QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     LLM_ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
