@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,23 @@ def fresh_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def byte_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of an Arrow binary column without nulls: value i takes the bytes from offset i to i + 1."""
+    _, offsets, content = column.buffers()
+    large = pa.types.is_large_binary(column.type)
+    every = np.frombuffer(offsets, "<i8" if large else "<i4")[column.offset:column.offset + len(column) + 1]
+    return every.astype(np.int64), np.frombuffer(content or b"", np.uint8)
+
+
+def text_blocks(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of neighbouring texts that together take no more than ``most`` bytes, or a single longer text."""
+    lo = 0
+    while lo < len(offsets) - 1:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + most, "right")) - 1)
+        yield lo, hi
+        lo = hi
+
+
 def merge_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Union the classes of ``a[i]`` and ``b[i]``; a label is the smallest index of its class."""
     while True:

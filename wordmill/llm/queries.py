@@ -9,10 +9,12 @@ import corpus_pipeline
 from wordmill.llm.common import table
 from wordmill.llm.decontaminate import contaminated, contamination
 from wordmill.llm.embed_dedup import embedding_groups
+from wordmill.llm.infill import fill_in_middle, restored
 from wordmill.llm.licenses import scan_licences
 from wordmill.llm.mixing import mix_sources
 from wordmill.llm.packing import pack_documents
 from wordmill.llm.quality import score_quality
+from wordmill.llm.runs import find_runs, longest_run
 from wordmill.llm.secrets import scan_secrets, span_list
 from wordmill.llm.simhash import simhash_groups
 from wordmill.llm.substring import dedup_substrings
@@ -154,6 +156,49 @@ def op10(spark, sf_dir):
     return embedding_groups(table(spark, sf_dir, "embeddings"), cosine=0.9)
 
 
+def with_planted_runs(docs):
+    """The contract's texts: in a tenth of the documents, by the id's CRC, the words from one place on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.when(h % 10 == 0, F.filter(F.split("text", "[\\x20\\x09-\\x0D]+", -1), lambda w: w != ""))
+    cut = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("w")).withColumn("n", F.size("w"))
+    cut = cut.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    cut = cut.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    rest = F.col("n") - F.col("a")
+    again = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int")))
+    text = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(again, F.lit(1), rest)), " ")
+    return cut.select("doc_id", F.when(F.col("a").isNotNull(), text).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11(spark, sf_dir):
+    found = find_runs(with_planted_runs(table(spark, sf_dir, "documents")), least=12)
+    found = found.withColumn("best", longest_run("runs"))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+                        F.sha2(F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query("op12_fill_in_middle", """
+WITH drawn AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+units AS (SELECT doc_id, t, length(t) AS n, CAST('0x' || d[1:8] AS BIGINT) AS h1, CAST('0x' || d[9:16] AS BIGINT) AS h2,
+                 CAST('0x' || d[17:24] AS BIGINT) AS h3, CAST('0x' || d[25:32] AS BIGINT) AS h4 FROM drawn),
+formed AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                       WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM units),
+cut AS (SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM formed)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256 FROM cut
+""")
+def op12(spark, sf_dir):
+    out = fill_in_middle(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(restored(), 256).alias("restored_sha256"))
+
+
 @query("op13_best_fit_packing")
 def op13(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
