@@ -6,6 +6,8 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +19,15 @@ from wordmill.session import with_rank
 
 # Chunks and words of which a Python worker remembers the ids (two generations of each; some 100 MB).
 REMEMBERED = 250_000
+# Open sequences that one task of a round updates.
+GAPS_PER_TASK = 500_000
 # Texts that one tokenising step holds.
 TEXTS_AT_ONCE = 256
-# A space between these two stands between two units of the tokenizer's own word pattern.
-UNSAFE_SPACE = re.compile(r"(?:^|[^\w!-~]) | (?:[^\w!-~]|$)")
-SAFE_CUT = re.compile(r"(?<=[\w!-~])(?= [\w!-~])")
+# Unicode's white space, which the tokenizer's word pattern parts from all else but one leading space.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+CHUNK = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+# A whole run of Latin letters is one unit of the word pattern, whatever follows.
+LATIN = re.compile("( ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]++)(?![^\\W\\d_])")
 PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -46,9 +52,9 @@ class Remembered(dict):
 class ByteBpe:
     """Token ids of whole texts as little-endian unsigned 32-bit bytes, by a byte-level BPE file of ``tokenizers``.
 
-    A text is cut before single spaces, where the tokenizer's word pattern
-    always cuts, so the pieces can be encoded apart and remembered: texts of
-    any length take memory by their own size only.
+    A text is cut where the tokenizer's word pattern always cuts, between
+    white space and other characters, so the pieces can be encoded apart and
+    remembered: texts of any length take memory by their own size only.
     """
 
     def __init__(self, path: str, most: int = REMEMBERED):
@@ -63,27 +69,37 @@ class ByteBpe:
         hidden = [b for b in range(256) if b not in shown]
         self.spelling = {b: chr(b if b in shown else 256 + hidden.index(b)) for b in range(256)}
         self.words = Remembered(self.plain, most)
+        self.rests = Remembered(self.whole, most)
         self.chunks = Remembered(self.encode, most)
 
     def plain(self, word: str) -> bytes:
         """Ids of one unit of the word pattern."""
-        return np.array([t.id for t in self.word("".join([self.spelling[b] for b in word.encode()]))], "<u4").tobytes()
+        if word.isascii():
+            spelled = "Ġ" + word[1:] if word[0] == " " else word
+        else:
+            spelled = "".join([self.spelling[b] for b in word.encode()])
+        ids = [t.id for t in self.word(spelled)]
+        return pack(f"<{len(ids)}I", *ids)
 
     def encode(self, chunk: str) -> bytes:
-        bare = chunk[1:] if chunk[:1] == " " else chunk
-        if bare.isalpha() and bare.isascii():
-            return self.words[chunk]
-        if len(bare) > 1 and bare[:-1].isalpha() and bare.isascii() and bare[-1] in ".,;:!?":
-            return self.words[chunk[:-1]] + self.words[chunk[-1]]
-        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        head = LATIN.match(chunk)
+        if head:
+            word = head[1]
+            return self.words[word] + self.rests[chunk[len(word):]] if len(word) < len(chunk) else self.words[word]
+        return self.rests[chunk]
+
+    def whole(self, rest: str) -> bytes:
+        return np.array(self.tokenizer.encode(rest, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if UNSAFE_SPACE.search(text):
-            return b"".join([self.chunks[c] for c in SAFE_CUT.split(text)])
-        known, (first, *rest) = self.chunks, text.split(" ")
-        return known[first] + b"".join([known[" " + c] for c in rest])
+        known = self.chunks
+        return b"".join([known[c] for c in CHUNK.findall(text)])
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> ByteBpe:
+    """A Python worker keeps its encoder, and what that remembers, from task to task."""
+    return ByteBpe(path)
 
 
 def cut_points(n: int, capacity: int) -> list[int]:
@@ -94,7 +110,7 @@ def cut_points(n: int, capacity: int) -> list[int]:
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, keep_ids: bool = False) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32[, ids])``: the ids of every whole text and the end id, cut into pieces."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = ByteBpe(tokenizer_path), np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
         for whole in batches:
             for at in range(0, whole.num_rows, TEXTS_AT_ONCE):
                 b, rows, ids = whole.slice(at, TEXTS_AT_ONCE), [], []
@@ -122,10 +138,11 @@ def sweep(lengths: list[tuple[int, int, int]], rooms: dict[int, int], capacity:
     ``lengths`` holds (length, first rank, documents), falling; ``rooms`` the
     number of gaps of each room.  A gap that has taken a document stays the
     nearest one while another of that length fits.  Without a gap large enough
-    a new one of ``capacity`` opens.  Returns the matches (first rank, class and first rank of the gaps as they were
-    before the round, documents a gap takes, length, offset in the sequence) in order of
-    rank, the gaps' classes afterwards (class before, first rank, end rank,
-    room now), and the number of gaps opened.  Both lists are bounded by the
+    a new one of ``capacity`` opens.  Returns the matches (first rank, class
+    and first rank of the gaps as they were before the round, documents a gap
+    takes, length, offset in the sequence) in order of rank, the gaps' classes
+    afterwards (class before, first rank, end rank, room now), and the number
+    of gaps opened.  Both lists are bounded by the
     number of sizes, whatever the number of rows.
     """
     groups = {room: [(room, 0, n)] for room, n in rooms.items() if n}  # room now -> (class before, from, to)
@@ -166,16 +183,18 @@ def best_fit(items: DataFrame, counts: dict[int, int], capacity: int) -> DataFra
     """``items`` (with ``length`` and ``rank``, 0, 1, ... from the longest down) with ``sequence_id`` and ``offset``.
 
     Rounds take the lengths by halves: (capacity/2, capacity], (capacity/4,
-    capacity/2], ...  In a round the documents, sorted by length, and the gaps, sorted by room, are matched by ``sweep``
-    over the counts of the classes; within a class the document of rank r gets
-    the gap of rank r, so no two want the same place.  The gaps' table, one
-    row for each open sequence, is then updated in its own tasks and settled.
+    capacity/2], ...  In a round the documents, sorted by length, and the
+    gaps, sorted by room, are matched by ``sweep`` over the counts of their
+    classes; within a class the document of rank r gets the gap of rank r, so
+    no two want the same place.  The gaps' table, one row for each open
+    sequence, is then updated in its own tasks and settled.  The documents
+    join the gaps of their round at the end, all rounds in one pass.
     """
     spark = items.sparkSession
     first, start = 0, {}
     for length in sorted(counts, reverse=True):
         start[length], first = first, first + counts[length]
-    gaps, rooms, opened_before, out = None, {}, 0, None
+    gaps, rooms, opened_before, matches, states = None, {}, 0, [], []
     upper = capacity
     while upper:
         lower = upper // 2
@@ -184,41 +203,44 @@ def best_fit(items: DataFrame, counts: dict[int, int], capacity: int) -> DataFra
         if not due:
             continue
         taken, after, opened = sweep(due, rooms, capacity)
-        new = spark.range(opened).select(F.lit(capacity).cast("bigint").alias("room"), F.col("id").alias("nth"),
-                                         (F.col("id") + opened_before).alias("sequence_id"))
+        matches += [(*m, len(states)) for m in taken]
+        new = spark.range(0, opened, 1, tasks_for(opened)).select(
+            F.lit(capacity).cast("bigint").alias("room"), F.col("id").alias("nth"), (F.col("id") + opened_before).alias("sequence_id"))
         before = new if gaps is None else gaps.unionByName(new) if opened else gaps
-        placed = items.where(F.col("length").between(due[-1][0], due[0][0])).mapInArrow(*match(items, taken))
-        found = placed.join(before, ["room", "nth"]).select(*[c for c in items.columns if c != "rank"], "sequence_id", "offset")
-        out = found if out is None else out.unionByName(found)
+        states.append(before.withColumn("round", F.lit(len(states)).cast("bigint")))
         opened_before += opened
-        rooms = {}
-        moves = []
+        n_before, rooms, moves = opened + sum(rooms.values()), {}, []
         for was, lo, hi, room in after:
             moves.append((was, lo, room, rooms.get(room, 0)))
             rooms[room] = rooms.get(room, 0) + hi - lo
         least = min((length for length in counts if length <= upper), default=capacity + 1)
         rooms = {room: n for room, n in rooms.items() if room >= least}
-        if rooms:
-            gaps = settle(before.mapInArrow(*moved(moves, least)))
-        else:
-            gaps = None
-    return out
+        gaps = settle(before.coalesce(tasks_for(n_before)).mapInArrow(*moved(moves, least))) if rooms else None
+    every = states[0]
+    for state in states[1:]:
+        every = every.unionByName(state)
+    placed = items.mapInArrow(*match(items, matches)).join(every, ["round", "room", "nth"])
+    return placed.select(*[c for c in items.columns if c != "rank"], "sequence_id", "offset")
+
+
+def tasks_for(rows: int) -> int:
+    return max(1, -(-rows // GAPS_PER_TASK))
 
 
 def match(items: DataFrame, taken: list[tuple]):
-    """mapInArrow arguments: each item of the round with the class and rank of its gap and its offset there."""
-    first, room, nth, each, length, offset = np.array(taken, np.int64).T
+    """mapInArrow arguments: each item with its round, the class and rank of its gap in it, and its offset there."""
+    first, room, nth, each, length, offset, round_ = np.array(taken, np.int64).T
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rank = b.column(b.schema.get_field_index("rank")).to_numpy()
             at = np.searchsorted(first, rank, "right") - 1
             among = rank - first[at]
-            added = (room[at], nth[at] + among // each[at], offset[at] + among % each[at] * length[at])
-            yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, added)], [*b.schema.names, "room", "nth", "offset"])
+            added = (room[at], nth[at] + among // each[at], offset[at] + among % each[at] * length[at], round_[at])
+            yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, added)], [*b.schema.names, "room", "nth", "offset", "round"])
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in items.schema)
-    return run, f"{fields}, room bigint, nth bigint, offset bigint"
+    return run, f"{fields}, room bigint, nth bigint, offset bigint, round bigint"
 
 
 def moved(moves: list[tuple], least: int):
@@ -250,7 +272,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, e
     and so has the end id alone.  Documents of more than ``capacity`` ids are
     cut into pieces of ``capacity``, of which the first may be shorter; others
     stay whole.  Pieces of a sequence follow each other from offset 0 without
-    gaps.  Equal lengths are ranked by a hash, so a reruns over the same files
+    gaps.  Equal lengths are ranked by a hash, so reruns over the same rows
     agree.  Null and repeated ids, repeated rows and further columns of any
     name change nothing: each row is packed by itself.  An empty table gives
     an empty result.
