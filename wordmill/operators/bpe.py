@@ -14,8 +14,8 @@ is lost.
 
 Training works on the *distinct* words with their frequencies (the corpus is
 pre-aggregated once, partial aggregation absorbs hot words) and keeps the pair
-counts as a DataFrame.  A round accepts as many merges as are certain to come
-next in the exact order, and only re-counts words that those merges changed.
+counts as a DataFrame.  A round replays as many merges as its counts make certain
+in the exact order, and only re-counts words that those merges changed.
 The merge list and vocabulary are bounded by ``vocab_size``, so they are the
 only things kept on the driver.
 """
@@ -23,17 +23,17 @@ only things kept on the driver.
 from __future__ import annotations
 
 import heapq
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.literals import pair_array_lit
 from ..functions.text import whitespace_tokens
-from ..session import cut_lineage, drop_superseded
+from ..session import cut_lineage, ensure_checkpoint_dir, scratch_name
 
 SEP = "\u0001"
 EOW = "</w>"
@@ -189,49 +189,172 @@ class BpeModel:
         return BpeModel(vocab, keep, self.vocab_size, self.specials, self.eow_in_vocab, self.n_base)
 
 
-def _merge_expr(sym: F.Column, merges) -> F.Column:
-    """Fold merges, in rank order, over a wrapped segmentation."""
-    if not merges:
-        return sym
-    arr = pair_array_lit(merge_pattern(a, b) for a, b, *_ in merges)
-    return F.aggregate(arr, sym, lambda acc, m: F.replace(acc, m["p"], m["r"]))
-
-
-# Pairs that a round looks at per corpus.
-TOP_PAIRS = 1000
-# Rounds after which superseded checkpoints are dropped.
-CLEAN_EVERY = 8
-
-
-def certain_merges(ranked: list[tuple[str, str, int]], complete: bool, most: int) -> list[tuple[str, str, int]]:
-    """The longest start of ``ranked`` (best first) that one-at-a-time training would choose in this order.
-
-    A merge of (a, b) changes the counts of pairs that end in a or begin with
-    b, and only lowers them; the pairs it creates, (x, ab) and (ab, y), occur
-    no more often than (x, a) and (b, y) did.  So the next pair of the ranking
-    is certain unless a merge before it touches it, or a pair that such a
-    merge may create could rank before it.  If the ranking is cut off
-    (``complete`` is false), pairs as rare as its last one are left for later.
+# Pairs of a corpus that a round looks at.
+TOP_PAIRS = 4000
+# Distinct words of a task: no fewer, and beyond all cores no more.
+LEAST_WORDS, MOST_WORDS = 2_000, 100_000
+# Counts that a task holds before it passes them on.
+HELD_COUNTS = 200_000
+STATE = "kind string, corpus string, lhs string, rhs string, n long"
+
+
+def replay(pairs: dict[tuple[str, str], int], contexts: dict[tuple[str, str, str], int], floor: int, most: int,
+           spelled: set[str] = frozenset()) -> list[tuple[str, str, int]]:
+    """The merges that one-at-a-time training takes next, as far as the counts of a round make them certain.
+
+    ``pairs`` are the exact counts of all pairs above ``floor`` (others may
+    have up to ``floor``), ``contexts[x, a, b]`` how often x a b stand in a row
+    where both (x, a) and (a, b) are among them, ``spelled`` the spellings of
+    symbols that merges have made before.
+
+    Merging (a, b) takes ``contexts[x, a, b]`` from (x, a) and gives it to
+    (x, ab), and likewise on the right.  That is exact as long as no merge
+    before it in the round changed these rows of three: x must not have been
+    merged to its left, nor b to its right.  Elsewhere,
+    with equal symbols side by side, and for
+    pairs that did not exist when the round began, only bounds are known: a count
+    never rises by the merge, and what is created is no more than what it comes from.
+    The replay ends where a pair that is only bounded, or as rare as the floor, could come next.
     """
-    if not ranked:
-        return []
-    ends, begins = defaultdict(list), defaultdict(list)
-    for lhs, rhs, n in ranked:
-        ends[rhs].append((lhs, n))
-        begins[lhs].append((rhs, n))
-    floor = 0 if complete else ranked[-1][2]
-    taken, touched_ends, touched_begins, created = [], set(), set(), []
-    for lhs, rhs, n in ranked[:most]:
-        if taken and (n <= floor or rhs in touched_ends or lhs in touched_begins or (created and created[0] < (-n, lhs, rhs))):
+    n, bounded, merged = dict(pairs), set(), set()
+    ends, begins = defaultdict(set), defaultdict(set)
+    for p in n:
+        ends[p[1]].add(p)
+        begins[p[0]].add(p)
+    heap = [(-c, p) for p, c in n.items()]
+    heapq.heapify(heap)
+    left_gone, right_gone, made, out = set(), set(), set(), []
+
+    def create(p, c, exact):
+        if p in n or p in merged or not exact or new in spelled or new in made:  # the same spelling may exist by other merges
+            bounded.add(p)
+            c += n.get(p, floor)
+        if c > floor:
+            n[p] = c
+            ends[p[1]].add(p)
+            begins[p[0]].add(p)
+            heapq.heappush(heap, (-c, p))
+
+    def lower(p, q, there, exact):
+        """Pair ``p`` loses the rows of three counted by ``there`` to ``q``."""
+        counted = p in pairs and made.isdisjoint(there)  # else a merge of this round may have spelled one of them again
+        if exact and counted:
+            lost = contexts.get(there, 0)
+            if lost:
+                n[p] -= lost
+                heapq.heappush(heap, (-n[p], p))
+                create(q, lost, True)
+        else:
+            most_lost = min(n[p], c, contexts.get(there, 0) if counted and (a, b) in pairs else c)
+            if most_lost:
+                bounded.add(p)
+                create(q, most_lost, False)
+
+    while heap and len(out) < most:
+        c, (a, b) = heapq.heappop(heap)
+        c = -c
+        if n.get((a, b)) != c:
+            continue  # an older count
+        if c <= floor or (a, b) in bounded:
             break
-        taken.append((lhs, rhs, n))
-        touched_ends.add(lhs)
-        touched_begins.add(rhs)
-        for x, m in ends[lhs]:
-            heapq.heappush(created, (-m, x, lhs + rhs))
-        for y, m in begins[rhs]:
-            heapq.heappush(created, (-m, lhs + rhs, y))
-    return taken
+        new, known = a + b, (a, b) in pairs and a != b
+        out.append((a, b, c))
+        del n[a, b]
+        merged.add((a, b))
+        for p in [p for p in ends[a] if p in n]:
+            x = p[0]
+            lower(p, (x, new), (x, a, b), known and b not in left_gone and x not in right_gone and x != a and x != b)
+        for p in [p for p in begins[b] if p in n and p[0] != new]:
+            y = p[1]
+            lower(p, (new, y), (a, b, y), known and a not in right_gone and y not in left_gone and y != a and y != b)
+        left_gone.add(a)
+        right_gone.add(b)
+        made.add(new)
+    return out
+
+
+def merged_words(words: DataFrame, batches: dict[str, list[tuple[str, str]]]) -> DataFrame:
+    """``STATE`` rows: the words (kind w) after the round's merges, and the changes of the pair counts (kind d)."""
+    ranks = {corpus: {p: i for i, p in enumerate(merges)} for corpus, merges in batches.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        changes = Counter()
+
+        def flushed():
+            rows = [("d", *k, v) for k, v in changes.items() if v]
+            changes.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), STATE_TYPES)], STATE_NAMES) if rows else None
+
+        for b in batches:
+            corpora, syms, freqs = (b.column(i).to_pylist() for i in range(3))
+            for i, (corpus, sym, freq) in enumerate(zip(corpora, syms, freqs)):
+                rank = ranks.get(corpus)
+                if not rank:
+                    continue
+                parts = sym[1:-1].split(SEP + SEP)
+                due = [rank.get(p) for p in zip(parts, parts[1:])]
+                if any(r is not None for r in due):
+                    for p in zip(parts, parts[1:]):
+                        changes[corpus, *p] -= freq
+                    parts = fold(parts, due, lambda p, last: r if (r := rank.get(p)) is not None and r > last else None)
+                    for p in zip(parts, parts[1:]):
+                        changes[corpus, *p] += freq
+                    syms[i] = SEP + (SEP + SEP).join(parts) + SEP
+            kind, none = pa.array(["w"] * b.num_rows), pa.nulls(b.num_rows, pa.string())
+            yield pa.RecordBatch.from_arrays([kind, b.column(0), pa.array(syms, pa.string()), none, b.column(2)], STATE_NAMES)
+            if len(changes) > HELD_COUNTS and (rows := flushed()):
+                yield rows
+        if rows := flushed():
+            yield rows
+
+    return words.select("corpus", "sym", "freq").mapInArrow(run, STATE)
+
+
+STATE_NAMES = ["kind", "corpus", "lhs", "rhs", "n"]
+STATE_TYPES = [pa.string()] * 4 + [pa.int64()]
+
+
+def fold(parts: list[str], due: list, rank) -> list[str]:
+    """Merges in rank order over a word's symbols; ``rank(pair, last)`` is the next rank of a pair above ``last``."""
+    while True:
+        last = min((r for r in due if r is not None), default=None)
+        if last is None:
+            return parts
+        joined, at = [], 0
+        for at_pair in [i for i, r in enumerate(due) if r == last]:
+            if at_pair >= at:  # else its left symbol has just been merged
+                joined += parts[at:at_pair] + [parts[at_pair] + parts[at_pair + 1]]
+                at = at_pair + 2
+        parts = joined + parts[at:]
+        due = [rank(p, last) for p in zip(parts, parts[1:])]
+
+
+def pair_contexts(words: DataFrame, pairs: dict[str, set[tuple[str, str]]]) -> DataFrame:
+    """``(corpus, x, a, b, n)``: how often three symbols stand in a row of which both pairs are asked for."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Counter()
+
+        def flushed():
+            rows = [(*k, v) for k, v in held.items()]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), STATE_TYPES)], ["corpus", "x", "a", "b", "n"])
+
+        for b in batches:
+            for corpus, sym, freq in zip(*(b.column(i).to_pylist() for i in range(3))):
+                asked = pairs.get(corpus)
+                if asked:
+                    parts = sym[1:-1].split(SEP + SEP)
+                    known = [p in asked for p in zip(parts, parts[1:])]
+                    for i in range(len(known) - 1):
+                        if known[i] and known[i + 1]:
+                            held[corpus, parts[i], parts[i + 1], parts[i + 2]] += freq
+            if len(held) > HELD_COUNTS:
+                yield flushed()
+        if held:
+            yield flushed()
+
+    rows = words.select("corpus", "sym", "freq").mapInArrow(run, "corpus string, x string, a string, b string, n long")
+    return rows.groupBy("corpus", "x", "a", "b").agg(F.sum("n").cast("long").alias("n"))
 
 
 def train_bpe(df: DataFrame, col: str | None = None, vocab_size: int = 5000, specials=None,
@@ -253,14 +376,16 @@ def train_bpe_keyed(freqs: DataFrame, vocab_sizes: dict[str, int], specials=None
                     top_pairs: int = TOP_PAIRS, on_merge=None) -> dict[str, BpeModel]:
     """Train one model per corpus of ``freqs(corpus, word, freq)``, all in the same rounds.
 
-    State: segmented distinct words, and their pair counts, both settled in
-    the reliable checkpoint folder every round (superseded ones are removed
-    by Spark's cleaner).  A round folds its merges over the words and
-    re-counts only those that changed (``after`` minus ``before``), so the plan
-    has the same size every round and a lost executor costs one round.  Of each corpus the ``top_pairs`` best pairs reach the driver,
-    and ``certain_merges`` takes as many of them as exact one-at-a-time
-    training would take next.  That the ranking is cut off never changes the
-    merges, only how many a round finds.
+    State: segmented distinct words and their pair counts, written as Parquet
+    below the shared folder each round, after which the round before is
+    removed; so a lost executor costs one round, and the disk holds two.  Of
+    each corpus the ``top_pairs`` best pairs and the rows of three symbols made
+    of them reach the driver (both bounded by parameters), and ``replay`` takes
+    as many merges as exact one-at-a-time training would take next: some 70
+    on average, more as training goes on.  One pass over the words then
+    applies them and returns the changes of the pair counts, of changed words
+    only.  How many pairs are looked at never changes the merges, only how many
+    a round finds.
     """
     spark = freqs.sparkSession
     specials = list(BASIC_SPECIALS if specials is None else specials)
@@ -273,42 +398,99 @@ def train_bpe_keyed(freqs: DataFrame, vocab_sizes: dict[str, int], specials=None
         tokens = base + sorted(r["token"] for r in chars if r["corpus"] == corpus)
         models[corpus] = BpeModel({t: i for i, t in enumerate(tokens)}, [], size, specials, eow_in_vocab, len(tokens))
     budget = {c: max(0, m.vocab_size - m.n_base) for c, m in models.items()}
-
-    words = cut_lineage(init_symbols(freqs).select("corpus", "sym", "freq"))
-    counts = cut_lineage(pair_rows(words, keys=["corpus"]).groupBy("corpus", "lhs", "rhs").agg(F.sum("w").cast("long").alias("n")))
     open_ = {c for c in models if budget[c]}
-    rounds = 0
-    while open_:
-        rounds += 1
-        if rounds % CLEAN_EVERY == 0:
-            drop_superseded(spark)
-        live = counts.where(F.col("corpus").isin(sorted(open_)))
-        found = {}
+    if not open_:
+        return models
+
+    n_words, cores = freqs.count(), spark.sparkContext.defaultParallelism
+    tasks = max(1, min(-(-n_words // LEAST_WORDS), max(cores, -(-n_words // MOST_WORDS))))
+    state = RoundState(spark)
+    words, _ = state.next(init_symbols(freqs).repartition(tasks).select(F.lit("w").alias("kind"), "corpus", F.col("sym").alias("lhs"),
+                                                     F.lit(None).cast("string").alias("rhs"), F.col("freq").alias("n")))
+    counts = state.counted(pair_rows(words, keys=["corpus"]).withColumnRenamed("w", "n"))
+    while True:
+        ranked = None
+        for corpus in sorted(open_):
+            rows = counts.where(F.col("corpus") == corpus).orderBy(F.desc("n"), "lhs", "rhs").limit(top_pairs)
+            ranked = rows if ranked is None else ranked.unionByName(rows)
+        top = {corpus: [] for corpus in open_}
+        for r in ranked.collect():
+            top[r["corpus"]].append((int(r["n"]), r["lhs"], r["rhs"]))
+        floor = {c: min(rows)[0] if len(rows) >= top_pairs else 0 for c, rows in top.items()}
+        # the pairs of the floor's count may be cut off anywhere; the best pair is always exact
+        pairs = {c: {(lhs, rhs): n for n, lhs, rhs in rows if n > floor[c]} for c, rows in top.items()}
+        rows_of_three = {c: {} for c in top}
+        for r in pair_contexts(words, {c: set(p) for c, p in pairs.items()}).collect():
+            rows_of_three[r["corpus"]][r["x"], r["a"], r["b"]] = int(r["n"])
+        batches = {}
         for corpus in sorted(open_):
-            rows = live.where(F.col("corpus") == corpus).orderBy(F.desc("n"), "lhs", "rhs").limit(top_pairs).collect()
-            ranked = [(r["lhs"], r["rhs"], int(r["n"])) for r in rows]
-            model = models[corpus]
-            found[corpus] = [(unescape(lhs), unescape(rhs), n) for lhs, rhs, n in
-                             certain_merges(ranked, len(rows) < top_pairs, budget[corpus] - len(model.merges))]
-            for merge in found[corpus]:
-                model.merges.append(merge)
-                model.vocab.setdefault(merge[0] + merge[1], len(model.vocab))
+            model, most = models[corpus], budget[corpus] - len(models[corpus].merges)
+            found = replay(pairs[corpus], rows_of_three[corpus], floor[corpus], most,
+                           {EOW, *(escape(a + b) for a, b, _ in model.merges)})
+            if not found and top[corpus]:  # more equal pairs than are looked at: the first of them comes next
+                n, lhs, rhs = min(top[corpus], key=lambda r: (-r[0], r[1], r[2]))
+                found = [(lhs, rhs, n)]
+            batches[corpus] = [(lhs, rhs) for lhs, rhs, _ in found]
+            for lhs, rhs, n in found:
+                lhs, rhs = unescape(lhs), unescape(rhs)
+                model.merges.append((lhs, rhs, n))
+                model.vocab.setdefault(lhs + rhs, len(model.vocab))
                 if on_merge:
-                    on_merge(corpus, len(model.merges), *merge)
-            if not found[corpus] or len(model.merges) >= budget[corpus]:
+                    on_merge(corpus, len(model.merges), lhs, rhs, n)
+            if not found or len(model.merges) >= budget[corpus]:
                 open_.discard(corpus)
         if not open_:
-            break
-        sym = F.col("sym")
-        for corpus in open_:
-            sym = F.when(F.col("corpus") == corpus, _merge_expr(F.col("sym"), found[corpus])).otherwise(sym)
-        words = cut_lineage(words.select("corpus", "freq", F.col("sym").alias("prev"), sym.alias("sym")))
-        changed = words.where(F.col("sym") != F.col("prev"))
-        before = pair_rows(changed, sym="prev", keys=["corpus"]).withColumn("w", -F.col("w"))
-        after = pair_rows(changed, keys=["corpus"])
-        counts = cut_lineage(counts.withColumnRenamed("n", "w").unionByName(before).unionByName(after)
-                             .groupBy("corpus", "lhs", "rhs").agg(F.sum("w").cast("long").alias("n")).where(F.col("n") > 0))
-    return models
+            state.drop()
+            return models
+        words, changes = state.next(merged_words(words, {c: batches[c] for c in open_}))
+        counts = state.counted(counts.unionByName(changes))
+
+
+class RoundState:
+    """The tables of a training's rounds, in a fresh folder below the shared one; a round's files go once the next ones are written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.round = spark, 0
+        self.folder = f"{ensure_checkpoint_dir(spark)}/{scratch_name('bpe')}"
+
+    def read(self, path: str, schema: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(path)
+
+    def next(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Writes ``STATE`` rows; returns the words and the changes of counts."""
+        self.round += 1
+        path = f"{self.folder}/state{self.round}"
+        rows.write.partitionBy("kind").parquet(path)
+        self.delete(f"state{self.round - 1}")
+        words = self.read(f"{path}/kind=w", "corpus string, lhs string, n long").select("corpus", F.col("lhs").alias("sym"), F.col("n").alias("freq"))
+        if self.round == 1 or not self.exists(f"{path}/kind=d"):
+            return words, self.spark.createDataFrame([], "corpus string, lhs string, rhs string, n long")
+        return words, self.read(f"{path}/kind=d", "corpus string, lhs string, rhs string, n long")
+
+    def counted(self, rows: DataFrame) -> DataFrame:
+        path = f"{self.folder}/counts{self.round}"
+        counts = rows.groupBy("corpus", "lhs", "rhs").agg(F.sum("n").cast("long").alias("n")).where(F.col("n") > 0)
+        counts.write.parquet(path)
+        self.delete(f"counts{self.round - 1}")
+        return self.read(path, "corpus string, lhs string, rhs string, n long")
+
+    def path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(name)
+
+    def files(self, path):
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def exists(self, name: str) -> bool:
+        path = self.path(name)
+        return self.files(path).exists(path)
+
+    def delete(self, name: str) -> None:
+        path = self.path(f"{self.folder}/{name}")
+        self.files(path).delete(path, True)
+
+    def drop(self) -> None:
+        path = self.path(self.folder)
+        self.files(path).delete(path, True)
 
 
 # ------------------------------------------------------------------ encode
@@ -334,18 +516,11 @@ class Segmenter:
 
     def symbols(self, word: str) -> list[str]:
         """Merges in rank order; a merge never applies to what a later one made, so ranks only go up."""
-        parts, last = [*word, EOW], -1
-        while True:
-            due = [next((r for r in self.ranks.get(p, ()) if r > last), None) for p in zip(parts, parts[1:])]
-            last = min((r for r in due if r is not None), default=None)
-            if last is None:
-                return parts
-            joined, at = [], 0
-            for at_pair in [i for i, r in enumerate(due) if r == last]:
-                if at_pair >= at:  # else its left symbol has just been merged
-                    joined += parts[at:at_pair] + [parts[at_pair] + parts[at_pair + 1]]
-                    at = at_pair + 2
-            parts = joined + parts[at:]
+        def rank(pair, last=-1):
+            return next((r for r in self.ranks.get(pair, ()) if r > last), None)
+
+        parts = [*word, EOW]
+        return fold(parts, [rank(p) for p in zip(parts, parts[1:])], rank)
 
 
 def segment_udf(model: BpeModel, spark: SparkSession, ids: bool = True):
