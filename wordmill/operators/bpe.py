@@ -314,12 +314,17 @@ STATE_NAMES = ["kind", "corpus", "lhs", "rhs", "n"]
 STATE_TYPES = [pa.string()] * 4 + [pa.int64()]
 
 
-def fold(parts: list[str], due: list, rank) -> list[str]:
-    """Merges in rank order over a word's symbols; ``rank(pair, last)`` is the next rank of a pair above ``last``."""
+def fold(parts: list[str], due: list, rank, at_rank=None) -> list[str]:
+    """Merges in rank order over a word's symbols; ``rank(pair, last)`` is the next rank of a pair above ``last``.
+
+    ``at_rank(last, parts)`` sees the symbols before each merge.
+    """
     while True:
         last = min((r for r in due if r is not None), default=None)
         if last is None:
             return parts
+        if at_rank:
+            at_rank(last, parts)
         joined, at = [], 0
         for at_pair in [i for i, r in enumerate(due) if r == last]:
             if at_pair >= at:  # else its left symbol has just been merged
@@ -514,13 +519,28 @@ class Segmenter:
             found = self.known[word] = (symbols, [self.vocab.get(s, self.unk_id) for s in symbols])
         return found
 
+    def rank(self, pair, last: int = -1) -> int | None:
+        return next((r for r in self.ranks.get(pair, ()) if r > last), None)
+
     def symbols(self, word: str) -> list[str]:
         """Merges in rank order; a merge never applies to what a later one made, so ranks only go up."""
-        def rank(pair, last=-1):
-            return next((r for r in self.ranks.get(pair, ()) if r > last), None)
-
         parts = [*word, EOW]
-        return fold(parts, [rank(p) for p in zip(parts, parts[1:])], rank)
+        return fold(parts, [self.rank(p) for p in zip(parts, parts[1:])], self.rank)
+
+    def symbols_at(self, word: str, sizes: list[int]) -> list[list[str]]:
+        """The symbols after the first ``sizes[i]`` merges, for rising sizes, from one segmentation.
+
+        The merges that make a symbol form a tree whose ranks fall towards the characters; what a smaller
+        model leaves are the largest subtrees below its size, which stand there just before the first later merge.
+        """
+        parts, out = [*word, EOW], []
+
+        def cut(last, parts):
+            while len(out) < len(sizes) and sizes[len(out)] <= last:
+                out.append(parts)
+
+        parts = fold(parts, [self.rank(p) for p in zip(parts, parts[1:])], self.rank, cut)
+        return out + [parts] * (len(sizes) - len(out))
 
 
 def segment_udf(model: BpeModel, spark: SparkSession, ids: bool = True):
@@ -546,35 +566,51 @@ def encode_words(words: DataFrame, model: BpeModel, word_col: str = "word") -> D
     return words.withColumn("tokens", segment_udf(model, spark, ids=False)(one)).withColumn("ids", segment_udf(model, spark)(one))
 
 
-def encode_words_native(words: DataFrame, model: BpeModel, word_col: str = "word") -> DataFrame:
-    """D11 by literal string replacement: the merges folded in rank order over the wrapped word, ids looked up after.
+class Folder:
+    """Segments words by literal string replacement: the merges folded in rank order over the wrapped word.
 
-    An encoder of its own for E4 to compare with.  A merge can only apply where its spelling stands in the word, so of
-    each word only the merges spelled like one of its substrings are folded.
+    An encoder of its own for E4 to compare with.  A merge can only apply where
+    its spelling stands in the word, so of each word only the merges spelled
+    like one of its substrings are folded.
     """
-    spelled = defaultdict(list)
-    for i, (lhs, rhs, *_) in enumerate(model.merges):
-        spelled[lhs + rhs].append(i)
-    shared = words.sparkSession.sparkContext.broadcast(
-        (dict(spelled), [merge_pattern(a, b) for a, b, *_ in model.merges], model.vocab, model.unk_id))
-
-    @F.pandas_udf("array<int>")
-    def fold(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        spelled, patterns, vocab, unk = shared.value
-        longest = max(map(len, spelled), default=0)
-
-        def ids(word: str) -> list[int]:
-            whole = word + EOW
-            due = {r for i in range(len(whole)) for j in range(i + 2, min(len(whole), i + longest) + 1) for r in spelled.get(whole[i:j], ())}
-            sym = "".join(SEP + escape(c) + SEP for c in word) + SEP + EOW + SEP
-            for r in sorted(due):
-                sym = sym.replace(*patterns[r])
-            return [vocab.get(unescape(t), unk) for t in sym[1:-1].split(SEP + SEP)]
 
+    def __init__(self, merges, vocab: dict[str, int], unk_id: int):
+        self.spelled, self.vocab, self.unk_id = defaultdict(list), vocab, unk_id
+        for i, (lhs, rhs, *_) in enumerate(merges):
+            self.spelled[lhs + rhs].append(i)
+        self.patterns = [merge_pattern(a, b) for a, b, *_ in merges]
+        self.longest = max(map(len, self.spelled), default=0)
+
+    def ids(self, word: str, before: int | None = None) -> list[int]:
+        """Ids of the word's symbols, after the merges of rank less than ``before`` only if given."""
+        whole = word + EOW
+        spans = {whole[i:j] for i in range(len(whole)) for j in range(i + 2, min(len(whole), i + self.longest) + 1)}
+        sym = "".join(SEP + escape(c) + SEP for c in word) + SEP + EOW + SEP
+        for r in sorted({r for s in spans for r in self.spelled.get(s, ()) if before is None or r < before}):
+            sym = sym.replace(*self.patterns[r])
+        return [self.vocab.get(unescape(t), self.unk_id) for t in sym[1:-1].split(SEP + SEP)]
+
+
+def fold_udf(model: BpeModel, spark: SparkSession):
+    """Arrow UDF: array of words -> ids of all of them in order, by ``Folder``."""
+    shared = spark.sparkContext.broadcast((model.merges, model.vocab, model.unk_id))
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        folder = Folder(*shared.value)
         for rows in batches:
-            yield rows.map(ids)
+            known = {}
+            for words in rows:
+                for w in (words if words is not None else ()):
+                    if w not in known:
+                        known[w] = folder.ids(w)
+            yield rows.map(lambda words: [x for w in (words if words is not None else ()) for x in known[w]])
 
-    return words.select(word_col, fold(F.col(word_col)).alias("ids"))
+    return F.pandas_udf(run, "array<int>")
+
+
+def encode_words_native(words: DataFrame, model: BpeModel, word_col: str = "word") -> DataFrame:
+    """D11 by literal string replacement."""
+    return words.select(word_col, fold_udf(model, words.sparkSession)(F.array(F.col(word_col))).alias("ids"))
 
 
 def encode(df: DataFrame, col: str, model: BpeModel, key: str | list[str] = "doc_id",
