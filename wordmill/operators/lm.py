@@ -9,10 +9,13 @@ job whose cost grows linearly with the corpus.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import whitespace_tokens
 from ..session import bounded_broadcast, cut_lineage, scalar_row, with_rank
@@ -272,16 +275,18 @@ def lm_metrics(scored: DataFrame, pad_id: int = PAD_ID, by=(), weight: str | Non
 
 # ------------------------------------------------------------------ BLEU
 
-def _grams(df: DataFrame, key: str, toks: str, side: str) -> DataFrame:
-    L = F.size(toks)
-    parts = []
-    for n in (1, 2, 3, 4):
-        g = F.transform(F.sequence(F.lit(1), L - n + 1), lambda i: F.array_join(F.slice(toks, i, n), " "))
-        parts.append(df.where(L >= n).select(key, F.lit(n).alias("n"), F.explode(g).alias("g")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy(key, "n", "g").agg(F.count(F.lit(1)).alias(side))
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def clipped_matches(hyp: pd.Series, ref: pd.Series) -> pd.Series:
+    """Per row, for n = 1 to 4, the n-grams that two token arrays share as multisets."""
+    def row(h, r):
+        h, r = ([] if x is None else list(x) for x in (h, r))
+        out = []
+        for n in (1, 2, 3, 4):
+            here, there = (Counter(zip(*(x[i:] for i in range(n)))) for x in (h, r))
+            out.append(sum(min(c, there[g]) for g, c in here.items() if g in there))
+        return out
+
+    return pd.Series([row(h, r) for h, r in zip(hyp, ref)])
 
 
 def bleu(df: DataFrame, ref: str, hyp: str, key: str, tokens: bool = False) -> DataFrame:
@@ -291,17 +296,13 @@ def bleu(df: DataFrame, ref: str, hyp: str, key: str, tokens: bool = False) -> D
     with len_h > 1 becomes ln(len_h) / (5 * 2^j) / denominator, j counting the
     zero orders; zero orders left out of the log sum; brevity penalty 1 when
     len_h > len_r else exp(1 - len_r / len_h).  Empty sides score 0.
-    N-gram counts are group-bys and the clip is a join on (row, n, gram).
-    ``tokens``: the columns are token arrays already.  The tokens are settled
-    once, since every order reads them.
+    The n-gram multisets of a row are compared inside the row, so nothing is shuffled.
+    ``tokens``: the columns are token arrays already.
     """
     words = F.col if tokens else whitespace_tokens
-    t = cut_lineage(df.select(key, words(ref).alias("r"), words(hyp).alias("h")))
-    hg, rg = _grams(t, key, "h", "ch"), _grams(t, key, "r", "cr")
-    clip = hg.join(rg, [key, "n", "g"], "left").groupBy(key, "n") \
-        .agg(F.sum(F.least("ch", F.coalesce("cr", F.lit(0)))).alias("m"))
-    wide = clip.groupBy(key).pivot("n", [1, 2, 3, 4]).agg(F.first("m"))
-    j = t.select(key, F.size("h").alias("lh"), F.size("r").alias("lr")).join(wide, key, "left")
+    t = df.select(key, words(ref).alias("r"), words(hyp).alias("h"))
+    j = t.select(key, F.size("h").alias("lh"), F.size("r").alias("lr"), clipped_matches("h", "r").alias("m"))
+    j = j.select(key, "lh", "lr", *[F.col("m")[n - 1].alias(str(n)) for n in (1, 2, 3, 4)])
     lh = F.col("lh")
     ps, zero_seen = [], F.lit(0)
     for n in (1, 2, 3, 4):

@@ -120,11 +120,13 @@ ORACLE["d6_best_pairs"] = ORACLE["d5_pair_counts"].replace(
     "SELECT CAST(row_number() OVER (ORDER BY n DESC, lhs, rhs) AS BIGINT) AS rank, lhs, rhs, n FROM "
     "(SELECT lhs, rhs, CAST(sum(freq) AS BIGINT) AS n FROM p GROUP BY lhs, rhs) ORDER BY n DESC, lhs, rhs LIMIT 10")
 ORACLE["d7_merge_best_pair"] = ("WITH " + _words_cte() + f""",
-s AS (SELECT freq, {SYMS.format(s=INIT_SYM.format(w='word'))} AS sy FROM words),
-p AS (SELECT freq, sy[i] AS lhs, sy[i + 1] AS rhs FROM (SELECT freq, sy, unnest(range(1, len(sy))) AS i FROM s)),
-b AS (SELECT lhs, rhs FROM p GROUP BY lhs, rhs ORDER BY sum(freq) DESC, lhs, rhs LIMIT 1)
-SELECT word, freq, array_to_string({SYMS.format(s="replace(" + INIT_SYM.format(w='word') + ", chr(1) || b.lhs || chr(1) || chr(1) || b.rhs || chr(1), chr(1) || b.lhs || b.rhs || chr(1))")}, ' ') AS symbols
-FROM words, b""")
+s AS MATERIALIZED (SELECT word, freq, {INIT_SYM.format(w='word')} AS raw FROM words),
+p AS (SELECT freq, sy[i] AS lhs, sy[i + 1] AS rhs FROM (SELECT freq, sy, unnest(range(1, len(sy))) AS i
+      FROM (SELECT freq, {SYMS.format(s='raw')} AS sy FROM s))),
+b AS MATERIALIZED (SELECT chr(1) || lhs || chr(1) || chr(1) || rhs || chr(1) AS apart, chr(1) || lhs || rhs || chr(1) AS joined
+      FROM p GROUP BY lhs, rhs ORDER BY sum(freq) DESC, lhs, rhs LIMIT 1),
+m AS MATERIALIZED (SELECT word, freq, CASE WHEN contains(raw, apart) THEN replace(raw, apart, joined) ELSE raw END AS done FROM s, b)
+SELECT word, freq, array_to_string({SYMS.format(s='done')}, ' ') AS symbols FROM m""")
 ORACLE["d8_train_bpe"] = _bpe("SELECT rank, lhs, rhs, pair_count FROM train")
 ORACLE["d8_vocab"] = _bpe("SELECT token, id FROM vocab")
 ORACLE["d11_encode_words"] = _bpe("SELECT word, array_to_string(toks, ' ') AS tokens, "

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
 import uuid
@@ -89,16 +88,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def drop_superseded(spark: SparkSession) -> None:
-    """Let Spark's cleaner remove the checkpoints and shuffle files of DataFrames that are gone.
-
-    It follows the garbage collectors of driver and JVM, which may not run for
-    hundreds of rounds of a long iteration.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the reliable checkpoint folder.
 
