@@ -73,3 +73,21 @@ def test_empty(docs_of):
     assert mix_sources(docs_of([])).count() == 0 and mixed_documents(docs_of([])).count() == 0
     only = mix_sources(docs_of([(1, None), (2, "")])).collect()
     assert [(r.size, r.target, r.taken) for r in only] == [(0, 0.0, 0)] * 2
+
+
+@pytest.mark.parametrize("broadcast", [50_000, 0])
+def test_columns_of_any_name_are_kept(docs_of, broadcast, monkeypatch):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", broadcast)
+    names = ["epoch", "taken", "mix", "mix_size", "mix_copy", "salt", "plan", "mix_row", "mix_plan", "mix_salt", "cut", "key"]
+    docs = docs_of([(i, "w " * i, "ab"[i % 2]) for i in range(8)]).select("*", *[F.lit(c).alias(c) for c in names])
+    out = mixed_documents(docs)
+    assert out.columns == [*docs.columns, "epoch_", "taken_"]
+    rows = out.collect()
+    assert rows and all(r[c] == c for r in rows for c in names) and all(len(r.text.split()) == r.taken_ for r in rows)
+
+
+def test_rows_without_an_id_are_spread(docs_of):
+    from wordmill.llm.mixing import sized_rows
+    rows = sized_rows(docs_of([(None, f"text {i}") for i in range(50)]), 42, "doc_id", "source", "text")
+    assert rows.select("key").distinct().count() == 50

@@ -75,3 +75,9 @@ def test_redaction_keeps_rows_and_masks(docs_of):
     out = {r.doc_id: r for r in redact_secrets(docs_of(rows)).collect()}
     assert out[1].text == "a [REDACTED] b" and out[1].n_chars == len(out[1].text)
     assert out[2].text is None and out[3].text == "clean" and out[3].n_chars == 5 and out[4].text == ""
+
+
+def test_large_ids_beside_null_ones_stay_exact(docs_of):
+    big = (1 << 60) + 1
+    rows = [(big, "a"), (None, "b"), (-big, None), (big, "a")]
+    assert sorted(str(r.doc_id) for r in scan_secrets(docs_of(rows)).collect()) == sorted(str(i) for i, _ in rows)

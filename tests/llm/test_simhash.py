@@ -102,3 +102,12 @@ def test_dedup_keeps_one_of_each_group_and_empty_table(docs_of):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 8]
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars", "size"]
     assert simhash_groups(docs_of([])).count() == 0
+
+
+def test_dedup_goes_by_text_and_not_by_id(docs_of):
+    a, b = "alpha beta gamma delta epsilon zeta", "one two three four five six seven"
+    kept = lambda rows: sorted((str(r.doc_id), r.text) for r in simhash_dedup(docs_of(rows)).collect())
+    assert kept([(7, a), (7, b), (3, b)]) == [("3", b), ("7", a)]
+    assert kept([(7, a), (7, b)]) == [("7", a), ("7", b)]
+    assert kept([(None, a), (1, b), (None, b)]) == [("1", b), ("None", a)]
+    assert kept([(None, a)] * 3 + [(2, b)] * 2 + [(None, None), (5, "")]) == [("2", b), ("5", ""), ("None", a)]

@@ -1,5 +1,7 @@
 """URL filter: parsing and rules against plain Python, templates on planted structure."""
 
+import pytest
+
 from wordmill.llm.queries import LLM_QUERIES, URL_RULES
 from wordmill.llm.urls import filter_urls, template_tree
 
@@ -89,3 +91,14 @@ def test_deep_branches_are_judged(spark):
 
 def test_empty(spark):
     assert filter_urls(spark.createDataFrame([], "page_id bigint, url string"), URL_RULES).count() == 0
+
+
+@pytest.mark.parametrize("level", [1, 6, 9, 14])
+def test_unlabelled_templates_are_not_rejected_at_any_depth(spark, level):
+    pages = [(i, f"http://h{i % 9}.test/p{i}/", 1) for i in range(200)]
+    deep = "/".join(f"d{k}" for k in range(level))
+    pages += [(1000 + i, f"http://x.test/{deep}/good/{i}", 0) for i in range(10)] + [(2000 + i, f"http://x.test/{deep}/unknown/{i}", None) for i in range(10)]
+    df = spark.createDataFrame([(i, u) for i, u, _ in pages], "page_id bigint, url string")
+    labels = spark.createDataFrame([(i, b) for i, _, b in pages if b is not None], "page_id bigint, bad int")
+    got = {r.page_id: r.verdict for r in filter_urls(df, [], labels).collect()}
+    assert all(got[i] == "allow" for i in got if i >= 1000)

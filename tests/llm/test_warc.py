@@ -50,7 +50,7 @@ def test_normaliser_members_and_index(spark, tmp_path):
     assert len(list(records_of(iter([one.decompress(whole)])))) == len(ROWS) and one.eof and not one.unused_data
     found = revisits(records).groupBy("archive").agg({"ordinal": "count"}).select("archive")
     assert found.count() == 1
-    spots = spark.createDataFrame([(source, [])], "archive string, revisits array<struct<ordinal: bigint, refers_to: bigint>>")
+    spots = spark.createDataFrame([(source, [])], "archive string, revisits array<struct<ordinal: bigint, refers_to: bigint, response: struct<archive: string, ordinal: bigint>>>")
     index = settle(normalise(spots, f"file:{tmp_path}/records")).orderBy("ordinal").collect()
     raw = open(index[0].archive.removeprefix("file:"), "rb").read()
     assert [r.offset for r in index] == [sum(x.length for x in index[:i]) for i in range(len(index))]
@@ -68,3 +68,19 @@ def test_damaged_streams_are_refused():
     for bad in (good[:-20], good[:25], b"HTTP/1.1 200\r\n\r\n" + good):
         with pytest.raises(ValueError):
             list(records_of(iter([bad])))
+
+
+def test_every_reference_names_a_response_with_the_payload(spark, tmp_path):
+    warc_round_trip(pages_of(spark, ROWS).repartition(3), f"file:{tmp_path}", archive_bytes=300).collect()
+    kinds, refers = {}, {}
+    for name in tmp_path.glob("records/*.gz"):
+        for fields, _ in records_of(inflate(open(name, "rb"))):
+            kinds[fields["warc-record-id"]] = fields["warc-type"], fields["warc-payload-digest"]
+            if fields["warc-type"] == "revisit":
+                refers[fields["warc-record-id"]] = fields["warc-refers-to"]
+    assert refers and all(kinds[to] == ("response", kinds[of][1]) for of, to in refers.items())
+
+
+def test_archives_are_read_by_tasks_of_their_own(spark):
+    read = warc_round_trip(pages_of(spark, [(i, "u", "x" * 50) for i in range(40)]).repartition(8), archive_bytes=1000)
+    assert read.rdd.getNumPartitions() >= 8

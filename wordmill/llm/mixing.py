@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordmill.llm.common import settle
+from wordmill.llm.common import fresh_name, settle
 
 # Words are maximal runs of anything but these characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,11 +31,12 @@ def sized_rows(docs: DataFrame, seed: int, id_col: str, source_col: str, text_co
     return docs.select(
         doc_id.alias("doc_id"), F.coalesce(source, F.lit("")).alias("source"), source.isNull().alias("bare"),
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-        hash_key(doc_id, seed).alias("key"), F.xxhash64(text).alias("text_key"))
+        hash_key(doc_id, text, seed).alias("key"), F.xxhash64(text).alias("text_key"))
 
 
-def hash_key(doc_id: Column, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), doc_id)
+def hash_key(doc_id: Column, text: Column, seed: int) -> Column:
+    """By id and text: rows without an id, or of one id, are spread too."""
+    return F.xxhash64(F.lit(seed), doc_id, text)
 
 
 def bucket(key: Column, buckets: int) -> Column:
@@ -115,8 +116,8 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: fl
     Sources by code point, null last, have ``weights`` in turn.  A source
     yields whole epochs of all its rows and then rows by ascending key up to
     its exact budget; the row at the cut yields the words that are left, so
-    the words taken are the target, rounded down.  A null text has size 0 and a
-    null doc_id a key of its own.  Repeated rows tie and are taken one after
+    the words taken are the target, rounded down.  A null text has size 0; rows
+    of null or repeated doc_id have keys by their texts.  Repeated rows tie and are taken one after
     the other.  An empty table gives an empty result.
     """
     rows = settle(sized_rows(docs, seed, id_col, source_col, text_col))
@@ -129,6 +130,8 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share
                     seed: int = 42) -> DataFrame:
     """The mix itself: the columns of ``docs`` plus ``epoch`` and ``taken``, a row per document and epoch.
 
+    Where ``docs`` has columns of these names, the new ones get underscores appended (``fresh_name``).
+
     The cut of each source is one key, so the texts are neither shuffled nor
     sorted: each row compares its key with its source's cut.  A row at the cut
     keeps its first ``taken`` words (joined by single spaces).
@@ -141,26 +144,27 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share
         F.max(F.when(F.col("before") < F.col("rest"), F.struct(place.alias("place"), partial().alias("taken")))).alias("cut")))
     few = cuts.count() <= BROADCAST_SOURCES
     text = F.col("text").cast("string")
-    mine = docs.withColumn("mix", F.struct(
+    mix, plan, salt, size, copy = (fresh_name(docs, "mix_" + c) for c in ("row", "plan", "salt", "size", "copy"))
+    mine = docs.withColumn(mix, F.struct(
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), F.col("source").isNull().alias("bare"),
-        F.col("doc_id").cast("bigint").alias("doc_id"), hash_key(F.col("doc_id").cast("bigint"), seed).alias("key"), F.xxhash64(text).alias("text_key"),
+        F.col("doc_id").cast("bigint").alias("doc_id"), hash_key(F.col("doc_id").cast("bigint"), text, seed).alias("key"), F.xxhash64(text).alias("text_key"),
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
         (F.lit(0) if few else F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).cast("int").alias("salt")))
-    side = cuts.select(F.struct("*").alias("plan"), F.explode(F.sequence(F.lit(0), F.lit(0 if few else SALTS - 1))).alias("salt"))
+    side = cuts.select(F.struct("*").alias(plan), F.explode(F.sequence(F.lit(0), F.lit(0 if few else SALTS - 1))).alias(salt))
     side = F.broadcast(side) if few else side
-    joined = mine.join(side, (F.col("mix.source") == F.col("plan.source")) & (F.col("mix.bare") == F.col("plan.bare")) & (F.col("mix.salt") == side["salt"]))
-    here = F.struct(F.shiftrightunsigned("mix.key", 32).alias("a"), F.col("mix.key").bitwiseAND(F.lit(0xFFFFFFFF)).alias("b"),
-                    F.col("mix.doc_id").alias("c"), F.col("mix.text_key").alias("d"))
-    cut = F.col("plan.cut.place")
-    last = (F.when(here < cut, F.col("mix.size")).when(here == cut, F.col("plan.cut.taken")).otherwise(F.lit(0)))
-    copies = F.filter(F.concat(F.transform(F.sequence(F.lit(1), F.greatest(F.col("plan.epochs"), F.lit(1))),
-                                           lambda e: F.struct(e.alias("epoch"), F.when(F.col("plan.epochs") > 0, F.col("mix.size")).otherwise(F.lit(0)).alias("taken"))),
-                               F.array(F.struct((F.col("plan.epochs") + 1).alias("epoch"), F.coalesce(last, F.lit(0)).cast("bigint").alias("taken")))),
+    joined = mine.join(side, (F.col(f"{mix}.source") == F.col(f"{plan}.source")) & (F.col(f"{mix}.bare") == F.col(f"{plan}.bare")) & (F.col(f"{mix}.salt") == F.col(salt)))
+    here = F.struct(F.shiftrightunsigned(F.col(f"{mix}.key"), 32).alias("a"), F.col(f"{mix}.key").bitwiseAND(F.lit(0xFFFFFFFF)).alias("b"),
+                    F.col(f"{mix}.doc_id").alias("c"), F.col(f"{mix}.text_key").alias("d"))
+    cut = F.col(f"{plan}.cut.place")
+    last = (F.when(here < cut, F.col(f"{mix}.size")).when(here == cut, F.col(f"{plan}.cut.taken")).otherwise(F.lit(0)))
+    copies = F.filter(F.concat(F.transform(F.sequence(F.lit(1), F.greatest(F.col(f"{plan}.epochs"), F.lit(1))),
+                                           lambda e: F.struct(e.alias("epoch"), F.when(F.col(f"{plan}.epochs") > 0, F.col(f"{mix}.size")).otherwise(F.lit(0)).alias("taken"))),
+                               F.array(F.struct((F.col(f"{plan}.epochs") + 1).alias("epoch"), F.coalesce(last, F.lit(0)).cast("bigint").alias("taken")))),
                       lambda c: c["taken"] > 0)
-    out = joined.select(*docs.columns, F.col("mix.size").alias("mix_size"), F.explode(copies).alias("mix_copy"))
-    head = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lit(1), F.col("mix_copy.taken").cast("int")), " ")
-    short = F.col("mix_copy.taken") < F.col("mix_size")
+    out = joined.select(*docs.columns, F.col(f"{mix}.size").alias(size), F.explode(copies).alias(copy))
+    head = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.lit(1), F.col(f"{copy}.taken").cast("int")), " ")
+    short = F.col(f"{copy}.taken") < F.col(size)
     values = {"text": F.when(short, head).otherwise(text),
               "n_chars": F.when(short, F.length(head)).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {"text": F.when(short, head).otherwise(text)}
     return out.select(*[(values[c] if c in values else F.col(c)).alias(c) for c in docs.columns],
-                      F.col("mix_copy.epoch").alias("epoch"), F.col("mix_copy.taken").alias("taken"))
+                      F.col(f"{copy}.epoch").alias(fresh_name(docs, "epoch")), F.col(f"{copy}.taken").alias(fresh_name(docs, "taken")))

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from wordmill.llm.common import settle, shared_folder
 from wordmill.session import with_rank
 
-# Chunks and words of which a Python worker remembers the ids (two generations of each; some 100 MB).
-REMEMBERED = 250_000
+# Chunks and words of which a Python worker remembers the ids (two generations of each; some 250 MB).
+REMEMBERED = 500_000
 # Open sequences that one task of a round updates.
 GAPS_PER_TASK = 500_000
 # Texts that one tokenising step holds.
@@ -92,8 +92,11 @@ class ByteBpe:
         return np.array(self.tokenizer.encode(rest, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
-        known = self.chunks
-        return b"".join([known[c] for c in CHUNK.findall(text)])
+        chunks = CHUNK.findall(text)
+        found = list(map(self.chunks.get, chunks))
+        if None in found:
+            found = [self.chunks[c] if ids is None else ids for c, ids in zip(chunks, found)]
+        return b"".join(found)
 
 
 @lru_cache(maxsize=1)

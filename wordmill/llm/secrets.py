@@ -138,7 +138,10 @@ def apart(start: int, end: int, spans: list) -> bool:
 
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Base spans and tested candidates of every whole text (null: empty), without the text."""
+    """Base spans and tested candidates of every whole text (null: empty), without the text.
+
+    A row each, whatever its id: null, repeated and very large ids come back as they are.
+    """
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
             base, found, strings, owner = [], [], [], []
@@ -163,11 +166,13 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                                 "base": [[{"start": s, "end": e, "kind": KINDS[k]} for s, e, k in x] for x in base],
                                 "tested": [[dict(zip(("start", "end", "encoding", "band", "score", "uniform"), c)) for c in x] for x in found]})
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_key"),
+    # pandas would turn ids beside a null one into floats, so they travel as text
+    rows = docs.select(F.col(id_col).cast("bigint").cast("string").alias("doc_id"), F.xxhash64(F.col(text_col).cast("string")).alias("text_key"),
                        F.col(text_col).cast("string").alias("text"))
     span = "array<struct<start: int, end: int, kind: string>>"
     tested = "array<struct<start: int, end: int, encoding: string, band: int, score: int, uniform: double>>"
-    return rows.mapInPandas(run, f"doc_id bigint, text_key bigint, base {span}, tested {tested}")
+    found = rows.mapInPandas(run, f"doc_id string, text_key bigint, base {span}, tested {tested}")
+    return found.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
 def cutoffs(measured: DataFrame, fdr: float = FDR) -> dict[int, int]:

@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.llm.common import LOWER, components, fresh_name, merge_labels, settle
@@ -43,15 +43,16 @@ def fingerprint(raw: bytes, k: int, seed: int) -> int:
 
 
 def fingerprints(docs: DataFrame, k: int = 3, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp)``: the 64-bit fingerprint (as a signed bigint) of every whole text; null counts as empty."""
+    """``(doc_id, text_key, fp)``: the 64-bit fingerprint (as a signed bigint) of every whole text; null counts as empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.fromiter((fingerprint(x.as_buffer().to_pybytes() if x.is_valid else b"", k, seed) for x in b.column(1)),
+            fp = np.fromiter((fingerprint(x.as_buffer().to_pybytes() if x.is_valid else b"", k, seed) for x in b.column(2)),
                              np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp.view(np.int64))], ["doc_id", "text_key", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("raw"))
-    return rows.mapInArrow(run, "doc_id bigint, fp bigint")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.cast("binary").alias("raw"))
+    return rows.mapInArrow(run, "doc_id bigint, text_key bigint, fp bigint")
 
 
 def bit_planes(fps: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -202,32 +203,41 @@ def simhash_groups(docs: DataFrame, k: int = 3, radius: int = 2, seed: int = 42,
     kept but never names a component; a component without any id has a null
     one.  An empty table gives an empty result.
     """
+    fps, named = named_fingerprints(docs, k, radius, seed, id_col, text_col, tile, rows_per_task)
+    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def named_fingerprints(docs: DataFrame, k: int, radius: int, seed: int, id_col: str = "doc_id", text_col: str = "text",
+                       tile: int = TILE, rows_per_task: int = ROWS_PER_TASK) -> tuple[DataFrame, DataFrame]:
+    """Every row's fingerprint, and per fingerprint ``(fp, root, component_id)``."""
     fps = settle(fingerprints(docs, k, seed, id_col, text_col))
     nodes = settle(fps.groupBy("fp").agg(F.min("doc_id").alias("low")))
     links = components(link_fingerprints(nodes.select("fp"), radius, tile, rows_per_task))
     links = links.withColumnRenamed("node", "fp")
     rooted = nodes.join(links, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(lowest, "root").select("fp", "component_id")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    return fps, rooted.join(lowest, "root").select("fp", "root", "component_id")
 
 
 def simhash_dedup(docs: DataFrame, k: int = 3, radius: int = 2, seed: int = 42) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: the one of smallest doc_id.
+    """``docs`` with one row of each near-duplicate group: the one of smallest doc_id, rows without one last.
 
-    Rows without a doc_id go, unless some group has no doc_id at all; then they
-    all stay, since none can be named.  A doc_id that names several rows stays
-    once (the row of smallest text).
+    A group is of texts, whatever their ids: two unlike texts of one doc_id
+    both stay, and of several texts of the chosen doc_id in one group the one
+    of smallest hash does.  Of repeated rows one stays.  Columns of any name
+    are kept as they are.
     """
-    mark = fresh_name(docs, "rows_of_id")
-    groups = simhash_groups(docs, k, radius, seed)
-    keep = settle(groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias(mark)))
-    kept = docs.join(keep.hint("shuffle_hash"), "doc_id")
-    out = kept.where(F.col(mark) == 1).select(*docs.columns)
-    if not keep.where(F.col(mark) > 1).isEmpty():
-        first = Window.partitionBy("doc_id").orderBy("text")
-        out = out.unionByName(kept.where(F.col(mark) > 1).withColumn(mark, F.row_number().over(first))
-                              .where(F.col(mark) == 1).select(*docs.columns))
-    if not groups.where("component_id is null").isEmpty():
-        out = out.unionByName(docs.where("doc_id is null"))
-    return out
+    fps, named = named_fingerprints(docs, k, radius, seed)
+    place = F.struct(F.col("doc_id").isNull().alias("bare"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "text_key")
+    of_row = (fps.groupBy("fp", place.alias("place")).agg(F.count(F.lit(1)).alias("rows")).join(named, "fp"))
+    first = settle(of_row.groupBy("root").agg(F.min(F.struct("place", "rows")).alias("m")).select("m.place.*", "m.rows"))
+    names = {c: fresh_name(docs, "kept_" + c) for c in first.columns}
+    first = first.select(*[F.col(c).alias(n) for c, n in names.items()])
+    mine = (F.col("doc_id").isNull() == F.col(names["bare"])) & (F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)) == F.col(names["doc_id"])) \
+        & (F.xxhash64(F.col("text").cast("string")) == F.col(names["text_key"]))
+    kept = docs.join(first.hint("shuffle_hash"), mine)
+    out = kept.where(F.col(names["rows"]) == 1).select(*docs.columns)
+    if first.where(F.col(names["rows"]) > 1).isEmpty():
+        return out
+    again = kept.where(F.col(names["rows"]) > 1).groupBy(*[F.col(n) for c, n in names.items() if c != "rows"])
+    return out.unionByName(again.agg(F.min(F.struct(*[F.col(c) for c in docs.columns])).alias("row")).select("row.*"))

@@ -140,12 +140,17 @@ def template_tree(counts: DataFrame) -> DataFrame:
 
 
 def judge_templates(tree: DataFrame, prior: float = PRIOR, purity: float = PURITY) -> DataFrame:
-    """``(host, shape, template, purity, rejected)``: each template's share of bad labels, smoothed to the overall share."""
+    """``(host, shape, template, purity, rejected)``: each template's share of bad labels, smoothed to the overall share.
+
+    A template is rejected on bad labels of its own only: where most labels are
+    bad everywhere, those without one (how deep they lie is then of no
+    concern) keep their pages.
+    """
     total = tree.agg(F.sum("labelled"), F.sum("bad")).first()
     overall = (total[1] or 0) / total[0] if total[0] else 0.0
     judged = tree.groupBy("host", "template").agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled"))
     share = (F.col("bad") + prior * overall) / (F.col("labelled") + prior)
-    judged = judged.select("host", "template", share.alias("purity"), (share >= purity).alias("rejected"))
+    judged = judged.select("host", "template", share.alias("purity"), ((F.col("bad") > 0) & (share >= purity)).alias("rejected"))
     return tree.select("host", "shape", "template").join(judged, ["host", "template"])
 
 

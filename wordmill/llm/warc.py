@@ -31,7 +31,7 @@ LEVEL = 6  # of gzip
 VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
-RECORD_ID, REFERS_TO = "urn:wordmill:record:", "urn:wordmill:page:"
+RECORD_ID = "urn:wordmill:record:"
 
 RECORD_SCHEMA = "archive string, ordinal bigint, page_id bigint, payload_bytes bigint, payload_digest string"
 INDEX_SCHEMA = "archive string, ordinal bigint, offset bigint, length bigint, type string"
@@ -47,6 +47,10 @@ def open_fs(address: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(address)
 
 
+def record_name(archive: str, ordinal: int) -> str:
+    return f"{RECORD_ID}{archive.rpartition('/')[2]}:{ordinal}"
+
+
 def http_head(payload_bytes: int) -> bytes:
     return f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {payload_bytes}\r\n\r\n".encode()
 
@@ -125,7 +129,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
                     sink = files.open_output_stream(f"{path}/{archive.rpartition('/')[2]}", compression=None)
                     deflater, rows, written = zlib.compressobj(LEVEL, zlib.DEFLATED, 31), [], 0
                 digest = hashlib.sha256(payload).hexdigest()
-                name = RECORD_ID + f"{archive.rpartition('/')[2]}:{len(rows)}"
+                name = record_name(archive, len(rows))
                 sink.write(deflater.compress(record("response", name, url or "", digest, http_head(len(payload)) + payload,
                                                     (("X-Page-ID", str(page_id)),))))
                 rows.append((archive, len(rows), page_id, len(payload), digest))
@@ -151,26 +155,31 @@ def batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 def revisits(records: DataFrame, least_bytes: int = 100) -> DataFrame:
-    """``(archive, ordinal, refers_to)`` of the records that revisit the smallest page_id of their payload."""
+    """``(archive, ordinal, refers_to, response)`` of the records that revisit the smallest page_id of their payload.
+
+    ``response`` is the record that holds it, as a struct (archive, ordinal).
+    """
     copies = records.where(F.col("payload_bytes") >= least_bytes)
-    first = copies.groupBy("payload_digest").agg(F.min("page_id").alias("refers_to"))
-    return (copies.join(first, "payload_digest").where(F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to")))
-            .select("archive", "ordinal", "refers_to"))
+    here = F.struct("page_id", "archive", "ordinal")
+    first = copies.groupBy("payload_digest").agg(F.min(F.when(F.col("page_id").isNotNull(), here)).alias("first"))
+    return (copies.join(first, "payload_digest").where(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first.page_id")))
+            .select("archive", "ordinal", F.col("first.page_id").alias("refers_to"), F.struct("first.archive", "first.ordinal").alias("response")))
 
 
 def normalise(archives: DataFrame, folder: str) -> DataFrame:
     """Rewrite archives ``(archive, revisits)`` to one gzip member per record; returns ``INDEX_SCHEMA`` rows.
 
-    ``revisits`` lists structs (ordinal, refers_to) of records to rewrite
-    without their payload.  The same rows are written beside each new archive
+    ``revisits`` lists structs (ordinal, refers_to, response) of records to
+    rewrite without their payload; their WARC-Refers-To names the response's
+    record, X-Refers-To-Page its page_id.  The same rows are written beside each new archive
     as ``<archive>.idx``, one JSON object per line.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for source, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                yield batch(rewrite(source, {r["ordinal"]: r["refers_to"] for r in found or ()}), INDEX_SCHEMA)
+                yield batch(rewrite(source, {r["ordinal"]: r for r in found or ()}), INDEX_SCHEMA)
 
-    def rewrite(source: str, refers: dict[int, int]) -> list[tuple]:
+    def rewrite(source: str, refers: dict[int, dict]) -> list[tuple]:
         files, path = open_fs(source)
         out_files, out_path = open_fs(folder)
         out_files.create_dir(out_path, recursive=True)
@@ -182,7 +191,8 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                 if ordinal in refers:
                     kind = "revisit"
                     block = block[:block.index(b"\r\n\r\n") + 4]
-                    extra += (("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", f"<{REFERS_TO}{refers[ordinal]}>"))
+                    extra += (("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", f"<{record_name(**refers[ordinal]['response'])}>"),
+                              ("X-Refers-To-Page", str(refers[ordinal]["refers_to"])))
                 raw = record(kind, fields["warc-record-id"].strip("<>"), fields["warc-target-uri"], fields["warc-payload-digest"].removeprefix("sha256:"), block, extra)
                 deflater = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
                 member = deflater.compress(raw) + deflater.flush()
@@ -221,7 +231,7 @@ def read_records(spark: SparkSession, wanted: DataFrame) -> DataFrame:
         if not revisit and (len(payload) != size or hashlib.sha256(payload).hexdigest() != digest):
             raise ValueError(f"payload of {fields['warc-record-id']} is damaged")
         page = fields.get("x-page-id", "None")
-        refers = int(fields["warc-refers-to"].strip("<>").removeprefix(REFERS_TO)) if revisit else None
+        refers = int(fields["x-refers-to-page"]) if revisit else None
         return (None if page == "None" else int(page), fields["warc-target-uri"], size, digest, fields["warc-type"], refers,
                 None if revisit else payload)
 
@@ -247,8 +257,9 @@ def warc_round_trip(pages: DataFrame, folder: str | None = None, least_bytes: in
     spark = pages.sparkSession
     folder = folder or shared_folder(spark, "warc")
     records = settle(write_archives(pages, folder + "/streams", id_col, url_col, html_col, archive_bytes))
-    found = revisits(records, least_bytes).groupBy("archive").agg(F.collect_list(F.struct("ordinal", "refers_to")).alias("revisits"))
+    found = revisits(records, least_bytes).groupBy("archive").agg(F.collect_list(F.struct("ordinal", "refers_to", "response")).alias("revisits"))
     archives = records.select("archive").distinct().join(found, "archive", "left")
-    index = settle(normalise(archives.repartition("archive"), folder + "/records"))
+    tasks = max(1, records.select("archive").distinct().count())  # a number, so that one archive's few rows are one task
+    index = settle(normalise(archives.repartition(tasks), folder + "/records"))
     wanted = index.groupBy("archive").agg(F.sort_array(F.collect_list(F.struct("offset", "length"))).alias("spots"))
-    return read_records(spark, wanted)
+    return read_records(spark, wanted.repartition(tasks))
