@@ -78,6 +78,29 @@ def test_every_window_lies_in_one_span():
     assert seen == [s for s in range(488) if doc[s] == doc[s + 12]]
 
 
+def test_long_batches_are_sliced(monkeypatch):
+    rng = np.random.default_rng(2)
+    hashes, doc = rng.integers(0, 2**63, 900).astype(np.uint64), np.zeros(900, np.int64)
+    whole = anchored_spans(hashes, doc, 13, 4)
+    of_window = lambda found: {s + i: a for s, m, a in zip(*found) for i in range(m)}
+    for size in (1, 50, 887, 888, 889):
+        monkeypatch.setattr(substring, "SLICE_WORDS", size)
+        assert of_window(anchored_spans(hashes, doc, 13, 4)) == of_window(whole)
+    assert len(anchored_spans(hashes[:12], doc[:12], 13, 4)[0]) == 0
+
+
+def test_spans_of_hot_anchors_are_dealt_by_window(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(substring, "HOT_SAMPLE", 1)
+    monkeypatch.setattr(substring, "HOT_LEAST", 2)
+    monkeypatch.setattr(substring, "HOT_SHARE", 0.0)
+    rows = make(5)
+    from pyspark.sql import functions as F
+    raw = docs_of(rows).select("doc_id", F.col("text").cast("binary").alias("raw"))
+    assert len(substring.hot_anchors(raw, 13, 4, 1)) > 3
+    got = dedup_substrings(docs_of(rows), partition_bytes=500).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, hashlib.sha256(r.kept.encode()).hexdigest()) for r in got) == slow(rows)
+
+
 def test_subtree_and_prefix_groups():
     rng = np.random.default_rng(1)
     suffix = rng.integers(0, 2, (300, 4))
@@ -102,6 +125,6 @@ def test_pack_round_trip():
 
 def test_words_are_coded_by_first_appearance():
     values = np.array([9, 4, 9, 9, 7, 4])
-    names, codes = substring.first_seen(values)
+    names, codes = substring.first_seen(values, 10)
     assert names.tolist() == [9, 4, 7] and codes.tolist() == [0, 0, 1, 1, 0, 2]
     assert names[substring.numbers_seen(codes)].tolist() == values.tolist()

@@ -26,10 +26,18 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wordmill.llm.common import settle
+
 # Words of the anchor; longer anchors occur less often but share fewer suffixes.
 ANCHOR = 4
 # Words that a map task gathers before it ships its spans.
 BATCH_WORDS = 1_000_000
+# Windows that are given their anchors at a time, at most 2^24 with the words they end in.
+SLICE_WORDS = 1 << 23
+# An anchor is hot if it leads more than this share of a partition's spans; counted in one of so many documents.
+HOT_SHARE, HOT_SAMPLE = 0.1, 50
+# Occurrences in the sample that an anchor needs at least to be hot.
+HOT_LEAST = 20
 # Bytes of text that a partition of spans, and a bucket of documents in the last step, stand for.
 PARTITION_BYTES = 8_000_000
 # Bytes of text that a map task packs into blocks by bucket.
@@ -75,7 +83,18 @@ def expand(start: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def anchored_spans(hashes: np.ndarray, doc: np.ndarray, window: int, k: int):
-    """Spans of the windows of one batch: first word, number of windows and anchor hash of each."""
+    """Spans of the windows of one batch: first word, number of windows and anchor hash of each.
+
+    A key holds a word's place in 24 bits, so longer batches (a single long
+    text) are taken in overlapping slices; a window lies in one of them.
+    """
+    found = [spans_of_slice(hashes[lo:lo + SLICE_WORDS + window - 1], doc[lo:lo + SLICE_WORDS + window - 1], window, k)
+             for lo in range(0, max(1, len(hashes) - window + 1), SLICE_WORDS)]
+    start = [f[0] + i * SLICE_WORDS for i, f in enumerate(found)]
+    return np.concatenate(start), np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found])
+
+
+def spans_of_slice(hashes: np.ndarray, doc: np.ndarray, window: int, k: int):
     n = len(hashes)
     if n < window:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
@@ -110,13 +129,15 @@ def unpack(blob: bytes) -> dict:
             for k, v in pickle.loads(zstandard.ZstdDecompressor().decompress(blob)).items()}
 
 
-def first_seen(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct values by first appearance, and codes for all: 0 for a new one, else its number plus 1."""
-    names, first, inverse = np.unique(values, return_index=True, return_inverse=True)
-    order = np.argsort(first)
-    number = np.empty(len(order), np.int64)
-    number[order] = np.arange(len(order))
-    return names[order], np.where(first[inverse] == np.arange(len(values)), 0, number[inverse] + 1)
+def first_seen(values: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values (below ``n``) by first appearance, and codes for all: 0 for a new one, else its number plus 1."""
+    place = np.arange(len(values))
+    held = np.empty(n, np.int64)
+    held[values[::-1]] = place[::-1]  # of equal places the last assignment stays, which is the first appearance
+    new = held[values] == place
+    names = values[new]
+    held[names] = np.arange(1, len(names) + 1)
+    return names, np.where(new, 0, held[values])
 
 
 def numbers_seen(codes: np.ndarray) -> np.ndarray:
@@ -125,8 +146,12 @@ def numbers_seen(codes: np.ndarray) -> np.ndarray:
     return np.where(new, np.cumsum(new) - 1, codes.astype(np.int64) - 1)
 
 
-def ship_batch(ids, keys, tokens, vocabulary, window, k, partitions) -> Iterator[tuple[int, bytes]]:
-    """The spans of one batch of documents, equal ones once, as one block per partition."""
+def ship_batch(ids, keys, tokens, vocabulary, window, k, partitions, hot=()) -> Iterator[tuple[int, bytes]]:
+    """The spans of one batch of documents, equal ones once, as one block per partition.
+
+    The spans of hot anchors are cut into their windows, which are dealt by
+    all their words: equal windows still meet, and others part.
+    """
     length = np.array([len(t) for t in tokens], np.int64)
     word = np.concatenate(tokens) if tokens else np.empty(0, np.int32)
     doc = np.repeat(np.arange(len(length)), length)
@@ -136,13 +161,20 @@ def ship_batch(ids, keys, tokens, vocabulary, window, k, partitions) -> Iterator
     start, n_windows, anchor = anchored_spans(hashes, doc, window, k)
     if not len(start):
         return
+    sums = Sums(hashes)
+    if len(hot):
+        often = np.isin(anchor, hot)
+        alone = expand(start[often], n_windows[often])
+        start, n_windows = np.r_[start[~often], alone], np.r_[n_windows[~often], np.ones(len(alone), np.int64)]
+        anchor = np.r_[anchor[~often], sums.of(alone, alone + window)]
     size = n_windows + window - 1
-    _, first, inverse = np.unique(Sums(hashes).of(start, start + size), return_index=True, return_inverse=True)
+    _, first, inverse = np.unique(sums.of(start, start + size), return_index=True, return_inverse=True)
     same = first[inverse]
     # equal fingerprints are checked word by word, so that only equal spans are merged
-    differ = np.flatnonzero(size[same] != size)
-    unequal = word[expand(start, size)] != word[expand(np.where(size[same] == size, start[same], start), size)]
-    differ = np.union1d(differ, np.repeat(np.arange(len(size)), size)[unequal])
+    merged = np.flatnonzero(same != np.arange(len(same)))
+    like = merged[size[same[merged]] == size[merged]]
+    unequal = word[expand(start[like], size[like])] != word[expand(start[same[like]], size[like])]
+    differ = np.union1d(merged[size[same[merged]] != size[merged]], np.repeat(like, size[like])[unequal])
     same[differ] = differ
     part = (mix(anchor) % np.uint64(partitions)).astype(np.int64)
     order = np.lexsort((np.arange(len(same)), same, part))
@@ -153,7 +185,7 @@ def ship_batch(ids, keys, tokens, vocabulary, window, k, partitions) -> Iterator
         span = same[rows]
         lead = np.flatnonzero(np.r_[True, span[1:] != span[:-1]])
         at = span[lead]
-        used, words = first_seen(word[expand(start[at], size[at])])
+        used, words = first_seen(word[expand(start[at], size[at])], len(vocabulary))
         docs, owner = np.unique(doc[start[rows]], return_inverse=True)
         yield int(part[rows[0]]), pack(
             dictionary=b"\n".join([vocabulary[i] for i in used.tolist()]), words=words.astype(np.uint32),
@@ -162,14 +194,38 @@ def ship_batch(ids, keys, tokens, vocabulary, window, k, partitions) -> Iterator
             doc_step=np.diff(doc_ids[docs], prepend=0), doc_keys=doc_keys[docs])
 
 
-def ship_spans(docs: DataFrame, window: int, k: int, partitions: int) -> DataFrame:
+def hot_anchors(docs: DataFrame, window: int, k: int, partitions: int) -> np.ndarray:
+    """Anchors that lead more than ``HOT_SHARE`` of a partition's spans, as one in ``HOT_SAMPLE`` documents shows.
+
+    This only decides how spans are dealt; whatever the sample, the results
+    are the same.  No more than ``partitions / HOT_SHARE`` anchors can be hot.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for raw in b.column(0):
+                words = raw.as_py().split()
+                if len(words) >= window:
+                    names, word = np.unique(np.array(words, object), return_inverse=True)
+                    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in names), np.uint64, len(names))[word]
+                    anchor, n = np.unique(anchored_spans(hashes, np.zeros(len(word), np.int64), window, k)[2], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(n)], ["anchor", "n"])
+
+    sample = docs.where((F.pmod(F.xxhash64("doc_id", "raw"), F.lit(HOT_SAMPLE)) == 0) & F.col("raw").isNotNull()).select("raw")
+    counts = sample.mapInArrow(run, "anchor bigint, n bigint").groupBy("anchor").agg(F.sum("n").alias("n")).where(F.col("n") > 1)
+    counts = settle(counts)
+    spans = counts.agg(F.sum("n")).first()[0] or 0
+    least = max(HOT_LEAST, HOT_SHARE * spans / partitions)
+    return np.array([r["anchor"] for r in counts.where(F.col("n") > least).collect()], np.int64).view(np.uint64)
+
+
+def ship_spans(docs: DataFrame, window: int, k: int, partitions: int, hot=()) -> DataFrame:
     """``(part, block)`` rows with the spans of all documents; ``docs`` is (doc_id, text_key, raw)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def fresh():
             return [], [], [], defaultdict(count().__next__)
 
         def flush():
-            rows = list(ship_batch(ids, keys, tokens, list(term_of), window, k, partitions))
+            rows = list(ship_batch(ids, keys, tokens, list(term_of), window, k, partitions, hot))
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["part", "block"])
 
         ids, keys, tokens, term_of = fresh()
@@ -240,11 +296,10 @@ def resolve(blocks: list[bytes], window: int, subtree: int = SUBTREE):
     span_low = np.minimum.reduceat(ids[owner], first_copy)
     low = np.repeat(span_low, n)
     names = Sums(mix(np.arange(1, len(word_id) + 1, dtype=np.uint64))[words]).of(window_at, window_at + window)
-    ranked = np.sort(names)
-    twice = np.unique(ranked[1:][ranked[1:] == ranked[:-1]])
-    at = np.searchsorted(twice, names)
-    repeated = np.flatnonzero(twice[np.minimum(at, len(twice) - 1)] == names) if len(twice) else np.empty(0, np.int64)
-    del names, ranked, at
+    order = np.argsort(names)
+    again = names[order[1:]] == names[order[:-1]]
+    repeated = np.sort(order[np.r_[again, False] | np.r_[False, again]]) if len(order) else order
+    del names, order, again
     if len(repeated):
         # suffixes go to their subtrees a slice of first words at a time, so that few are held with all their words
         lead = np.argsort(words[window_at[repeated]], kind="stable")
@@ -383,7 +438,8 @@ def dedup_substrings(docs: DataFrame, window: int = 13, anchor: int = ANCHOR, id
     removed passages as word offsets, ``kept`` is the rest, joined by single
     spaces.  Windows are judged on the whole input.  A null text has no words;
     a null doc_id counts as larger than any other; rows that share a doc_id do
-    not remove from each other.  An empty table gives an empty result.
+    not remove from each other.  Texts of any length are whole; a text is one
+    row and so one task.  An empty table gives an empty result.
     """
     text = F.col(text_col).cast("string")
     doc_id = F.col(id_col).cast("bigint")
@@ -392,5 +448,6 @@ def dedup_substrings(docs: DataFrame, window: int = 13, anchor: int = ANCHOR, id
     shared = not docs.groupBy(doc_id.alias("id")).count().where(F.col("count") > 1).isEmpty()
     rows = docs.select(doc_id.alias("doc_id"), (F.xxhash64(text) if shared else F.lit(0).cast("bigint")).alias("text_key"),
                        text.cast("binary").alias("raw"))
-    runs = repeated_windows(ship_spans(rows, window, anchor, parts), window, parts, subtree)
+    hot = hot_anchors(rows, window, anchor, parts)
+    runs = repeated_windows(ship_spans(rows, window, anchor, parts, hot), window, parts, subtree)
     return cut_repeats(rows, runs, window, parts)
