@@ -191,7 +191,7 @@ class LicenceModel:
         self.templates = {f: [words_of(t.encode()) for t in TEMPLATES[f]] for f in TEMPLATES}
         self.flat = [t for f in self.templates.values() for t in f]
         self.occurrences = {w: np.array([t.count(w) for t in self.flat]) for w in {w for t in self.flat for w in t}}
-        filler = sorted({w.decode("utf-8", "ignore") for p in ordinary for w in words_of(p)[:40]} | {w for t in ORDINARY for w in t.split()})
+        filler = sorted({w.decode("utf-8", "ignore") for p in ordinary for w in words_of(p)} | {w for t in ORDINARY for w in t.split()})
         texts, labels = [], []
 
         def add(label, text):
@@ -276,13 +276,20 @@ class LicenceModel:
         return out
 
 
-def corpus_paragraphs(docs: DataFrame, id_col: str, text_col: str) -> list[bytes]:
-    """A bounded, deterministic sample of paragraphs; whole documents are read, and of them the paragraphs of lowest hash."""
+def corpus_paragraphs(docs: DataFrame, id_col: str, text_col: str, max_documents: int = MAX_DOCUMENTS, of_each: int = 4,
+                      max_paragraphs: int = MAX_PARAGRAPHS) -> list[bytes]:
+    """A bounded, deterministic sample of paragraphs: of the documents of lowest hash, the paragraphs of lowest hash.
+
+    The hashes alone are sorted, for the largest one that is let in; texts are
+    cut into paragraphs only after that, so none but the sample's travel.
+    """
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    heads = chosen.select(F.xxhash64(F.lit(SEED), "id", "text").alias("h"), F.transform(F.split("text", "\n"), lambda p: F.struct(F.xxhash64(p).alias("k"), p.alias("p"))).alias("ps"))
-    heads = heads.select("h", F.slice(F.array_sort("ps"), 1, 4).alias("ps")).orderBy("h").limit(MAX_DOCUMENTS)
-    rows = heads.select(F.explode("ps").alias("x")).select("x.p").limit(MAX_PARAGRAPHS).collect()
-    return sorted({r[0].encode() for r in rows if r[0].strip()})
+    chosen = chosen.withColumn("h", F.xxhash64(F.lit(SEED), "id", "text"))
+    last = chosen.select("h").distinct().orderBy("h").limit(max_documents).agg(F.max("h")).first()[0]
+    heads = chosen.where(F.col("h") <= F.lit(last)).dropDuplicates(["h"])
+    ordered = F.array_sort(F.transform(F.split("text", "\n"), lambda p: F.struct(F.xxhash64(p).alias("k"), p.alias("p"))))
+    rows = heads.select(F.explode(F.slice(ordered, 1, of_each)).alias("x")).select("x.k", "x.p").distinct().orderBy("k", "p").limit(max_paragraphs).collect()
+    return sorted({r["p"].encode() for r in rows if r["p"].strip()})
 
 
 FINDING = "array<struct<paragraph: int, family: string, probability: double>>"
