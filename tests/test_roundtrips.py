@@ -154,3 +154,9 @@ def test_exact_split_and_batches(spark):
     ranked = with_rank(df.repartition(7), F.desc("doc_id")).collect()
     assert all(r["rank"] == 102 - r["doc_id"] for r in ranked)
     assert with_rank(df.where("doc_id < 0"), "doc_id").count() == 0
+
+
+def test_consistency_counts_rows_of_one_key(spark):
+    docs = spark.createDataFrame([(1, "low lower"), (1, "low lower"), (1, "other"), (None, "low"), (2, None)], "doc_id long, text string")
+    row = tokeval.encoding_consistency(docs, "text", bpe.model_from_merges(None, [("l", "o", 3)])).first()
+    assert (row["consistency_score"], row["consistent_texts"], row["total_texts"]) == (1.0, 5.0, 5)

@@ -591,26 +591,16 @@ class Folder:
         return [self.vocab.get(unescape(t), self.unk_id) for t in sym[1:-1].split(SEP + SEP)]
 
 
-def fold_udf(model: BpeModel, spark: SparkSession):
-    """Arrow UDF: array of words -> ids of all of them in order, by ``Folder``."""
-    shared = spark.sparkContext.broadcast((model.merges, model.vocab, model.unk_id))
+def encode_words_native(words: DataFrame, model: BpeModel, word_col: str = "word") -> DataFrame:
+    """D11 by literal string replacement (``Folder``)."""
+    shared = words.sparkSession.sparkContext.broadcast((model.merges, model.vocab, model.unk_id))
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         folder = Folder(*shared.value)
         for rows in batches:
-            known = {}
-            for words in rows:
-                for w in (words if words is not None else ()):
-                    if w not in known:
-                        known[w] = folder.ids(w)
-            yield rows.map(lambda words: [x for w in (words if words is not None else ()) for x in known[w]])
-
-    return F.pandas_udf(run, "array<int>")
+            yield rows.map(folder.ids)
 
-
-def encode_words_native(words: DataFrame, model: BpeModel, word_col: str = "word") -> DataFrame:
-    """D11 by literal string replacement."""
-    return words.select(word_col, fold_udf(model, words.sparkSession)(F.array(F.col(word_col))).alias("ids"))
+    return words.select(word_col, F.pandas_udf(run, "array<int>")(F.col(word_col)).alias("ids"))
 
 
 def encode(df: DataFrame, col: str, model: BpeModel, key: str | list[str] = "doc_id",
