@@ -137,3 +137,39 @@ def test_large_models_per_corpus_equal_brute_force(spark):
     asked = spark.createDataFrame([(w,) for w in words + ["a" * 300, "\u0001a</w>", ""]], "word string")
     want = {r["word"]: r["ids"] for r in bpe.encode_words(asked, models["doc"]).collect()}
     assert {r["word"]: r["ids"] for r in bpe.encode_words_native(asked, models["doc"]).collect()} == want
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_replayed_rounds_are_the_merges_of_one_at_a_time(seed):
+    """Without Spark: counts of a round, replay, merges applied, and again; short floors and few letters make many ties and overlaps."""
+    rng = random.Random(seed)
+    letters = "ab" if seed % 3 == 0 else "abcd" if seed % 3 == 1 else "</w>a"
+    freqs = {"".join(rng.choice(letters) for _ in range(rng.randint(1, 10))): rng.randint(1, 6) for _ in range(60)}
+    words, merges = [([*w, bpe.EOW], f) for w, f in freqs.items()], []
+    want = bpe_train(freqs, 80)
+    while len(merges) < len(want):
+        pairs, contexts = Counter(), Counter()
+        for parts, f in words:
+            for p in zip(parts, parts[1:]):
+                pairs[p] += f
+            for p in zip(parts, parts[1:], parts[2:]):
+                contexts[p] += f
+        top = sorted(pairs.items(), key=lambda kv: (-kv[1], kv[0]))[:rng.choice([3, 20, 500])]
+        floor = top[-1][1] if len(top) < len(pairs) else 0
+        known = {p: n for p, n in top if n > floor}
+        seen = {k: n for k, n in contexts.items() if k[:2] in known and k[1:] in known}
+        found = bpe.replay(known, seen, floor, len(want) - len(merges), {bpe.EOW, *(a + b for a, b, _ in merges)}) or [(*top[0][0], top[0][1])]
+        merges += found
+        rank = {(a, b): i for i, (a, b, _) in enumerate(found)}
+        after = lambda p, last=-1: r if (r := rank.get(p)) is not None and r > last else None
+        words = [(bpe.fold(parts, [after(p) for p in zip(parts, parts[1:])], after), f) for parts, f in words]
+        assert merges == want[:len(merges)]
+
+
+def test_smaller_models_are_read_off_the_larger_ones_merges():
+    rng = random.Random(3)
+    freqs = {"".join(rng.choice("abc") for _ in range(rng.randint(1, 9))): rng.randint(1, 5) for _ in range(50)}
+    merges = bpe_train(freqs, 40)
+    segment = bpe.Segmenter(merges, {}, -1)
+    for w in freqs:
+        assert segment.symbols_at(w, [0, 7, 20, 40]) == [bpe_segment(w, merges[:n]) for n in (0, 7, 20, 40)]
