@@ -246,6 +246,9 @@ ORACLE["e13_compare_tokenizers"] = (_e_model("merges_all", f"{BPE_VOCAB} - n") +
 # ------------------------------------------------------------------ sources, profiling, text scalars
 
 ORACLE["a1_read_corpus"] = "SELECT * FROM documents"
+ORACLE["a1_read_csv"] = """WITH t AS (SELECT CAST(doc_id AS BIGINT) AS doc_id, lang,
+  '"' || coalesce(text, '') || '",' || chr(10) || chr(10) || coalesce(source, '') || chr(10) AS code FROM documents)
+SELECT doc_id, CAST(length(code) AS BIGINT) AS n_chars, md5(code) AS code_md5, lang FROM t"""
 ORACLE["a2_sample_rows"] = "SELECT doc_id, lang, source, n_chars FROM documents ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 100"
 ORACLE["a3_first_rows"] = "SELECT doc_id, lang, source, n_chars FROM documents ORDER BY doc_id LIMIT 100"
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators import bpe, docgen, embed, lm, profile, tokeval, vectors
 from ..sources import corpus
-from ..session import cut_lineage, read_table
+from ..session import cut_lineage, ensure_checkpoint_dir, read_table, scratch_name
 
 QUERIES: dict = {}
 
@@ -224,6 +224,17 @@ def q_a1(spark, sf):
     return corpus.read_corpus(spark, f"{sf}/documents.parquet", required=("text",))
 
 
+@register("a1_read_csv")
+def q_a1_csv(spark, sf):
+    """Every document written as CSV, with quotes, commas and newlines in its text, and read back range by range."""
+    path = f"{ensure_checkpoint_dir(spark)}/{scratch_name('csv')}"
+    code = F.concat(F.lit('"'), F.coalesce("text", F.lit("")), F.lit('",\n\n'), F.coalesce("source", F.lit("")), F.lit("\n"))
+    corpus.write_corpus_csv(_docs(spark, sf).select("doc_id", code.alias("code"), "lang"), path)
+    back = corpus.read_corpus(spark, path, "csv", required=("code",))
+    return back.select(F.col("doc_id").cast("long").alias("doc_id"), F.length("code").cast("long").alias("n_chars"),
+                       F.md5("code").alias("code_md5"), "lang")
+
+
 @register("a2_sample_rows")
 def q_a2(spark, sf):
     return corpus.sample_rows(_docs(spark, sf), 100, "doc_id", seed=42).select("doc_id", "lang", "source", "n_chars")

@@ -6,18 +6,23 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .csv_records import read_csv
+
 CORPUS_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True)
                               for c in ("code", "docstring", "summary", "func_name", "repo", "partition")])
 
 
 def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None,
-                required=()) -> DataFrame:
+                required=(), parallel: bool = True) -> DataFrame:
     """A1: load the corpus; CSV is read with a header and quoted multi-line fields.
 
-    Quoted newlines make a CSV file unsplittable, so each file is one task:
-    keep large corpora in many files, or convert them to parquet once.
+    A CSV file is read by a task per byte range (``csv_records``); quotes
+    inside an unquoted field are an error there.  ``parallel=False`` takes
+    Spark's multi-line reader, which reads such files, each in one task.
     """
-    if fmt == "csv":
+    if fmt == "csv" and parallel:
+        df = read_csv(spark, path, schema)
+    elif fmt == "csv":
         r = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
         df = r.schema(schema).csv(path) if schema is not None else r.csv(path)
     else:
@@ -51,8 +56,9 @@ def first_rows(df: DataFrame, n: int | None, key: str) -> DataFrame:
 
 
 def write_corpus_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """A4: CSV sink with a header, no index column."""
-    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    """A4: CSV sink with a header, no index column; white space around values is kept."""
+    kept = df.write.mode(mode).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    kept.option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
 def write_report(metrics: DataFrame, path: str, mode: str = "overwrite") -> None:
