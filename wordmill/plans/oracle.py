@@ -421,6 +421,27 @@ ORACLE["g6_split"] = f"WITH {LM_CTES} SELECT doc_id, split FROM lmdocs"
 ORACLE["g7_ngram_counts"] = f"WITH {LM_CTES} SELECT CAST(c2 AS INTEGER) AS c2, CAST(c1 AS INTEGER) AS c1, CAST(w AS INTEGER) AS w, n3 FROM tri"
 ORACLE["g8_score_lm"] = f"""WITH {LM_CTES} SELECT doc_id, CAST(pos AS BIGINT) AS pos, CAST(w AS INTEGER) AS target,
   round(logp, 6) AS logp, CAST(pred AS INTEGER) AS pred FROM scored WHERE split = 'val'"""
+LM5_CTES = LM_CTES.split("\npos AS (")[0] + """
+w5 AS (SELECT doc_id, split, p AS pos, list_reverse(list_concat([2, 2, 2], ids)[p:p + 3]) AS ctx, ids[p + 1] AS w
+        FROM (SELECT doc_id, split, ids, unnest(range(1, len(ids))) AS p FROM lme)),
+cnt AS (SELECT k, ctx[1:k] AS ctx, w, count(*) AS n FROM w5, range(0, 5) r(k) WHERE split = 'train' GROUP BY ALL)"""
+SCORE5 = "0.0"
+for _k in range(5):
+    SCORE5 = f"({2 ** (_k + 1)}.0::DOUBLE / 63 * coalesce(s{_k}.p, 0.0) + {SCORE5})"
+SHARES5 = " ".join(f"LEFT JOIN sh s{_k} ON s{_k}.k = {_k} AND s{_k}.w = x.w AND s{_k}.ctx = x.ctx[1:{_k}]" for _k in range(5))
+ORACLE["g7_ngram_counts_order5"] = f"""WITH {LM5_CTES}
+SELECT CAST(k + 1 AS BIGINT) AS length, array_to_string(list_concat(list_reverse(ctx), [w]), ' ') AS gram, n FROM cnt"""
+ORACLE["g8_score_lm_order5"] = f"""WITH {LM5_CTES},
+ctt AS (SELECT k, ctx, sum(n) AS m FROM cnt GROUP BY ALL),
+sh AS (SELECT k, ctx, w, n::DOUBLE / m::DOUBLE AS p FROM cnt JOIN ctt USING (k, ctx)),
+asked AS (SELECT DISTINCT ctx FROM w5 WHERE split = 'val'),
+x AS (SELECT a.ctx, c.w FROM asked a JOIN cnt c ON c.k = 1 AND c.ctx = a.ctx[1:1]
+      UNION SELECT a.ctx, t.w FROM asked a CROSS JOIN (SELECT w FROM cnt WHERE k = 0 ORDER BY n DESC, w LIMIT 1) t),
+best AS (SELECT ctx, w AS pred FROM (SELECT x.ctx, x.w, {SCORE5} AS s FROM x {SHARES5})
+         QUALIFY row_number() OVER (PARTITION BY ctx ORDER BY s DESC, w) = 1)
+SELECT x.doc_id, CAST(x.pos AS BIGINT) AS pos, CAST(x.w AS INTEGER) AS target,
+  round(ln({SCORE5} + 1.0::DOUBLE / 63 / (SELECT count(*) FROM lmv)), 6) AS logp, CAST(best.pred AS INTEGER) AS pred
+FROM w5 x JOIN best ON best.ctx = x.ctx {SHARES5} WHERE x.split = 'val'"""
 ORACLE["g9_lm_metrics"] = f"""WITH {LM_CTES},
 ag AS (SELECT split, sum(-logp) AS tl, count(*) AS nt, sum(CASE WHEN pred = w THEN 1 ELSE 0 END) AS nc FROM scored WHERE split IN ('val', 'test') AND w <> 0 GROUP BY split)
 SELECT split, round(tl / greatest(nt, 1), 6) AS loss, round(CASE WHEN tl / greatest(nt, 1) < 20 THEN exp(tl / greatest(nt, 1)) ELSE 'inf'::DOUBLE END, 6) AS perplexity,

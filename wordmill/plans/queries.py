@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import bpe, docgen, embed, lm, profile, tokeval, vectors
+from ..operators import bpe, docgen, embed, lm, ngrams, profile, tokeval, vectors
 from ..sources import corpus
 from ..session import cut_lineage, ensure_checkpoint_dir, read_table, scratch_name
 
@@ -587,6 +587,32 @@ def q_g8(spark, sf):
                     r6(F.col("logp")).alias("logp"), F.col("pred").cast("int").alias("pred"))
 
 
+_NG5: dict = {}
+
+
+def ngram5(spark, sf):
+    key = _held(spark, sf)
+    if key not in _NG5:
+        _, vocab, enc = lm_state(spark, sf)
+        _NG5[key] = ngrams.train_ordered_lm(enc.where(F.col("split") == "train"), 5, len(vocab))
+    return _NG5[key]
+
+
+@register("g7_ngram_counts_order5")
+def q_g7_5(spark, sf):
+    """Counts of all grams of one to five ids, in reading order."""
+    return ngram5(spark, sf).counts.select(F.size("gram").cast("long").alias("length"),
+                                           F.array_join(F.reverse("gram"), " ").alias("gram"), "n")
+
+
+@register("g8_score_lm_order5")
+def q_g8_5(spark, sf):
+    pos = ngrams.windows(lm_state(spark, sf)[2].where(F.col("split") == "val"), 5, ["doc_id"])
+    s = ngrams.score_ordered_lm(pos, ngram5(spark, sf), ["doc_id"])
+    return s.select("doc_id", F.col("pos").cast("long").alias("pos"), F.col("target").cast("int").alias("target"),
+                    r6(F.col("logp")).alias("logp"), F.col("pred").cast("int").alias("pred"))
+
+
 @register("g9_lm_metrics")
 def q_g9(spark, sf):
     pos = lm.target_positions(lm_state(spark, sf)[2].where(F.col("split") != "train"), ["split"])
