@@ -1,11 +1,13 @@
 """Co-trained quality classifier: held-out accuracy, pseudo-labels, degenerate labels; the regression it rests on."""
 
 import random
+import zlib
 
 import numpy as np
 
 from wordmill.llm.logit import fit_line, fit_softmax, scores_of, softmax, temperature
-from wordmill.llm.quality import co_train, keep_good, score_quality
+from wordmill.llm.quality import (FOLDS, CoTrained, classes_of, co_train, keep_good, meta_view, sample_features, score_quality, sigmoid, surest,
+                                  text_view, unlabelled_features, word_features)
 
 
 def make(seed, n=700):
@@ -56,6 +58,61 @@ def test_nothing_to_learn_keeps_everything(spark, docs_of):
     assert score_quality(docs_of([]), labels_of(spark, truth, range(20))).count() == 0
 
 
+def slow_views(model: CoTrained, lang, source, n_chars, text):
+    """Both calibrated scores and the combined probability of one document, feature by feature."""
+    raw = (text or "").encode()
+    words, styles = text_view(raw)
+    features = {10_000 + f for w in words for f in word_features(w)} | {100 * s + int((edges < x).sum()) for s, (edges, x) in enumerate(zip(model.edges, styles))}
+    z = {"text": sum(model.text_weights[model.text_index[f]][1] for f in features if f in model.text_index) + model.text_weights[-1][1],
+         "meta": sum(model.meta_weights[model.meta_index[f]][1] for f in {zlib.crc32(m) for m in meta_view(lang, source, n_chars, raw)}
+                     if f in model.meta_index) + model.meta_weights[-1][1]}
+    z = [float(np.clip(z[v] * model.platt[v][0] + model.platt[v][1], -30, 30)) for v in ("text", "meta")]
+    return *map(sigmoid, z), sigmoid(z[0] * model.combine[0] + z[1] * model.combine[1] + model.combine[2])
+
+
+def test_scores_against_brute_force(spark, docs_of):
+    rows, truth = make(3, 300)
+    docs = docs_of(rows + [(None, rows[0][1]), (None, None), (7, "w1 w2"), (500, "")])
+    labels = labels_of(spark, truth, range(200))
+    model = co_train(docs, labels)
+    want = sorted(tuple(np.round((*slow_views(model, r.lang, r.source, r.n_chars, r.text),), 7)) for r in docs.collect())
+    got = sorted(tuple(np.round((r.p_text, r.p_meta, r.score), 7)) for r in score_quality(docs, labels).collect())
+    assert np.allclose(got, want, atol=1e-6)
+
+
+def test_pseudo_labels_are_the_surest_of_all_unlabelled(spark, docs_of):
+    rows, truth = make(4, 500)
+    hot = [(1000 + i, rows[450][1], rows[450][2]) for i in range(60)]  # copies take one place
+    docs = docs_of(rows + hot + [(None, rows[i][1], rows[i][2]) for i in range(455, 470)]).repartition(7)
+    known = classes_of(labels_of(spark, truth, range(120)))
+    model = co_train(docs, labels_of(spark, truth, range(120)), rounds=0)
+    pool = unlabelled_features(docs, known, model)
+    stored = pool.collect()
+    assert len(stored) == len(rows) - 120 + 60 + 15
+    taught = {"text": {stored[0].key: 1}, "meta": {stored[1].key: 0}}
+    given = surest(pool, model, taught, 5, 0.6)
+    texts, metas = ({r.key: r[c] for r in stored} for c in ("text", "meta"))
+    for pupil, teacher in (("text", 1), ("meta", 0)):
+        p = {k: float(np.round(sigmoid(model.views([np.array(texts[k])], [metas[k]])[teacher][0]), 9)) for k in texts}
+        want = {}
+        for label in (1, 0):
+            sure = sorted(((-(x if label else 1 - x), k) for k, x in p.items() if (x if label else 1 - x) >= 0.6 and k not in taught[pupil]))
+            want |= {k: label for _, k in sure[:5]}
+        assert given[pupil] == want and len(want) > 4
+
+
+def test_calibration_fold_holds_both_classes(spark, docs_of):
+    rows, truth = make(5, 120)
+    few = [i for i in truth if truth[i] == "good"][:40] + [i for i in truth if truth[i] == "junk"][:2]
+    docs = docs_of(rows + [(few[0], "other text")] * 50)  # a repeated doc_id is one labelled document
+    sample = sample_features(docs, classes_of(labels_of(spark, truth, few)), 1000).collect()
+    assert len(sample) == len(few)
+    assert sum(r.held for r in sample) == -(-40 // FOLDS) + 1 and {r.good for r in sample if r.held} == {0, 1}
+    assert co_train(docs, labels_of(spark, truth, few), rounds=1) is not None
+    assert co_train(docs, labels_of(spark, truth, few[:-1])) is None  # one bad document: nothing to calibrate with
+    assert len(sample_features(docs, classes_of(labels_of(spark, truth, few)), 10).collect()) == 10
+
+
 def test_regression_finds_the_optimum():
     rng = np.random.default_rng(0)
     rows = [np.flatnonzero(rng.random(6) < 0.4) for _ in range(400)]
