@@ -75,14 +75,33 @@ def merge_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray
             labels = up
 
 
+# Nodes whose edges may be looked up by broadcast in ``components`` (24 bytes each), and edges below which a node is none of them.
+HUBS, HUB_EDGES = 1000, 64
+
+
+def with_lowest(rows: DataFrame, neighbours: DataFrame, edges: int) -> DataFrame:
+    """``rows`` ``(u, v)`` with ``m``, the smallest ``v`` that ``neighbours`` holds for ``u``.
+
+    ``neighbours`` has at most ``2 * edges`` rows, so no more than ``HUBS``
+    nodes hold over ``2 * edges / HUBS`` of them.  Those nodes' minima are
+    broadcast and their rows stay where they are; all other keys are shuffled,
+    and each is at most that share of the rows.
+    """
+    low = neighbours.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    hubs = low.where(F.col("n") > max(HUB_EDGES, 2 * edges // HUBS)).select(F.col("u").alias("hub"), F.col("m").alias("hub_m"))
+    marked = rows.join(F.broadcast(hubs), F.col("u") == F.col("hub"), "left")
+    return marked.where("hub is not null").select("u", "v", F.col("hub_m").alias("m")).unionByName(
+        marked.where("hub is null").select("u", "v").join(low, "u").select("u", "v", "m"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)`` as ``(node, root)``; the root is the smallest node.
 
     Alternating large-star and small-star rounds (Kiveris et al., 2014): each
-    round is two aggregations and two equi-joins, so no neighbourhood is ever
-    collected; the minimum of a hot node is pre-aggregated and the join on it
-    can be split by AQE.  Every round ends in a reliable checkpoint.  Only the
-    round's edge count and checksum reach the driver.
+    round is two aggregations, pre-aggregated before their shuffle, and two
+    look-ups that never gather the edges of a large node (``with_lowest``), so
+    no neighbourhood is ever collected.  Every round ends in a reliable
+    checkpoint.  Only the round's edge count and checksum reach the driver.
     """
     def state(e: DataFrame):
         return e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -91,11 +110,10 @@ def components(edges: DataFrame) -> DataFrame:
     before = state(e)
     while before[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
-                                                              F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+        large = with_lowest(both.where("v > u"), both, before[0]).select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+        small = (with_lowest(large, large, before[0])
+                 .select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
+                                           F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
                  .select("e.u", "e.v").where("u <> v").distinct())
         e = settle(small)
         after = state(e)
