@@ -262,6 +262,9 @@ def co_train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLE
     known = classes_of(labels)
     sample = sample_features(docs, known, max_labelled)
     index = select_features(sample)
+    names = set(index)
+    chosen = F.pandas_udf(lambda rows: rows.map(lambda w: [f for f in w.tolist() if f in names]), "array<bigint>")
+    sample = settle(sample.withColumn("words", chosen("words")))  # the task that fits reads no other words
     taught, lessons, model = {v: {} for v in VIEWS}, None, None
     history, pool = [], None
     for r in range(rounds + 1):
