@@ -42,3 +42,20 @@ def test_linear_skipgram_joins_are_not_broadcast(spark):
     delta = embed._weighted_sum(cooc, vecs, "context", "center")
     assert "Broadcast" not in executed(delta)
     assert "Broadcast" not in executed(embed._apply(vecs, delta, 0.1))
+
+
+def test_weighted_sums_do_not_depend_on_the_grid(spark):
+    rnd = random.Random(5)
+    words = [f"w{i}" for i in range(23)]
+    pairs = [(a, b, rnd.randint(1, 9)) for a in words for b in words if rnd.random() < 0.4]
+    vecs = {w: [rnd.random() for _ in range(3)] for w in words}
+    cooc = spark.createDataFrame([*pairs, ("w1", "unknown", 7)], "center string, context string, n long")
+    v = spark.createDataFrame(list(vecs.items()), "word string, vector array<double>")
+    want = {}
+    for a, b, n in pairs:
+        want[a] = [x + n * y for x, y in zip(want.get(a, [0.0] * 3), vecs[b])]
+    for grid in (1, 2, 5):
+        delta = embed._weighted_sum(cooc, v, "context", "center", grid)
+        found = {r["word"]: [round(x, 9) for x in r["delta"]] for r in delta.collect()}
+        assert {w: s for w, s in found.items() if any(s)} == {w: [round(x, 9) for x in s] for w, s in want.items()}
+        assert "u" not in delta.columns and "SortMergeJoin" not in executed(delta)
