@@ -173,3 +173,28 @@ def test_smaller_models_are_read_off_the_larger_ones_merges():
     segment = bpe.Segmenter(merges, {}, -1)
     for w in freqs:
         assert segment.symbols_at(w, [0, 7, 20, 40]) == [bpe_segment(w, merges[:n]) for n in (0, 7, 20, 40)]
+
+
+def test_merges_over_arrays_equal_one_at_a_time():
+    """The passes of a training work on rows of symbol numbers: runs of equal symbols, row ends, symbols spelled by other merges."""
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = random.Random(11)
+    for _ in range(40):
+        words = ["".join(rnd.choice("aab\u0001<") for _ in range(rnd.randint(0, 9))) + rnd.choice(["", "</w>"]) for _ in range(30)]
+        symbols = bpe.Symbols(c for w in words for c in w)
+        sym, sizes = bpe.split_words(pa.array(words), symbols.points)
+        row = np.repeat(np.arange(len(words)), sizes)
+        parts = [[*map(bpe.escape, w), bpe.EOW] for w in words]
+        assert [symbols.spelled[i] for i in sym] == [s for p in parts for s in p]
+        merges = []
+        for _ in range(8):
+            pairs = sorted({p for w in parts for p in zip(w, w[1:])})
+            if not pairs:
+                break
+            lhs, rhs = rnd.choice(pairs)
+            merges.append((symbols.of(lhs), symbols.of(rhs), symbols.of(lhs + rhs)))
+            parts = [bpe.fold(w, [0 if p == (lhs, rhs) else None for p in zip(w, w[1:])], lambda p, last: None) for w in parts]
+        new, of = bpe.merge_rows(sym.copy(), row, merges)
+        assert [[symbols.spelled[s] for s in new[of == i]] for i in range(len(words))] == parts
