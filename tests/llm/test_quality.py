@@ -131,3 +131,22 @@ def test_regression_finds_the_optimum():
     y = (rng.random(2000) < 1 / (1 + np.exp(-(2 * x[:, 0] - 1)))).astype(float)
     assert np.allclose(fit_line(x, y), [2, -1], atol=0.3)
     assert temperature(scores_of(rows, w) * 4, labels) > 2
+
+
+def test_scoring_holds_few_rows_at_a_time():
+    import tracemalloc
+
+    import numpy as np
+
+    from wordmill.llm.logit import scores_of
+
+    rng = np.random.default_rng(3)
+    weights = rng.normal(size=(501, 2))
+    rows = [rng.choice(500, size=n, replace=False).astype(np.int32) for n in rng.integers(0, 300, 10_000)]
+    tracemalloc.start()
+    got = scores_of(rows, weights)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20
+    assert np.allclose(got, [weights[r].sum(axis=0) + weights[-1] for r in rows])
+    assert scores_of([], weights).shape == (0, 2)

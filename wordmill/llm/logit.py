@@ -69,10 +69,17 @@ class Rows:
         return out
 
 
+# Rows that are scored at a time: what a task holds does not depend on the rows of an Arrow batch.
+SCORED_ROWS = 512
+
+
 def scores_of(rows: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
     """Class scores of rows of feature numbers; the last row of ``weights`` is the intercept."""
-    x = Rows(rows, len(weights) - 1)
-    return np.column_stack([x.times(w) + w[-1] for w in weights.T]) if len(rows) else np.empty((0, weights.shape[1]))
+    out = np.empty((len(rows), weights.shape[1]))
+    for i in range(0, len(rows), SCORED_ROWS):
+        x = Rows(rows[i:i + SCORED_ROWS], len(weights) - 1)
+        out[i:i + SCORED_ROWS] = np.column_stack([x.times(w) + w[-1] for w in weights.T])
+    return out
 
 
 def fit_softmax(rows: list[np.ndarray], labels: np.ndarray, features: int, classes: int, l2: float = 1.0,

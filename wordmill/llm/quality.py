@@ -13,6 +13,7 @@ import pickle
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordmill.llm.common import ALNUM, fresh_name, settle
-from wordmill.llm.logit import fit_line, fit_softmax, scores_of
+from wordmill.llm.logit import SCORED_ROWS, fit_line, fit_softmax, scores_of
 
 # Labelled documents that a model is fitted on at most (chosen by hash; their whole texts are used).
 MAX_LABELLED = 12_000
@@ -146,7 +147,7 @@ def sample_features(docs: DataFrame, known: DataFrame, max_labelled: int) -> Dat
     mine = view_columns(docs).join(F.broadcast(chosen), "doc_id")  # bounded by the parameter
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in chain.from_iterable(map(slices, batches)):
             rows = []
             for i, lang, source, n_chars, raw, g in zip(*(c.to_pylist() for c in b.columns)):
                 words, styles = text_view(raw or b"")
@@ -169,6 +170,11 @@ def view_columns(docs: DataFrame) -> DataFrame:
                        F.col("n_chars").cast("bigint").alias("n_chars"), F.col("text").cast("string").cast("binary").alias("raw"))
 
 
+def slices(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch a few rows at a time: only their texts and features are Python objects at once."""
+    return (b.slice(i, SCORED_ROWS) for i in range(0, b.num_rows, SCORED_ROWS))
+
+
 def features_by(model: CoTrained):
     """A function that gives a row's numbered text features and hashed metadata; it remembers the words it has met."""
     memo = {}
@@ -199,7 +205,7 @@ def unlabelled_features(docs: DataFrame, known: DataFrame, model: CoTrained) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = features_by(shared.value)
-        for b in batches:
+        for b in chain.from_iterable(map(slices, batches)):
             rows = [features(a, s, n, raw or b"") for a, s, n, raw in zip(*(c.to_pylist() for c in b.columns[1:]))]
             text, meta = zip(*rows) if rows else ((), ())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(text, pa.list_(pa.int32())), pa.array(meta, pa.list_(pa.int64()))], ["doc_id", "text", "meta"])
@@ -228,7 +234,7 @@ def surest(pool: DataFrame, model: CoTrained, taught: dict, pseudo_labels: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, done = shared.value
         found = [(np.empty(0, np.int64), np.empty(0)) for _ in kinds]
-        for b in batches:
+        for b in chain.from_iterable(map(slices, batches)):
             keys = b.column(0).to_numpy()
             texts, metas = ([x.values.to_numpy() for x in b.column(c)] for c in (1, 2))
             # rounded, so that equal features rank alike in every task
@@ -353,9 +359,11 @@ def quality_column(docs: DataFrame, model: CoTrained | None) -> Column:
     def run(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         features = features_by(shared.value)
         for columns in parts:
-            rows = [features(lang, source, n_chars, raw or b"") for lang, source, n_chars, raw in zip(*columns)]
-            texts, metas = zip(*rows) if rows else ((), ())
-            yield pd.DataFrame(dict(zip(("p_text", "p_meta", "score"), shared.value.probabilities(texts, metas))))
+            found = [np.empty((3, 0))]
+            for i in range(0, len(columns[0]), SCORED_ROWS):
+                rows = [features(lang, source, n_chars, raw or b"") for lang, source, n_chars, raw in zip(*(c.iloc[i:i + SCORED_ROWS] for c in columns))]
+                found.append(shared.value.probabilities(*zip(*rows)))
+            yield pd.DataFrame(dict(zip(("p_text", "p_meta", "score"), np.concatenate(found, axis=1))))
 
     score = F.pandas_udf(run, "p_text double, p_meta double, score double")
     return score(F.col("lang").cast("string"), F.col("source").cast("string"), F.col("n_chars").cast("bigint"), F.col("text").cast("string").cast("binary"))
