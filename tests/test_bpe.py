@@ -198,3 +198,9 @@ def test_merges_over_arrays_equal_one_at_a_time():
             parts = [bpe.fold(w, [0 if p == (lhs, rhs) else None for p in zip(w, w[1:])], lambda p, last: None) for w in parts]
         new, of = bpe.merge_rows(sym.copy(), row, merges)
         assert [[symbols.spelled[s] for s in new[of == i]] for i in range(len(words))] == parts
+
+
+def test_first_merge_splits_the_texts_once(spark):
+    from wordmill.plans.queries import QUERIES
+
+    assert not [f for f in QUERIES["d7_merge_best_pair"](spark, SF001).inputFiles() if "documents" in f]
