@@ -1,10 +1,13 @@
 """Co-trained quality classifier: held-out accuracy, pseudo-labels, degenerate labels; the regression it rests on."""
 
+import os
 import random
 import zlib
 
 import numpy as np
 
+from wordmill.llm import quality
+from wordmill.llm.common import releasing
 from wordmill.llm.logit import fit_line, fit_softmax, scores_of, softmax, temperature
 from wordmill.llm.quality import (FOLDS, CoTrained, classes_of, co_train, keep_good, meta_view, sample_features, score_quality, sigmoid, surest,
                                   text_view, unlabelled_features, word_features)
@@ -150,3 +153,33 @@ def test_scoring_holds_few_rows_at_a_time():
     assert peak < 16 << 20
     assert np.allclose(got, [weights[r].sum(axis=0) + weights[-1] for r in rows])
     assert scores_of([], weights).shape == (0, 2)
+
+
+def test_the_words_a_task_remembers_are_bounded(monkeypatch):
+    monkeypatch.setattr(quality, "REMEMBERED_WORDS", 50)
+    model = CoTrained(np.zeros((len(quality.STYLES), quality.STYLE_BINS - 1)), {zlib.crc32(b"w7") + quality.WORDS_FROM: 3}, np.empty(0), {}, np.empty(0), {}, np.empty(0), [])
+    features = quality.features_by(model)
+    memo = next(c.cell_contents for c in features.__closure__ if isinstance(c.cell_contents, dict))
+    for i in range(0, 400, 4):
+        numbers, _ = features(None, None, None, b" ".join(b"w%d" % n for n in range(i, i + 4)))
+        assert numbers.tolist() == ([3] if i == 4 else [])
+        assert len(memo) <= 50
+
+
+def resident_mb():
+    with open("/proc/self/statm") as f:
+        return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE") / 1e6
+
+
+def test_a_task_gives_back_what_it_has_freed():
+    kept = []
+
+    def run(batches):
+        for n in batches:
+            texts = [bytes(2000) for _ in range(n)]
+            kept.append(texts[-1])  # lies above the others, which the C library then keeps
+            yield len(texts)
+
+    before = resident_mb()
+    assert list(releasing(run)(iter([50_000]))) == [50_000]
+    assert resident_mb() - before < 30

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,24 @@ def shared_folder(spark: SparkSession, prefix: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), scratch_name(prefix))
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: Arrow's and the C library's pools keep it otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` as a task whose worker, which Spark keeps for later tasks, does not keep what the task has freed."""
+    def task(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        release_memory()
+
+    return task
+
+
 def fresh_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordmill.llm.common import ALNUM, fresh_name, settle
+from wordmill.llm.common import ALNUM, fresh_name, release_memory, releasing, settle
 from wordmill.llm.logit import SCORED_ROWS, fit_line, fit_softmax, scores_of
 
 # Labelled documents that a model is fitted on at most (chosen by hash; their whole texts are used).
@@ -33,6 +33,7 @@ MIN_DOCS, MIN_Z = 4, 2.5
 FOLDS = 5  # one of them calibrates
 WORDS_FROM = 10_000  # word features are hashes from here on; below are the bins of the style measures
 STYLE_BINS = 16
+REMEMBERED_WORDS = 50_000  # words whose features a task remembers
 L2 = 0.3
 KEEP_AT = 0.5
 SEED = 7
@@ -158,7 +159,7 @@ def sample_features(docs: DataFrame, known: DataFrame, max_labelled: int) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["doc_id", "good", "words", "styles", "meta"])
 
     columns = mine.select("doc_id", "lang", "source", "n_chars", "raw", "good")
-    found = columns.mapInArrow(run, "doc_id bigint, good int, words array<bigint>, styles array<double>, meta array<bigint>")
+    found = columns.mapInArrow(releasing(run), "doc_id bigint, good int, words array<bigint>, styles array<double>, meta array<bigint>")
     row = F.struct("good", "words", "styles", "meta")
     found = found.groupBy("doc_id").agg(F.min_by(row, F.xxhash64(row)).alias("r")).select("doc_id", "r.*")
     nth = F.row_number().over(Window.partitionBy("good").orderBy(F.xxhash64(F.lit(SEED + 1), "doc_id"), "doc_id"))
@@ -185,7 +186,7 @@ def features_by(model: CoTrained):
         for w in words:
             f = memo.get(w)
             if f is None:
-                if len(memo) > 300_000:  # only a memory of look-ups
+                if len(memo) >= REMEMBERED_WORDS:  # only a memory of look-ups
                     memo.clear()
                 f = memo[w] = tuple(x + WORDS_FROM for x in word_features(w) if x + WORDS_FROM in model.text_index)
             if f:
@@ -210,7 +211,7 @@ def unlabelled_features(docs: DataFrame, known: DataFrame, model: CoTrained) ->
             text, meta = zip(*rows) if rows else ((), ())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(text, pa.list_(pa.int32())), pa.array(meta, pa.list_(pa.int64()))], ["doc_id", "text", "meta"])
 
-    every = view_columns(docs).mapInArrow(run, "doc_id bigint, text array<int>, meta array<bigint>")
+    every = view_columns(docs).mapInArrow(releasing(run), "doc_id bigint, text array<int>, meta array<bigint>")
     every = every.withColumn("key", F.xxhash64("text", "meta"))
     every = every.withColumn("salt", F.when(F.col("doc_id").isNull(), F.col("key")).otherwise(0))
     return settle(every.join(known.withColumn("salt", F.lit(0).cast("bigint")), ["doc_id", "salt"], "left_anti").select("key", "text", "meta"))
@@ -247,7 +248,7 @@ def surest(pool: DataFrame, model: CoTrained, taught: dict, pseudo_labels: int,
         kind = np.repeat(np.arange(len(kinds)), [len(k) for k, _ in found]).astype(np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(kind), *(pa.array(np.concatenate(x)) for x in zip(*found))], ["kind", "key", "sure"])
 
-    each = settle(pool.mapInArrow(run, "kind int, key bigint, sure double").groupBy("kind", "key").agg(F.max("sure").alias("sure")))
+    each = settle(pool.mapInArrow(releasing(run), "kind int, key bigint, sure double").groupBy("kind", "key").agg(F.max("sure").alias("sure")))
     given = {v: {} for v in VIEWS}
     for n, (pupil, label) in enumerate(kinds):
         for row in each.where(F.col("kind") == n).orderBy(F.desc("sure"), "key").limit(pseudo_labels).collect():
@@ -302,10 +303,9 @@ def fit_task(sample: DataFrame, lessons: DataFrame | None, index: list[int], tau
         if parts:
             model = fit_views(pd.concat(parts), index, taught, before)
             parts.clear()
-            pa.default_memory_pool().release_unused()
             yield pd.DataFrame({"model": [pickle.dumps(model)]})
 
-    found = rows.repartition(1).mapInPandas(fit, "model binary").first()
+    found = rows.repartition(1).mapInPandas(releasing(fit), "model binary").first()
     return pickle.loads(found[0]) if found else None
 
 
@@ -356,16 +356,18 @@ def quality_column(docs: DataFrame, model: CoTrained | None) -> Column:
         return F.struct(*[F.lit(1.0).alias(c) for c in ("p_text", "p_meta", "score")])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+    def run(parts: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         features = features_by(shared.value)
-        for columns in parts:
+        for columns in parts:  # Arrow, so that only the texts of a slice are Python objects
             found = [np.empty((3, 0))]
             for i in range(0, len(columns[0]), SCORED_ROWS):
-                rows = [features(lang, source, n_chars, raw or b"") for lang, source, n_chars, raw in zip(*(c.iloc[i:i + SCORED_ROWS] for c in columns))]
+                rows = [features(lang, source, n_chars, raw or b"") for lang, source, n_chars, raw in zip(*(c.slice(i, SCORED_ROWS).to_pylist() for c in columns))]
                 found.append(shared.value.probabilities(*zip(*rows)))
-            yield pd.DataFrame(dict(zip(("p_text", "p_meta", "score"), np.concatenate(found, axis=1))))
+            yield pa.StructArray.from_arrays([pa.array(p) for p in np.concatenate(found, axis=1)], ["p_text", "p_meta", "score"])
+        del features
+        release_memory()
 
-    score = F.pandas_udf(run, "p_text double, p_meta double, score double")
+    score = F.arrow_udf(run, "p_text double, p_meta double, score double")
     return score(F.col("lang").cast("string"), F.col("source").cast("string"), F.col("n_chars").cast("bigint"), F.col("text").cast("string").cast("binary"))
 
 
