@@ -160,3 +160,14 @@ def test_consistency_counts_rows_of_one_key(spark):
     docs = spark.createDataFrame([(1, "low lower"), (1, "low lower"), (1, "other"), (None, "low"), (2, None)], "doc_id long, text string")
     row = tokeval.encoding_consistency(docs, "text", bpe.model_from_merges(None, [("l", "o", 3)])).first()
     assert (row["consistency_score"], row["consistent_texts"], row["total_texts"]) == (1.0, 5.0, 5)
+
+
+def test_few_contexts_travel_to_the_table(spark, monkeypatch):
+    table = spark.range(1000).selectExpr("id % 300 as node", "id as seen").repartition(3)
+    nodes = spark.createDataFrame([(5,), (5,), (299,), (1000,)], "node long")
+    near = docgen.rows_of(table, nodes, 4)
+    assert sorted(r["seen"] for r in near.collect()) == [5, 299, 305, 599, 605, 899, 905]
+    plan = near._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "strategy=broadcast" in plan
+    monkeypatch.setattr(docgen, "BROADCAST_MAX_BYTES", 4 * 32 - 1)
+    assert docgen.rows_of(table, nodes, 4) is table
