@@ -171,3 +171,15 @@ def test_few_contexts_travel_to_the_table(spark, monkeypatch):
     assert "LeftSemi" in plan and "strategy=broadcast" in plan
     monkeypatch.setattr(docgen, "BROADCAST_MAX_BYTES", 4 * 32 - 1)
     assert docgen.rows_of(table, nodes, 4) is table
+
+
+def test_tables_of_steps_serve_further_prompts(spark):
+    _, vocab, model = toy_lm(spark)
+    encoded = lambda texts: lm.lm_encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "text", vocab)
+    jumps, kept = [], []
+    for texts, most in ((["a b"], 3), (["a b", "d a", ""], 20), (["zz", "e e", "zz zz c", "c a"], 7)):
+        rows = lambda j: sorted(map(tuple, docgen.greedy_generate(encoded(texts), model, max_new_tokens=most, jumps=j).collect()))
+        assert rows(jumps) == rows(None)
+        kept.append(list(jumps))
+    assert len(kept[0]) == 2 and len(kept[1]) == 5
+    assert all(a is b for a, b in zip(kept[0], kept[1]))
