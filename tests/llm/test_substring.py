@@ -2,8 +2,10 @@
 
 import hashlib
 import random
+import sys
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from wordmill.llm import substring
@@ -128,3 +130,36 @@ def test_words_are_coded_by_first_appearance():
     names, codes = substring.first_seen(values, 10)
     assert names.tolist() == [9, 4, 7] and codes.tolist() == [0, 0, 1, 1, 0, 2]
     assert names[substring.numbers_seen(codes)].tolist() == values.tolist()
+
+
+def test_words_are_cut_whatever_the_separators():
+    rng = random.Random(8)
+    pieces = ["a", "bb", "é", "\u2028", "\x00", " ", " ", "\n", "\t", "\x0b", "\x0c", "\r", "\x1c", "\x85"]
+    texts = ["".join(rng.choices(pieces, k=rng.randrange(12))).encode() for _ in range(300)] + [b"", b" ", b"a", b"\xff \xfe"]
+    n, words = substring.cut_words(texts)
+    assert n.tolist() == [len(t.split()) for t in texts]
+    assert words.to_pylist() == [w + b"\n" for t in texts for w in t.split()]
+    assert substring.line_bytes(words.slice(2, 3)) == b"\n".join([w for t in texts for w in t.split()][2:5])
+
+
+def test_no_python_step_runs_per_word():
+    # 20,000 distinct words, once read by the shipping task and once by the resolving task
+    text = " ".join(f"w{i}" for i in range(20_000)).encode()
+    rows = pa.record_batch([pa.array([5, 2, None]), pa.array([0, 0, 0]), pa.array([text, text, None])], ["doc_id", "text_key", "raw"])
+    tasks = []
+    docs = type("Docs", (), {"mapInArrow": lambda self, run, schema: tasks.append(run)})()
+    substring.ship_spans(docs, 13, 4, 1)
+    steps = 0
+
+    def count(frame, event, arg):
+        nonlocal steps
+        steps += 1
+
+    sys.setprofile(count)
+    try:
+        blocks = [b for out in tasks[0](iter([rows])) for b in out.column(1).to_pylist()]
+        ids, keys, at = resolve(blocks, 13)
+    finally:
+        sys.setprofile(None)
+    assert set(ids.tolist()) == {5} and sorted(at.tolist()) == list(range(20_000 - 12))
+    assert steps < 5_000

@@ -16,22 +16,22 @@ from __future__ import annotations
 import pickle
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.llm.common import settle
+from wordmill.llm.common import settle, text_blocks
 
 # Words of the anchor; longer anchors occur less often but share fewer suffixes.
 ANCHOR = 4
-# Words that a map task gathers before it ships its spans.
-BATCH_WORDS = 1_000_000
+# Words that a map task gathers before it ships its spans, and bytes of text that it cuts into words at a time.
+BATCH_WORDS, CUT_BYTES = 1_000_000, 1 << 21
 # Windows that are given their anchors at a time, at most 2^24 with the words they end in.
 SLICE_WORDS = 1 << 23
 # An anchor is hot if it leads more than this share of a partition's spans; counted in one of so many documents.
@@ -48,6 +48,8 @@ SUBTREE = 200_000
 STEP = 1_000_000
 
 NO_ID = np.iinfo(np.int64).max  # stands for a null doc_id, and sorts after every other
+# bytes.translate table that makes every separator of words a newline
+NEWLINES = bytes(10 if b == 32 or 9 <= b <= 13 else b for b in range(256))
 ODD = 0x9E3779B97F4A7C15
 ODD_INVERSE = pow(ODD, -1, 1 << 64)
 
@@ -146,17 +148,42 @@ def numbers_seen(codes: np.ndarray) -> np.ndarray:
     return np.where(new, np.cumsum(new) - 1, codes.astype(np.int64) - 1)
 
 
-def ship_batch(ids, keys, tokens, vocabulary, window, k, partitions, hot=()) -> Iterator[tuple[int, bytes]]:
+def lines(content: np.ndarray) -> pa.LargeBinaryArray:
+    """The words of bytes that hold a newline after each; a value keeps its newline."""
+    offsets = np.r_[0, np.flatnonzero(content == 10) + 1]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(content)])
+
+
+def line_bytes(words: pa.LargeBinaryArray) -> bytes:
+    """The words, joined by newlines."""
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    return words.buffers()[2][int(offsets[0]):int(offsets[-1]) - 1].to_pybytes() if len(words) else b""
+
+
+def cut_words(texts: list[bytes]) -> tuple[np.ndarray, pa.LargeBinaryArray]:
+    """The number of words of each text, and all words (each with a newline) in one array."""
+    content = np.frombuffer((b"\n".join(texts) + b"\n").translate(NEWLINES), np.uint8)
+    gap = content == 10
+    ends = gap.copy()
+    ends[0] = False
+    ends[1:] &= ~gap[:-1]  # the first separator after a word
+    after = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    return np.diff(np.searchsorted(np.flatnonzero(ends), after), prepend=0), lines(content[~gap | ends])
+
+
+def ship_batch(ids, keys, length, words, window, k, partitions, hot=()) -> Iterator[tuple[int, bytes]]:
     """The spans of one batch of documents, equal ones once, as one block per partition.
 
+    ``words`` holds the words of all documents, ``length`` how many each has.
+
     The spans of hot anchors are cut into their windows, which are dealt by
     all their words: equal windows still meet, and others part.
     """
-    length = np.array([len(t) for t in tokens], np.int64)
-    word = np.concatenate(tokens) if tokens else np.empty(0, np.int32)
+    coded = words.dictionary_encode()
+    word, vocabulary = coded.indices.to_numpy(), coded.dictionary
     doc = np.repeat(np.arange(len(length)), length)
     doc_first = np.cumsum(length) - length
-    hash_of = np.fromiter((xxhash.xxh64_intdigest(w) for w in vocabulary), np.uint64, len(vocabulary))
+    hash_of = np.fromiter(map(xxhash.xxh64_intdigest, line_bytes(vocabulary).split(b"\n")), np.uint64, len(vocabulary))
     hashes = hash_of[word]
     start, n_windows, anchor = anchored_spans(hashes, doc, window, k)
     if not len(start):
@@ -179,19 +206,18 @@ def ship_batch(ids, keys, tokens, vocabulary, window, k, partitions, hot=()) ->
     part = (mix(anchor) % np.uint64(partitions)).astype(np.int64)
     order = np.lexsort((np.arange(len(same)), same, part))
     cuts = np.flatnonzero(np.r_[True, part[order][1:] != part[order][:-1]])
-    doc_ids, doc_keys = np.array(ids, np.int64), np.array(keys, np.int64)
     for lo, hi in zip(cuts, np.r_[cuts[1:], len(order)]):
         rows = order[lo:hi]
         span = same[rows]
         lead = np.flatnonzero(np.r_[True, span[1:] != span[:-1]])
         at = span[lead]
-        used, words = first_seen(word[expand(start[at], size[at])], len(vocabulary))
+        used, codes = first_seen(word[expand(start[at], size[at])], len(vocabulary))
         docs, owner = np.unique(doc[start[rows]], return_inverse=True)
         yield int(part[rows[0]]), pack(
-            dictionary=b"\n".join([vocabulary[i] for i in used.tolist()]), words=words.astype(np.uint32),
+            dictionary=line_bytes(vocabulary.take(pa.array(used))), words=codes.astype(np.uint32),
             size=size[at].astype(np.uint16), copies=np.diff(np.r_[lead, len(rows)]).astype(np.uint32),
             owner=owner.astype(np.uint32), begin=(start[rows] - doc_first[doc[start[rows]]]).astype(np.uint32),
-            doc_step=np.diff(doc_ids[docs], prepend=0), doc_keys=doc_keys[docs])
+            doc_step=np.diff(ids[docs], prepend=0), doc_keys=keys[docs])
 
 
 def hot_anchors(docs: DataFrame, window: int, k: int, partitions: int) -> np.ndarray:
@@ -221,26 +247,22 @@ def hot_anchors(docs: DataFrame, window: int, k: int, partitions: int) -> np.nda
 def ship_spans(docs: DataFrame, window: int, k: int, partitions: int, hot=()) -> DataFrame:
     """``(part, block)`` rows with the spans of all documents; ``docs`` is (doc_id, text_key, raw)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def fresh():
-            return [], [], [], defaultdict(count().__next__)
-
         def flush():
-            rows = list(ship_batch(ids, keys, tokens, list(term_of), window, k, partitions, hot))
+            documents = (np.concatenate(x) for x in zip(*((i, k, n) for i, k, n, _ in held)))
+            rows = list(ship_batch(*documents, pa.concat_arrays([w for *_, w in held]), window, k, partitions, hot))
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["part", "block"])
 
-        ids, keys, tokens, term_of = fresh()
-        total = 0
+        held, total = [], 0
         for b in batches:
-            for i, key, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                words = raw.as_buffer().to_pybytes().split() if raw.is_valid else []
-                if len(words) < window:
-                    continue
+            raws = b.column(2)
+            ids, keys = (b.column(c).fill_null(NO_ID).to_numpy(zero_copy_only=False) for c in (0, 1))
+            size = pc.fill_null(pc.binary_length(raws), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for lo, hi in text_blocks(np.r_[0, np.cumsum(size)], CUT_BYTES):
+                n, words = cut_words([raw or b"" for raw in raws[lo:hi].to_pylist()])
                 if total and total + len(words) > BATCH_WORDS:
                     yield flush()
-                    (ids, keys, tokens, term_of), total = fresh(), 0
-                ids.append(NO_ID if i is None else i)
-                keys.append(key)
-                tokens.append(np.fromiter(map(term_of.__getitem__, words), np.int32, len(words)))
+                    held, total = [], 0
+                held.append((ids[lo:hi], keys[lo:hi], n, words))
                 total += len(words)
         if total:
             yield flush()
@@ -275,12 +297,13 @@ def subtree_repeats(suffix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def resolve(blocks: list[bytes], window: int, subtree: int = SUBTREE):
     """Windows to remove in one partition: arrays (doc_id, text_key, first word), one entry per window occurrence."""
-    word_id = defaultdict(count().__next__)
-    words, sizes, copies, owners, begins, ids, keys, docs = [], [], [], [], [], [], [], 0
+    dictionaries, words, sizes, copies, owners, begins, ids, keys, terms, docs = [], [], [], [], [], [], [], [], 0, 0
     for blob in blocks:
         b = unpack(blob)
-        local = np.fromiter(map(word_id.__getitem__, b["dictionary"].split(b"\n")), np.int32)
-        words.append(local[numbers_seen(b["words"])])
+        dictionaries.append(b["dictionary"])
+        local = numbers_seen(b["words"])
+        words.append((local + terms).astype(np.int32))
+        terms += int(local.max()) + 1
         sizes.append(b["size"].astype(np.int64))
         copies.append(b["copies"].astype(np.int64))
         owners.append(b["owner"].astype(np.int64) + docs)
@@ -289,13 +312,18 @@ def resolve(blocks: list[bytes], window: int, subtree: int = SUBTREE):
         keys.append(b["doc_keys"])
         docs += len(ids[-1])
     words, size, copies, owner, begin, ids, keys = map(np.concatenate, (words, sizes, copies, owners, begins, ids, keys))
+    dictionaries.append(b"")
+    coded = lines(np.frombuffer(b"\n".join(dictionaries), np.uint8)).dictionary_encode()
+    words = coded.indices.to_numpy()[words]
+    n_terms = len(coded.dictionary)
+    del dictionaries, coded
     span_at = np.cumsum(size) - size
     n = size - window + 1
     window_at = expand(span_at, n)  # first word of every window of every distinct span
     first_copy = np.cumsum(copies) - copies
     span_low = np.minimum.reduceat(ids[owner], first_copy)
     low = np.repeat(span_low, n)
-    names = Sums(mix(np.arange(1, len(word_id) + 1, dtype=np.uint64))[words]).of(window_at, window_at + window)
+    names = Sums(mix(np.arange(1, n_terms + 1, dtype=np.uint64))[words]).of(window_at, window_at + window)
     order = np.argsort(names)
     again = names[order[1:]] == names[order[:-1]]
     repeated = np.sort(order[np.r_[again, False] | np.r_[False, again]]) if len(order) else order
