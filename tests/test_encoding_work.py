@@ -70,3 +70,36 @@ def test_folding_picks_the_same_merges(monkeypatch):
     few = [bpe.Folder(m.merges, m.vocab, m.unk_id).ids(w, n) for w in words for n in (None, 0, 2, 9)]
     monkeypatch.setattr(bpe, "FEW_MERGES", 0)
     assert few == [bpe.Folder(m.merges, m.vocab, m.unk_id).ids(w, n) for w in words for n in (None, 0, 2, 9)]
+
+
+def test_many_words_are_segmented_as_one_at_a_time(monkeypatch):
+    merges = [*MERGES[:4], ("ab", "ab"), ("a", "a"), ("aa", "a"), ("é", "é"), ("abab", "c</w>")]
+    words = ["abab", "c", "cabab", "aaaaa", "aaaa", "éééé", "ab\x01c", "\x02aa", "z", "ababc", "</w>"]
+    for passes in (0, 64):  # looked up per word, and one merge after another
+        monkeypatch.setattr(bpe, "PASSES", passes)
+        many, sizes = bpe.ManyWords(merges), [0, 3, 6, len(merges)]
+        for size, (sym, n) in zip(sizes, many.segmented(words, sizes)):
+            spelled = iter(many.spellings(sym))
+            assert [[next(spelled) for _ in range(k)] for k in n] == [bpe_segment(w, merges[:size]) for w in words]
+
+
+def test_words_of_a_slice_are_segmented_together(monkeypatch):
+    calls = []
+    monkeypatch.setattr(bpe.Segmenter, "symbols", lambda self, word: calls.append(word))
+    monkeypatch.setattr(bpe.Folder, "ids", lambda self, word, before=None: calls.append(word))
+    m = bpe.model_from_merges(None, MERGES[:4], extra_chars=("é",))
+    ids = bpe.segmented(pa.array([["abab", "cab", "é"], ["c"]]), bpe.Segmenter(m.merges, m.vocab, m.unk_id), True).to_pylist()
+    want = lambda w: [m.vocab.get(s, m.unk_id) for s in bpe_segment(w, m.merges)]
+    assert ids == [[*want("abab"), *want("cab"), *want("é")], want("c")] and not calls
+    facts = tokeval.WordFacts([m.truncated(2), m], set(tokeval.ADVANCED_METRICS))
+    held = [tokeval.Counter(), tokeval.Counter()]
+    facts.add(["abab c. cab.c", "é abab"], held)
+    assert not calls and held[1]["consistent", 0] == 2 and held[1]["kept", 0] == held[1]["either", 0] == 5
+
+
+def test_facts_show_a_fault_of_either_encoder(monkeypatch):
+    m, held = bpe.model_from_merges(None, MERGES[:4]), [tokeval.Counter()]
+    good = bpe.Folder.many
+    monkeypatch.setattr(bpe.Folder, "many", lambda self, words, sizes: [([*s[:-1], "?"], n) for s, n in good(self, words, sizes)])
+    tokeval.WordFacts([m], {"consistency"}).add(["ab c", "ab", "c ab"], held)
+    assert held[0]["texts", 0] == 3 and held[0]["consistent", 0] == 1
