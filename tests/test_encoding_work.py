@@ -103,3 +103,18 @@ def test_facts_show_a_fault_of_either_encoder(monkeypatch):
     monkeypatch.setattr(bpe.Folder, "many", lambda self, words, sizes: [([*s[:-1], "?"], n) for s, n in good(self, words, sizes)])
     tokeval.WordFacts([m], {"consistency"}).add(["ab c", "ab", "c ab"], held)
     assert held[0]["texts", 0] == 3 and held[0]["consistent", 0] == 1
+
+
+def test_words_are_folded_together(spark, monkeypatch):
+    m = bpe.model_from_merges(None, MERGES[:4], extra_chars=("é",))
+    words = ["abab", "cab", "é", "c", "z"]
+    want = {w: [m.vocab.get(s, m.unk_id) for s in bpe_segment(w, m.merges)] for w in [*words, "a\x01b"]}
+    folded = lambda ws: {r["word"]: r["ids"] for r in bpe.encode_words_native(spark.createDataFrame([(w,) for w in ws], "word string").coalesce(1), m).collect()}
+    assert folded([*words, "a\x01b"]) == want
+
+    class Together(bpe.Folder):
+        def ids(self, word, before=None):
+            raise AssertionError("a word of its own")
+
+    monkeypatch.setattr(bpe, "Folder", Together)
+    assert folded(words) == {w: want[w] for w in words}
